@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facetforge.llm import bpe, packing, simhash
+from facetforge.llm import bpe, packing, simhash, suffixes
 from facetforge.llm.common import documents
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -30,5 +30,13 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
 
 
-QUERIES = {"op6_byte_bpe": op6_byte_bpe, "op7_simhash": op7_simhash, "op9_packing": op9_packing}
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.without_repeats(documents(spark, sf_dir))
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x.stop - x.start)
+    return found.select(
+        "doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+QUERIES = {"op6_byte_bpe": op6_byte_bpe, "op7_simhash": op7_simhash, "op9_packing": op9_packing, "op10_suffix_dedup": op10_suffix_dedup}
 ORACLES: dict[str, str] = {}
