@@ -201,13 +201,13 @@ def marked(group: np.ndarray, text: np.ndarray, doc: np.ndarray, length: int) ->
     change = np.zeros((len(text), width + 1), np.int32)
     row, offset, common = suffix_array(group, text, length)
     if len(row):
-        left = np.where(offset > 0, text[row, offset - 1].astype(np.int64), -1)
+        left = np.where((offset > 0) & (text[row, offset - 1] != EDGE), text[row, offset - 1].astype(np.int64), -1)
         of = doc[row]
         for first, last, depth, least in maximal_repeats(common, left, of, length):
             late = first + np.flatnonzero(of[first : last + 1] > least)
             np.add.at(change, (row[late], offset[late]), 1)
             np.add.at(change, (row[late], offset[late] + depth), -1)
-    return np.cumsum(change, axis=1)[:, :width] > 0
+    return (np.cumsum(change, axis=1)[:, :width] > 0) & (text != EDGE)
 
 
 def marks(found: DataFrame, length: int) -> DataFrame:
