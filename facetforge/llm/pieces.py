@@ -7,9 +7,10 @@ neighbouring code points only, so all the ends in a text come from comparisons o
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -17,6 +18,8 @@ import numpy as np
 LETTER, DIGIT, OTHER, SPACE, END = range(5)
 #: The white space of the pattern (Unicode's White_Space) and the contractions by their second letter.
 WHITE = [0x9, 0xA, 0xB, 0xC, 0xD, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+#: Code points that are cut at once, and where a text may be divided for that.
+PART, BREAK = 1 << 17, re.compile(r"\S ")
 SHORT, LONG = "stmd", ("re", "ve", "ll")
 
 
@@ -74,10 +77,19 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return whole(base), whole(pow(base, -1, 1 << 64))
 
 
+def parted(text: str) -> Iterator[str]:
+    """Parts of about PART code points. A pre-token always ends between another sign and white space."""
+    at = 0
+    while len(text) - at > 2 * PART and (found := BREAK.search(text, at + PART)):
+        yield text[at : found.start() + 1]
+        at = found.start() + 1
+    yield text[at:] if at else text
+
+
 class PieceIds(dict):
     """Pre-token -> its ids as little-endian unsigned 32-bit integers. Starts afresh at `room` entries."""
 
-    def __init__(self, encode: Callable[[str], list[int]], room: int = 600_000):
+    def __init__(self, encode: Callable[[str], list[int]], room: int = 400_000):
         super().__init__()
         self.encode, self.room = encode, room
 
@@ -88,8 +100,30 @@ class PieceIds(dict):
         return ids
 
     def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts one after another, and how many each text has. Each different pre-token of the batch
-        is looked up once: pre-tokens meet by a hash, and the code points behind equal hashes are compared."""
+        """The ids of all texts one after another, and how many each has; PART code points at a time, so that memory
+        doesn't follow the batch or the longest text."""
+        found, many, held, size = [], np.zeros(len(texts), np.int64), [], 0
+
+        def done() -> None:
+            ids, n = self.of_part([part for _, part in held])
+            found.append(ids)
+            np.add.at(many, [i for i, _ in held], n)
+            held.clear()
+
+        for i, text in enumerate(texts):
+            for part in parted(text):
+                held.append((i, part))
+                size += len(part)
+                if size >= PART:
+                    done()
+                    size = 0
+        if held:
+            done()
+        return np.concatenate(found) if found else np.empty(0, np.uint32), many
+
+    def of_part(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same at once. Each different pre-token is looked up once: pre-tokens meet by a hash, and the code points
+        behind equal hashes are compared."""
         if not texts:
             return np.empty(0, np.uint32), np.empty(0, np.int64)
         joined, point, start, stop, last = cuts(texts)
