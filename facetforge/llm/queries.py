@@ -6,13 +6,28 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facetforge.llm import bpe, packing, simhash, suffixes
-from facetforge.llm.common import documents
+from facetforge.llm import bpe, langid, packing, quality, simhash, suffixes, toxicity
+from facetforge.llm.common import documents, fold, labels
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's posterior; `source` is the host, the language's section of it the path."""
+    found = quality.judged(documents(spark, sf_dir), labels(spark, sf_dir), F.col("source"), F.col("lang"))
+    return found.select(
+        "doc_id", F.col("source").alias("host"), F.col("lang").alias("path"), F.col("quality_evidence").alias("evidence"),
+        F.col("quality_site").alias("site_posterior"), F.col("quality_posterior").alias("posterior"), F.col("quality_keep").alias("keep"),
+    )
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.identified(documents(spark, sf_dir), fold(F.col("id"), 4) != 2)
+    held_out = (fold(F.col("doc_id"), 4) == 2).alias("held_out")
+    return found.select("doc_id", held_out, F.col("language_pred").alias("lang_pred"), F.col("language_score").alias("score"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
     coded = coded.withColumns({"n_tokens": (F.octet_length("ids") / 4).cast("long"), "ids_sha256": F.sha2("ids", 256)})
@@ -25,6 +40,13 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.judged(documents(spark, sf_dir), labels(spark, sf_dir), fold(F.col("id"), 5) != 0)
+    score = F.col("toxicity_score")
+    held_out = (fold(F.col("doc_id"), 5) == 0).alias("held_out")
+    return found.select("doc_id", held_out, score.alias("score"), (score >= 0.5).cast("int").alias("predicted"), F.col("toxicity_word").alias("word"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(documents(spark, sf_dir), TOKENIZER)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
@@ -38,5 +60,5 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op6_byte_bpe": op6_byte_bpe, "op7_simhash": op7_simhash, "op9_packing": op9_packing, "op10_suffix_dedup": op10_suffix_dedup}
+QUERIES = {"op3_quality": op3_quality, "op5_language": op5_language, "op8_toxicity": op8_toxicity, "op6_byte_bpe": op6_byte_bpe, "op7_simhash": op7_simhash, "op9_packing": op9_packing, "op10_suffix_dedup": op10_suffix_dedup}
 ORACLES: dict[str, str] = {}
