@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facetforge.llm import bpe, langid, packing, quality, simhash, suffixes, toxicity
+from facetforge.llm import bpe, chaining, langid, packing, quality, simhash, suffixes, toxicity
 from facetforge.llm.common import documents, fold, labels
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -22,6 +22,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.passages(documents(spark, sf_dir))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = langid.identified(documents(spark, sf_dir), fold(F.col("id"), 4) != 2)
     held_out = (fold(F.col("doc_id"), 4) == 2).alias("held_out")
@@ -60,5 +64,5 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op3_quality": op3_quality, "op5_language": op5_language, "op8_toxicity": op8_toxicity, "op6_byte_bpe": op6_byte_bpe, "op7_simhash": op7_simhash, "op9_packing": op9_packing, "op10_suffix_dedup": op10_suffix_dedup}
+QUERIES = {"op3_quality": op3_quality, "op4_chaining": op4_chaining, "op5_language": op5_language, "op8_toxicity": op8_toxicity, "op6_byte_bpe": op6_byte_bpe, "op7_simhash": op7_simhash, "op9_packing": op9_packing, "op10_suffix_dedup": op10_suffix_dedup}
 ORACLES: dict[str, str] = {}
