@@ -6,13 +6,34 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facetforge.llm import bpe, chaining, langid, packing, quality, simhash, suffixes, toxicity
-from facetforge.llm.common import documents, fold, labels
+from facetforge.llm import additive, bpe, chaining, langid, packing, quality, simhash, spotsigs, suffixes, toxicity
+from facetforge.llm.common import documents, fold, labels, tuned
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = spotsigs.with_next(docs).withColumn("n_chars", F.length("text").cast("long"))
+    half = F.floor(F.col("n_chars") / 2).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int")), F.substring("next_text", F.lit(1), half))
+    rows = rows.withColumn("edited", edited)
+    for text, name in (("text", "own"), ("edited", "changed"), ("next_text", "following")):
+        rows = spotsigs.with_signatures(rows, text, name)
+    own, changed, following = F.col("own"), F.col("changed"), F.col("following")
+    return rows.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), spotsigs.fingerprint(own).alias("fingerprint"),
+        spotsigs.fingerprint(changed).alias("edited_fingerprint"), spotsigs.likeness(own, changed).alias("near_edited"),
+        spotsigs.likeness(own, following).alias("near_next"), F.size("own").alias("n_signatures"),
+        spotsigs.length_partition(F.size("own"), 0.8).alias("length_partition"),
+    )
+
+
+def op2_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return additive.nearest(tuned(spark).read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("id") % 20 == 0)
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's posterior; `source` is the host, the language's section of it the path."""
     found = quality.judged(documents(spark, sf_dir), labels(spark, sf_dir), F.col("source"), F.col("lang"))
@@ -64,5 +85,37 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op3_quality": op3_quality, "op4_chaining": op4_chaining, "op5_language": op5_language, "op8_toxicity": op8_toxicity, "op6_byte_bpe": op6_byte_bpe, "op7_simhash": op7_simhash, "op9_packing": op9_packing, "op10_suffix_dedup": op10_suffix_dedup}
-ORACLES: dict[str, str] = {}
+QUERIES = {"op1_spotsigs": op1_spotsigs, "op2_additive": op2_additive, "op3_quality": op3_quality, "op4_chaining": op4_chaining, "op5_language": op5_language, "op8_toxicity": op8_toxicity, "op6_byte_bpe": op6_byte_bpe, "op7_simhash": op7_simhash, "op9_packing": op9_packing, "op10_suffix_dedup": op10_suffix_dedup}
+COMMON = ", ".join(f"'{w}'" for w in sorted(set(spotsigs.ANTECEDENTS)))
+#: Signatures of three texts of each document: its own, the edited one and the next document's.
+OP1_SQL = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    coalesce(lead(coalesce(text, '')) OVER o, first_value(coalesce(text, '')) OVER (ORDER BY doc_id DESC)) AS next_text
+  FROM documents WINDOW o AS (ORDER BY doc_id DESC)
+), e AS (
+  SELECT *, length(text) AS n_chars, left(text, length(text) - length(text) // 2) || left(next_text, length(text) // 2) AS edited FROM d
+), t AS (
+  SELECT doc_id, 0 AS kind, text AS x FROM e UNION ALL SELECT doc_id, 1, edited FROM e UNION ALL SELECT doc_id, 2, next_text FROM e
+), w AS (
+  SELECT doc_id, kind, list_filter(regexp_split_to_array(lower(x), '[^\\p{{L}}\\p{{N}}]+'), lambda v: v <> '') AS w FROM t
+), c AS (
+  SELECT *, list_filter(w, lambda v: v NOT IN ({COMMON})) AS c,
+    list_filter(range(1, len(w) + 1), lambda i: w[i] IN ({COMMON})) AS p FROM w
+), s AS (
+  SELECT doc_id, kind, w, list_sort(list_distinct(list_transform(
+    list_filter(range(1, len(p) + 1), lambda j: p[j] - j + 2 <= len(c)),
+    lambda j: w[p[j]] || ':' || c[p[j] - j + 1] || ':' || c[p[j] - j + 2]))) AS s FROM c
+), f AS (
+  SELECT doc_id, kind, CASE WHEN len(s) > 0 THEN s ELSE [array_to_string(w, ' ')] END AS s FROM s
+), g AS (
+  SELECT e.doc_id, n_chars, sha256(edited) AS edited_sha256, a.s AS a, b.s AS b, n.s AS n
+  FROM e JOIN f a ON a.doc_id = e.doc_id AND a.kind = 0 JOIN f b ON b.doc_id = e.doc_id AND b.kind = 1 JOIN f n ON n.doc_id = e.doc_id AND n.kind = 2
+)
+SELECT doc_id, n_chars, edited_sha256, sha256(array_to_string(a, chr(10))) AS fingerprint, sha256(array_to_string(b, chr(10))) AS edited_fingerprint,
+  len(list_intersect(a, b)) / (len(a) + len(b) - len(list_intersect(a, b)))::DOUBLE AS near_edited,
+  len(list_intersect(a, n)) / (len(a) + len(n) - len(list_intersect(a, n)))::DOUBLE AS near_next,
+  len(a)::INTEGER AS n_signatures, floor(ln(len(a)) / ln(1.25) + 1e-9)::INTEGER AS length_partition
+FROM g
+"""
+ORACLES: dict[str, str] = {"op1_spotsigs": OP1_SQL}
