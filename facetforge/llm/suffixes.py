@@ -32,7 +32,7 @@ from facetforge.llm.common import Stored
 GRAM = 20
 #: A byte that no UTF-8 text has; stands beyond both ends of a text.
 EDGE = 0xFF
-CROWDED = 4096
+CROWDED = 512
 #: Contexts that are suffix-sorted at once.
 BLOCK = 4096
 #: An odd multiplier of the rolling hash.
@@ -75,19 +75,48 @@ def sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(parts[n][: len(x) - width + 1], parts[n][width - n :]) if width > n else parts[n]
 
 
-def anchors(raw: bytes, length: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Positions, hashes and context hashes of the anchors, and the bytes with edges on both sides."""
-    margin = length - gram
-    padded = np.full(len(raw) + 2 * margin, EDGE, np.uint8)
-    padded[margin : margin + len(raw)] = np.frombuffer(raw, np.uint8)
-    if len(raw) < length:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), padded
-    grams, contexts = rolling(padded, (gram, length + margin))
-    grams = grams[margin : margin + len(raw) - gram + 1]
-    least = sliding(grams, margin + 1, np.minimum)
-    edge = np.zeros(margin, np.uint64)
-    at = np.flatnonzero(grams == sliding(np.concatenate((edge, least, edge)), margin + 1, np.maximum))
-    return at, grams[at].view(np.int64), contexts[at].view(np.int64), padded
+class Anchors:
+    """The anchors of some texts, which stand one after another with edges around each.
+
+    doc: the text of each anchor; at: where its gram starts; h, c: the hashes of the gram and of its context.
+    """
+
+    def __init__(self, raws: list[bytes], length: int):
+        margin = length - GRAM
+        size = np.fromiter(map(len, raws), np.int64, len(raws))
+        self.stop = np.cumsum(size + margin)
+        self.start = self.stop - size
+        edge = bytes([EDGE]) * margin
+        self.bytes = np.frombuffer(edge + b"".join(x for raw in raws for x in (raw, edge)), np.uint8)
+        self.doc = self.at = self.h = self.c = np.empty(0, np.int64)
+        if len(self.bytes) < length + margin:
+            return
+        grams, contexts = rolling(self.bytes, (GRAM, length + margin))
+        crossed = np.cumsum(np.concatenate(([0], self.bytes == EDGE)))
+        least = np.where(crossed[length:] == crossed[:-length], sliding(grams, margin + 1, np.minimum), np.uint64(0))
+        blank = np.zeros(margin, np.uint64)
+        chosen = grams == sliding(np.concatenate((blank, least, blank)), margin + 1, np.maximum)
+        self.at = np.flatnonzero(chosen & (crossed[GRAM:] == crossed[:-GRAM]))
+        self.doc = np.searchsorted(self.stop, self.at, side="right")
+        self.h, self.c = grams[self.at].view(np.int64), contexts[self.at - margin].view(np.int64)
+
+
+def chunked(texts: list[str | None], most: int = 1 << 16) -> Iterator[tuple[int, list[bytes]]]:
+    """The texts' bytes in groups of about `most`, so that the arrays over them stay small; each with its first number."""
+    held, first, size = [], 0, 0
+    for i, text in enumerate(texts):
+        held.append((text or "").encode())
+        size += len(held[-1])
+        if size >= most:
+            yield first, held
+            held, first, size = [], i + 1, 0
+    if held:
+        yield first, held
+
+
+def mixed(doc: np.ndarray, h: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """One number for a text's number and both hashes."""
+    return (h * np.int64(3) + c) * np.int64(0x9E3779B97F4A7C1) + doc * np.int64(0x2545F4914F6CDD1D)
 
 
 def anchor_rows(rows: DataFrame, length: int) -> DataFrame:
@@ -95,15 +124,12 @@ def anchor_rows(rows: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, hs, cs = [], [], []
-            for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                _, h, c, _ = anchors((text or "").encode(), length)
-                once = np.unique(h * np.int64(3) + c, return_index=True)[1]
-                docs.append(np.full(len(once), doc, np.int64))
-                hs.append(h[once])
-                cs.append(c[once])
-            if docs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (docs, hs, cs)], ["doc", "h", "c"])
+            ids = batch.column("doc").to_numpy(zero_copy_only=False)
+            for first, raws in chunked(batch.column("text").to_pylist()):
+                found = Anchors(raws, length)
+                once = np.unique(mixed(found.doc, found.h, found.c), return_index=True)[1]
+                columns = ids[first + found.doc[once]], found.h[once], found.c[once]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], ["doc", "h", "c"])
 
     return rows.where("doc is not null").mapInArrow(run, "doc long, h long, c long")
 
@@ -131,24 +157,48 @@ def gathered(texts: DataFrame, found: DataFrame, columns: list[str]) -> DataFram
     return texts.join(lists, "doc", "left").select(texts.doc, "text", "found")
 
 
+def looked_up(batch: pa.RecordBatch, length: int) -> Iterator[tuple[int, list[bytes], Anchors, np.ndarray, np.ndarray]]:
+    """Groups of the batch's texts: the first's number, the texts, their anchors, which anchors were found, and where in
+    the flattened lists they are."""
+    lists = batch.column("found")
+    many = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+    flat = lists.flatten()
+    h, c = (flat.field(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("h", "c"))
+    upto = np.concatenate(([0], np.cumsum(many)))
+    texts = [t if n else None for t, n in zip(batch.column("text").to_pylist(), many.tolist(), strict=True)]
+    for first, raws in chunked(texts):
+        anchors = Anchors(raws, length)
+        own = slice(upto[first], upto[first + len(raws)])
+        wanted = mixed(np.repeat(np.arange(len(raws)), many[first : first + len(raws)]), h[own], c[own])
+        order = np.argsort(wanted, kind="stable")
+        keys = mixed(anchors.doc, anchors.h, anchors.c)
+        place = np.searchsorted(wanted, keys, sorter=order)
+        place = order[np.minimum(place, len(order) - 1)] if len(order) else np.zeros(len(keys), np.int64)
+        hit = np.flatnonzero(wanted[place] == keys) if len(order) else np.empty(0, np.int64)
+        yield first, raws, anchors, hit, place[hit] + upto[first]
+
+
 def contexts(texts: DataFrame, found: DataFrame, length: int) -> DataFrame:
-    """doc, h, c, context, size of the anchors in `found`."""
+    """doc, h, c, context, size of the anchors in `found`; low, high: the part of the context inside the text."""
+    width, margin = 2 * length - GRAM, length - GRAM
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                if row["found"]:
-                    at, h, c, padded = anchors((row["text"] or "").encode(), length)
-                    where = {(x, y): i for i, x, y in zip(at.tolist(), h.tolist(), c.tolist(), strict=True)}
-                    for x in row["found"]:
-                        if (i := where.get((x["h"], x["c"]))) is not None:
-                            out.append((row["doc"], x["h"], x["c"], padded[i : i + 2 * length - GRAM].tobytes(), x["size"]))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
-
-    names, kinds = ["doc", "h", "c", "context", "size"], [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
-    return gathered(texts, found, ["h", "c", "size"]).mapInArrow(run, "doc long, h long, c long, context binary, size long")
+            ids = batch.column("doc").to_numpy(zero_copy_only=False)
+            sizes = batch.column("found").flatten().field("size").to_numpy(zero_copy_only=False)
+            for first, _, anchors, hit, place in looked_up(batch, length):
+                once = np.unique(place, return_index=True)[1]
+                hit, place = hit[once], place[once]
+                at, doc = anchors.at[hit] - margin, anchors.doc[hit]
+                text = anchors.bytes[at[:, None] + np.arange(width)].tobytes()
+                low = np.maximum(0, anchors.start[doc] - at)
+                high = np.minimum(width, anchors.stop[doc] - at)
+                columns = [pa.array(x, pa.int64()) for x in (ids[first + doc], anchors.h[hit], anchors.c[hit], sizes[place], low, high)]
+                columns.append(pa.array([text[i * width : (i + 1) * width] for i in range(len(hit))], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, ["doc", "h", "c", "size", "low", "high", "context"])
+
+    schema = "doc long, h long, c long, size long, low long, high long, context binary"
+    return gathered(texts, found, ["h", "c", "size"]).where("doc is not null").mapInArrow(run, schema)
 
 
 def suffix_array(group: np.ndarray, text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -240,20 +290,8 @@ def marks(found: DataFrame, length: int) -> DataFrame:
 def crowded_marks(found: DataFrame, length: int) -> DataFrame:
     """The same for buckets of any size: every string of the contexts with its smallest document."""
     width = 2 * length - GRAM
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for r in batch.to_pylist():
-                x = r["context"]
-                low = next((i for i in range(width) if x[i] != EDGE), width)
-                high = next((i for i in range(width, 0, -1) if x[i - 1] != EDGE), 0)
-                out += [(r["doc"], r["h"], r["c"], s, x[s : s + length]) for s in range(low, high - length + 1)]
-            if out:
-                names, kinds = ["doc", "h", "c", "s", "string"], [pa.int64()] * 4 + [pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
-
-    strings = found.mapInArrow(run, "doc long, h long, c long, s long, string binary")
+    at = F.explode(F.sequence(F.col("low"), F.col("high") - length)).alias("s")
+    strings = found.select("doc", "h", "c", "context", at).withColumn("string", F.substring("context", F.col("s").cast("int") + 1, F.lit(length)))
     strings = strings.select("doc", "h", "c", "s", F.xxhash64("string").alias("x"), F.xxhash64("string", F.lit(1)).alias("y"))
     least = strings.groupBy("h", "x", "y").agg(F.min("doc").alias("least"))
     late = strings.join(least, ["h", "x", "y"]).where("doc > least").groupBy("doc", "h", "c").agg(F.collect_list("s").alias("at"))
@@ -261,31 +299,30 @@ def crowded_marks(found: DataFrame, length: int) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for r in batch.to_pylist():
+            for starts in batch.column("at").to_pylist():
                 bits = np.zeros(width, bool)
-                for s in r.pop("at"):
+                for s in starts:
                     bits[s : s + length] = True
-                out.append(r | {"mask": np.packbits(bits).tobytes()})
-            yield pa.RecordBatch.from_pylist(out, pa.schema([("doc", pa.int64()), ("h", pa.int64()), ("c", pa.int64()), ("mask", pa.binary())]))
+                out.append(np.packbits(bits).tobytes())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.binary())], ["doc", "h", "c", "mask"])
 
     return late.mapInArrow(pack, "doc long, h long, c long, mask binary")
 
 
-def removed(raw: bytes, found: list[dict], length: int) -> np.ndarray:
-    """Which bytes go, given the anchors found: the whole context where the mask is null."""
-    at, h, c, _ = anchors(raw, length)
-    known = {(x["h"], x["c"]): x["mask"] for x in found}
-    margin, width = length - GRAM, 2 * length - GRAM
-    change = np.zeros(len(raw) + 1, np.int32)
-    for i, x, y in zip(at.tolist(), h.tolist(), c.tolist(), strict=True):
-        mask = known.get((x, y), b"")
-        if mask is None:
-            change[max(0, i - margin)] += 1
-            change[min(len(raw), i - margin + width)] -= 1
-        elif mask:
-            bits = np.flatnonzero(np.unpackbits(np.frombuffer(mask, np.uint8))[:width]) + i - margin
-            change[bits] += 1
-            change[bits + 1] -= 1
+def removed(anchors: Anchors, hit: np.ndarray, masks: list[bytes | None], length: int) -> np.ndarray:
+    """Which bytes go, given the anchors found and their masks; the whole context where there is none."""
+    width = 2 * length - GRAM
+    start = anchors.at[hit] - (length - GRAM)
+    change = np.zeros(len(anchors.bytes) + 1, np.int32)
+    whole = np.fromiter((m is None for m in masks), bool, len(masks))
+    np.add.at(change, start[whole], 1)
+    np.add.at(change, start[whole] + width, -1)
+    part = np.flatnonzero(~whole)
+    if len(part):
+        packed = np.frombuffer(b"".join(masks[i] for i in part.tolist()), np.uint8).reshape(len(part), -1)
+        row, bit = np.nonzero(np.unpackbits(packed, axis=1)[:, :width])
+        np.add.at(change, start[part[row]] + bit, 1)
+        np.add.at(change, start[part[row]] + bit + 1, -1)
     return np.cumsum(change)[:-1] > 0
 
 
@@ -293,24 +330,29 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """A row for each row of docs: doc_id, n_bytes, kept (binary), spans (array of start, stop of the removed runs)."""
     texts = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
     found = Stored(shared_anchors(texts, length), "anchors").df
-    split = contexts(texts, found.where("not whole"), length)
-    masks = marks(split.where(F.col("size") <= crowded), length)
+    split = Stored(contexts(texts, found.where("not whole"), length), "contexts").df
+    masks = marks(split.where(F.col("size") <= crowded).select("doc", "h", "c", "context"), length)
     masks = masks.unionByName(crowded_marks(split.where(F.col("size") > crowded), length))
     whole = found.where("whole").select("doc", "h", "c", F.lit(None).cast("binary").alias("mask"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            masks = batch.column("found").flatten().field("mask").to_pylist()
+            had = batch.column("found").is_valid().to_pylist()
+            docs, raw = batch.column("doc").to_pylist(), batch.column("text").to_pylist()
             out = []
-            for row in batch.to_pylist():
-                raw = (row["text"] or "").encode()
-                spans: list[dict] = []
-                kept = raw
-                if row["found"]:
-                    gone = removed(raw, row["found"], length)
-                    edges = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).astype(np.int8))).tolist()
-                    spans = [{"start": a, "stop": b} for a, b in zip(edges[::2], edges[1::2], strict=True)]
-                    kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-                out.append({"doc": row["doc"], "n_bytes": len(raw), "kept": kept, "spans": spans})
+            for first, raws, anchors, hit, place in looked_up(batch, length):
+                gone = removed(anchors, hit, [masks[i] for i in place.tolist()], length)
+                for i in range(len(raws)):
+                    own = (raw[first + i] or "").encode()
+                    spans: list[dict] = []
+                    kept = own
+                    if had[first + i]:
+                        lost = gone[anchors.start[i] : anchors.stop[i]]
+                        edges = np.flatnonzero(np.diff(np.concatenate(([False], lost, [False])).astype(np.int8))).tolist()
+                        spans = [{"start": a, "stop": b} for a, b in zip(edges[::2], edges[1::2], strict=True)]
+                        kept = b"".join(own[a:b] for a, b in zip([0, *edges[1::2]], [*edges[::2], len(own)], strict=True)) if edges else own
+                    out.append({"doc": docs[first + i], "n_bytes": len(own), "kept": kept, "spans": spans})
             yield pa.RecordBatch.from_pylist(out, schema)
 
     span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))

@@ -52,7 +52,7 @@ def odd_rows():
     return rows
 
 
-@pytest.mark.parametrize("crowded", [4096, 3])
+@pytest.mark.parametrize("crowded", [512, 3])
 def test_odd_rows(spark, crowded):
     rows = odd_rows()
     docs = spark.createDataFrame([(i, t, "z", "y") for i, t in rows], "doc_id long, text string, h string, doc string")
