@@ -13,8 +13,10 @@ ARROW_ROWS = 512
 
 
 def tuned(spark: SparkSession) -> SparkSession:
-    """The session with Arrow batches that suit whole documents."""
+    """The session with Arrow batches that suit whole documents. Shuffle files go with the query that wrote them; what a
+    later query reads is in a stored table."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 
