@@ -26,11 +26,18 @@ from facetforge.llm.pieces import PieceIds
 FLUSH = 1_000_000
 
 
+def byte_signs() -> dict[int, str]:
+    """The sign that a byte-level vocabulary writes for each byte: itself if it can be printed, else the next from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 @lru_cache(maxsize=2)
 def piece_ids(path: str) -> PieceIds:
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return PieceIds(lambda piece: tokenizer.encode(piece, add_special_tokens=False).ids)
+    """The vocabulary's merges, applied to one pre-token at a time; a special token's string is ordinary text."""
+    model, signs = Tokenizer.from_file(path).model, byte_signs()
+    return PieceIds(lambda piece: [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(signs))])
 
 
 def lengths(n: int, longest: int) -> list[int]:

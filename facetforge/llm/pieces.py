@@ -133,8 +133,9 @@ class PieceIds(dict):
         total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((point + np.uint64(1)) * up[: len(point)], dtype=np.uint64)))
         _, first, which = np.unique((total[stop] - total[start]) * down[start], return_index=True, return_inverse=True)
         size = stop - start
-        like = np.repeat(start[first][which] - start, size)
-        at = np.repeat(start - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(len(like))
+        shift = (start[first][which] - start).astype(np.int32)  # a part is far shorter than 2 ** 31
+        like = np.repeat(shift, size)
+        at = np.repeat((start - np.concatenate(([0], np.cumsum(size)[:-1]))).astype(np.int32), size) + np.arange(len(like), dtype=np.int32)
         if (size != size[first][which]).any() or (point[at] != point[at + like]).any():  # two pre-tokens with one hash
             first, which = np.arange(len(start)), np.arange(len(start))
         found = [self[joined[a:b]] for a, b in zip(start[first].tolist(), stop[first].tolist(), strict=True)]
