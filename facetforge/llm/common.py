@@ -13,10 +13,8 @@ ARROW_ROWS = 512
 
 
 def tuned(spark: SparkSession) -> SparkSession:
-    """The session with Arrow batches that suit whole documents. Shuffle files go with the query that wrote them; what a
-    later query reads is in a stored table."""
+    """The session with Arrow batches that suit whole documents."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 
@@ -54,6 +52,9 @@ class Stored:
         self.path = f"{shared_dir(self.spark)}/{label}-{uuid.uuid4().hex}"
         df.write.parquet(self.path)
         self.df = self.spark.read.parquet(self.path)
+        del df
+        # Spark's cleaner removes the shuffle files behind a table when the driver's collector drops their plan.
+        self.spark._jvm.System.gc()
 
     def drop(self) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
