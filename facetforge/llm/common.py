@@ -52,9 +52,6 @@ class Stored:
         self.path = f"{shared_dir(self.spark)}/{label}-{uuid.uuid4().hex}"
         df.write.parquet(self.path)
         self.df = self.spark.read.parquet(self.path)
-        del df
-        # Spark's cleaner removes the shuffle files behind a table when the driver's collector drops their plan.
-        self.spark._jvm.System.gc()
 
     def drop(self) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)

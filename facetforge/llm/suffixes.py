@@ -330,9 +330,10 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """A row for each row of docs: doc_id, n_bytes, kept (binary), spans (array of start, stop of the removed runs)."""
     texts = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
     found = Stored(shared_anchors(texts, length), "anchors").df
-    split = Stored(contexts(texts, found.where("not whole"), length), "contexts").df
-    masks = marks(split.where(F.col("size") <= crowded).select("doc", "h", "c", "context"), length)
-    masks = masks.unionByName(crowded_marks(split.where(F.col("size") > crowded), length))
+    split = Stored(contexts(texts, found.where("not whole"), length), "contexts")
+    masks = marks(split.df.where(F.col("size") <= crowded).select("doc", "h", "c", "context"), length)
+    masks = Stored(masks.unionByName(crowded_marks(split.df.where(F.col("size") > crowded), length)), "masks").df
+    split.drop()
     whole = found.where("whole").select("doc", "h", "c", F.lit(None).cast("binary").alias("mask"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
