@@ -119,14 +119,14 @@ def features(words: list[str], lift: np.ndarray) -> np.ndarray:
 def scores(words: list[str], weights: np.ndarray) -> np.ndarray:
     """The machine's value of each word without its intercept; -inf where the word has no subsequence."""
     out = np.full(len(words), -np.inf)
-    if words:
-        signs, of = signs_of(words)
+    for k in range(0, len(words), 8192):
+        signs, of = signs_of(words[k : k + 8192])
         total, any_there = np.zeros(len(signs)), np.zeros(len(signs), bool)
         for at, there, w in subsequences(signs):
             total += w * np.where(there, weights[at], 0).sum(axis=1)
             any_there |= there.any(axis=1)
         value = np.where(any_there, total / norms(signs), -np.inf)
-        np.maximum.at(out, of, value)
+        np.maximum.at(out, of + k, value)
     return out
 
 
