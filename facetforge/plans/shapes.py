@@ -136,3 +136,76 @@ def q_error_rows(spark: SparkSession, sf: str) -> DataFrame:
 def q_falsy_coalesce(spark: SparkSession, sf: str) -> DataFrame:
     shown = F.coalesce(merging.falsy(F.col("event_type")), F.lit("?"))
     return table(spark, sf, "events").select("event_id", shown.alias("shown"), F.coalesce(F.nullif(F.col("value"), F.lit(0.0)), F.lit(1.0)).alias("weight"))
+
+
+@query(f"""WITH {BOX_SQL}, a AS (SELECT DISTINCT p.sha, trunc((x - lo_x) / greatest(hi_x - lo_x, 1e-9) * 15)::INTEGER u, trunc((y - lo_y) / greatest(hi_y - lo_y, 1e-9) * 15)::INTEGER v, pid = 0 AS cut FROM points p JOIN box b ON b.sha = p.sha),
+c AS (SELECT sha, u, v, bool_or(NOT cut) AS after FROM a GROUP BY ALL)
+SELECT sha, round(count(*) FILTER (after) / greatest(count(*), 1), 9) AS iou FROM c GROUP BY sha""")
+def q_silhouette_iou(spark: SparkSession, sf: str) -> DataFrame:
+    """The silhouette from above, with and without a part, in cells of the whole asset's box."""
+    above = geometry.seen_cells(points(spark, sf), 16, [("x", "y", "z", 1)])
+    cells = above.groupBy("sha", "u", "v").agg(F.bool_or(F.col("pid") != 0).alias("after"))
+    return cells.groupBy("sha").agg(F.round(F.count_if("after") / F.count("*"), 9).alias("iou"))
+
+
+@query(f"""WITH {BOX_SQL} SELECT p.sha, trunc((x - lo_x) / greatest(hi_x - lo_x, 1e-9) * 15)::INTEGER AS u, trunc((y - lo_y) / greatest(hi_y - lo_y, 1e-9) * 15)::INTEGER AS v,
+round(avg(z), 7) AS colour FROM points p JOIN box b ON b.sha = p.sha GROUP BY ALL""")
+def q_scatter_avg(spark: SparkSession, sf: str) -> DataFrame:
+    above = geometry.seen_cells(points(spark, sf), 16, [("x", "y", "z", 1)])
+    return above.groupBy("sha", "u", "v").agg(F.round(F.avg("depth"), 7).alias("colour"))
+
+
+@query(f"""WITH {BOX_SQL} SELECT p.sha, sid, pid, round(2 * c_x - x, 7) AS x, 'mirror' AS op FROM points p JOIN box b ON b.sha = p.sha WHERE pid = 1
+UNION ALL SELECT p.sha, sid, pid, round(x + 1.15 * (hi_x - lo_x), 7), 'duplicate' FROM points p JOIN box b ON b.sha = p.sha WHERE pid = 2
+UNION ALL SELECT sha, sid, pid, round(x, 7), 'base' FROM points""")
+def q_duplicate(spark: SparkSession, sf: str) -> DataFrame:
+    """An asset with one part mirrored about its mean and another put beside it."""
+    pts = points(spark, sf)
+    box = geometry.bounds(pts, ["sha"]).join(geometry.centroid(pts, ["sha"]), "sha")
+    made = pts.where("pid in (1, 2)").join(box, "sha")
+    mirror = F.col("pid") == 1
+    x = F.when(mirror, 2 * F.col("c_x") - F.col("x")).otherwise(F.col("x") + 1.15 * (F.col("hi_x") - F.col("lo_x")))
+    made = made.select("sha", "sid", "pid", F.round(x, 7).alias("x"), F.when(mirror, "mirror").otherwise("duplicate").alias("op"))
+    return made.unionByName(pts.select("sha", "sid", "pid", F.round("x", 7).alias("x"), F.lit("base").alias("op")))
+
+
+@query("""WITH n AS (SELECT conv_id, count(*) AS turns FROM conversations GROUP BY conv_id)
+SELECT c.conv_id, turn, role FROM conversations c JOIN n ON n.conv_id = c.conv_id WHERE turn >= 2 AND turns > 2""")
+def q_trailing(spark: SparkSession, sf: str) -> DataFrame:
+    """What stands after the first two of a list: a list with such a row is longer than two by itself."""
+    return table(spark, sf, "conversations").where("turn >= 2").select("conv_id", "turn", "role")
+
+
+@query("""SELECT event_id, 'k' AS key, json_extract(props, '$.k')::INTEGER AS n FROM events WHERE json_extract(props, '$.k') IS NOT NULL""")
+def q_map_explode(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "events").select("event_id", F.explode(F.from_json("props", "map<string,int>")).alias("key", "n"))
+    return rows.where("key = 'k'")
+
+
+@query("""SELECT doc_id, left(text, 8) AS head, right(text, 8) AS tail, starts_with(lower(text), 'the ') AS opens,
+  replace(replace(replace(left(text, 20), '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS shown FROM documents""")
+def q_strings_misc(spark: SparkSession, sf: str) -> DataFrame:
+    shown = F.left("text", F.lit(20))
+    for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        shown = F.replace(shown, F.lit(sign), F.lit(name))
+    opens = F.lower("text").startswith("the ")
+    return table(spark, sf, "documents").select("doc_id", F.left("text", F.lit(8)).alias("head"), F.right("text", F.lit(8)).alias("tail"), opens.alias("opens"), shown.alias("shown"))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_size > 25 THEN lower(trim(p_name)) ELSE 'part' END AS name,
+  replace('remove the {PART}', '{PART}', CASE WHEN p_size > 25 THEN lower(trim(p_name)) ELSE 'part' END) AS instruction FROM part""")
+def q_naming_fill(spark: SparkSession, sf: str) -> DataFrame:
+    """Names from a model's answers, some of which are broken; a broken answer is the default name."""
+    answer = F.when(F.col("p_size") > 25, F.to_json(F.struct(F.col("p_name").alias("part")))).otherwise(F.lit("no {answer"))
+    name = F.coalesce(F.lower(F.trim(F.from_json(text.braced(answer), "part string").part)), F.lit("part"))
+    rows = table(spark, sf, "part").select("p_partkey", name.alias("name"))
+    return rows.withColumn("instruction", text.filled(F.lit("remove the {PART}"), {"{PART}": F.col("name")}))
+
+
+@query(f"""WITH {POINTS_SQL}, c AS (SELECT sha, pid, count(*) AS n FROM points GROUP BY ALL), big AS (SELECT sha, pid, n FROM c WHERE n > 12 QUALIFY row_number() OVER (PARTITION BY sha ORDER BY n DESC, pid) = 1)
+SELECT a.sha, big.pid AS largest, coalesce(big.n, 0) AS n FROM (SELECT DISTINCT sha FROM points) a LEFT JOIN big ON big.sha = a.sha""")
+def q_argmax_default(spark: SparkSession, sf: str) -> DataFrame:
+    """The largest group of each asset among those of a least size; none, if there is none."""
+    counts = points(spark, sf).groupBy("sha", "pid").agg(F.count("*").alias("n"))
+    best = F.min(F.when(F.col("n") > 12, F.struct((-F.col("n")).alias("m"), "pid")))
+    return counts.groupBy("sha").agg(best.alias("best")).select("sha", F.col("best.pid").alias("largest"), F.coalesce(-F.col("best.m"), F.lit(0)).cast("long").alias("n"))
