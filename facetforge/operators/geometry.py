@@ -82,14 +82,15 @@ def visibility(points: DataFrame, res: int) -> DataFrame:
     return both.groupBy("sha", "pid").agg(F.round(F.max(F.least(F.coalesce("hits", F.lit(0)) / F.col("cells"), F.lit(1.0))), 9).alias("vis"))
 
 
-def nearest(points: DataFrame, targets: DataFrame, on: Column, reach: float) -> DataFrame:
-    """The nearest target of each point within `reach` for which `on` (of p and q) holds: sha, sid, near_sid, distance.
+def within(points: DataFrame, targets: DataFrame, on: Column) -> DataFrame:
+    """The nearest target of each point within the asset's `reach`, a column of both, for which `on` (of p and q) holds:
+    sha, sid, near_sid, distance.
 
     Both sides are dealt into cubes as wide as the reach; a point looks into its own cube and the 26 around it, so pairs
     are made inside a neighbourhood and not between all points. Points without a target in reach have no row.
     """
     def cubes(df: DataFrame) -> DataFrame:
-        return df.withColumns({f"g_{a}": F.floor(F.col(a) / reach) for a in AXES})
+        return df.withColumns({f"g_{a}": F.floor(F.col(a) / F.col("reach")) for a in AXES})
 
     steps = F.sequence(F.lit(-1), F.lit(1))
     around = cubes(points)
@@ -100,10 +101,41 @@ def nearest(points: DataFrame, targets: DataFrame, on: Column, reach: float) ->
     for a in AXES:
         same = same & (F.col(f"p.g_{a}") == F.col(f"q.g_{a}"))
     distance = F.sqrt(sum(((F.col(f"p.{a}") - F.col(f"q.{a}")) ** 2 for a in AXES), F.lit(0.0)))
-    met = p.join(q, same & on).select(F.col("p.sha").alias("sha"), F.col("p.sid").alias("sid"), distance.alias("d"), F.col("q.sid").alias("near")).where(F.col("d") <= reach)
+    met = p.join(q, same & on).select(F.col("p.sha").alias("sha"), F.col("p.sid").alias("sid"), distance.alias("d"), F.col("q.sid").alias("near"), F.col("p.reach").alias("reach"))
+    met = met.where(F.col("d") <= F.col("reach"))
     return met.groupBy("sha", "sid").agg(F.min(F.struct("d", "near")).alias("m")).select("sha", "sid", F.col("m.near").alias("near_sid"), F.col("m.d").alias("distance"))
 
 
+def nearest(points: DataFrame, targets: DataFrame, on: Column, reach: float | None = None) -> DataFrame:
+    """The nearest target of each point for which `on` (of p and q) holds: sha, sid, near_sid, distance.
+
+    With a reach, points without a target in it have no row. Without one, the cubes begin at the width that an asset's
+    targets would have evenly spread, and are doubled for the points that have no target yet, until they are as wide as
+    the asset; so every point has a row whose asset has any target for it. Places that are missing or not finite have none.
+    """
+    if reach is not None:
+        wide = F.lit(float(reach))
+        return within(points.withColumn("reach", wide), targets.withColumn("reach", wide), on)
+    finite = F.lit(True)
+    for a in AXES:
+        finite = finite & F.coalesce(F.abs(a) < 1e150, F.lit(False))
+    left, targets = points.where(finite), targets.where(finite)
+    # The widest way of an asset, with a little for rounding, and how many targets it has.
+    sides = left.select("sha", *AXES, F.lit(0).alias("k")).unionByName(targets.select("sha", *AXES, F.lit(1).alias("k")))
+    widest = F.greatest(*(F.max(a) - F.min(a) for a in AXES))
+    size = sides.groupBy("sha").agg((F.greatest(widest, F.lit(1e-9)) * 1.75).alias("whole"), F.sum("k").alias("n"))
+    size = size.where("n > 0").withColumn("reach", F.col("whole") / F.cbrt(F.col("n"))).drop("n")
+    left, targets = (df.join(size, "sha").localCheckpoint() for df in (left, targets))
+    found = None
+    while not left.isEmpty():
+        near = within(left, targets, on).localCheckpoint()
+        found = near if found is None else found.unionByName(near)
+        left = left.join(near, ["sha", "sid"], "left_anti").where(F.col("reach") < F.col("whole"))
+        left = left.withColumn("reach", F.least(F.col("reach") * 2, F.col("whole"))).localCheckpoint()
+        targets = targets.withColumn("reach", F.least(F.col("reach") * 2, F.col("whole")))
+    return within(left, targets, on) if found is None else found
+
+
 def displacement(before: DataFrame, after: DataFrame) -> DataFrame:
     """sha, moved: the mean way of the vertices over the diagonal; null where their numbers differ."""
     size = bounds(before, ["sha"]).select("sha", "diag", "n")

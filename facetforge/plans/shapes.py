@@ -98,11 +98,20 @@ def q_zbuffer(spark: SparkSession, sf: str) -> DataFrame:
   FROM points p JOIN points q ON p.sha = q.sha AND p.pid <> q.pid)
 SELECT sha, sid, near_sid, round(d, 7) AS distance FROM m WHERE d <= 0.1 QUALIFY row_number() OVER (PARTITION BY sha, sid ORDER BY d, near_sid) = 1""")
 def q_nn_join(spark: SparkSession, sf: str) -> DataFrame:
-    """The nearest point of another part, through cubes."""
+    """The nearest point of another part within a tenth; q_nn_all has no such limit."""
     pts = points(spark, sf)
     return geometry.nearest(pts, pts, F.expr("p.pid <> q.pid"), 0.1).withColumn("distance", F.round("distance", 7))
 
 
+@query(f"""WITH {POINTS_SQL}, m AS (SELECT p.sha, p.sid, q.sid AS near_sid, sqrt((p.x - q.x) ** 2 + (p.y - q.y) ** 2 + (p.z - q.z) ** 2) AS d
+  FROM points p JOIN points q ON p.sha = q.sha AND p.pid <> q.pid)
+SELECT sha, sid, near_sid, round(d, 7) AS distance FROM m QUALIFY row_number() OVER (PARTITION BY sha, sid ORDER BY d, near_sid) = 1""")
+def q_nn_all(spark: SparkSession, sf: str) -> DataFrame:
+    """The nearest point of another part, however far, through cubes that widen."""
+    pts = points(spark, sf)
+    return geometry.nearest(pts, pts, F.expr("p.pid <> q.pid")).withColumn("distance", F.round("distance", 7))
+
+
 @query("""SELECT event_id, json_extract_string('{' || '"k": ' || regexp_extract(props, '[0-9]+') || '}', '$.k')::INTEGER AS k FROM events WHERE regexp_extract(props, '[0-9]+') <> ''""")
 def q_brace_json(spark: SparkSession, sf: str) -> DataFrame:
     """The answer inside the braces of what a model says."""
