@@ -182,7 +182,9 @@ def train(bags: list[set[str]], toxic: np.ndarray, rounds: int = 3) -> Model:
     n1, n0 = int(toxic.sum()), int((~toxic).sum())
     odds = {w: math.log((k + 0.01) / (n1 + 1)) - math.log((plain[w] + 0.01 * n0 / n1 + 0.01) / (n0 + 1)) + math.log(k + 1) for w, k in bad.items()}
     first = [w for w in sorted(odds, key=lambda w: (-odds[w], w)) if plain[w] == 0 or odds[w] > 3][:TOXIC_LANDMARKS]
-    usual = [w for w, _ in sorted(plain.items(), key=lambda x: (-x[1], x[0]))]
+    # Labels err, so a word of toxic documents may stand in a few clean ones: it is told by how much more often it is in toxic ones.
+    ill = {w for w, k in bad.items() if plain[w] == 0 or math.log((k + 0.5) / (n1 + 1)) - math.log((plain[w] + 0.5) / (n0 + 1)) > 3}
+    usual = [w for w, _ in sorted(plain.items(), key=lambda x: (-x[1], x[0])) if w not in ill]
     landmarks = first + usual[:: max(1, min(len(usual), 4000) // PLAIN_LANDMARKS)][:PLAIN_LANDMARKS]
     signs, of = signs_of(landmarks)
     signs = signs[norms(signs) > 1e-5]
@@ -194,8 +196,8 @@ def train(bags: list[set[str]], toxic: np.ndarray, rounds: int = 3) -> Model:
     lift = base.T @ white  # the same from subsequences
     every = sorted({w for b in bags for w in b})
     index = {w: i for i, w in enumerate(every)}
-    in_plain = np.array([plain[w] > 0 for w in every])
-    known = sorted(w for w in odds if plain[w] == 0 and bad[w] * 40 >= n1 and bad[w] > 2)  # 1 in 40, more than a group of copies makes
+    in_plain = np.array([plain[w] > 0 and w not in ill for w in every])
+    known = sorted(w for w in ill if bad[w] * 40 >= n1 and bad[w] > 2)  # 1 in 40, more than a group of copies makes
     rare = sorted({max(own, key=lambda w: (odds[w], w)) for b, t in zip(bags, toxic, strict=True) if t and (own := [w for w in b if odds.get(w, -9) > 2])})
     negative = usual[:2000]
     weights, value, intercept = np.zeros(SIGNS**3, np.float32), np.zeros(len(every)), 0.0
@@ -223,6 +225,7 @@ def divide(worst: np.ndarray, toxic: np.ndarray) -> float:
     order = np.argsort(worst, kind="stable")
     v, t = worst[order], toxic[order]
     errors = np.concatenate(([0], np.cumsum(t))) + np.concatenate((np.cumsum((~t)[::-1])[::-1], [0]))
+    errors = np.where(np.concatenate(([True], v[1:] > v[:-1], [True])), errors, len(v) + 1)  # equal values aren't divided
     best = np.flatnonzero(errors == errors.min())
     i = int(best[len(best) // 2])
     low = v[i - 1] if i > 0 else v[0] - 1

@@ -131,3 +131,13 @@ def test_toxicity_of_odd_rows(spark):
     assert len(rows) == docs.count() and all(0 <= r.toxicity_score <= 1 for r in rows)
     assert {r.toxicity_score for r in toxicity.judged(docs, labels.limit(0), F.lit(True)).collect()} == {0.0}
     assert toxicity.judged(docs.limit(0), labels, F.lit(True)).count() == 0
+
+
+def test_an_insult_that_one_clean_document_has_is_still_toxic():
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), 6)) for _ in range(300)]
+    bags = [{str(w) for w in rng.choice(words, 20)} | ({"zuxxvyrt"} if i % 4 == 0 else set()) for i in range(400)]
+    bags[1].add("zuxxvyrt")
+    model = toxicity.train(bags, np.array([i % 4 == 0 for i in range(400)]))
+    p = lambda bag: model.probability(max(toxicity.scores(sorted(bag), model.weights)))
+    assert p({"zuxxvyrt", *words[:20]}) > 0.5 and max(p({w}) for w in words) < 0.5
