@@ -42,23 +42,31 @@ def ranges(df: DataFrame, lead: str) -> DataFrame:
     return df.withColumn("_range", F.when(F.col(lead).isNull(), 0).otherwise(F.size(F.filter(steps, lambda b: b < F.col(lead)))))
 
 
-def running(df: DataFrame, lead: str, order: list[Column | str], value: Column | str, name: str) -> DataFrame:
-    """`name`: the sum of `value` over all rows up to and with this one, in the order of `lead` (numeric) and `order`.
+def running(df: DataFrame, lead: str, order: list[Column | str], value: Column | str, name: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """`name`: the sum of `value` over all rows up to and with this one, in the order of `lead` (numeric) and `order`; of
+    the rows with the same `by` only, if given.
 
-    No task sees the whole table: ranges are summed, the sums of earlier ranges (a row for each of a bounded number) are
+    No task sees the whole table: ranges are summed, the sums of earlier ranges (a row for each of a bounded number and `by`) are
     broadcast, and each range is added up by itself.
     """
     value = F.col(value) if isinstance(value, str) else value
     ranged = ranges(df.withColumn("_value", value), lead)
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    sums = ranged.groupBy("_range").agg(F.sum("_value").alias("_sum")).select("_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
-    inside = F.sum("_value").over(Window.partitionBy("_range").orderBy(lead, *order).rowsBetween(Window.unboundedPreceding, 0))
-    return ranged.join(F.broadcast(sums), "_range").withColumn(name, F.col("_before") + inside).drop("_range", "_value", "_before")
-
-
-def numbered(df: DataFrame, lead: str, *order: Column | str, name: str = "rn") -> DataFrame:
-    """`name`: the place of each row, from 1, in the order of `lead` (numeric) and `order`, over the whole table."""
-    return running(df, lead, list(order), F.lit(1).cast("bigint"), name)
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    keys = ["_range", *by]
+    sums = ranged.groupBy(*keys).agg(F.sum("_value").alias("_sum"))
+    sums = sums.select(*(F.col(k).alias(f"_of_{k}") for k in keys), F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+    inside = F.sum("_value").over(Window.partitionBy(*keys).orderBy(lead, *order).rowsBetween(Window.unboundedPreceding, 0))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    both = ranged.withColumn("_inside", inside).join(F.broadcast(sums), same)
+    return both.withColumn(name, F.col("_before") + F.col("_inside")).drop("_range", "_value", "_before", "_inside", *(f"_of_{k}" for k in keys))
+
+
+def numbered(df: DataFrame, lead: str, *order: Column | str, name: str = "rn", by: tuple[str, ...] = ()) -> DataFrame:
+    """`name`: the place of each row, from 1, in the order of `lead` (numeric) and `order`, over the whole table or among
+    the rows with the same `by`."""
+    return running(df, lead, list(order), F.lit(1).cast("bigint"), name, by)
 
 
 def sharded(df: DataFrame, number: str, shards: int) -> DataFrame:

@@ -146,7 +146,7 @@ SELECT concat('r3', '/', source, '/', doc_id) AS id, source AS task, verdict, CA
 def q_report(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of the page: verdicts merged, a replaced task left out, models for the first eight successes of each task."""
     good = judged(spark, sf).where(F.col("verdict").isin("pass", "marginal") & (F.col("source") != "src9"))
-    good = good.withColumn("rn", F.row_number().over(Window.partitionBy("source").orderBy("doc_id")))
+    good = ordering.numbered(good, "doc_id", by=("source",))
     model = F.when(F.col("rn") <= 8, F.concat(F.lit("models/"), F.col("doc_id"), F.lit(".glb"))).otherwise("")
     place = F.nullif(F.array_position(F.array(F.lit("src0"), F.lit("src1"), F.lit("src2")), F.col("source")), F.lit(0).cast("bigint")).cast("int")
     return good.select(F.concat_ws("/", F.lit("r3"), "source", "doc_id").alias("id"), F.col("source").alias("task"), "verdict", model.alias("model"), place.alias("place"))
@@ -164,7 +164,8 @@ def q_sheet_chunks(spark: SparkSession, sf: str) -> DataFrame:
 SELECT concat(source, '__', doc_id) AS name, source AS task, ((rn - 1) // 6)::BIGINT AS sheet, left(text, 22) AS line1, substr(text, 23, 22) AS line2 FROM r""")
 def q_sheets(spark: SparkSession, sf: str) -> DataFrame:
     """Contact sheets of six rows for each task, with the label in lines of 22."""
-    rows = table(spark, sf, "documents").select("doc_id", "source", "text").withColumn("rn", F.row_number().over(Window.partitionBy("source").orderBy("doc_id")))
+    rows = table(spark, sf, "documents").select("doc_id", "source", F.substring("text", 1, 44).alias("text"))
+    rows = ordering.numbered(rows, "doc_id", by=("source",))
     lines = F.transform(F.sequence(F.lit(0), F.lit(1)), lambda i: F.substring("text", i * 22 + 1, F.lit(22)))
     return rows.select(F.concat_ws("__", "source", "doc_id").alias("name"), F.col("source").alias("task"), F.floor((F.col("rn") - 1) / 6).alias("sheet"), lines[0].alias("line1"), lines[1].alias("line2"))
 
