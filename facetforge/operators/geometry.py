@@ -5,6 +5,8 @@ A point table has sha (asset), sid (sample), x, y, z and pid (part). Assets are
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -106,6 +108,17 @@ def within(points: DataFrame, targets: DataFrame, on: Column) -> DataFrame:
     return met.groupBy("sha", "sid").agg(F.min(F.struct("d", "near")).alias("m")).select("sha", "sid", F.col("m.near").alias("near_sid"), F.col("m.d").alias("distance"))
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """The table written to the checkpoint folder that all executors share; to a temporary one only in local mode."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        at = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not at and (not context.master.startswith("local") or context.master.startswith("local-cluster")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(at or tempfile.mkdtemp(prefix="facetforge-"))
+    return df.checkpoint()
+
+
 def nearest(points: DataFrame, targets: DataFrame, on: Column, reach: float | None = None) -> DataFrame:
     """The nearest target of each point for which `on` (of p and q) holds: sha, sid, near_sid, distance.
 
@@ -125,13 +138,13 @@ def nearest(points: DataFrame, targets: DataFrame, on: Column, reach: float | No
     widest = F.greatest(*(F.max(a) - F.min(a) for a in AXES))
     size = sides.groupBy("sha").agg((F.greatest(widest, F.lit(1e-9)) * 1.75).alias("whole"), F.sum("k").alias("n"))
     size = size.where("n > 0").withColumn("reach", F.col("whole") / F.cbrt(F.col("n"))).drop("n")
-    left, targets = (df.join(size, "sha").localCheckpoint() for df in (left, targets))
+    left, targets = (kept(df.join(size, "sha")) for df in (left, targets))
     found = None
     while not left.isEmpty():
-        near = within(left, targets, on).localCheckpoint()
+        near = kept(within(left, targets, on))
         found = near if found is None else found.unionByName(near)
         left = left.join(near, ["sha", "sid"], "left_anti").where(F.col("reach") < F.col("whole"))
-        left = left.withColumn("reach", F.least(F.col("reach") * 2, F.col("whole"))).localCheckpoint()
+        left = kept(left.withColumn("reach", F.least(F.col("reach") * 2, F.col("whole"))))
         targets = targets.withColumn("reach", F.least(F.col("reach") * 2, F.col("whole")))
     return within(left, targets, on) if found is None else found
 
