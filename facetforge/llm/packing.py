@@ -5,12 +5,14 @@ in the rest, the long ones first. Every piece is a sequence by itself: its lengt
 padding, and no sequence crosses documents. Pieces of equal length make up a bucket, from which batches of one length
 are drawn.
 
-Defined cases: a null or empty text is the end id alone, a piece of length 1; repeated rows are packed each by itself;
+Defined cases: a null or empty text is the end id alone, a piece of length 1; the string of a token that the vocabulary adds
+is that token, as its library has it; repeated rows are packed each by itself;
 columns other than the id and the text are ignored; an empty table gives no pieces.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,11 +37,47 @@ def byte_signs() -> dict[int, str]:
 
 @lru_cache(maxsize=2)
 def piece_ids(path: str) -> PieceIds:
-    """The vocabulary's merges, applied to one pre-token at a time; a special token's string is ordinary text."""
+    """The vocabulary's merges, applied to one pre-token at a time."""
     model, signs = Tokenizer.from_file(path).model, byte_signs()
     return PieceIds(lambda piece: [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(signs))])
 
 
+@lru_cache(maxsize=2)
+def added_tokens(path: str) -> tuple[re.Pattern | None, dict[str, int]]:
+    """The tokens that the vocabulary adds to its merges: their strings in a text stand for them, and divide it."""
+    ids = {t.content: i for i, t in Tokenizer.from_file(path).get_added_tokens_decoder().items()}
+    longest_first = sorted(ids, key=len, reverse=True)
+    return (re.compile("|".join(map(re.escape, longest_first))) if ids else None), ids
+
+
+def ids_of(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts, one text after another, and how many each has."""
+    table, (added, ids) = piece_ids(path), added_tokens(path)
+    odd = [i for i, x in enumerate(texts) if added and added.search(x)]
+    if not odd:
+        return table.of(texts)
+    # A text with added tokens is encoded part by part, its tokens' ids put between.
+    parts, of = [], []
+    for i, x in enumerate(texts):
+        own = added.split(x) if i in set(odd) else [x]
+        parts += own
+        of += [i] * len(own)
+    flat, many = table.of(parts)
+    ends = np.cumsum(many)
+    between = {k: [] for k in odd}
+    for i in odd:
+        between[i] = [ids[x] for x in added.findall(texts[i])]
+    out, count, nth = [], np.zeros(len(texts), np.int64), {}
+    for k, i in enumerate(of):
+        out.append(flat[ends[k] - many[k] : ends[k]])
+        count[i] += many[k]
+        nth[i] = nth.get(i, -1) + 1
+        if nth[i] < len(between.get(i, ())):
+            out.append(np.array([between[i][nth[i]]], flat.dtype))
+            count[i] += 1
+    return np.concatenate(out), count
+
+
 def lengths(n: int, longest: int) -> list[int]:
     """Powers of two that add up to n, none over `longest`, the long ones first."""
     rest = n % longest
@@ -57,9 +95,8 @@ def pack(
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = piece_ids(vocabulary)
         for batch in batches:
-            flat, many = table.of([x or "" for x in batch.column("text").to_pylist()])
+            flat, many = ids_of([x or "" for x in batch.column("text").to_pylist()], vocabulary)
             made, held, at = [], 0, 0
 
             def out(made: list) -> pa.RecordBatch:

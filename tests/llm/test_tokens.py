@@ -16,6 +16,7 @@ SCHEMA = "doc_id long, text string, ids string, k int"
 ODD = [
     (1, None, None, None), (2, "", "x", 1), (3, "it's we'll 'S don't'm  \n\n x", "x", 1), (3, "it's we'll 'S don't'm  \n\n x", "x", 1),
     (4, "a" * 500, "", 2), (5, " ".join(["été 語² 12.5"] * 60), "", 2), (None, "no id " * 40, "", 3), (6, "<|endoftext|>\0 \t x", "", 1),
+    (8, "a<|endoftext|>b <|endoftext|><|endoftext|> it's <|endoftext|", "", 1),
     (7, "   " * 90 + "end", "", 1),
 ]
 
@@ -78,7 +79,6 @@ def test_packing_of_all_documents(spark, sf_dir):
 
 def test_packing_of_odd_rows(spark, tmp_path):
     tokenizer = Tokenizer.from_file(TOKENIZER)
-    tokenizer.encode_special_tokens = True
     rows = [r for i, r in enumerate(ODD) if i != 3]
     docs = spark.createDataFrame(rows, SCHEMA)
     pieces = packing.pack(docs, TOKENIZER, longest=64)
