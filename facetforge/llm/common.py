@@ -1,20 +1,29 @@
-"""What the operators of this subpackage share: session settings, the shared folder, size-checked filters."""
+"""What the operators of this subpackage share: session settings, the shared folder, rows beside clashing names, fitting."""
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Rows in one Arrow batch: a few MB of ordinary documents, so that a batch fits beside a small heap.
-ARROW_ROWS = 512
+#: Rows and bytes in one Arrow batch at most (one row may be larger): a batch fits beside a small heap.
+ARROW_ROWS, ARROW_BYTES = 512, 16 << 20
 
 
 def tuned(spark: SparkSession) -> SparkSession:
-    """The session with Arrow batches that suit whole documents."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    """The session with Arrow batches that suit whole documents; smaller ones that are set already stay."""
+    for name, most in (("maxRecordsPerBatch", ARROW_ROWS), ("maxBytesPerBatch", ARROW_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        now = spark.conf.get(name).removesuffix("b")
+        if not now.isdigit() or int(now) == 0 or int(now) > most:
+            spark.conf.set(name, str(most))
     return spark
 
 
@@ -47,12 +56,64 @@ def shared_dir(spark: SparkSession) -> str:
 class Stored:
     """A table written to the shared folder: its lineage ends there, so a lost executor costs no recomputation."""
 
-    def __init__(self, df: DataFrame, label: str):
+    #: The tables that are there, for `cleared`.
+    there: list[Stored] = []
+
+    def __init__(self, df: DataFrame, label: str, lasting: bool = False):
         self.spark = df.sparkSession
         self.path = f"{shared_dir(self.spark)}/{label}-{uuid.uuid4().hex}"
         df.write.parquet(self.path)
         self.df = self.spark.read.parquet(self.path)
+        if not lasting:
+            self.there.append(self)
 
     def drop(self) -> None:
+        if self in self.there:
+            self.there.remove(self)
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def cleared() -> Iterator[None]:
+    """Drops the tables that were stored inside. An operator's result may read its tables, so it is written first:
+
+    with cleared():
+        operator(docs).write.parquet(...)
+    """
+    before = list(Stored.there)
+    try:
+        yield
+    finally:
+        for table in [t for t in Stored.there if t not in before]:
+            table.drop()
+
+
+def packed(docs: DataFrame, **own: Column) -> DataFrame:
+    """Each row as the struct `row`, and the operator's own columns: no name of the documents can clash with theirs."""
+    return docs.select(F.struct("*").alias("row"), *(c.alias(n) for n, c in own.items()))
+
+
+def with_row(rows: DataFrame, **kinds: str) -> T.StructType:
+    """The schema of `row` and further columns, by their types' names."""
+    made = [T.StructField(n, T.DataType.fromDDL(k)) for n, k in kinds.items()]
+    return T.StructType([T.StructField("row", rows.schema["row"].dataType), *made])
+
+
+def unpacked(rows: DataFrame, **own: Column) -> DataFrame:
+    """The documents' columns again, then the operator's own; of the documents' those with names of its own are replaced."""
+    names = {n.lower() for n in own}
+    kept = [F.col("row").getField(c).alias(c) for c in rows.schema["row"].dataType.names if c.lower() not in names]
+    return rows.select(*kept, *(c.alias(n) for n, c in own.items()))
+
+
+def fitted(sample: DataFrame, fit: Callable[[pa.Table], object]) -> object:
+    """What `fit` makes of a bounded sample, in one task of an executor: the driver gets the model alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(pa.Table.from_batches(held)))], pa.binary())], ["model"])
+
+    got = sample.repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(got[0].model) if got else None

@@ -4,31 +4,34 @@ Every byte of a text is read in a window, forward and backward, by two gated rec
 labels each position, and a document's probabilities are the mean over all its positions. The network is trained here, in
 numpy, by backpropagation through time, on windows of labelled documents; every position of a window carries the label.
 
-Defined cases: a null text, or one without any letter, is `und` with score 0; without labelled documents every text is
-`und`; a language of the labels is returned as it is written; null labels teach nothing; repeated rows are labelled each;
-columns of the documents are kept (the operator's own start with language_); an empty table gives an empty result.
+Defined cases: a null text, or one without any letter (of Unicode's category L), is `und` with score 0; without labelled
+documents every text is `und`; a language of the labels is returned as it is written; null labels teach nothing; repeated
+rows are labelled each, but teach once; columns of the documents are kept, but for those named as the operator's own
+(language_pred, language_score), which are replaced; an empty table gives an empty result.
 Texts of any length are read whole, window by window.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from facetforge.llm.common import tuned
+from facetforge.llm.common import packed, tuned, unpacked, with_row
 
-#: Documents of each language that are learned from, at most; windows of each; the first in the order of their ids' hashes.
-SAMPLE, PIECES = 400, 3
+#: Documents of each language that are learned from, at most, and windows of each: the first in the order of their ids'
+#: hashes. Languages that are learned, at most: the most frequent.
+SAMPLE, PIECES, LANGUAGES = 400, 3, 500
 WINDOW, HIDDEN, BATCH, STEPS = 64, 10, 192, 220
 #: Windows that are read at once.
 WIDE = 2048
-LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -176,18 +179,24 @@ def learn(docs: DataFrame, train_on: Column, doc_id: str = "doc_id", text: str =
     """A network from at most `sample` documents of each language among those where `train_on` (of the column id) holds."""
     rows = docs.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     rows = rows.where("lang is not null and id is not null and text is not null").where(train_on)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    few = rows.select("id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample).select("id", "lang")
+    # Of a language with n rows, a hash below this share of its range keeps at least `sample` of them, all but surely; the
+    # few that pass are then ranked, so no language is one group of all its rows.
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    share = F.least(F.lit(1.0), (2 * sample + 200) / F.col("n"))
+    few = rows.join(F.broadcast(counts), "lang").where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share * (1 << 30)).select("id", "lang").distinct()
+    order = Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("id"), F.lit(1 << 30)), "id")
+    few = few.withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample).select("id", "lang")
     # Parts at hashed places, wherever they fall in a text.
     size = F.length("text")
     parts = F.transform(
         F.sequence(F.lit(0), F.lit(PIECES - 1)),
         lambda k: F.substring("text", (F.pmod(F.xxhash64("id", k), F.greatest(size - WINDOW // 2, F.lit(1))) + 1).cast("int"), F.lit(WINDOW)),
     )
-    drawn = rows.join(F.broadcast(few), ["id", "lang"]).select("lang", "id", F.explode(parts).alias("part"))
-    got = drawn.limit(2 * sample * PIECES * 200).collect()
+    drawn = rows.join(F.broadcast(few), ["id", "lang"]).select("lang", "id", parts.alias("parts"))
+    once = drawn.groupBy("lang", "id").agg(F.min("parts").alias("parts"))
+    got = once.select("lang", "id", F.explode("parts").alias("part")).collect()  # LANGUAGES * sample * PIECES windows at most
     got.sort(key=lambda r: (r.lang, r.id, r.part))
-    got = [r for r in got if LETTER.search(r.part)]
+    got = [r for r in got if has_letter(r.part)]
     names = sorted({r.lang for r in got})
     if not names:
         return None
@@ -199,23 +208,23 @@ def learn(docs: DataFrame, train_on: Column, doc_id: str = "doc_id", text: str =
 
 def labelled(docs: DataFrame, network: Network | None, text: str = "text") -> DataFrame:
     """The documents with language_pred and language_score."""
-    names = docs.columns
+    rows = packed(docs, text=F.col(text))
     handed = docs.sparkSession.sparkContext.broadcast(network)  # a fixed size but for the few languages
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = handed.value
         for batch in batches:
-            texts = [t or "" for t in batch.column(names.index(text)).to_pylist()]
-            known = [own is not None and LETTER.search(t) is not None for t in texts]
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            known = [own is not None and has_letter(t) for t in texts]
             pred, score = ["und"] * len(texts), [0.0] * len(texts)
             if any(known):
                 p = pooled(own, [t for t, k in zip(texts, known, strict=True) if k])
                 for i, row in zip(np.flatnonzero(known).tolist(), p, strict=True):
                     pred[i], score[i] = own.names[int(row.argmax())], float(min(1.0, row.max()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred), pa.array(score, pa.float64())], [*names, "language_pred", "language_score"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(pred, pa.string()), pa.array(score, pa.float64())], ["row", "pred", "score"])
 
-    fields = [T.StructField("language_pred", T.StringType()), T.StructField("language_score", T.DoubleType())]
-    return docs.mapInArrow(run, T.StructType([*docs.schema, *fields]))
+    found = rows.mapInArrow(run, with_row(rows, pred="string", score="double"))
+    return unpacked(found, language_pred=F.col("pred"), language_score=F.col("score"))
 
 
 def identified(docs: DataFrame, train_on: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:

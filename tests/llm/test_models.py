@@ -11,7 +11,7 @@ from facetforge.llm import langid, quality, toxicity
 from facetforge.llm.queries import op3_quality, op5_language, op8_toxicity
 
 SF = "/root/testdata/sf0.01"
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, quality_evidence2 int, s string, host int"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, quality_evidence int, Toxicity_Score string, language_pred int"
 
 
 def odd(spark):
@@ -29,10 +29,15 @@ def test_quality_of_all_documents(spark):
     assert np.mean([got[r.doc_id].keep for r in known if r.quality == 1]) > 0.99
 
 
+def kept_columns(docs, got, own):
+    """The documents' columns stay in order, but for those that the operator's own replace."""
+    return got.columns == [*(c for c in docs.columns if c.lower() not in own), *own]
+
+
 def test_shrinkage_is_that_of_plain_sums(spark):
     rng = random.Random(1)
     rows = [(f"h{i % 7}", f"p{i % 3}", rng.random() * (0.3 + i % 7 / 10)) for i in range(400)] + [("lone", "p", 0.9)]
-    table = quality.sites(spark.createDataFrame(rows, "host string, path string, quality_evidence double"), F.col("host"), F.col("path")).collect()
+    table = quality.sites(spark.createDataFrame(rows, "host string, path string, quality_evidence double")).collect()
     for r in table:
         own = [p for h, q, p in rows if (h, q) == (r.host, r.path)]
         at_host = [p for h, _, p in rows if h == r.host]
@@ -46,7 +51,7 @@ def test_quality_of_odd_rows(spark):
     docs = odd(spark)
     for labels in (spark.createDataFrame([(i, int(i % 2)) for i in range(4, 30)] + [(None, 1), (5, None)], "doc_id long, quality int"), spark.createDataFrame([], "doc_id long, quality int")):
         got = quality.judged(docs, labels, F.col("source"), F.col("lang"))
-        assert got.columns[: len(docs.columns)] == docs.columns
+        assert kept_columns(docs, got, ["quality_evidence", "quality_site", "quality_posterior", "quality_keep"])
         rows = got.collect()
         assert len(rows) == docs.count() and all(0 <= r.quality_posterior <= 1 for r in rows)
         assert {r.quality_evidence for r in rows if not r.text} == {None}
@@ -84,13 +89,68 @@ def test_gradients_of_the_network():
 
 def test_language_of_odd_rows(spark):
     docs = odd(spark)
-    rows = langid.identified(docs, F.lit(True)).collect()
+    signs = spark.createDataFrame([(100 + i, t, None, None, 1, 1, "", 1) for i, t in enumerate(["² ½", "Ⅷ", "① 12", "_ -", "ª x", "文"])], SCHEMA)
+    docs = docs.union(signs)
+    got = langid.identified(docs, F.lit(True))
+    assert kept_columns(docs, got, ["language_pred", "language_score"])
+    rows = got.collect()
     assert len(rows) == docs.count()
     assert all((r.language_pred == "und") == (not any(map(str.isalpha, r.text or ""))) for r in rows)
     assert {r.language_pred for r in langid.identified(docs, F.lit(False)).collect()} == {"und"}
     assert langid.identified(docs.limit(0), F.lit(True)).count() == 0
 
 
+def test_a_document_is_the_mean_of_its_positions():
+    """Pooling against one position, one text and one direction at a time."""
+    network = langid.Network(["a", "b"], 3)
+    texts = ["the cat " * 30, "é", "x" * 64, "y" * 65]
+
+    def states(layer, ids):
+        h, state, out = langid.HIDDEN, np.zeros(langid.HIDDEN), []
+        for i in ids:
+            a = layer.p["x"][i]
+            gates = 1 / (1 + np.exp(-(a[: 2 * h] + state @ layer.p["u"])))
+            z, r = gates[:h], gates[h:]
+            new = np.tanh(a[2 * h :] + (r * state) @ layer.p["v"])
+            state = state + z * (new - state)
+            out.append(state)
+        return out
+
+    for text, got in zip(texts, langid.pooled(network, texts), strict=True):
+        raw, every = list(text.encode()), []
+        for k in range(0, len(raw), langid.WINDOW):
+            own = raw[k : k + langid.WINDOW]
+            row = own + [256] * (langid.WINDOW - len(own))
+            ahead, behind = states(network.ahead, row), states(network.behind, row[::-1])[::-1]
+            for i in range(len(own)):
+                e = np.concatenate((ahead[i], behind[i])) @ network.out["w"] + network.out["b"]
+                every.append(np.exp(e - e.max()) / np.exp(e - e.max()).sum())
+        assert got == pytest.approx(np.mean(every, axis=0), abs=1e-4)
+
+
+def test_sites_of_addresses(spark):
+    urls = ["http://www.A.org:80/en/12?x=1", "https://u@b.net", "https://b.net/?q=/c", "ftp://c.de/x#y", "no address", None, ""]
+    rows = spark.createDataFrame([(u,) for u in urls], "url string").select(*quality.site_of(F.col("url"))).collect()
+    assert [tuple(r) for r in rows] == [("a.org", "en"), ("b.net", None), ("b.net", None), ("c.de", "x"), (None, None), (None, None), (None, None)]
+
+
+def test_quality_of_pages_by_host_and_path(spark):
+    """Sparse sites: pages judged under their hosts and paths; a site of one page is its prior."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    host, path = quality.site_of(F.col("url"))
+    known = pages.select(F.col("page_id").alias("doc_id"), F.col("url").contains("spam").cast("int").alias("quality"))
+    got = quality.judged(pages, known, host, path, "page_id", "html").withColumns({"h": host, "p": path}).collect()
+    assert len(got) == pages.count()
+    by = {}
+    for r in got:
+        by.setdefault((r.h, r.p), []).append(r)
+    assert any(len(v) == 1 for v in by.values()) and any(len(v) > 1 for v in by.values())
+    for (h, _), own in by.items():
+        if len(own) == 1 and sum(r.h == h for r in got) == 1:  # alone on its host too: the global rate
+            rate = np.mean([r.quality_evidence for r in got])
+            assert own[0].quality_site == pytest.approx(rate, rel=1e-6)
+
+
 def test_toxicity_of_held_out_documents(spark):
     got = {r.doc_id: r for r in op8_toxicity(spark, SF).collect()}
     known = [r for r in spark.read.parquet(f"{SF}/labels.parquet").collect() if got[r.doc_id].held_out]
@@ -127,7 +187,9 @@ def test_scores_are_those_of_the_kernel():
 def test_toxicity_of_odd_rows(spark):
     docs = odd(spark)
     labels = spark.createDataFrame([(i, int(i % 2)) for i in range(4, 30)] + [(None, 1), (5, None)], "doc_id long, toxic int")
-    rows = toxicity.judged(docs, labels, F.lit(True)).collect()
+    got = toxicity.judged(docs, labels, F.lit(True))
+    assert kept_columns(docs, got, ["toxicity_score", "toxicity_word"])
+    rows = got.collect()
     assert len(rows) == docs.count() and all(0 <= r.toxicity_score <= 1 for r in rows)
     assert {r.toxicity_score for r in toxicity.judged(docs, labels.limit(0), F.lit(True)).collect()} == {0.0}
     assert toxicity.judged(docs.limit(0), labels, F.lit(True)).count() == 0
