@@ -2,23 +2,26 @@
 
 The kernel compares words by the subsequences of three letters that they share, each weighted by a decay to the power of
 the length it spans; it needs no contiguous match, so letters left out, put in or replaced cost little. Words are read
-after accents, signs and digits are taken off and single letters in a row are joined.
-
-Landmarks are words that labelled sentences of toxic documents have and the others don't, and ordinary words. A word's
-kernel values on the landmarks, whitened by the landmarks' own kernel matrix, are its features. The machine is fitted on
-sentences as sets of words (a sentence is as toxic as its worst word): the worst word of a toxic document's worst sentence
-stands for it, all words of clean documents for the others, and both are chosen again as the machine improves. Weights on
-landmarks are carried over to subsequences, so a word is scored by adding up its own.
-
-Defined cases: a null or empty text, or one without words of three letters, has the score of no evidence (the intercept's
-probability); repeated rows are scored each; labels that are null or of no document teach nothing; without labels of both
-kinds every score is 0; columns of the documents are kept (the operator's own start with toxicity_); an empty table gives
+after compatibility forms, accents, signs and digits are taken off and single letters in a row are joined.
+
+Landmarks are words that labelled toxic documents have and the others don't, and ordinary words. A word's kernel values on
+the landmarks, whitened by the landmarks' own kernel matrix, are its features. A sentence is as toxic as its worst word and
+a document as its worst sentence, so a document is read as the set of its words: labels are of documents, and no label says
+which sentence is meant. The machine is fitted on words chosen so: the worst word of a toxic document stands for it, the
+words of clean documents for the others, and both are chosen again as the machine improves. Weights on landmarks are
+carried over to subsequences, so a word is scored by adding up its own.
+
+Defined cases: a null or empty text, or one without words of three letters, has the lowest score, 1 / (1 + e^30); repeated
+rows are scored each, but teach once (the smallest text of an id); of several labels of an id the largest counts; labels
+that are null or of no document teach nothing; without labels of both kinds every score is 0; columns of the documents are
+kept, but for those named as the operator's own (toxicity_score, toxicity_word), which are replaced; an empty table gives
 an empty result. Texts are scored whole; long words in overlapping parts.
 """
 
 from __future__ import annotations
 
 import math
+import re
 import sys
 import unicodedata
 from collections import Counter
@@ -29,17 +32,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from facetforge.llm.common import tuned
+from facetforge.llm.common import fitted, packed, tuned, unpacked, with_row
 
-#: Labelled documents of either kind that are read for training, at most; the first in the order of their ids' hashes.
-SAMPLE = 3_000
+#: Toxic documents that are learned from, and twice as many clean ones, at most: the first in the order of their ids'
+#: hashes; and the most signs of one that is learned from.
+SAMPLE, LARGEST = 3_000, 200_000
 DECAY, SPAN, SIGNS = 0.6, 6, 27
 LONGEST, STEP = 24, 12
 TOXIC_LANDMARKS, PLAIN_LANDMARKS = 160, 96
 #: Words whose scores a worker remembers.
 ROOM = 300_000
+#: Signs beyond the table of letters; their compatibility forms are mostly in it.
+BEYOND = re.compile("[\U00010000-\U0010ffff]")
 #: A letter beyond the basic alphabet, and what isn't a letter.
 OTHER, DROP = 26, 255
 GAPS = [(i, j) for j in range(2, SPAN) for i in range(1, j)]
@@ -75,8 +80,9 @@ def signs_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     table_rows[row_of[word[fits]], place[fits]] = signs[fits]
     rows.append(table_rows)
     of.append(np.flatnonzero(short))
+    start = np.cumsum(count) - count
     for i in np.flatnonzero(~short).tolist():
-        own = signs[word == i]
+        own = signs[start[i] : start[i] + count[i]]
         for a in range(0, len(own) - STEP, STEP):
             part = own[a : a + LONGEST]
             rows.append(np.pad(part, (0, LONGEST - len(part)), constant_values=DROP)[None])
@@ -132,6 +138,8 @@ def scores(words: list[str], weights: np.ndarray) -> np.ndarray:
 
 def words_of(text: str) -> set[str]:
     """The words of a text; three or more single letters in a row are one word too."""
+    if BEYOND.search(text):
+        text = unicodedata.normalize("NFKC", text)
     words = text.lower().split()
     found = set(words)
     alone = [i for i, w in enumerate(words) if len(w) < 3 and sum(map(str.isalnum, w)) == 1]
@@ -235,19 +243,26 @@ def divide(worst: np.ndarray, toxic: np.ndarray) -> float:
 
 
 def learn(docs: DataFrame, labels: DataFrame, train_on: Column, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> Model:
-    """A model from at most `sample` documents of either label among those where `train_on` (of the column id) holds."""
-    known = labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("y")).where("id is not null and y is not null").where(train_on)
+    """A model from at most `sample` toxic and twice as many clean documents among those where `train_on` (of the column
+    id) holds."""
+    known = labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("y")).where("id is not null and y is not null")
+    known = known.groupBy("id").agg(F.max("y").alias("y")).where(train_on)
     order = [F.xxhash64("id"), F.col("id")]
     known = known.where("y > 0").orderBy(*order).limit(sample).union(known.where("y <= 0").orderBy(*order).limit(2 * sample))
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(known), "id").where("text is not null")
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(known), "id")
+    rows = rows.where(F.length("text") <= LARGEST).groupBy("id", "y").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bags = [" ".join(sorted(words_of(t))) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(bags, pa.string())], ["y", "bag"])
 
-    got = rows.select("y", "text").mapInArrow(run, "y int, bag string").limit(4 * sample).collect()
-    return train([set(map(sys.intern, r.bag.split())) for r in got], np.array([r.y > 0 for r in got], bool))
+    def fit(got: pa.Table) -> Model:
+        got = got.sort_by([("y", "ascending"), ("bag", "ascending")])
+        bags = [set(map(sys.intern, bag.split())) for bag in got.column("bag").to_pylist()]
+        return train(bags, got.column("y").to_numpy() > 0)
+
+    return fitted(rows.select("y", "text").mapInArrow(run, "y int, bag string"), fit) or train([], np.empty(0, bool))
 
 
 class Remembered(dict):
@@ -264,14 +279,14 @@ class Remembered(dict):
 
 def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The documents with toxicity_score (0 to 1) and toxicity_word, the word that decided."""
-    names = docs.columns
+    rows = packed(docs, text=F.col(text))
     handed = docs.sparkSession.sparkContext.broadcast(model)  # 27 ** 3 weights: a fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, own = Remembered(), handed.value
         for batch in batches:
             out, deciding = [], []
-            for t in batch.column(names.index(text)).to_pylist():
+            for t in batch.column("text").to_pylist():
                 bag = words_of(t or "")
                 known.fill(bag, own.weights)
                 word = max(bag, key=known.__getitem__, default=None)
@@ -279,10 +294,10 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 out.append(own.probability(value) if own.slope else 0.0)
                 deciding.append(word if value > -math.inf else None)
             made = [pa.array(out, pa.float64()), pa.array(deciding, pa.string())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*names, "toxicity_score", "toxicity_word"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *made], ["row", "score", "word"])
 
-    fields = [T.StructField("toxicity_score", T.DoubleType()), T.StructField("toxicity_word", T.StringType())]
-    return docs.mapInArrow(run, T.StructType([*docs.schema, *fields]))
+    found = rows.mapInArrow(run, with_row(rows, score="double", word="string"))
+    return unpacked(found, toxicity_score=F.col("score"), toxicity_word=F.col("word"))
 
 
 def judged(docs: DataFrame, labels: DataFrame, train_on: Column, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
