@@ -6,16 +6,19 @@ Every string of that length holds an anchor: the k-gram with the smallest hash a
 string alone. So two equal strings have equal anchors at the same place, and both lie in the anchors' contexts (the
 k-gram and length - k bytes on either side). Documents are compared bucket by bucket, a bucket being an anchor's hash:
 
-1. Equal contexts are settled by their hashes: of the documents that have one, only the smallest keeps it.
+1. Equal contexts are settled by their hashes (128 bits, by two ways of mixing): of the documents that have one, only the
+   smallest keeps it. A bucket that a sample of the documents shows to be hot is dealt out over several tasks by
+   documents; each settles its part, and what is left of all parts is aggregated.
 2. The different contexts of a bucket, each with its smallest document, are suffix-sorted. A stack scan over the common
    prefixes builds the interval tree from below; an interval at least `length` deep whose suffixes have different bytes
    on their left is a maximal repeat, and all its occurrences but those of its smallest document are marked.
-3. A bucket with more than `crowded` contexts (the edge of a passage that very many documents share) isn't gathered in
-   one task: its strings are grouped by themselves, each group reduced to its smallest document before it is shuffled.
+3. A bucket with more than `crowded` different contexts (the edge of a passage that very many documents share) doesn't
+   fit into one suffix array: its strings are grouped by themselves, each group reduced to its smallest document before
+   it is shuffled. That gives the same bytes, by at most length - k + 1 rows for each of its contexts.
 
-Defined cases: a null or empty text, or one shorter than `length`, loses nothing; rows with a null id lose nothing and
-take nothing from others; repeated rows with one id don't take from each other; texts of any length are treated whole;
-other columns are ignored; an empty table gives an empty result.
+Defined cases: ids are read as long integers; a null or empty text, or one shorter than `length`, loses nothing; rows with
+a null id lose nothing and take nothing from others; repeated rows with one id don't take from each other; texts of any
+length are treated whole; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,17 +27,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from facetforge.llm.common import Stored
 
 GRAM = 20
 #: A byte that no UTF-8 text has; stands beyond both ends of a text.
 EDGE = 0xFF
-CROWDED = 512
-#: Contexts that are suffix-sorted at once.
-BLOCK = 4096
+#: Contexts that are suffix-sorted at once, about, and the most that one bucket may have there.
+BLOCK = CROWDED = 4096
+#: One document in SHARE shows which buckets are hot: the largest HOT of those with LEAST anchors there or more. Of a hot
+#: bucket a task gets PART anchors, about. That only deals out rows; results don't depend on it.
+SHARE, LEAST, HOT, PART = 128, 64, 20_000, 8192
 #: An odd multiplier of the rolling hash.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -53,20 +59,28 @@ def doubled(x: np.ndarray, most: int, join) -> dict[int, np.ndarray]:
     return out
 
 
-def rolling(padded: np.ndarray, sizes: tuple[int, ...]) -> list[np.ndarray]:
-    """The hashes of all runs of each size."""
-    parts = doubled(padded.astype(np.uint64) + np.uint64(1), max(sizes), lambda a, b, n: a * power(n) + b)
-    found = []
-    for size in sizes:
-        got, done = None, 0
-        for b in sorted((b for b in parts if size & b), reverse=True):
-            part = parts[b][done : done + len(padded) - size + 1]
-            got = part if got is None else got[: len(part)] * power(b) + part
-            done += b
-        got = got ^ (got >> np.uint64(32))
-        got = got * np.uint64(0xD6E8FEB86659FD93)
-        found.append(got ^ (got >> np.uint64(32)))
-    return found
+def rolling(padded: np.ndarray, size: int) -> np.ndarray:
+    """The hashes of all runs of `size` bytes."""
+    parts = doubled(padded.astype(np.uint64) + np.uint64(1), size, lambda a, b, n: a * power(n) + b)
+    got, done = None, 0
+    for b in sorted((b for b in parts if size & b), reverse=True):
+        part = parts[b][done : done + len(padded) - size + 1]
+        got = part if got is None else got[: len(part)] * power(b) + part
+        done += b
+    got = got ^ (got >> np.uint64(32))
+    got = got * np.uint64(0xD6E8FEB86659FD93)
+    return got ^ (got >> np.uint64(32))
+
+
+def stirred(rows: np.ndarray, seed: int) -> np.ndarray:
+    """A hash of each row of bytes, a multiple of eight: every eight are mixed in by products and shifts in turn, so that
+    no sum of differences cancels out, as it can in a rolling hash."""
+    got = np.full(len(rows), seed, np.uint64)
+    for word in np.ascontiguousarray(rows).view("<u8").T:
+        got = (got ^ word) * np.uint64(0x9E3779B97F4A7C15)
+        got = (got ^ (got >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        got ^= got >> np.uint64(32)
+    return got
 
 
 def sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
@@ -78,27 +92,33 @@ def sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
 class Anchors:
     """The anchors of some texts, which stand one after another with edges around each.
 
-    doc: the text of each anchor; at: where its gram starts; h, c: the hashes of the gram and of its context.
+    doc: the text of each anchor; at: where its gram starts; g: 48 bits of the gram's hash (the bucket) over 16 of the
+    context's second; c: the first hash of the context.
     """
 
     def __init__(self, raws: list[bytes], length: int):
         margin = length - GRAM
+        width = length + margin
         size = np.fromiter(map(len, raws), np.int64, len(raws))
         self.stop = np.cumsum(size + margin)
         self.start = self.stop - size
         edge = bytes([EDGE]) * margin
         self.bytes = np.frombuffer(edge + b"".join(x for raw in raws for x in (raw, edge)), np.uint8)
-        self.doc = self.at = self.h = self.c = np.empty(0, np.int64)
-        if len(self.bytes) < length + margin:
+        self.doc = self.at = self.g = self.c = np.empty(0, np.int64)
+        if len(self.bytes) < width:
             return
-        grams, contexts = rolling(self.bytes, (GRAM, length + margin))
+        grams = rolling(self.bytes, GRAM)
         crossed = np.cumsum(np.concatenate(([0], self.bytes == EDGE)))
         least = np.where(crossed[length:] == crossed[:-length], sliding(grams, margin + 1, np.minimum), np.uint64(0))
         blank = np.zeros(margin, np.uint64)
         chosen = grams == sliding(np.concatenate((blank, least, blank)), margin + 1, np.maximum)
         self.at = np.flatnonzero(chosen & (crossed[GRAM:] == crossed[:-GRAM]))
         self.doc = np.searchsorted(self.stop, self.at, side="right")
-        self.h, self.c = grams[self.at].view(np.int64), contexts[self.at - margin].view(np.int64)
+        around = np.lib.stride_tricks.sliding_window_view(self.bytes, width)[self.at - margin]
+        around = np.pad(around, ((0, 0), (0, -width % 8)))
+        self.c = stirred(around, 1).view(np.int64)
+        low = np.uint64(0xFFFF)
+        self.g = (grams[self.at] & ~low | stirred(around, 2) & low).view(np.int64)
 
 
 def chunked(texts: list[str | None], most: int = 1 << 16) -> Iterator[tuple[int, list[bytes]]]:
@@ -114,47 +134,75 @@ def chunked(texts: list[str | None], most: int = 1 << 16) -> Iterator[tuple[int,
         yield first, held
 
 
-def mixed(doc: np.ndarray, h: np.ndarray, c: np.ndarray) -> np.ndarray:
+def mixed(doc: np.ndarray, g: np.ndarray, c: np.ndarray) -> np.ndarray:
     """One number for a text's number and both hashes."""
-    return (h * np.int64(3) + c) * np.int64(0x9E3779B97F4A7C1) + doc * np.int64(0x2545F4914F6CDD1D)
+    return (g * np.int64(3) + c) * np.int64(0x9E3779B97F4A7C1) + doc * np.int64(0x2545F4914F6CDD1D)
+
+
+def bucket() -> Column:
+    return F.shiftright("g", 16)
 
 
-def anchor_rows(rows: DataFrame, length: int) -> DataFrame:
-    """doc, h, c: the anchors of each document and the hashes of their contexts, each pair once a document."""
+def anchor_rows(rows: DataFrame, length: int, parts: dict[int, int] | None = None) -> DataFrame:
+    """doc, g, c: the anchors of each document and the hashes of their contexts, each pair once a document; part: 0, or of
+    a bucket that `parts` has in so many parts the document's, from 1."""
+    hot = sorted(parts or {})
+    handed = rows.sparkSession.sparkContext.broadcast((np.array(hot, np.int64), np.array([parts[h] for h in hot], np.int64)))  # HOT at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, many = handed.value
         for batch in batches:
             ids = batch.column("doc").to_numpy(zero_copy_only=False)
             for first, raws in chunked(batch.column("text").to_pylist()):
                 found = Anchors(raws, length)
-                once = np.unique(mixed(found.doc, found.h, found.c), return_index=True)[1]
-                columns = ids[first + found.doc[once]], found.h[once], found.c[once]
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], ["doc", "h", "c"])
+                once = np.unique(mixed(found.doc, found.g, found.c), return_index=True)[1]
+                doc, g, c = ids[first + found.doc[once]], found.g[once], found.c[once]
+                part = np.zeros(len(g), np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, g >> 16), len(known) - 1)
+                    is_hot = known[at] == g >> 16
+                    part[is_hot] = 1 + (doc[is_hot] * np.int64(0x9E3779B97F4A7C1) >> 33) % many[at[is_hot]]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (doc, g, c, part)], ["doc", "g", "c", "part"])
 
-    return rows.where("doc is not null").mapInArrow(run, "doc long, h long, c long")
+    return rows.where("doc is not null").mapInArrow(run, "doc long, g long, c long, part long")
+
+
+def hot_buckets(rows: DataFrame, length: int) -> dict[int, int]:
+    """The buckets that hold very many documents, as a sample of the documents shows, and in how many parts each is dealt
+    out. At most HOT buckets."""
+    few = rows.where(F.pmod(F.xxhash64("doc"), F.lit(SHARE)) == 0)
+    counts = anchor_rows(few, length).groupBy(bucket().alias("h")).agg(F.count("*").alias("n")).where(F.col("n") >= LEAST)
+    return {r.h: -(-r.n * SHARE // PART) for r in counts.orderBy(F.desc("n"), "h").limit(HOT).collect()}
 
 
 def shared_anchors(rows: DataFrame, length: int) -> DataFrame:
-    """doc, h, c, whole, size: anchors whose whole context a smaller document has (whole), and those of the smallest
-    document with a context in a bucket where other documents have other contexts; size: rows of the bucket."""
-    bucket, context = Window.partitionBy("h"), Window.partitionBy("h", "c")
-    found = anchor_rows(rows, length).repartition("h").select(
-        "*",
-        F.min("doc").over(context).alias("least"),
-        F.min("doc").over(bucket).alias("low"),
-        F.max("doc").over(bucket).alias("high"),
-        F.min("c").over(bucket).alias("c0"),
-        F.max("c").over(bucket).alias("c1"),
-        F.count("*").over(bucket).alias("size"),
+    """doc, g, c, whole, size: anchors whose whole context a smaller document has (whole), and those of the smallest
+    document with a context in a bucket where other documents have other contexts; size: different contexts of the bucket."""
+    parts = hot_buckets(rows, length)
+    own, context = Window.partitionBy("h", "part"), Window.partitionBy("h", "part", "g", "c")
+    found = anchor_rows(rows, length, parts).repartition(bucket(), "part").withColumn("h", bucket())
+    found = found.withColumn("whole", F.col("doc") > F.min("doc").over(context))
+    found = found.select(
+        "*", F.min("doc").over(own).alias("low"), F.max("doc").over(own).alias("high"), F.sum((~F.col("whole")).cast("long")).over(own).alias("size")
     )
-    found = found.withColumn("whole", F.col("doc") > F.col("least")).where("low < high and (whole or c0 < c1)")
-    return found.select("doc", "h", "c", "whole", "size")
+    found = found.where("whole or part > 0 or low < high and size > 1").select("doc", "g", "c", "part", "whole", "size")
+    if not parts:
+        return found.drop("part")
+    found = Stored(found, "parts").df
+    columns = ["doc", "g", "c", "whole", "size"]
+    # Of the parts of a hot bucket: the smallest document of each context, and how many contexts there are.
+    firsts = found.where("part > 0 and not whole")
+    least = Stored(firsts.groupBy("g", "c").agg(F.min("doc").alias("least"), F.max("doc").alias("most")), "firsts").df
+    sizes = least.groupBy(bucket().alias("of")).agg(F.count("*").alias("many"), F.min("least").alias("low"), F.max("most").alias("high"))
+    firsts = firsts.drop("whole", "size").join(least.drop("most"), ["g", "c"]).join(F.broadcast(sizes), bucket() == F.col("of"))  # HOT at most
+    firsts = firsts.withColumns({"whole": F.col("doc") > F.col("least"), "size": F.col("many")}).where("whole or low < high and size > 1")
+    return found.where("part = 0 or whole").select(*columns).unionByName(firsts.select(*columns))
 
 
 def gathered(texts: DataFrame, found: DataFrame, columns: list[str]) -> DataFrame:
-    """Each row of doc, text with the list of what was found in it, null if nothing."""
+    """Each row of doc, text (and what else texts has) with the list of what was found in it, null if nothing."""
     lists = found.groupBy("doc").agg(F.collect_list(F.struct(*columns)).alias("found"))
-    return texts.join(lists, "doc", "left").select(texts.doc, "text", "found")
+    return texts.join(lists.withColumnRenamed("doc", "of"), F.col("doc") == F.col("of"), "left").drop("of")
 
 
 def looked_up(batch: pa.RecordBatch, length: int) -> Iterator[tuple[int, list[bytes], Anchors, np.ndarray, np.ndarray]]:
@@ -163,23 +211,24 @@ def looked_up(batch: pa.RecordBatch, length: int) -> Iterator[tuple[int, list[by
     lists = batch.column("found")
     many = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
     flat = lists.flatten()
-    h, c = (flat.field(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("h", "c"))
+    g, c = (flat.field(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("g", "c"))
     upto = np.concatenate(([0], np.cumsum(many)))
     texts = [t if n else None for t, n in zip(batch.column("text").to_pylist(), many.tolist(), strict=True)]
     for first, raws in chunked(texts):
         anchors = Anchors(raws, length)
         own = slice(upto[first], upto[first + len(raws)])
-        wanted = mixed(np.repeat(np.arange(len(raws)), many[first : first + len(raws)]), h[own], c[own])
+        wanted = mixed(np.repeat(np.arange(len(raws)), many[first : first + len(raws)]), g[own], c[own])
         order = np.argsort(wanted, kind="stable")
-        keys = mixed(anchors.doc, anchors.h, anchors.c)
+        keys = mixed(anchors.doc, anchors.g, anchors.c)
         place = np.searchsorted(wanted, keys, sorter=order)
         place = order[np.minimum(place, len(order) - 1)] if len(order) else np.zeros(len(keys), np.int64)
-        hit = np.flatnonzero(wanted[place] == keys) if len(order) else np.empty(0, np.int64)
+        same = (wanted[place] == keys) & (c[own][place] == anchors.c) & (g[own][place] == anchors.g) if len(order) else np.zeros(len(keys), bool)
+        hit = np.flatnonzero(same)
         yield first, raws, anchors, hit, place[hit] + upto[first]
 
 
 def contexts(texts: DataFrame, found: DataFrame, length: int) -> DataFrame:
-    """doc, h, c, context, size of the anchors in `found`; low, high: the part of the context inside the text."""
+    """doc, g, c, context, size of the anchors in `found`; low, high: the part of the context inside the text."""
     width, margin = 2 * length - GRAM, length - GRAM
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,12 +242,12 @@ def contexts(texts: DataFrame, found: DataFrame, length: int) -> DataFrame:
                 text = anchors.bytes[at[:, None] + np.arange(width)].tobytes()
                 low = np.maximum(0, anchors.start[doc] - at)
                 high = np.minimum(width, anchors.stop[doc] - at)
-                columns = [pa.array(x, pa.int64()) for x in (ids[first + doc], anchors.h[hit], anchors.c[hit], sizes[place], low, high)]
+                columns = [pa.array(x, pa.int64()) for x in (ids[first + doc], anchors.g[hit], anchors.c[hit], sizes[place], low, high)]
                 columns.append(pa.array([text[i * width : (i + 1) * width] for i in range(len(hit))], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, ["doc", "h", "c", "size", "low", "high", "context"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc", "g", "c", "size", "low", "high", "context"])
 
-    schema = "doc long, h long, c long, size long, low long, high long, context binary"
-    return gathered(texts, found, ["h", "c", "size"]).where("doc is not null").mapInArrow(run, schema)
+    schema = "doc long, g long, c long, size long, low long, high long, context binary"
+    return gathered(texts, found, ["g", "c", "size"]).where("doc is not null").mapInArrow(run, schema)
 
 
 def suffix_array(group: np.ndarray, text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -261,40 +310,41 @@ def marked(group: np.ndarray, text: np.ndarray, doc: np.ndarray, length: int) ->
 
 
 def marks(found: DataFrame, length: int) -> DataFrame:
-    """doc, h, c, mask: for contexts, gathered by bucket, the bytes that a smaller document of the bucket repeats."""
+    """doc, g, c, mask: for contexts, gathered by bucket, the bytes that a smaller document of the bucket repeats."""
 
     def done(rows: list[dict]) -> Iterator[pa.RecordBatch]:
         if len(rows) > 1:
-            group = np.unique(np.array([r["h"] for r in rows]), return_inverse=True)[1]
+            group = np.unique(np.array([r["g"] >> 16 for r in rows]), return_inverse=True)[1]
             text = np.frombuffer(b"".join(r["context"] for r in rows), np.uint8).reshape(len(rows), -1)
             got = marked(group, text, np.array([r["doc"] for r in rows]), length)
-            out = [(r["doc"], r["h"], r["c"], np.packbits(m).tobytes()) for r, m in zip(rows, got, strict=True) if m.any()]
+            out = [(r["doc"], r["g"], r["c"], np.packbits(m).tobytes()) for r, m in zip(rows, got, strict=True) if m.any()]
             if out:
-                yield pa.RecordBatch.from_pylist([dict(zip(("doc", "h", "c", "mask"), x, strict=True)) for x in out], schema)
+                yield pa.RecordBatch.from_pylist([dict(zip(("doc", "g", "c", "mask"), x, strict=True)) for x in out], schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
         for batch in batches:
             held += batch.to_pylist()
             if len(held) >= BLOCK:
-                last = held[-1]["h"]
-                whole = [r for r in held if r["h"] != last]
+                last = held[-1]["g"] >> 16
+                whole = [r for r in held if r["g"] >> 16 != last]
                 held = held[len(whole) :]
                 yield from done(whole)
         yield from done(held)
 
-    schema = pa.schema([("doc", pa.int64()), ("h", pa.int64()), ("c", pa.int64()), ("mask", pa.binary())])
-    return found.repartition("h").sortWithinPartitions("h").mapInArrow(run, "doc long, h long, c long, mask binary")
+    schema = pa.schema([("doc", pa.int64()), ("g", pa.int64()), ("c", pa.int64()), ("mask", pa.binary())])
+    return found.repartition(bucket()).sortWithinPartitions(bucket()).mapInArrow(run, "doc long, g long, c long, mask binary")
 
 
 def crowded_marks(found: DataFrame, length: int) -> DataFrame:
     """The same for buckets of any size: every string of the contexts with its smallest document."""
     width = 2 * length - GRAM
     at = F.explode(F.sequence(F.col("low"), F.col("high") - length)).alias("s")
-    strings = found.select("doc", "h", "c", "context", at).withColumn("string", F.substring("context", F.col("s").cast("int") + 1, F.lit(length)))
-    strings = strings.select("doc", "h", "c", "s", F.xxhash64("string").alias("x"), F.xxhash64("string", F.lit(1)).alias("y"))
-    least = strings.groupBy("h", "x", "y").agg(F.min("doc").alias("least"))
-    late = strings.join(least, ["h", "x", "y"]).where("doc > least").groupBy("doc", "h", "c").agg(F.collect_list("s").alias("at"))
+    strings = found.select("doc", "g", "c", "context", at).withColumn("string", F.substring("context", F.col("s").cast("int") + 1, F.lit(length)))
+    strings = strings.select("doc", "g", "c", "s", bucket().alias("h"), F.xxhash64("string").alias("x"), F.xxhash64("string", F.lit(1)).alias("y"))
+    least = strings.groupBy("h", "x", "y").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
+    least = Stored(least.drop("most"), "strings").df  # a table by itself, so that Spark can split the join
+    late = strings.join(least, ["h", "x", "y"]).where("doc > least").groupBy("doc", "g", "c").agg(F.collect_list("s").alias("at"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -304,9 +354,9 @@ def crowded_marks(found: DataFrame, length: int) -> DataFrame:
                 for s in starts:
                     bits[s : s + length] = True
                 out.append(np.packbits(bits).tobytes())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.binary())], ["doc", "h", "c", "mask"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.binary())], ["doc", "g", "c", "mask"])
 
-    return late.mapInArrow(pack, "doc long, h long, c long, mask binary")
+    return late.mapInArrow(pack, "doc long, g long, c long, mask binary")
 
 
 def removed(anchors: Anchors, hit: np.ndarray, masks: list[bytes | None], length: int) -> np.ndarray:
@@ -326,38 +376,47 @@ def removed(anchors: Anchors, hit: np.ndarray, masks: list[bytes | None], length
     return np.cumsum(change)[:-1] > 0
 
 
-def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 50, crowded: int = CROWDED) -> DataFrame:
-    """A row for each row of docs: doc_id, n_bytes, kept (binary), spans (array of start, stop of the removed runs)."""
+def without_repeats(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 50, crowded: int = CROWDED, keep_row: bool = False
+) -> DataFrame:
+    """A row for each row of docs: doc_id, n_bytes, kept (binary), spans (array of start, stop of the removed runs). With
+    keep_row also kept_text, without what is left of a sign that lost part of its bytes, and row: the other columns."""
     texts = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
     found = Stored(shared_anchors(texts, length), "anchors").df
     split = Stored(contexts(texts, found.where("not whole"), length), "contexts")
-    masks = marks(split.df.where(F.col("size") <= crowded).select("doc", "h", "c", "context"), length)
+    masks = marks(split.df.where(F.col("size") <= crowded).select("doc", "g", "c", "context"), length)
     masks = Stored(masks.unionByName(crowded_marks(split.df.where(F.col("size") > crowded), length)), "masks").df
     split.drop()
-    whole = found.where("whole").select("doc", "h", "c", F.lit(None).cast("binary").alias("mask"))
+    whole = found.where("whole").select("doc", "g", "c", F.lit(None).cast("binary").alias("mask"))
+    rows = texts
+    kinds = {"doc": "bigint", "n_bytes": "bigint", "kept": "binary", "spans": "array<struct<start:bigint,stop:bigint>>"}
+    schema = T.StructType([T.StructField(n, T.DataType.fromDDL(k)) for n, k in kinds.items()])
+    if keep_row:
+        others = [F.col(f"`{c}`") for c in docs.columns if c != text]
+        rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"), F.struct(*others).alias("row"))
+        schema.add("kept_text", "string").add(rows.schema["row"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             masks = batch.column("found").flatten().field("mask").to_pylist()
-            had = batch.column("found").is_valid().to_pylist()
-            docs, raw = batch.column("doc").to_pylist(), batch.column("text").to_pylist()
-            out = []
+            had, raw = batch.column("found").is_valid().to_pylist(), batch.column("text").to_pylist()
+            many, kept, spans, left = [], [], [], []
             for first, raws, anchors, hit, place in looked_up(batch, length):
                 gone = removed(anchors, hit, [masks[i] for i in place.tolist()], length)
                 for i in range(len(raws)):
                     own = (raw[first + i] or "").encode()
-                    spans: list[dict] = []
-                    kept = own
-                    if had[first + i]:
-                        lost = gone[anchors.start[i] : anchors.stop[i]]
-                        edges = np.flatnonzero(np.diff(np.concatenate(([False], lost, [False])).astype(np.int8))).tolist()
-                        spans = [{"start": a, "stop": b} for a, b in zip(edges[::2], edges[1::2], strict=True)]
-                        kept = b"".join(own[a:b] for a, b in zip([0, *edges[1::2]], [*edges[::2], len(own)], strict=True)) if edges else own
-                    out.append({"doc": docs[first + i], "n_bytes": len(own), "kept": kept, "spans": spans})
-            yield pa.RecordBatch.from_pylist(out, schema)
+                    lost = gone[anchors.start[i] : anchors.stop[i]] if had[first + i] else np.zeros(0, bool)
+                    edges = np.flatnonzero(np.diff(np.concatenate(([False], lost, [False])).astype(np.int8))).tolist()
+                    parts = [own[a:b] for a, b in zip([0, *edges[1::2]], [*edges[::2], len(own)], strict=True)] if edges else [own]
+                    many.append(len(own))
+                    kept.append(b"".join(parts))
+                    spans.append([{"start": a, "stop": b} for a, b in zip(edges[::2], edges[1::2], strict=True)])
+                    left.append("".join(p.decode("utf-8", "ignore") for p in parts) if edges else raw[first + i])
+            columns = [batch.column("doc"), pa.array(many, pa.int64()), pa.array(kept, pa.binary()), pa.array(spans, span)]
+            if keep_row:
+                columns += [pa.array(left, pa.string()), batch.column("row")]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-    schema = pa.schema([("doc", pa.int64()), ("n_bytes", pa.int64()), ("kept", pa.binary()), ("spans", span)])
-    whole_rows = gathered(texts, whole.unionByName(masks), ["h", "c", "mask"])
-    out = whole_rows.mapInArrow(run, "doc long, n_bytes long, kept binary, spans array<struct<start:long,stop:long>>")
-    return out.withColumnRenamed("doc", doc_id)
+    out = gathered(rows, whole.unionByName(masks), ["g", "c", "mask"])
+    return out.select(*rows.columns, "found").mapInArrow(run, schema).withColumnRenamed("doc", doc_id)

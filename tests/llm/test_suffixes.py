@@ -52,8 +52,11 @@ def odd_rows():
     return rows
 
 
-@pytest.mark.parametrize("crowded", [512, 3])
-def test_odd_rows(spark, crowded):
+@pytest.mark.parametrize(("crowded", "hot"), [(4096, False), (3, False), (4096, True), (3, True)])
+def test_odd_rows(spark, crowded, hot, monkeypatch):
+    if hot:  # every bucket of three documents is dealt out
+        for name, value in (("SHARE", 1), ("LEAST", 3), ("PART", 2)):
+            monkeypatch.setattr(suffixes, name, value)
     rows = odd_rows()
     docs = spark.createDataFrame([(i, t, "z", "y") for i, t in rows], "doc_id long, text string, h string, doc string")
     assert got(suffixes.without_repeats(docs, crowded=crowded)) == brute(rows)
