@@ -14,10 +14,10 @@ def filled(template: Column, values: dict[str, Column]) -> Column:
 
 
 def addable(name: Column, allowed: list[str], blocked: list[str]) -> Column:
-    """Whether a part of this name can be added: a blocked word rules it out, else an allowed one is needed."""
-    words = F.split(F.lower(F.trim(name)), " ")
-    has = lambda some: F.arrays_overlap(words, F.array(*map(F.lit, some)))
-    return F.when(has(blocked), F.lit(False)).otherwise(has(allowed))
+    """Whether a part of this name can be added: not if the whole name is blocked; else if it, or any word of it, is allowed."""
+    whole = F.lower(F.trim(name))
+    words = F.split(whole, r"\s+")
+    return ~whole.isin(blocked) & (whole.isin(allowed) | F.arrays_overlap(words, F.array(*map(F.lit, allowed))))
 
 
 def braced(answer: Column) -> Column:

@@ -15,9 +15,9 @@ AXES = ("x", "y", "z")
 VIEWS = [("x", "y", "z", 1), ("x", "y", "z", -1), ("y", "z", "x", 1), ("y", "z", "x", -1), ("x", "z", "y", 1), ("x", "z", "y", -1)]
 
 
-def bounds(points: DataFrame, by: list[str]) -> DataFrame:
-    """lo_ and hi_ of each axis, the diagonal, and the number of points."""
-    sides = [f(a).alias(f"{n}_{a}") for a in AXES for n, f in (("lo", F.min), ("hi", F.max))]
+def bounds(points: DataFrame, by: list[str], mean: bool = False) -> DataFrame:
+    """lo_ and hi_ of each axis, the diagonal, and the number of points; with `mean` also c_ of each axis."""
+    sides = [f(a).alias(f"{n}_{a}") for a in AXES for n, f in (("lo", F.min), ("hi", F.max), ("c", F.avg)) if mean or n != "c"]
     boxes = points.groupBy(*by).agg(*sides, F.count("*").alias("n"))
     return boxes.withColumn("diag", F.sqrt(sum(((F.col(f"hi_{a}") - F.col(f"lo_{a}")) ** 2 for a in AXES), F.lit(0.0))))
 
@@ -32,6 +32,11 @@ def cell(value: Column, low: Column, high: Column, res: int) -> Column:
     return ((value - low) / F.greatest(high - low, F.lit(1e-9)) * (res - 1)).cast("int")
 
 
+def view_angle(radius: Column) -> Column:
+    """The angle under which a camera so far away sees the unit cube's ball."""
+    return 2 * F.asin(F.lit(3.0**0.5 / 2) / radius)
+
+
 def twisted(x: Column, y: Column, t: Column, cx: Column, cy: Column, degrees: float = 40.0) -> tuple[Column, Column]:
     angle = F.radians(F.lit(degrees)) * t
     return cx + (x - cx) * F.cos(angle) - (y - cy) * F.sin(angle), cy + (x - cx) * F.sin(angle) + (y - cy) * F.cos(angle)
@@ -49,6 +54,15 @@ def bent(x: Column, t: Column, extent: Column, by: float = 0.35) -> Column:
     return x + by * extent * t * t
 
 
+def deformed(op: Column, wide: Column, degrees: float = 40.0, taper: float = 0.45, bulge: float = 0.35, bend: float = 0.35) -> tuple[Column, Column]:
+    """x and y by the deformation's name, from the columns x, y, t (the height, 0 to 1) and c_x, c_y."""
+    x, y, t, c, d = (F.col(n) for n in ("x", "y", "t", "c_x", "c_y"))
+    turned = twisted(x, y, t, c, d, degrees)
+    along = lambda own, centre: {"taper": tapered(own, t, centre, taper), "bulge": bulged(own, t, centre, bulge)}
+    ways = [{"twist": turned[0], **along(x, c), "bend": bent(x, t, wide, bend)}, {"twist": turned[1], **along(y, d), "bend": y}]
+    return tuple(F.coalesce(*(F.when(op == k, v) for k, v in way.items())) for way in ways)
+
+
 def overlap(a: str, b: str) -> Column:
     """The volume two boxes share, over that of the smaller one."""
     def volume(p: str) -> Column:
@@ -77,13 +91,44 @@ def visibility(points: DataFrame, res: int) -> DataFrame:
     The front of a cell comes from one aggregate (largest depth, then smallest sample), so no cell is sorted.
     """
     cells = seen_cells(points, res)
-    front = cells.groupBy("sha", "view", "u", "v").agg(F.max(F.struct("depth", (-F.col("sid")).alias("s"), "pid")).pid.alias("pid"))
-    hits = front.groupBy("sha", "view", "pid").agg(F.count("*").alias("hits"))
+    hits = front_points(cells).groupBy("sha", "view", "pid").agg(F.count("*").alias("hits"))
     own = cells.select("sha", "view", "pid", "u", "v").distinct().groupBy("sha", "view", "pid").agg(F.count("*").alias("cells"))
     both = own.join(hits, ["sha", "view", "pid"], "left")
     return both.groupBy("sha", "pid").agg(F.round(F.max(F.least(F.coalesce("hits", F.lit(0)) / F.col("cells"), F.lit(1.0))), 9).alias("vis"))
 
 
+def front_points(cells: DataFrame) -> DataFrame:
+    """sha, view, u, v, sid, pid: of each cell the point in front; of equally deep ones the first."""
+    front = F.max(F.struct("depth", (-F.col("sid")).alias("s"), "pid"))
+    rows = cells.groupBy("sha", "view", "u", "v").agg(front.alias("f"))
+    return rows.select("sha", "view", "u", "v", (-F.col("f.s")).alias("sid"), F.col("f.pid").alias("pid"))
+
+
+def unit_visibility(points: DataFrame, units: DataFrame, res: int) -> DataFrame:
+    """sha, name, vis: visibility of sets of parts (sha, name, pid), each as if it were one part."""
+    cells = seen_cells(points, res)
+    hits = front_points(cells).join(units, ["sha", "pid"]).groupBy("sha", "name", "view").agg(F.count("*").alias("hits"))
+    own = cells.join(units, ["sha", "pid"]).select("sha", "name", "view", "u", "v").distinct().groupBy("sha", "name", "view").agg(F.count("*").alias("cells"))
+    both = own.join(hits, ["sha", "name", "view"], "left")
+    return both.groupBy("sha", "name").agg(F.max(F.least(F.coalesce("hits", F.lit(0)) / F.col("cells"), F.lit(1.0))).alias("vis"))
+
+
+def silhouettes(before: DataFrame, after: DataFrame, res: int) -> DataFrame:
+    """sha, iou: the outlines' cells that both states have over those that any has, the mean of three sides; each state lies
+    in the middle of its own frame, as wide as its widest side. before, after: sha, sid, x, y, z."""
+    def cells(points: DataFrame, state: int) -> DataFrame:
+        box = bounds(points, ["sha"])
+        wide = F.greatest(*(F.col(f"hi_{a}") - F.col(f"lo_{a}") for a in AXES), F.lit(1e-9))
+        at = {a: (F.col(a) - (F.col(f"lo_{a}") + F.col(f"hi_{a}")) / 2) / wide + 0.5 for a in AXES}
+        at = {a: F.least(F.greatest(c * (res - 1), F.lit(0.0)), F.lit(res - 1.0)).cast("int") for a, c in at.items()}
+        sides = [F.struct(F.lit(k).alias("side"), at[u].alias("u"), at[v].alias("v")) for k, (u, v) in enumerate((("y", "z"), ("x", "z"), ("x", "y")))]
+        return points.join(box, "sha").select("sha", F.inline(F.array(*sides))).distinct().withColumn("state", F.lit(state))
+
+    met = cells(before, 0).unionByName(cells(after, 1)).groupBy("sha", "side", "u", "v").agg(F.count("*").alias("k"))
+    side = met.groupBy("sha", "side").agg((F.count_if(F.col("k") == 2) / F.count("*")).alias("iou"))
+    return side.groupBy("sha").agg(F.avg("iou").alias("iou"))
+
+
 def within(points: DataFrame, targets: DataFrame, on: Column) -> DataFrame:
     """The nearest target of each point within the asset's `reach`, a column of both, for which `on` (of p and q) holds:
     sha, sid, near_sid, distance.

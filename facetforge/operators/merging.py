@@ -33,6 +33,13 @@ def first_wins(df: DataFrame, key: str, place: str, *values: str) -> DataFrame:
     return df.groupBy(key).agg(*(F.min_by(v, place).alias(v) for v in values))
 
 
+def laid_over(left: str, right: str, mine: list[str], theirs: list[str]) -> Column:
+    """A record with another laid over it: fields that the other has and that aren't null are its own."""
+    names = [*mine, *(n for n in theirs if n not in mine)]
+    value = lambda n: F.coalesce(*(F.col(f"{s}.{n}") for s, own in ((right, theirs), (left, mine)) if n in own))
+    return F.struct(*(value(n).alias(n) for n in names))
+
+
 def verdict(match: Column, geometry_passes: Column, earlier: Column | None = None) -> Column:
     """The judge's answer as a verdict; a failed geometry check overrides it; an earlier verdict fills in for no answer."""
     answer = F.coalesce(*(F.when(match == k, F.lit(v)) for k, v in VERDICTS.items()))

@@ -69,6 +69,17 @@ def numbered(df: DataFrame, lead: str, *order: Column | str, name: str = "rn", b
     return running(df, lead, list(order), F.lit(1).cast("bigint"), name, by)
 
 
+def placed(df: DataFrame, path: str, lead: Column, by: str) -> DataFrame:
+    """The rows with `place`, from 1 in the order of the text column `path` among the rows with the same `by`. lead: a number
+    that never falls as the path rises, by which the rows are dealt out into ranges, so no group is sorted in one task."""
+    return numbered(df.withColumn("_lead", lead.cast("double")), "_lead", path, name="place", by=(by,)).drop("_lead")
+
+
+def leading(text: Column | str, first: int, n: int = 6) -> Column:
+    """n bytes of a text from the first-th on, as a number; what isn't there is 0."""
+    return F.conv(F.substring(F.concat(F.hex(F.encode(text, "utf-8")), F.lit("00" * (first + n))), 2 * first - 1, 2 * n), 16, 10).cast("double")
+
+
 def sharded(df: DataFrame, number: str, shards: int) -> DataFrame:
     """The rows with the shard that round robin gives them."""
     return df.withColumn("shard", ((F.col(number) - 1) % shards).cast("int"))

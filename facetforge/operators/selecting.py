@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from facetforge.operators.ordering import numbered
+
 #: Bounds of a usable part's share of the area, and its fewest faces.
 SHARE, FACES = (0.03, 0.35), 60
 
@@ -36,6 +38,26 @@ def under_rules(stats: DataFrame, rules: list[tuple[str, float, float, int]]) ->
     return stats.withColumn("rule", F.explode(F.array_compact(F.array(*passed))))
 
 
+def trailing(rows: DataFrame, before: DataFrame, key: str, order: str) -> DataFrame:
+    """Of each list the rows behind the first n_before (a column of `before`); rows come in `order`. A list is one group."""
+    place = F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1
+    return rows.withColumn("idx", place).join(before.select(key, "n_before"), key).where("idx >= n_before")
+
+
+def next_donors(assets: DataFrame, usable: Column) -> DataFrame:
+    """host, donor, rn: the assets (sha) in their order, each with the next usable one that isn't itself, from a cursor that
+    never goes back.
+
+    The n-th asset stands at the n-th donor or behind it, so only the first can meet itself, and the cursor is one ahead
+    from then on: hosts and donors are numbered and joined by their numbers.
+    """
+    hosts = numbered(assets.select("sha"), "sha")
+    donors = numbered(assets.where(usable).select(F.col("sha").alias("donor")), "donor", name="at")
+    first = assets.agg((F.min("sha") == F.min(F.when(usable, F.col("sha")))).cast("long").alias("ahead"))
+    rows = hosts.join(F.broadcast(first), F.lit(True)).withColumn("at", F.col("rn") + F.col("ahead"))  # one row
+    return rows.join(donors, "at").select(F.col("sha").alias("host"), "donor", "rn")
+
+
 def reversed_pairs(pairs: DataFrame, task: str, sides: tuple[str, str]) -> DataFrame:
     """The pairs with their sides exchanged, under another task. Nothing is copied: the columns change places."""
     a, b = sides

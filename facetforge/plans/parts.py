@@ -107,15 +107,16 @@ def q_donor_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return both.where("n = 2").select("host", "donor")
 
 
-@query("""SELECT s.user_id, arg_min(s.event_id, s.event_id) AS removed, arg_max(p.event_id, p.event_id) AS moved
-FROM events s JOIN events p ON s.user_id = p.user_id AND s.value <> p.value WHERE s.event_type = 'signup' AND p.event_type = 'purchase' GROUP BY s.user_id""")
+@query("""WITH g AS (SELECT user_id, event_id, CASE WHEN event_type = 'signup' THEN 'E3' ELSE 'E6' END AS task, value AS part FROM events WHERE event_type = 'signup' OR event_type = 'purchase' AND event_id % 3 IS DISTINCT FROM 0),
+a AS (SELECT user_id, arg_max(event_id, event_id) AS removed, arg_max(part, event_id) AS part FROM g WHERE task = 'E3' GROUP BY user_id), b AS (SELECT user_id, arg_min(event_id, event_id) AS moved, arg_min(part, event_id) AS other FROM g WHERE task = 'E6' GROUP BY user_id)
+SELECT a.user_id, removed, moved FROM a JOIN b ON a.user_id = b.user_id WHERE part <> other""")
 def q_compose_gated(spark: SparkSession, sf: str) -> DataFrame:
-    """Two edits of one asset on different parts; of the first kind the first row wins, of the second the last."""
-    rows = table(spark, sf, "events").select("user_id", "event_id", "event_type", "value")
-    first = rows.where("event_type = 'signup'").select("user_id", F.col("event_id").alias("removed"), F.col("value").alias("part"))
-    second = rows.where("event_type = 'purchase'").select("user_id", F.col("event_id").alias("moved"), F.col("value").alias("other"))
-    both = first.join(second, "user_id").where("part <> other")
-    return both.groupBy("user_id").agg(F.min("removed").alias("removed"), F.max("moved").alias("moved"))
+    """Two edits of one asset on different parts: the last removal and the first move that isn't an inverse."""
+    rows = table(spark, sf, "events").select("user_id", "event_id", "event_type", "value", F.when(F.col("event_id") % 3 == 0, "inverse").alias("source"))
+    first = merging.last_wins(rows.where("event_type = 'signup'").withColumns({"removed": F.col("event_id"), "part": F.col("value")}), "user_id", "event_id", "removed", "part")
+    forward = rows.where("event_type = 'purchase' and not (source <=> 'inverse')")
+    second = merging.first_wins(forward.withColumns({"moved": F.col("event_id"), "other": F.col("value")}), "user_id", "event_id", "moved", "other")
+    return first.join(second, "user_id").where("part <> other").select("user_id", "removed", "moved")
 
 
 @query("""SELECT l_orderkey AS pair, 'E3' AS task, l_partkey AS before_part, l_suppkey AS after_part FROM lineitem WHERE l_returnflag = 'R'
@@ -204,11 +205,11 @@ def q_threshold_sets(spark: SparkSession, sf: str) -> DataFrame:
     return selecting.under_rules(stats(spark, sf).where("not is_base"), rules).select("rule", "sha", "pid", "share")
 
 
-COLD, HOT = ["old", "widget"], ["ring", "gear"]
+COLD, HOT = ["old ring", "large gear"], ["ring", "gear", "hot rod"]
 
 
-@query("""SELECT p_partkey, CASE WHEN list_has_any(string_split(lower(trim(p_name)), ' '), ['old', 'widget']) THEN false
-  ELSE list_has_any(string_split(lower(trim(p_name)), ' '), ['ring', 'gear']) END AS addable FROM part""")
+@query("""SELECT p_partkey, CASE WHEN lower(trim(p_name)) IN ('old ring', 'large gear') THEN false WHEN lower(trim(p_name)) IN ('ring', 'gear', 'hot rod') THEN true
+  ELSE list_has_any(string_split(lower(trim(p_name)), ' '), ['ring', 'gear', 'hot rod']) END AS addable FROM part""")
 def q_addable(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select("p_partkey", text.addable(F.col("p_name"), HOT, COLD).alias("addable"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from facetforge.functions import text
-from facetforge.operators import geometry, merging
+from facetforge.operators import gates, geometry, merging
 from facetforge.plans.registry import query, table
 
 POINTS_SQL = """points AS (SELECT vec_id // 100 AS sha, vec_id AS sid, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, embedding[3]::DOUBLE AS z, label AS pid FROM embeddings)"""
@@ -39,17 +39,16 @@ def q_centroid_affine(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {BOX_SQL}, t AS (SELECT p.*, c_x, c_y, hi_x - lo_x AS ext, (z - lo_z) / greatest(hi_z - lo_z, 1e-6) AS t FROM points p JOIN box b ON b.sha = p.sha)
-SELECT sha, sid, round(c_x + (x - c_x) * cos(radians(40) * t) - (y - c_y) * sin(radians(40) * t), 7) AS twist_x,
-  round(c_x + (x - c_x) * (1 - 0.45 * t), 7) AS taper_x, round(c_x + (x - c_x) * (1 + 0.35 * exp(-((t - 0.5) ** 2) / 0.05)), 7) AS bulge_x,
-  round(x + 0.35 * ext * t * t, 7) AS bend_x FROM t""")
+SELECT sha, sid, round(c_x + (x - c_x) * cos(radians(40) * t) - (y - c_y) * sin(radians(40) * t), 6) AS twist_x, round(c_y + (x - c_x) * sin(radians(40) * t) + (y - c_y) * cos(radians(40) * t), 6) AS twist_y,
+  round(c_x + (x - c_x) * (1 - 0.45 * t), 6) AS taper_x, round(c_y + (y - c_y) * (1 - 0.45 * t), 6) AS taper_y, round(c_x + (x - c_x) * (1 + 0.35 * exp(-((t - 0.5) ** 2) / 0.05)), 6) AS bulge_x,
+  round(c_y + (y - c_y) * (1 + 0.35 * exp(-((t - 0.5) ** 2) / 0.05)), 6) AS bulge_y, round(x + 0.35 * ext * t * t, 6) AS bend_x FROM t""")
 def q_deform(spark: SparkSession, sf: str) -> DataFrame:
     pts = points(spark, sf)
-    box = geometry.bounds(pts, ["sha"]).join(geometry.centroid(pts, ["sha"]).drop("c_z"), "sha")
-    t = (F.col("z") - F.col("lo_z")) / F.greatest(F.col("hi_z") - F.col("lo_z"), F.lit(1e-6))
-    rows = pts.join(box, "sha").withColumn("t", t)
-    x, t, c = F.col("x"), F.col("t"), F.col("c_x")
-    made = {"twist_x": geometry.twisted(x, F.col("y"), t, c, F.col("c_y"))[0], "taper_x": geometry.tapered(x, t, c), "bulge_x": geometry.bulged(x, t, c), "bend_x": geometry.bent(x, t, F.col("hi_x") - F.col("lo_x"))}
-    return rows.select("sha", "sid", *(F.round(v, 7).alias(k) for k, v in made.items()))
+    box = geometry.bounds(pts, ["sha"], mean=True)
+    rows = pts.join(box, "sha").withColumn("t", (F.col("z") - F.col("lo_z")) / F.greatest(F.col("hi_z") - F.col("lo_z"), F.lit(1e-6)))
+    made = {op: geometry.deformed(F.lit(op), F.col("hi_x") - F.col("lo_x")) for op in ("twist", "taper", "bulge", "bend")}
+    sides = [F.round(v[k], 6).alias(f"{op}_{a}") for op, v in made.items() for k, a in enumerate("xy") if (op, a) != ("bend", "y")]
+    return rows.select("sha", "sid", *sides)
 
 
 @query(f"""WITH {BOX_SQL}, d AS (SELECT p.sha, abs(0.35 * (hi_x - lo_x) * ((z - lo_z) / greatest(hi_z - lo_z, 1e-6)) ** 2) AS way, sqrt((hi_x - lo_x) ** 2 + (hi_y - lo_y) ** 2 + (hi_z - lo_z) ** 2) AS diag
@@ -147,14 +146,21 @@ def q_falsy_coalesce(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_id", shown.alias("shown"), F.coalesce(F.nullif(F.col("value"), F.lit(0.0)), F.lit(1.0)).alias("weight"))
 
 
-@query(f"""WITH {BOX_SQL}, a AS (SELECT DISTINCT p.sha, trunc((x - lo_x) / greatest(hi_x - lo_x, 1e-9) * 15)::INTEGER u, trunc((y - lo_y) / greatest(hi_y - lo_y, 1e-9) * 15)::INTEGER v, pid = 0 AS cut FROM points p JOIN box b ON b.sha = p.sha),
-c AS (SELECT sha, u, v, bool_or(NOT cut) AS after FROM a GROUP BY ALL)
-SELECT sha, round(count(*) FILTER (after) / greatest(count(*), 1), 9) AS iou FROM c GROUP BY sha""")
+@query(f"""WITH {BOX_SQL}, o AS (SELECT p.sha, p.sid, x, y, z FROM points p), n AS (SELECT p.sha, p.sid, x + 0.35 * (hi_x - lo_x) * ((z - lo_z) / greatest(hi_z - lo_z, 1e-6)) ** 2 AS x, y, z FROM points p JOIN box b ON b.sha = p.sha),
+w AS (SELECT 0 AS s, * FROM o UNION ALL SELECT 1, * FROM n), f AS (SELECT s, sha, (min(x) + max(x)) / 2 cx, (min(y) + max(y)) / 2 cy, (min(z) + max(z)) / 2 cz, greatest(max(x) - min(x), max(y) - min(y), max(z) - min(z), 1e-9) w FROM w GROUP BY ALL),
+u AS (SELECT w.s, w.sha, trunc(least(greatest(((x - cx) / f.w + 0.5) * 15, 0), 15))::INTEGER a, trunc(least(greatest(((y - cy) / f.w + 0.5) * 15, 0), 15))::INTEGER b, trunc(least(greatest(((z - cz) / f.w + 0.5) * 15, 0), 15))::INTEGER c FROM w JOIN f ON f.s = w.s AND f.sha = w.sha),
+v AS (SELECT s, sha, 0 AS ax, b AS p, c AS q FROM u UNION SELECT s, sha, 1, a, c FROM u UNION SELECT s, sha, 2, a, b FROM u),
+i AS (SELECT sha, ax, p, q, count(*) AS k FROM v GROUP BY ALL), r AS (SELECT sha, ax, count(*) FILTER (k = 2) / count(*) AS iou FROM i GROUP BY ALL)
+SELECT sha, round(avg(iou), 6) AS iou, avg(iou) >= 0.93 AS geo_pass FROM r GROUP BY sha""")
 def q_silhouette_iou(spark: SparkSession, sf: str) -> DataFrame:
-    """The silhouette from above, with and without a part, in cells of the whole asset's box."""
-    above = geometry.seen_cells(points(spark, sf), 16, [("x", "y", "z", 1)])
-    cells = above.groupBy("sha", "u", "v").agg(F.bool_or(F.col("pid") != 0).alias("after"))
-    return cells.groupBy("sha").agg(F.round(F.count_if("after") / F.count("*"), 9).alias("iou"))
+    """How far two states' outlines agree from three sides, each state in its own frame, and the gate on it."""
+    pts = points(spark, sf)
+    box = geometry.bounds(pts, ["sha"])
+    rows = pts.join(box, "sha")
+    t = (F.col("z") - F.col("lo_z")) / F.greatest(F.col("hi_z") - F.col("lo_z"), F.lit(1e-6))
+    after = rows.withColumn("x", geometry.bent(F.col("x"), t, F.col("hi_x") - F.col("lo_x"))).select("sha", "sid", *geometry.AXES)
+    found = geometry.silhouettes(pts.select("sha", "sid", *geometry.AXES), after, 16)
+    return found.select("sha", F.round("iou", 6).alias("iou"), (F.col("iou") >= gates.SILHOUETTE).alias("geo_pass"))
 
 
 @query(f"""WITH {BOX_SQL} SELECT p.sha, trunc((x - lo_x) / greatest(hi_x - lo_x, 1e-9) * 15)::INTEGER AS u, trunc((y - lo_y) / greatest(hi_y - lo_y, 1e-9) * 15)::INTEGER AS v,

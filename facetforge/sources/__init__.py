@@ -1 +1 @@
-
+"""Readers and writers of the files that jobs exchange."""
