@@ -30,8 +30,9 @@ ANTECEDENTS = (
 #: Content words in a chain.
 CHAIN = 2
 SEPARATOR = r"[^\p{L}\p{N}]+"
-#: Documents of one range of ids, about; ranges at most.
-RANGE, RANGES = 1000, 1024
+#: Documents of one range of ids, about; quantiles of ids, between which ranges are even in ids. A table of more than
+#: RANGE * MOST documents has larger ranges instead of more, as their heads are ordered in one task.
+RANGE, QUANTILES, MOST = 1000, 256, 1 << 20
 
 
 def words(text: Column) -> Column:
@@ -69,22 +70,30 @@ def likeness(a: Column, b: Column) -> Column:
 def with_next(rows: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows with `next_text`: of the next row by descending id, of the last row the first's.
 
-    Rows are dealt out by ranges of ids, whose bounds are quantiles; each range is ordered by itself, and gets the first
-    row of the range after it as a guest. Texts are shuffled once.
+    Rows are dealt out by ranges of ids: quantiles, each divided evenly into as many parts as the number of rows asks for.
+    Each range is ordered by itself, and gets the first row of the range after it as a guest. Texts are shuffled once.
     """
-    many = min(RANGES, max(1, rows.count() // RANGE))
-    points = [i / many for i in range(1, many)]
-    bounds = rows.agg(F.percentile_approx(doc_id, points, 10 * RANGES)).first()[0] if points else None
-    steps = F.array(*(F.lit(b) for b in sorted(set(bounds or [])))).cast("array<long>")
-    ranged = rows.withColumn("range", F.when(F.col(doc_id).isNull(), F.size(steps)).otherwise(F.size(F.filter(steps, lambda b: b > F.col(doc_id)))))
+    many = min(max(1, rows.count() // RANGE), MOST)
+    points = [i / min(many, QUANTILES) for i in range(1, min(many, QUANTILES))]
+    found = rows.agg(F.percentile_approx(doc_id, points, 10 * QUANTILES) if points else F.lit(None), F.min(doc_id), F.max(doc_id)).first()
+    bounds = sorted({found[1], *(found[0] or []), found[2]} - {None})
+    parts = -(-many // max(1, len(bounds) - 1))
+    # The place from below, then counted down, as the order is descending; rows without an id come last.
+    steps = F.array(*(F.lit(b) for b in bounds)).cast("array<double>")
+    at = F.greatest(F.size(F.filter(steps, lambda b: b <= F.col(doc_id))), F.lit(1))
+    low, high = F.get(steps, at - 1), F.coalesce(F.get(steps, at), F.get(steps, at - 1) + 1)
+    place = at * parts + F.least(F.floor((F.col(doc_id) - low) / (high - low) * parts), F.lit(parts - 1))
+    ranged = rows.withColumn("range", F.coalesce(-place, F.lit(1)).cast("long"))
     order = [F.desc_nulls_last(doc_id), F.xxhash64(text), F.col(text)]
     # The first row of each range: the largest id, of equal ids the first text.
     largest = ranged.groupBy("range").agg(F.max(doc_id).alias("id"))
     heads = ranged.join(F.broadcast(largest.withColumnRenamed("range", "r")), (F.col("range") == F.col("r")) & F.col(doc_id).eqNullSafe(F.col("id")))
     heads = heads.groupBy("range").agg(F.min(F.struct(F.xxhash64(text).alias("x"), F.col(text).alias("t"))).t.alias("t"))
-    around = Window.orderBy("range")  # one row for each range
+    # Which range comes next is found without the texts: MOST rows at most.
+    around = Window.orderBy("range")
     ends = around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    guests = heads.select("range", F.coalesce(F.lead("t").over(around), F.first("t").over(ends)).alias(text))
+    turn = heads.select("range", F.coalesce(F.lead("range").over(around), F.first("range").over(ends)).alias("next"))
+    guests = turn.join(heads.withColumnRenamed("range", "next"), "next").select("range", F.col("t").alias(text))
     guests = guests.select("range", text, F.lit(None).cast(rows.schema[doc_id].dataType).alias(doc_id), F.lit(1).alias("guest"))
     both = ranged.withColumn("guest", F.lit(0)).unionByName(guests, allowMissingColumns=True)
     following = F.lead(text).over(Window.partitionBy("range").orderBy("guest", *order))

@@ -91,3 +91,19 @@ def test_odd_vectors(spark):
     few = table.where("vec_id in (0, 1, 2)")
     assert additive.nearest(few, F.col("id") == 0).count() == 2
     assert additive.nearest(table.limit(0), F.col("id") == 0).count() == 0
+
+
+def test_recall_of_many_vectors_in_several_blocks(spark):
+    """Twenty thousand vectors without clusters, the hardest case for codes, in five blocks; queries in four."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(20_000, 64)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in additive.nearest(table, F.col("id") % 20 == 0, sizes=(4096, 256)).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    score = x[::20].astype(float) @ x.astype(float).T
+    score[np.arange(1000), np.arange(0, 20_000, 20)] = -np.inf
+    best = np.argsort(-score, axis=1)[:, :20]
+    assert set(got) == set(range(0, 20_000, 20))
+    assert np.mean([len(got[20 * i] & set(b.tolist())) / 20 for i, b in enumerate(best)]) > 0.95
