@@ -25,5 +25,10 @@ def braced(answer: Column) -> Column:
     return F.nullif(F.regexp_extract(answer, r"(?s)\{.*\}", 0), F.lit(""))
 
 
+def named(answer: Column, default: str = "part") -> Column:
+    """The name that a model's answer gives as {"part": name}, lower-cased; the default where it gives none."""
+    return F.coalesce(F.lower(F.trim(F.from_json(braced(answer), "part string").part)), F.lit(default))
+
+
 def before(text: Column, marker: str) -> Column:
     return F.substring_index(text, marker, 1)

@@ -5,11 +5,11 @@ A point table has sha (asset), sid (sample), x, y, z and pid (part). Assets are
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from facetforge.operators.storing import kept
+
 AXES = ("x", "y", "z")
 #: The views that visibility is judged from, as the axes across, the axis of depth and its sign.
 VIEWS = [("x", "y", "z", 1), ("x", "y", "z", -1), ("y", "z", "x", 1), ("y", "z", "x", -1), ("x", "z", "y", 1), ("x", "z", "y", -1)]
@@ -88,13 +88,14 @@ def seen_cells(points: DataFrame, res: int, views: list[tuple[str, str, str, int
 def visibility(points: DataFrame, res: int) -> DataFrame:
     """sha, pid, vis: the best view's share of a part's cells in which it lies in front.
 
-    The front of a cell comes from one aggregate (largest depth, then smallest sample), so no cell is sorted.
+    One aggregate has of each cell the part in front (largest depth, then smallest sample) and all its parts, so points are
+    shuffled once and no cell is sorted.
     """
-    cells = seen_cells(points, res)
-    hits = front_points(cells).groupBy("sha", "view", "pid").agg(F.count("*").alias("hits"))
-    own = cells.select("sha", "view", "pid", "u", "v").distinct().groupBy("sha", "view", "pid").agg(F.count("*").alias("cells"))
-    both = own.join(hits, ["sha", "view", "pid"], "left")
-    return both.groupBy("sha", "pid").agg(F.round(F.max(F.least(F.coalesce("hits", F.lit(0)) / F.col("cells"), F.lit(1.0))), 9).alias("vis"))
+    front = F.max(F.struct("depth", (-F.col("sid")).alias("s"), "pid")).pid.alias("front")
+    cells = seen_cells(points, res).groupBy("sha", "view", "u", "v").agg(front, F.collect_set("pid").alias("pids"))
+    own = cells.select("sha", "view", "front", F.explode("pids").alias("pid")).groupBy("sha", "view", "pid")
+    sides = own.agg((F.count_if(F.col("front") == F.col("pid")) / F.count("*")).alias("share"))
+    return sides.groupBy("sha", "pid").agg(F.max("share").alias("vis"))
 
 
 def front_points(cells: DataFrame) -> DataFrame:
@@ -153,17 +154,6 @@ def within(points: DataFrame, targets: DataFrame, on: Column) -> DataFrame:
     return met.groupBy("sha", "sid").agg(F.min(F.struct("d", "near")).alias("m")).select("sha", "sid", F.col("m.near").alias("near_sid"), F.col("m.d").alias("distance"))
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """The table written to the checkpoint folder that all executors share; to a temporary one only in local mode."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        at = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not at and (not context.master.startswith("local") or context.master.startswith("local-cluster")):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(at or tempfile.mkdtemp(prefix="facetforge-"))
-    return df.checkpoint()
-
-
 def nearest(points: DataFrame, targets: DataFrame, on: Column, reach: float | None = None) -> DataFrame:
     """The nearest target of each point for which `on` (of p and q) holds: sha, sid, near_sid, distance.
 

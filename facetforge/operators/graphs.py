@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from facetforge.operators.geometry import kept
+from facetforge.operators.storing import kept
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:

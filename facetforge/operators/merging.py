@@ -52,6 +52,13 @@ def note(*parts: Column) -> Column:
     return F.concat_ws(" | ", *parts)
 
 
+def gate_note(geometry_passes: Column, observed: Column, most: int = 140) -> Column:
+    """What the gate and the judge said of a pair, as far as they said anything."""
+    gate = F.when(geometry_passes, F.lit("geo:ok")).when(~geometry_passes, F.lit("geo:FAIL"))
+    judge = F.concat(F.lit("blind-judge observed: "), F.left(observed, F.lit(most)))
+    return F.concat(F.lit("auto-gate | "), note(gate, judge))
+
+
 def pivoted(df: DataFrame, by: str, column: str, values: list[str]) -> DataFrame:
     """A count for each value, 0 where there is none."""
     return df.groupBy(by).agg(*(F.count_if(F.col(column) == v).alias(v) for v in values))

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Ranges that a table is ordered in, at most, and the rows of one, about.
-RANGES, ROWS = 1024, 50_000
+from facetforge.operators.storing import kept
+
+#: Rows of a range of an ordered table, about.
+ROWS = 500_000
 
 
 def draw(seed: str | int, *key: str | Column) -> Column:
@@ -34,23 +36,24 @@ def quota(df: DataFrame, bucket: str, quotas: dict[str, int], *order: Column | s
     return ranked.where(F.col("_rank") <= allowed[F.col(bucket)]).drop("_rank")
 
 
-def ranges(df: DataFrame, lead: str) -> DataFrame:
-    """The rows with `_range`: ranges of the numeric column `lead` of about equal rows, in its order, nulls first."""
-    many = min(RANGES, max(1, df.count() // ROWS))
-    bounds = df.agg(F.percentile_approx(lead, [i / many for i in range(1, many)], 10 * RANGES)).first()[0] if many > 1 else []
-    steps = F.array(*(F.lit(b) for b in sorted(set(bounds or [])))).cast("array<double>")
-    return df.withColumn("_range", F.when(F.col(lead).isNull(), 0).otherwise(F.size(F.filter(steps, lambda b: b < F.col(lead)))))
+def ranges(df: DataFrame, lead: str, order: list[Column | str], rows: int) -> DataFrame:
+    """The rows with `_range`: as many ranges as the rows need, in the order of `lead` and `order`. Spark draws the bounds;
+    the rows are kept with their ranges, so that all that follows sees the same ones."""
+    many = -(-df.count() // rows)
+    if many <= 1:
+        return df.withColumn("_range", F.lit(0))
+    return kept(df.repartitionByRange(many, lead, *order).withColumn("_range", F.spark_partition_id()))
 
 
-def running(df: DataFrame, lead: str, order: list[Column | str], value: Column | str, name: str, by: tuple[str, ...] = ()) -> DataFrame:
-    """`name`: the sum of `value` over all rows up to and with this one, in the order of `lead` (numeric) and `order`; of
-    the rows with the same `by` only, if given.
+def running(df: DataFrame, lead: str, order: list[Column | str], value: Column | str, name: str, by: tuple[str, ...] = (), rows: int | None = None) -> DataFrame:
+    """`name`: the sum of `value` over all rows up to and with this one, in the order of `lead` and `order`, which together
+    tell rows apart; of the rows with the same `by` only, if given.
 
-    No task sees the whole table: ranges are summed, the sums of earlier ranges (a row for each of a bounded number and `by`) are
-    broadcast, and each range is added up by itself.
+    No task sees the whole table: ranges are summed, the sums of earlier ranges are joined back, a row for each range and
+    `by`, and each range is added up by itself.
     """
     value = F.col(value) if isinstance(value, str) else value
-    ranged = ranges(df.withColumn("_value", value), lead)
+    ranged = ranges(df.withColumn("_value", value), lead, order, rows or ROWS)
     before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     keys = ["_range", *by]
     sums = ranged.groupBy(*keys).agg(F.sum("_value").alias("_sum"))
@@ -59,25 +62,14 @@ def running(df: DataFrame, lead: str, order: list[Column | str], value: Column |
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
-    both = ranged.withColumn("_inside", inside).join(F.broadcast(sums), same)
+    both = ranged.withColumn("_inside", inside).join(sums, same)
     return both.withColumn(name, F.col("_before") + F.col("_inside")).drop("_range", "_value", "_before", "_inside", *(f"_of_{k}" for k in keys))
 
 
-def numbered(df: DataFrame, lead: str, *order: Column | str, name: str = "rn", by: tuple[str, ...] = ()) -> DataFrame:
-    """`name`: the place of each row, from 1, in the order of `lead` (numeric) and `order`, over the whole table or among
-    the rows with the same `by`."""
-    return running(df, lead, list(order), F.lit(1).cast("bigint"), name, by)
-
-
-def placed(df: DataFrame, path: str, lead: Column, by: str) -> DataFrame:
-    """The rows with `place`, from 1 in the order of the text column `path` among the rows with the same `by`. lead: a number
-    that never falls as the path rises, by which the rows are dealt out into ranges, so no group is sorted in one task."""
-    return numbered(df.withColumn("_lead", lead.cast("double")), "_lead", path, name="place", by=(by,)).drop("_lead")
-
-
-def leading(text: Column | str, first: int, n: int = 6) -> Column:
-    """n bytes of a text from the first-th on, as a number; what isn't there is 0."""
-    return F.conv(F.substring(F.concat(F.hex(F.encode(text, "utf-8")), F.lit("00" * (first + n))), 2 * first - 1, 2 * n), 16, 10).cast("double")
+def numbered(df: DataFrame, lead: str, *order: Column | str, name: str = "rn", by: tuple[str, ...] = (), rows: int | None = None) -> DataFrame:
+    """`name`: the place of each row, from 1, in the order of `lead` and `order`, over the whole table or among the rows with
+    the same `by`."""
+    return running(df, lead, list(order), F.lit(1).cast("bigint"), name, by, rows)
 
 
 def sharded(df: DataFrame, number: str, shards: int) -> DataFrame:

@@ -20,8 +20,8 @@ def part_stats(faces: DataFrame, asset: str = "sha", part: str = "pid", area: st
     whole = Window.partitionBy(asset)
     return parts.select(
         "*",
-        F.round(F.try_divide(F.col("area"), F.sum("area").over(whole)), 9).alias("share"),
-        F.round(F.col("n_faces") / F.sum("n_faces").over(whole), 9).alias("face_share"),
+        F.try_divide(F.col("area"), F.sum("area").over(whole)).alias("share"),
+        (F.col("n_faces") / F.sum("n_faces").over(whole)).alias("face_share"),
         (F.row_number().over(whole.orderBy("zmin", part)) == 1).alias("is_base"),
     )
 

@@ -304,3 +304,32 @@ def q_child_cases(spark: SparkSession, sf: str) -> DataFrame:
     tree = given_tree(spark, sf)[1].where("parent is not null")
     kids = tree.groupBy("sha", "parent").agg(F.array_join(F.sort_array(F.collect_list("pid")), ",").alias("kids"), F.count("*").alias("n"))
     return kids.orderBy(F.desc("n"), "sha", "parent").limit(20)
+
+
+@query(f"""WITH {FRONT_SQL}, s AS (SELECT o.sha, o.pid, max(coalesce(hits, 0) / cells) AS vis FROM (SELECT sha, v, pid, count(DISTINCT cu * 1000 + cv) AS cells FROM looks GROUP BY ALL) o
+  LEFT JOIN (SELECT sha, v, pid, count(*) AS hits FROM front GROUP BY ALL) h ON h.sha = o.sha AND h.v = o.v AND h.pid = o.pid GROUP BY o.sha, o.pid),
+{MESH_SQL}, p AS (SELECT sha, pid, count(*) AS n_faces, sum(area) AS area, min(mz) AS zmin FROM shape GROUP BY ALL),
+q AS (SELECT *, area / sum(area) OVER (PARTITION BY sha) AS share, row_number() OVER (PARTITION BY sha ORDER BY zmin, pid) = 1 AS is_base FROM p)
+SELECT q.sha, q.pid, n_faces, round(share, 6) AS area_share, round(vis, 6) AS vis FROM q JOIN s ON s.sha = q.sha AND s.pid = q.pid WHERE NOT is_base AND n_faces >= 5 AND share BETWEEN 0.03 AND 0.35 AND vis >= 0.3""")
+def q_usable_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts that can be edited: not the base, neither tiny nor large, with enough faces, and seen from somewhere."""
+    points, _ = body(spark, sf)
+    stats = selecting.part_stats(meshes.shaped(*mesh(spark, sf)), height="m_z")
+    rows = selecting.usable(stats, faces=5).join(geometry.visibility(points, 16), ["sha", "pid"]).where("vis >= 0.3")
+    return rows.select("sha", "pid", "n_faces", F.round("share", 6).alias("area_share"), F.round("vis", 6).alias("vis"))
+
+
+@query(f"""WITH {MESH_SQL}, v AS (SELECT vertices.*, label AS pid FROM vertices JOIN embeddings ON vec_id = vid), b AS (SELECT sha, min(z) lo, max(z) hi, avg(x) gx, avg(y) gy FROM v GROUP BY sha), m AS (SELECT sha, pid, avg(x) px, avg(y) py FROM v GROUP BY ALL),
+t AS (SELECT v.*, gx, gy, px, py, radians(40) * (z - lo) / greatest(hi - lo, 1e-6) AS a FROM v JOIN b ON b.sha = v.sha JOIN m ON m.sha = v.sha AND m.pid = v.pid)
+SELECT sha, vid, round(gx + (x - gx) * cos(a) - (y - gy) * sin(a), 6) AS whole_x, round(px + (x - px) * cos(a) - (y - py) * sin(a), 6) AS own_x FROM t""")
+def q_centre_scopes(spark: SparkSession, sf: str) -> DataFrame:
+    """A twist about the asset's centre, and about each mesh's own: two different edits."""
+    vertices, _ = mesh(spark, sf)
+    rows = vertices.join(table(spark, sf, "embeddings").select(F.col("vec_id").alias("vid"), F.col("label").alias("pid")), "vid")
+    box = geometry.bounds(rows, ["sha"], mean=True)
+    own = geometry.centroid(rows, ["sha", "pid"]).select("sha", "pid", F.col("c_x").alias("p_x"), F.col("c_y").alias("p_y"))
+    rows = rows.join(box, "sha").join(own, ["sha", "pid"])
+    t = (F.col("z") - F.col("lo_z")) / F.greatest(F.col("hi_z") - F.col("lo_z"), F.lit(1e-6))
+    x, y = F.col("x"), F.col("y")
+    sides = {"whole_x": geometry.twisted(x, y, t, F.col("c_x"), F.col("c_y"))[0], "own_x": geometry.twisted(x, y, t, F.col("p_x"), F.col("p_y"))[0]}
+    return rows.select("sha", "vid", *(F.round(v, 6).alias(k) for k, v in sides.items()))

@@ -22,9 +22,7 @@ def q_catalog_order(spark: SparkSession, sf: str) -> DataFrame:
     paths = table(spark, sf, "pages").select(F.col("url").alias("path")).distinct()
     rows = records.by_pattern(paths, "path", PATTERNS).withColumn("task", F.coalesce(F.get(F.split("path", "/"), 3), F.lit("")))
     rows = rows.where((F.col("task") != "es") & ~F.col("path").rlike("ref=x$"))
-    # The schemes differ in their fifth byte; the rest of the order is that of what follows them.
-    lead = ordering.leading("path", 5, 1) * 2.0**40 + ordering.leading(F.regexp_replace("path", "^https?://", ""), 1, 5)
-    return ordering.placed(rows, "path", lead, "pattern").select("path", "pattern", "task", "place")
+    return ordering.numbered(rows, "path", name="place", by=("pattern",)).select("path", "pattern", "task", "place")
 
 
 @query("""WITH f AS (SELECT l_orderkey AS sha, count(*) AS n, count(DISTINCT l_linenumber) AS labels, round(sum(l_extendedprice), 2) AS area FROM lineitem GROUP BY l_orderkey),
@@ -131,3 +129,39 @@ def q_trailing_after(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "conversations").select("conv_id", "turn", "role")
     before = rows.groupBy("conv_id").agg(F.count_if(F.col("role") == "user").alias("n_before"))
     return selecting.trailing(rows, before, "conv_id", "turn").select("conv_id", "turn", "role")
+
+
+@query("""WITH n AS (SELECT 'p' || p_partkey || '/' || CASE WHEN p_size % 2 = 0 THEN 'part' ELSE 'donor' END || '_ref.jpg' AS path, coalesce(CASE WHEN p_size % 7 <> 0 THEN lower(trim(p_name)) END, 'part') AS name FROM part),
+m AS (SELECT p_partkey, 'p' || p_partkey AS dir, CASE p_partkey % 3 WHEN 0 THEN 'remove the {PART}' WHEN 1 THEN 'replace the {PART} with a {DONOR_PART}' ELSE 'keep it' END AS t FROM part)
+SELECT p_partkey, replace(replace(t, '{PART}', coalesce(a.name, 'part')), '{DONOR_PART}', coalesce(b.name, a.name, 'part')) AS instruction FROM m LEFT JOIN n a ON a.path = dir || '/part_ref.jpg' LEFT JOIN n b ON b.path = dir || '/donor_ref.jpg'""")
+def q_name_fill(spark: SparkSession, sf: str) -> DataFrame:
+    """Instructions with the names that a model gave to two pictures of a pair, which may be missing or broken."""
+    part = table(spark, sf, "part")
+    kind = F.when(F.col("p_size") % 2 == 0, "part").otherwise("donor")
+    said = F.when(F.col("p_size") % 7 != 0, F.concat(F.lit("It is "), F.to_json(F.struct(F.col("p_name").alias("part"))))).otherwise(F.lit("no {idea}"))
+    names = part.select(F.concat(F.lit("p"), "p_partkey", F.lit("/"), kind, F.lit("_ref.jpg")).alias("path"), text.named(said).alias("name"))
+    template = F.get(F.array(F.lit("remove the {PART}"), F.lit("replace the {PART} with a {DONOR_PART}"), F.lit("keep it")), (F.col("p_partkey") % 3).cast("int"))
+    metas = part.select("p_partkey", F.concat(F.lit("p"), "p_partkey").alias("dir"), template.alias("template"))
+    for ref in ("part", "donor"):
+        own = names.select(F.col("path").alias(f"{ref}_path"), F.col("name").alias(ref))
+        metas = metas.join(own, F.concat("dir", F.lit(f"/{ref}_ref.jpg")) == F.col(f"{ref}_path"), "left")
+    slots = {"{PART}": F.coalesce("part", F.lit("part")), "{DONOR_PART}": F.coalesce("donor", "part", F.lit("part"))}
+    return metas.select("p_partkey", text.filled(F.col("template"), slots).alias("instruction"))
+
+
+@query("""WITH m AS (SELECT event_id, json_extract(props, '$.k')::INTEGER AS k FROM events) SELECT event_id, k + i AS key, i::INTEGER AS value, CASE WHEN 7 BETWEEN k AND k + 2 THEN 7 - k ELSE -1 END AS seventh FROM m, (VALUES (0), (1), (2)) v(i)""")
+def q_map_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Maps whose keys are written as texts, read as numbers; a key that may be missing has a default."""
+    k = F.from_json("props", "k int").k
+    written = F.concat(F.lit("{"), F.concat_ws(",", *(F.concat(F.lit('"'), k + i, F.lit(f'": {i}')) for i in range(3))), F.lit("}"))
+    rows = table(spark, sf, "events").select("event_id", F.transform_keys(F.from_json(written, "map<string,int>"), lambda key, _: key.cast("int")).alias("m"))
+    return rows.select("event_id", F.coalesce(F.try_element_at("m", F.lit(7)), F.lit(-1)).alias("seventh"), F.explode("m").alias("key", "value"))
+
+
+@query("""SELECT event_id, 'auto-gate | ' || concat_ws(' | ', CASE WHEN event_id % 3 = 0 THEN 'geo:ok' WHEN event_id % 3 = 1 THEN 'geo:FAIL' END, CASE WHEN event_id % 2 = 0 THEN 'blind-judge observed: ' || left(repeat(props, 20), 140) END) AS note,
+  CASE WHEN event_id % 3 = 1 THEN 'fail' WHEN event_id % 2 = 0 THEN 'pass' ELSE 'pending' END AS verdict FROM events""")
+def q_notes(spark: SparkSession, sf: str) -> DataFrame:
+    """What the gate and the judge said, where they said anything, and the verdict."""
+    i = F.col("event_id")
+    rows = table(spark, sf, "events").select("event_id", F.when(i % 3 != 2, i % 3 == 0).alias("geo_pass"), F.when(i % 2 == 0, "yes").alias("match"), F.when(i % 2 == 0, F.repeat("props", 20)).alias("observed"))
+    return rows.select("event_id", merging.gate_note(F.col("geo_pass"), F.col("observed")).alias("note"), merging.verdict(F.col("match"), F.col("geo_pass")).alias("verdict"))

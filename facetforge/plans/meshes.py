@@ -222,8 +222,7 @@ def q_deform_cycle(spark: SparkSession, sf: str) -> DataFrame:
     vertices, faces = mesh(spark, sf)
     clean = faces.groupBy("sha").agg(F.count("*").alias("n")).where(F.col("n").between(50, 200_000) & (F.col("sha") % 7 != 3))
     few = clean.orderBy("sha").limit(40)
-    ranked = few.withColumn("draw", F.conv(F.substring(ordering.draw(5, "sha"), 1, 13), 16, 10).cast("double"))
-    ranked = ordering.numbered(ranked, "draw", ordering.draw(5, "sha"), "sha")
+    ranked = ordering.numbered(few.withColumn("draw", ordering.draw(5, "sha")), "draw", "sha")
     ops = ranked.select("sha", F.get(F.array(*map(F.lit, ["twist", "taper", "bulge", "bend"])), ((F.col("rn") - 1) % 4).cast("int")).alias("op"))
     frame = geometry.bounds(vertices, ["sha"], mean=True)
     rows = vertices.join(ops, "sha").join(frame, "sha")

@@ -22,7 +22,8 @@ def faces(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stats(spark: SparkSession, sf: str) -> DataFrame:
-    return selecting.part_stats(faces(spark, sf))
+    rows = selecting.part_stats(faces(spark, sf))
+    return rows.withColumns({c: F.round(c, 9) for c in ("share", "face_share")})  # as the SQL has them
 
 
 @query(f"WITH {STATS_SQL} SELECT sha, pid, n_faces, face_share FROM stats WHERE face_share BETWEEN 0.13 AND 0.16 AND NOT is_base")

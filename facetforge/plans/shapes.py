@@ -90,7 +90,7 @@ LOOKS_SQL = " UNION ALL ".join(look(u, v, d, k) for k, (u, v, d) in enumerate([(
 h AS (SELECT sha, v, pid, count(*) AS hits FROM f GROUP BY ALL), o AS (SELECT sha, v, pid, count(DISTINCT cu * 1000 + cv) AS cells FROM s GROUP BY ALL)
 SELECT o.sha, o.pid, round(max(least(coalesce(hits, 0) / cells, 1.0)), 9) AS vis FROM o LEFT JOIN h ON h.sha = o.sha AND h.v = o.v AND h.pid = o.pid GROUP BY ALL""")
 def q_zbuffer(spark: SparkSession, sf: str) -> DataFrame:
-    return geometry.visibility(points(spark, sf), 16)
+    return geometry.visibility(points(spark, sf), 16).withColumn("vis", F.round("vis", 9))
 
 
 @query(f"""WITH {POINTS_SQL}, m AS (SELECT p.sha, p.sid, q.sid AS near_sid, sqrt((p.x - q.x) ** 2 + (p.y - q.y) ** 2 + (p.z - q.z) ** 2) AS d
@@ -212,8 +212,7 @@ def q_strings_misc(spark: SparkSession, sf: str) -> DataFrame:
 def q_naming_fill(spark: SparkSession, sf: str) -> DataFrame:
     """Names from a model's answers, some of which are broken; a broken answer is the default name."""
     answer = F.when(F.col("p_size") > 25, F.to_json(F.struct(F.col("p_name").alias("part")))).otherwise(F.lit("no {answer"))
-    name = F.coalesce(F.lower(F.trim(F.from_json(text.braced(answer), "part string").part)), F.lit("part"))
-    rows = table(spark, sf, "part").select("p_partkey", name.alias("name"))
+    rows = table(spark, sf, "part").select("p_partkey", text.named(answer).alias("name"))
     return rows.withColumn("instruction", text.filled(F.lit("remove the {PART}"), {"{PART}": F.col("name")}))
 
 
