@@ -6,6 +6,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: What stands before the material in an instruction.
+MATERIALS = ["Change the object's material to ", "Repaint the object in ", "Repaint the object with "]
+
+
+def without(text: Column, pieces: list[str]) -> Column:
+    """The text without any of the pieces."""
+    for piece in pieces:
+        text = F.replace(text, F.lit(piece), F.lit(""))
+    return text
+
+
 def filled(template: Column, values: dict[str, Column]) -> Column:
     """The template with each slot replaced by its value."""
     for slot, value in values.items():

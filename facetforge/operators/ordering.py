@@ -21,6 +21,11 @@ def uniform(seed: str | int, *key: str | Column) -> Column:
     return F.conv(F.substring(draw(seed, *key), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 
+def drawn(seed: str | int, n: Column, *key: str | Column) -> Column:
+    """A whole number from 0 to n - 1 by the first 32 bits of the draw."""
+    return F.conv(F.substring(draw(seed, *key), 1, 8), 16, 10).cast("bigint") % n
+
+
 def first_of(df: DataFrame, by: list[str], *order: Column | str, n: int = 1) -> DataFrame:
     """The first n rows of each group; Spark cuts groups down before it shuffles them."""
     rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))

@@ -333,3 +333,52 @@ def q_centre_scopes(spark: SparkSession, sf: str) -> DataFrame:
     x, y = F.col("x"), F.col("y")
     sides = {"whole_x": geometry.twisted(x, y, t, F.col("c_x"), F.col("c_y"))[0], "own_x": geometry.twisted(x, y, t, F.col("p_x"), F.col("p_y"))[0]}
     return rows.select("sha", "vid", *(F.round(v, 6).alias(k) for k, v in sides.items()))
+
+
+@query(f"""WITH {FRONT_SQL}, s AS (SELECT o.sha, o.pid, max(coalesce(hits, 0) / cells) AS vis FROM (SELECT sha, v, pid, count(DISTINCT cu * 1000 + cv) AS cells FROM looks GROUP BY ALL) o
+  LEFT JOIN (SELECT sha, v, pid, count(*) AS hits FROM front GROUP BY ALL) h ON h.sha = o.sha AND h.v = o.v AND h.pid = o.pid GROUP BY o.sha, o.pid),
+{MESH_SQL}, p AS (SELECT sha, pid, sum(area) AS area FROM shape GROUP BY ALL), q AS (SELECT *, area / sum(area) OVER (PARTITION BY sha) AS share FROM p),
+g AS (SELECT DISTINCT sha FROM points WHERE coalesce(CASE WHEN sha % 4 <> 3 THEN 4 END, 0) >= 4)
+SELECT q.sha, q.pid, round(share, 6) AS area_share, round(vis, 6) AS vis FROM q JOIN s ON s.sha = q.sha AND s.pid = q.pid JOIN g ON g.sha = q.sha WHERE share BETWEEN 0.05 AND 0.40 AND vis >= 0.3
+QUALIFY row_number() OVER (PARTITION BY q.sha ORDER BY round(vis * share, 12) DESC, q.pid) = 1""")
+def q_pick_part(spark: SparkSession, sf: str) -> DataFrame:
+    """The part to change in each asset that is complex enough: the one that is seen best and largest; a missing score counts
+    as none."""
+    points, _ = body(spark, sf)
+    parts = meshes.shaped(*mesh(spark, sf)).groupBy("sha", "pid").agg(F.sum("area").alias("area"))
+    whole = parts.groupBy("sha").agg(F.sum("area").alias("total"))
+    score = F.when(F.col("sha") % 4 != 3, F.lit(4))
+    rows = parts.join(whole, "sha").where(F.coalesce(score, F.lit(0)) >= 4).withColumn("share", F.col("area") / F.col("total")).where(F.col("share").between(0.05, 0.40))
+    rows = rows.join(geometry.visibility(points, 16), ["sha", "pid"]).where("vis >= 0.3")
+    best = ordering.first_of(rows, ["sha"], F.desc(F.round(F.col("vis") * F.col("share"), 12)), "pid")
+    return best.select("sha", "pid", F.round("share", 6).alias("area_share"), F.round("vis", 6).alias("vis"))
+
+
+@query(f"""WITH {MESH_SQL}, s AS (SELECT s.sha, fidx, pid, (mx - (lx + hx) / 2) / greatest(ex, ey, ez, 1e-9) x, (my - (ly + hy) / 2) / greatest(ex, ey, ez, 1e-9) y, (mz - (z0 + z1) / 2) / greatest(ex, ey, ez, 1e-9) z FROM shape s JOIN ext e ON e.sha = s.sha),
+t AS (SELECT sha, fidx, x + 0.01 * (fidx % 3) AS x, y, z FROM s WHERE fidx % 2 = 1),
+n AS (SELECT t.sha, t.fidx, s.pid FROM t JOIN s ON s.sha = t.sha AND s.fidx % 2 = 0 QUALIFY row_number() OVER (PARTITION BY t.fidx ORDER BY (t.x - s.x) ** 2 + (t.y - s.y) ** 2 + (t.z - s.z) ** 2, s.fidx) = 1)
+SELECT sha, count(*) FILTER (pid IN (1, 2)) AS hot, round(avg(CASE WHEN pid IN (1, 2) THEN 1.0 ELSE 0.0 END), 6) AS share FROM n GROUP BY sha HAVING avg(CASE WHEN pid IN (1, 2) THEN 1.0 ELSE 0.0 END) >= 0.15""")
+def q_label_transfer(spark: SparkSession, sf: str) -> DataFrame:
+    """Faces of another state take the part of the nearest face in a common frame; assets of which too little is the unit's
+    are left out."""
+    vertices, faces = mesh(spark, sf)
+    frame = geometry.bounds(vertices, ["sha"])
+    wide = F.greatest(*(F.col(f"hi_{a}") - F.col(f"lo_{a}") for a in AXES), F.lit(1e-9))
+    at = [((F.col(f"m_{a}") - (F.col(f"lo_{a}") + F.col(f"hi_{a}")) / 2) / wide).alias(a) for a in AXES]
+    unit = meshes.shaped(vertices, faces).join(frame, "sha").select("sha", F.col("fidx").alias("sid"), "pid", *at)
+    target = unit.where("sid % 2 = 1").withColumn("x", F.col("x") + 0.01 * (F.col("sid") % 3))
+    source = unit.where("sid % 2 = 0")
+    near = geometry.nearest(target, source, F.lit(True)).join(source.select("sha", F.col("sid").alias("near_sid"), "pid"), ["sha", "near_sid"])
+    hot = F.col("pid").isin(1, 2)
+    rows = near.groupBy("sha").agg(F.count_if(hot).alias("hot"), F.avg(hot.cast("double")).alias("share")).where("share >= 0.15")
+    return rows.select("sha", "hot", F.round("share", 6).alias("share"))
+
+
+@query(f"""WITH {FRONT_SQL}, {USABLE_SQL}, k AS (SELECT *, ['character', 'vehicle', 'creature', 'building'][sha % 4 + 1] AS category FROM unit)
+SELECT sha, name, category, round(share, 6) AS share FROM k WHERE category IN ('character', 'creature', 'animal') AND share <= 0.4""")
+def q_categories(spark: SparkSession, sf: str) -> DataFrame:
+    """Units small enough to be doubled, of assets of some kinds."""
+    kinds = F.array(*map(F.lit, ["character", "vehicle", "creature", "building"]))
+    rows = usable_units(spark, sf).withColumn("category", F.get(kinds, (F.col("sha") % 4).cast("int")))
+    rows = rows.where(F.col("category").isin("character", "creature", "animal") & (F.col("share") <= 0.4))
+    return rows.select("sha", "name", "category", F.round("share", 6).alias("share"))

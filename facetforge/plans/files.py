@@ -165,3 +165,33 @@ def q_notes(spark: SparkSession, sf: str) -> DataFrame:
     i = F.col("event_id")
     rows = table(spark, sf, "events").select("event_id", F.when(i % 3 != 2, i % 3 == 0).alias("geo_pass"), F.when(i % 2 == 0, "yes").alias("match"), F.when(i % 2 == 0, F.repeat("props", 20)).alias("observed"))
     return rows.select("event_id", merging.gate_note(F.col("geo_pass"), F.col("observed")).alias("note"), merging.verdict(F.col("match"), F.col("geo_pass")).alias("verdict"))
+
+
+@query("""WITH r AS (SELECT event_id, row_number() OVER (ORDER BY event_id) AS rn FROM events WHERE event_type <> 'error') SELECT event_id, rn FROM r WHERE (rn - 1) % 8 = 3 ORDER BY rn LIMIT 25""")
+def q_shard_limit(spark: SparkSession, sf: str) -> DataFrame:
+    """A shard's share of the rows first, and of that the first ones."""
+    rows = ordering.numbered(table(spark, sf, "events").where("event_type <> 'error'").select("event_id"), "event_id")
+    return ordering.sharded(rows, "rn", 8).where("shard = 3").orderBy("rn").limit(25).select("event_id", "rn")
+
+
+@query("""WITH n AS (SELECT o_custkey, list(o_orderkey ORDER BY o_orderkey) AS own FROM orders GROUP BY o_custkey)
+SELECT o_custkey, own[(('0x' || left(md5('9:' || o_custkey), 8))::UBIGINT % len(own) + 1)::BIGINT] AS picked FROM n""")
+def q_uniform_pick(spark: SparkSession, sf: str) -> DataFrame:
+    """One of each group's rows, each as likely as the others, without gathering the group: the row at a drawn place."""
+    rows = table(spark, sf, "orders").select("o_custkey", "o_orderkey")
+    n = rows.groupBy("o_custkey").agg(F.count("*").alias("n"))
+    place = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    ranked = rows.withColumn("rn", place).join(n, "o_custkey")
+    return ranked.where(F.col("rn") == ordering.drawn(9, F.col("n"), "o_custkey") + 1).select("o_custkey", F.col("o_orderkey").alias("picked"))
+
+
+@query("""WITH i AS (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'Change the object''s material to ' || p_name WHEN 1 THEN 'Repaint the object in ' || p_name WHEN 2 THEN 'Repaint the object with ' || p_name ELSE 'CHANGE ONLY the top to ' || p_name END || '. Keep the shape.' AS t FROM part),
+c AS (SELECT p_partkey, split_part(t, '. Keep', 1) AS t FROM i)
+SELECT p_partkey, starts_with(lower(t), 'change only') AS targeted, CASE WHEN starts_with(lower(t), 'change only') THEN t ELSE 'change the material of the {PART} to ' || replace(replace(replace(t, 'Change the object''s material to ', ''), 'Repaint the object in ', ''), 'Repaint the object with ', '') END AS instruction FROM c""")
+def q_material_strip(spark: SparkSession, sf: str) -> DataFrame:
+    """An instruction without its tail; if it isn't a targeted one, its material in a template."""
+    starts = F.array(F.lit("Change the object's material to "), F.lit("Repaint the object in "), F.lit("Repaint the object with "), F.lit("CHANGE ONLY the top to "))
+    said = F.concat(F.get(starts, (F.col("p_partkey") % 4).cast("int")), F.col("p_name"), F.lit(". Keep the shape."))
+    rows = table(spark, sf, "part").select("p_partkey", text.before(said, ". Keep").alias("t"))
+    targeted = F.lower("t").startswith("change only")
+    return rows.select("p_partkey", targeted.alias("targeted"), F.when(targeted, F.col("t")).otherwise(F.concat(F.lit("change the material of the {PART} to "), text.without(F.col("t"), text.MATERIALS))).alias("instruction"))
