@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from facetforge.functions import text
 from facetforge.operators import forest, gates, geometry, meshes, ordering, selecting
 from facetforge.operators.geometry import AXES
-from facetforge.plans.meshes import MESH_SQL, in_turn, mesh, rounded
+from facetforge.plans.meshes import MESH_SQL, in_turn, mesh
 from facetforge.plans.registry import query, table
 from facetforge.plans.shapes import BOX_SQL, LOOKS_SQL
 
