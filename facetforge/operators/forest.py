@@ -6,12 +6,14 @@ smaller pid), the box lo_, hi_. Pairs are of parts of one asset, of which there
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from facetforge.operators.geometry import AXES, bounds, overlap, within
 from facetforge.operators.graphs import clusters, reached
+from facetforge.operators.meshes import sampled, shaped, winding
 from facetforge.operators.ordering import strided
+from facetforge.operators.storing import kept
 
 #: The shares of points that make a part inside another or attached to it; how large an attached part may
 #: be against the other; contact and overlap that join shells; the seam's points and angle; how near is touching.
@@ -74,6 +76,15 @@ def candidates(parts: DataFrame, size: float = SIZE) -> DataFrame:
     return rows.select("p.sha", F.col("p.pid").alias("large"), F.col("q.pid").alias("small"), F.col("p.place").alias("place"), (F.col("q.area") <= size * F.col("p.area")).alias("far_smaller"))
 
 
+def insides(points: DataFrame, shapes: DataFrame, pairs: DataFrame, asked: int = TRIED) -> DataFrame:
+    """sha, large, small, inside: the share of the small part's points that the large part's surface winds about. Each point
+    meets all faces of the part it is asked about, so pairs should be candidates."""
+    ask = strided(points, ["sha", "pid"], asked, "sid").select("sha", F.col("pid").alias("small"), "sid", *AXES)
+    rows = ask.join(pairs.select("sha", "large", "small"), ["sha", "small"])
+    turns = winding(shapes.withColumnRenamed("pid", "large"), rows, ["sha", "large"])
+    return turns.groupBy("sha", "large", "small").agg(F.avg((F.abs("winding") > 0.5).cast("double")).alias("inside"))
+
+
 def parents(pairs: DataFrame, inside: float = INSIDE) -> DataFrame:
     """sha, pid, parent, rule, score: of the candidates of a part (sha, small, large, place, far_smaller, inside, contact)
     the one with the best share; of equal ones the largest part. A part without one has none."""
@@ -117,10 +128,18 @@ def units(groups: DataFrame, colors: DataFrame, members: DataFrame) -> DataFrame
     return rows.groupBy("sha", "name").agg(F.sort_array(F.collect_set("pid")).alias("pids"))
 
 
-def forest(points: DataFrame, areas: DataFrame, inside: Column | DataFrame | None = None, least: int = POINTS) -> tuple[DataFrame, DataFrame, DataFrame]:
+def of_mesh(vertices: DataFrame, faces: DataFrame, n: int = 40_000, seed: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The forest of meshes, from n points on each asset's surface."""
+    shapes = shaped(vertices, faces)
+    points = kept(sampled(shapes, n, seed).select("sha", "sid", *AXES, *(F.col(f"n_{a}").alias(f"n{a}") for a in AXES), "pid"))
+    areas = shapes.groupBy("sha", "pid").agg(F.sum("area").alias("area"))
+    return forest(points, areas, insides(points, shapes, candidates(measured(points, areas))))
+
+
+def forest(points: DataFrame, areas: DataFrame, inside: DataFrame | None = None, least: int = POINTS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """cluster (sha, pid, cluster), tree (sha, pid, parent, rule, score; parent null at the top), and group (sha, root,
     node) of all parts. inside: sha, large, small, inside, the share of a part's points inside another, where known."""
-    parts = measured(points, areas, least)
+    parts = kept(measured(points, areas, least))
     bonds = joined(points, parts).where("together").select("sha", F.col("large").alias("first"), F.col("small").alias("second"), "n1", "n2")
     cluster = clusters(parts.select("sha", "pid"), bonds)
     pairs = candidates(parts)

@@ -169,6 +169,14 @@ def test_a_forest_of_boxes(spark):
     assert legend == {0: 0, 1: 0, 2: 0, 3: 3}
 
 
+def test_the_forest_of_a_mesh(spark):
+    """A cube inside a cube is its child by the winding number; one far off is nobody's."""
+    vertices, faces = tables(spark, cube("a"), cube("a", (0.4, 0.3, 0.4), 0.3, pid=1, first=8, face=12), cube("a", (3.0, 3.0, 3.0), 0.4, pid=2, first=16, face=24))
+    cluster, tree, group = forest.of_mesh(vertices, faces, 3000)
+    assert {r.pid: (r.parent, r.rule, r.score) for r in tree.collect()} == {0: (None, None, None), 1: (0, "inside", 1.0), 2: (None, None, None)}
+    assert {(r.root, r.node) for r in group.collect()} == {(0, 0), (0, 1), (1, 1), (2, 2)} and cluster.count() == 3
+
+
 def test_two_hugging_shells_are_one_cluster(spark):
     points = body(spark, shell((0, 0, 0), 1.0, 0, 0) + shell((0.001, 0.001, 0.001), 1.0, 1, 1000))
     areas = spark.createDataFrame([("a", 0, 6.0), ("a", 1, 5.9)], "sha string, pid int, area double")
