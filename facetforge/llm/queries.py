@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facetforge.llm import additive, bpe, chaining, langid, packing, quality, simhash, spotsigs, suffixes, toxicity
+from facetforge.llm import additive, bpe, centroids, chaining, langid, packing, quality, simhash, spotsigs, suffixes, toxicity
 from facetforge.llm.common import documents, fold, labels, tuned
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -85,7 +85,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_spotsigs": op1_spotsigs, "op2_additive": op2_additive, "op3_quality": op3_quality, "op4_chaining": op4_chaining, "op5_language": op5_language, "op8_toxicity": op8_toxicity, "op6_byte_bpe": op6_byte_bpe, "op7_simhash": op7_simhash, "op9_packing": op9_packing, "op10_suffix_dedup": op10_suffix_dedup}
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.with_inertia(*centroids.clustered(tuned(spark).read.parquet(f"{sf_dir}/embeddings.parquet")))
+
+
+QUERIES = {"op1_spotsigs": op1_spotsigs, "op2_additive": op2_additive, "op3_quality": op3_quality, "op4_chaining": op4_chaining, "op5_language": op5_language, "op8_toxicity": op8_toxicity, "op6_byte_bpe": op6_byte_bpe, "op7_simhash": op7_simhash, "op9_packing": op9_packing, "op10_suffix_dedup": op10_suffix_dedup, "op11_centroids": op11_centroids}
 COMMON = ", ".join(f"'{w}'" for w in sorted(set(spotsigs.ANTECEDENTS)))
 #: Signatures of three texts of each document: its own, the edited one and the next document's.
 OP1_SQL = f"""
@@ -118,4 +122,24 @@ SELECT doc_id, n_chars, edited_sha256, sha256(array_to_string(a, chr(10))) AS fi
   len(a)::INTEGER AS n_signatures, floor(ln(len(a)) / ln(1.25) + 1e-9)::INTEGER AS length_partition
 FROM g
 """
-ORACLES: dict[str, str] = {"op1_spotsigs": OP1_SQL}
+
+
+def op11_sql(size: int = 64, clusters: int = 8, rounds: int = 10) -> str:
+    """All rounds one after another, each comparing every vector with every centroid."""
+    near = """a{r} AS MATERIALIZED (SELECT vec_id, q, min_by(k, (d, k)) AS k, min(d) AS d FROM (
+  SELECT vec_id, q, c.k, list_sum(list_transform(list_zip(q, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM v, c{r} c) GROUP BY vec_id, q)"""
+    move = """u{r} AS (SELECT k, i, sum(x)::HUGEINT AS s, count(*) AS n FROM (SELECT k, unnest(q) AS x, unnest(range({size})) AS i FROM a{r}) GROUP BY k, i),
+m{r} AS (SELECT k, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS c FROM u{r} GROUP BY k),
+c{next} AS MATERIALIZED (SELECT o.k, coalesce(m.c, o.c) AS c FROM c{r} o LEFT JOIN m{r} m ON m.k = o.k)"""
+    steps = [f"""v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""", f"""c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY h, q) - 1)::INTEGER AS k, q AS c FROM (
+  SELECT q, sha256('3:' || vec_id) AS h FROM v WHERE vec_id IS NOT NULL ORDER BY h, q LIMIT {clusters}))"""]
+    for r in range(rounds):
+        steps += [near.format(r=r), move.format(r=r, next=r + 1, size=size)]
+    steps.append(near.format(r=rounds))
+    return f"""WITH {", ".join(steps)}
+SELECT a.vec_id, a.k AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a.k))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(c.c, ',')) AS centroid_sha256 FROM a{rounds} a JOIN c{rounds} c ON c.k = a.k"""
+
+
+ORACLES: dict[str, str] = {"op1_spotsigs": OP1_SQL, "op11_centroids": op11_sql()}
