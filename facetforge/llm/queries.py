@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facetforge.llm import additive, bpe, centroids, chaining, langid, packing, quality, simhash, spotsigs, suffixes, toxicity
+from facetforge.llm import additive, bpe, centroids, chaining, langid, packing, phrases, quality, simhash, spotsigs, suffixes, toxicity
 from facetforge.llm.common import documents, fold, labels, tuned
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -89,7 +89,11 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.with_inertia(*centroids.clustered(tuned(spark).read.parquet(f"{sf_dir}/embeddings.parquet")))
 
 
-QUERIES = {"op1_spotsigs": op1_spotsigs, "op2_additive": op2_additive, "op3_quality": op3_quality, "op4_chaining": op4_chaining, "op5_language": op5_language, "op8_toxicity": op8_toxicity, "op6_byte_bpe": op6_byte_bpe, "op7_simhash": op7_simhash, "op9_packing": op9_packing, "op10_suffix_dedup": op10_suffix_dedup, "op11_centroids": op11_centroids}
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
+QUERIES = {"op1_spotsigs": op1_spotsigs, "op2_additive": op2_additive, "op3_quality": op3_quality, "op4_chaining": op4_chaining, "op5_language": op5_language, "op8_toxicity": op8_toxicity, "op6_byte_bpe": op6_byte_bpe, "op7_simhash": op7_simhash, "op9_packing": op9_packing, "op10_suffix_dedup": op10_suffix_dedup, "op11_centroids": op11_centroids, "op13_phrases": op13_phrases}
 COMMON = ", ".join(f"'{w}'" for w in sorted(set(spotsigs.ANTECEDENTS)))
 #: Signatures of three texts of each document: its own, the edited one and the next document's.
 OP1_SQL = f"""
@@ -142,4 +146,24 @@ SELECT a.vec_id, a.k AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a.k))
   sha256(array_to_string(c.c, ',')) AS centroid_sha256 FROM a{rounds} a JOIN c{rounds} c ON c.k = a.k"""
 
 
-ORACLES: dict[str, str] = {"op1_spotsigs": OP1_SQL, "op11_centroids": op11_sql()}
+#: Every run of one to four words inside a piece, by its text.
+OP13_SQL = """
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang,
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d
+), w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w FROM p
+), g AS (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase FROM w, range(1, 5) s(m) WHERE len(w) >= m
+), f AS MATERIALIZED (SELECT lang, m, phrase, string_split(phrase, ' ') AS w, count(*) AS f FROM g GROUP BY lang, m, phrase HAVING count(*) >= 30
+), n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang
+), c AS (SELECT lang, phrase, w, m, f AS a, unnest(range(1, m)) AS k FROM f WHERE m > 1
+), s AS (SELECT c.lang, c.phrase, c.w, c.m, a, k, l.f AS l, r.f AS r, (2000000::HUGEINT * a // (l.f + r.f))::BIGINT AS score
+  FROM c JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ') JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:], ' ')
+), b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), i AS (SELECT lang, f, unnest(list_transform(range(1, m - z + 2), lambda x: array_to_string(w[x:x + z - 1], ' '))) AS phrase FROM f, range(2, 4) q(z) WHERE m > z
+), x AS (SELECT lang, phrase, max(f) AS longer FROM i GROUP BY lang, phrase
+), r AS (SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r, score
+  FROM b LEFT JOIN x ON x.lang = b.lang AND x.phrase = b.phrase WHERE longer IS NULL OR 100 * longer::HUGEINT < 80 * a::HUGEINT)
+SELECT r.lang, rank, phrase, a, l, r, n, score FROM r JOIN n ON n.lang = r.lang WHERE rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {"op1_spotsigs": OP1_SQL, "op11_centroids": op11_sql(), "op13_phrases": OP13_SQL}
