@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facetforge.llm import additive, bpe, centroids, chaining, langid, packing, phrases, quality, simhash, spotsigs, suffixes, toxicity
+from facetforge.llm import additive, bpe, centroids, chaining, langid, packing, phrases, pst, quality, simhash, spotsigs, suffixes, toxicity
 from facetforge.llm.common import documents, fold, labels, tuned
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -89,11 +89,17 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.with_inertia(*centroids.clustered(tuned(spark).read.parquet(f"{sf_dir}/embeddings.parquet")))
 
 
+def op12_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pst.scored(documents(spark, sf_dir), fold(F.col("doc_id"), 7) != 2)
+    held_out = (fold(F.col("doc_id"), 7) == 2).alias("held_out")
+    return found.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(documents(spark, sf_dir))
 
 
-QUERIES = {"op1_spotsigs": op1_spotsigs, "op2_additive": op2_additive, "op3_quality": op3_quality, "op4_chaining": op4_chaining, "op5_language": op5_language, "op8_toxicity": op8_toxicity, "op6_byte_bpe": op6_byte_bpe, "op7_simhash": op7_simhash, "op9_packing": op9_packing, "op10_suffix_dedup": op10_suffix_dedup, "op11_centroids": op11_centroids, "op13_phrases": op13_phrases}
+QUERIES = {"op1_spotsigs": op1_spotsigs, "op2_additive": op2_additive, "op3_quality": op3_quality, "op4_chaining": op4_chaining, "op5_language": op5_language, "op8_toxicity": op8_toxicity, "op6_byte_bpe": op6_byte_bpe, "op7_simhash": op7_simhash, "op9_packing": op9_packing, "op10_suffix_dedup": op10_suffix_dedup, "op11_centroids": op11_centroids, "op12_suffix_tree": op12_suffix_tree, "op13_phrases": op13_phrases}
 COMMON = ", ".join(f"'{w}'" for w in sorted(set(spotsigs.ANTECEDENTS)))
 #: Signatures of three texts of each document: its own, the edited one and the next document's.
 OP1_SQL = f"""
@@ -146,6 +152,29 @@ SELECT a.vec_id, a.k AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a.k))
   sha256(array_to_string(c.c, ',')) AS centroid_sha256 FROM a{rounds} a JOIN c{rounds} c ON c.k = a.k"""
 
 
+#: crc32 of doc_id as text, bit by bit: after each byte eight steps, marked by -1.
+CRC_SQL = """xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+  lambda ch: list_prepend(ascii(ch)::BIGINT, [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])))),
+  lambda a, v: CASE WHEN v >= 0 THEN xor(a, v) ELSE xor(a >> 1, (a & 1) * 3988292384) END), 4294967295)"""
+#: Each token with the one and the two before it, and the tree's states as three joins.
+OP12_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, {CRC_SQL} % 7 <> 2 AS train,
+  list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), t AS MATERIALIZED (SELECT id, train, i, CASE WHEN i <= len(w) THEN w[i] ELSE '' END AS w, CASE WHEN i > 1 THEN w[i - 1] END AS x, CASE WHEN i > 2 THEN w[i - 2] END AS y FROM d, unnest(range(1, len(w) + 2)) r(i)
+), c AS MATERIALIZED (SELECT w, count(*) AS c FROM t WHERE train GROUP BY w
+), n AS (SELECT coalesce(sum(c), 0)::BIGINT AS n, count(*) AS v FROM c
+), p AS MATERIALIZED (SELECT t.*, c.c, (coalesce(c.c, 0) + 1) / (n.n + n.v + 1) AS p FROM t LEFT JOIN c ON c.w = t.w, n
+), g1 AS MATERIALIZED (SELECT x, w, count(*) AS n, any_value(p) AS p FROM p WHERE train AND x IS NOT NULL GROUP BY x, w
+), s1 AS MATERIALIZED (SELECT x, sum(n)::BIGINT AS n, count(*) AS d FROM g1 GROUP BY x HAVING sum(n) >= 32 AND sum(n * ln(n / p)) - sum(n) * ln(sum(n)) >= 0.5 * count(*) * ln(sum(n))
+), q AS MATERIALIZED (SELECT p.*, s1.x IS NOT NULL AS stays, CASE WHEN s1.x IS NULL THEN p.p ELSE (coalesce(g1.n, 0) + s1.d * p.p) / (s1.n + s1.d) END AS q
+  FROM p LEFT JOIN s1 ON s1.x = p.x LEFT JOIN g1 ON g1.x = p.x AND g1.w = p.w
+), g2 AS MATERIALIZED (SELECT y, x, w, count(*) AS n, any_value(q) AS q FROM q WHERE train AND stays AND y IS NOT NULL GROUP BY y, x, w
+), s2 AS MATERIALIZED (SELECT y, x, sum(n)::BIGINT AS n, count(*) AS d FROM g2 GROUP BY y, x HAVING sum(n) >= 32 AND sum(n * ln(n / q)) - sum(n) * ln(sum(n)) >= 0.5 * count(*) * ln(sum(n))
+), r AS (SELECT q.*, CASE WHEN s2.x IS NULL THEN q.q ELSE (coalesce(g2.n, 0) + s2.d * q.q) / (s2.n + s2.d) END AS r
+  FROM q LEFT JOIN s2 ON s2.x = q.x AND s2.y = q.y LEFT JOIN g2 ON g2.x = q.x AND g2.y = q.y AND g2.w = q.w
+), z AS (SELECT id, count(*) AS n_tokens, count(c) AS n_known, sum(round(log10(p) * 1e9)::BIGINT)::BIGINT / 1e9 AS base_score, sum(round(log10(r) * 1e9)::BIGINT)::BIGINT / 1e9 AS score FROM r GROUP BY id)
+SELECT d.doc_id, NOT d.train AS held_out, n_tokens, n_known, n.n AS train_tokens, base_score, score FROM d JOIN z ON z.id = d.id, n
+"""
 #: Every run of one to four words inside a piece, by its text.
 OP13_SQL = """
 WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang,
@@ -166,4 +195,4 @@ WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang,
 SELECT r.lang, rank, phrase, a, l, r, n, score FROM r JOIN n ON n.lang = r.lang WHERE rank <= 2000
 """
 
-ORACLES: dict[str, str] = {"op1_spotsigs": OP1_SQL, "op11_centroids": op11_sql(), "op13_phrases": OP13_SQL}
+ORACLES: dict[str, str] = {"op1_spotsigs": OP1_SQL, "op11_centroids": op11_sql(), "op12_suffix_tree": OP12_SQL, "op13_phrases": OP13_SQL}
