@@ -6,8 +6,9 @@ Every string of that length holds an anchor: the k-gram with the smallest hash a
 string alone. So two equal strings have equal anchors at the same place, and both lie in the anchors' contexts (the
 k-gram and length - k bytes on either side). Documents are compared bucket by bucket, a bucket being an anchor's hash:
 
-1. Equal contexts are settled by their hashes (128 bits, by two ways of mixing): of the documents that have one, only the
-   smallest keeps it. A bucket that a sample of the documents shows to be hot is dealt out over several tasks by
+1. Equal contexts are settled by 80 bits of hashes whose keys are drawn anew for each run: multilinear ones, so that any two
+   different contexts, whoever chose them, agree with a probability of 2^-80, and only those of one bucket are compared. Of
+   the documents that have one, only the smallest keeps it. A bucket that a sample of the documents shows to be hot is dealt out over several tasks by
    documents; each settles its part, and what is left of all parts is aggregated.
 2. The different contexts of a bucket, each with its smallest document, are suffix-sorted. A stack scan over the common
    prefixes builds the interval tree from below; an interval at least `length` deep whose suffixes have different bytes
@@ -23,6 +24,7 @@ length are treated whole; other columns are ignored; an empty table gives an emp
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -72,15 +74,19 @@ def rolling(padded: np.ndarray, size: int) -> np.ndarray:
     return got ^ (got >> np.uint64(32))
 
 
-def stirred(rows: np.ndarray, seed: int) -> np.ndarray:
-    """A hash of each row of bytes, a multiple of eight: every eight are mixed in by products and shifts in turn, so that
-    no sum of differences cancels out, as it can in a rolling hash."""
-    got = np.full(len(rows), seed, np.uint64)
-    for word in np.ascontiguousarray(rows).view("<u8").T:
-        got = (got ^ word) * np.uint64(0x9E3779B97F4A7C15)
-        got = (got ^ (got >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        got ^= got >> np.uint64(32)
-    return got
+def drawn(length: int) -> np.ndarray:
+    """Keys for contexts of strings of that length: for each of three hashes one for every four bytes, and one more."""
+    words = -(-(2 * length - GRAM) // 4)
+    return np.frombuffer(os.urandom(24 * (words + 1)), np.uint64).reshape(3, -1)
+
+
+def keyed(rows: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """A 32-bit hash of each row of bytes (a multiple of four): the upper half of the sum of its words times their keys,
+    which is uniform over all keys for any row, and for any two rows independent."""
+    got = np.full(len(rows), keys[-1], np.uint64)
+    for word, key in zip(np.ascontiguousarray(rows).view("<u4").T, keys, strict=False):
+        got += word.astype(np.uint64) * key
+    return got >> np.uint64(32)
 
 
 def sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
@@ -93,10 +99,10 @@ class Anchors:
     """The anchors of some texts, which stand one after another with edges around each.
 
     doc: the text of each anchor; at: where its gram starts; g: 48 bits of the gram's hash (the bucket) over 16 of the
-    context's second; c: the first hash of the context.
+    context's third; c: the first and second hash of the context.
     """
 
-    def __init__(self, raws: list[bytes], length: int):
+    def __init__(self, raws: list[bytes], length: int, keys: np.ndarray):
         margin = length - GRAM
         width = length + margin
         size = np.fromiter(map(len, raws), np.int64, len(raws))
@@ -115,10 +121,11 @@ class Anchors:
         self.at = np.flatnonzero(chosen & (crossed[GRAM:] == crossed[:-GRAM]))
         self.doc = np.searchsorted(self.stop, self.at, side="right")
         around = np.lib.stride_tricks.sliding_window_view(self.bytes, width)[self.at - margin]
-        around = np.pad(around, ((0, 0), (0, -width % 8)))
-        self.c = stirred(around, 1).view(np.int64)
+        around = np.pad(around, ((0, 0), (0, -width % 4)))
+        first, second, third = (keyed(around, k) for k in keys)
+        self.c = (first << np.uint64(32) | second).view(np.int64)
         low = np.uint64(0xFFFF)
-        self.g = (grams[self.at] & ~low | stirred(around, 2) & low).view(np.int64)
+        self.g = (grams[self.at] & ~low | third & low).view(np.int64)
 
 
 def chunked(texts: list[str | None], most: int = 1 << 16) -> Iterator[tuple[int, list[bytes]]]:
@@ -143,7 +150,7 @@ def bucket() -> Column:
     return F.shiftright("g", 16)
 
 
-def anchor_rows(rows: DataFrame, length: int, parts: dict[int, int] | None = None) -> DataFrame:
+def anchor_rows(rows: DataFrame, length: int, keys: np.ndarray, parts: dict[int, int] | None = None) -> DataFrame:
     """doc, g, c: the anchors of each document and the hashes of their contexts, each pair once a document; part: 0, or of
     a bucket that `parts` has in so many parts the document's, from 1."""
     hot = sorted(parts or {})
@@ -154,7 +161,7 @@ def anchor_rows(rows: DataFrame, length: int, parts: dict[int, int] | None = Non
         for batch in batches:
             ids = batch.column("doc").to_numpy(zero_copy_only=False)
             for first, raws in chunked(batch.column("text").to_pylist()):
-                found = Anchors(raws, length)
+                found = Anchors(raws, length, keys)
                 once = np.unique(mixed(found.doc, found.g, found.c), return_index=True)[1]
                 doc, g, c = ids[first + found.doc[once]], found.g[once], found.c[once]
                 part = np.zeros(len(g), np.int64)
@@ -167,20 +174,20 @@ def anchor_rows(rows: DataFrame, length: int, parts: dict[int, int] | None = Non
     return rows.where("doc is not null").mapInArrow(run, "doc long, g long, c long, part long")
 
 
-def hot_buckets(rows: DataFrame, length: int) -> dict[int, int]:
+def hot_buckets(rows: DataFrame, length: int, keys: np.ndarray) -> dict[int, int]:
     """The buckets that hold very many documents, as a sample of the documents shows, and in how many parts each is dealt
     out. At most HOT buckets."""
     few = rows.where(F.pmod(F.xxhash64("doc"), F.lit(SHARE)) == 0)
-    counts = anchor_rows(few, length).groupBy(bucket().alias("h")).agg(F.count("*").alias("n")).where(F.col("n") >= LEAST)
+    counts = anchor_rows(few, length, keys).groupBy(bucket().alias("h")).agg(F.count("*").alias("n")).where(F.col("n") >= LEAST)
     return {r.h: -(-r.n * SHARE // PART) for r in counts.orderBy(F.desc("n"), "h").limit(HOT).collect()}
 
 
-def shared_anchors(rows: DataFrame, length: int) -> DataFrame:
+def shared_anchors(rows: DataFrame, length: int, keys: np.ndarray) -> DataFrame:
     """doc, g, c, whole, size: anchors whose whole context a smaller document has (whole), and those of the smallest
     document with a context in a bucket where other documents have other contexts; size: different contexts of the bucket."""
-    parts = hot_buckets(rows, length)
+    parts = hot_buckets(rows, length, keys)
     own, context = Window.partitionBy("h", "part"), Window.partitionBy("h", "part", "g", "c")
-    found = anchor_rows(rows, length, parts).repartition(bucket(), "part").withColumn("h", bucket())
+    found = anchor_rows(rows, length, keys, parts).repartition(bucket(), "part").withColumn("h", bucket())
     found = found.withColumn("whole", F.col("doc") > F.min("doc").over(context))
     found = found.select(
         "*", F.min("doc").over(own).alias("low"), F.max("doc").over(own).alias("high"), F.sum((~F.col("whole")).cast("long")).over(own).alias("size")
@@ -205,7 +212,7 @@ def gathered(texts: DataFrame, found: DataFrame, columns: list[str]) -> DataFram
     return texts.join(lists.withColumnRenamed("doc", "of"), F.col("doc") == F.col("of"), "left").drop("of")
 
 
-def looked_up(batch: pa.RecordBatch, length: int) -> Iterator[tuple[int, list[bytes], Anchors, np.ndarray, np.ndarray]]:
+def looked_up(batch: pa.RecordBatch, length: int, keys: np.ndarray) -> Iterator[tuple[int, list[bytes], Anchors, np.ndarray, np.ndarray]]:
     """Groups of the batch's texts: the first's number, the texts, their anchors, which anchors were found, and where in
     the flattened lists they are."""
     lists = batch.column("found")
@@ -215,19 +222,19 @@ def looked_up(batch: pa.RecordBatch, length: int) -> Iterator[tuple[int, list[by
     upto = np.concatenate(([0], np.cumsum(many)))
     texts = [t if n else None for t, n in zip(batch.column("text").to_pylist(), many.tolist(), strict=True)]
     for first, raws in chunked(texts):
-        anchors = Anchors(raws, length)
+        anchors = Anchors(raws, length, keys)
         own = slice(upto[first], upto[first + len(raws)])
         wanted = mixed(np.repeat(np.arange(len(raws)), many[first : first + len(raws)]), g[own], c[own])
         order = np.argsort(wanted, kind="stable")
-        keys = mixed(anchors.doc, anchors.g, anchors.c)
-        place = np.searchsorted(wanted, keys, sorter=order)
-        place = order[np.minimum(place, len(order) - 1)] if len(order) else np.zeros(len(keys), np.int64)
-        same = (wanted[place] == keys) & (c[own][place] == anchors.c) & (g[own][place] == anchors.g) if len(order) else np.zeros(len(keys), bool)
+        had = mixed(anchors.doc, anchors.g, anchors.c)
+        place = np.searchsorted(wanted, had, sorter=order)
+        place = order[np.minimum(place, len(order) - 1)] if len(order) else np.zeros(len(had), np.int64)
+        same = (wanted[place] == had) & (c[own][place] == anchors.c) & (g[own][place] == anchors.g) if len(order) else np.zeros(len(had), bool)
         hit = np.flatnonzero(same)
         yield first, raws, anchors, hit, place[hit] + upto[first]
 
 
-def contexts(texts: DataFrame, found: DataFrame, length: int) -> DataFrame:
+def contexts(texts: DataFrame, found: DataFrame, length: int, keys: np.ndarray) -> DataFrame:
     """doc, g, c, context, size of the anchors in `found`; low, high: the part of the context inside the text."""
     width, margin = 2 * length - GRAM, length - GRAM
 
@@ -235,7 +242,7 @@ def contexts(texts: DataFrame, found: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             ids = batch.column("doc").to_numpy(zero_copy_only=False)
             sizes = batch.column("found").flatten().field("size").to_numpy(zero_copy_only=False)
-            for first, _, anchors, hit, place in looked_up(batch, length):
+            for first, _, anchors, hit, place in looked_up(batch, length, keys):
                 once = np.unique(place, return_index=True)[1]
                 hit, place = hit[once], place[once]
                 at, doc = anchors.at[hit] - margin, anchors.doc[hit]
@@ -339,9 +346,10 @@ def marks(found: DataFrame, length: int) -> DataFrame:
 def crowded_marks(found: DataFrame, length: int) -> DataFrame:
     """The same for buckets of any size: every string of the contexts with its smallest document."""
     width = 2 * length - GRAM
+    salt = [F.lit(int.from_bytes(os.urandom(8), "big", signed=True)) for _ in range(2)]  # first, as they seed what follows
     at = F.explode(F.sequence(F.col("low"), F.col("high") - length)).alias("s")
     strings = found.select("doc", "g", "c", "context", at).withColumn("string", F.substring("context", F.col("s").cast("int") + 1, F.lit(length)))
-    strings = strings.select("doc", "g", "c", "s", bucket().alias("h"), F.xxhash64("string").alias("x"), F.xxhash64("string", F.lit(1)).alias("y"))
+    strings = strings.select("doc", "g", "c", "s", bucket().alias("h"), F.xxhash64(salt[0], "string").alias("x"), F.xxhash64(salt[1], "string").alias("y"))
     least = strings.groupBy("h", "x", "y").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
     least = Stored(least.drop("most"), "strings").df  # a table by itself, so that Spark can split the join
     late = strings.join(least, ["h", "x", "y"]).where("doc > least").groupBy("doc", "g", "c").agg(F.collect_list("s").alias("at"))
@@ -382,8 +390,9 @@ def without_repeats(
     """A row for each row of docs: doc_id, n_bytes, kept (binary), spans (array of start, stop of the removed runs). With
     keep_row also kept_text, without what is left of a sign that lost part of its bytes, and row: the other columns."""
     texts = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
-    found = Stored(shared_anchors(texts, length), "anchors").df
-    split = Stored(contexts(texts, found.where("not whole"), length), "contexts")
+    keys = drawn(length)
+    found = Stored(shared_anchors(texts, length, keys), "anchors").df
+    split = Stored(contexts(texts, found.where("not whole"), length, keys), "contexts")
     masks = marks(split.df.where(F.col("size") <= crowded).select("doc", "g", "c", "context"), length)
     masks = Stored(masks.unionByName(crowded_marks(split.df.where(F.col("size") > crowded), length)), "masks").df
     split.drop()
@@ -401,7 +410,7 @@ def without_repeats(
             masks = batch.column("found").flatten().field("mask").to_pylist()
             had, raw = batch.column("found").is_valid().to_pylist(), batch.column("text").to_pylist()
             many, kept, spans, left = [], [], [], []
-            for first, raws, anchors, hit, place in looked_up(batch, length):
+            for first, raws, anchors, hit, place in looked_up(batch, length, keys):
                 gone = removed(anchors, hit, [masks[i] for i in place.tolist()], length)
                 for i in range(len(raws)):
                     own = (raw[first + i] or "").encode()

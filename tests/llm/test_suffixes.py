@@ -62,6 +62,30 @@ def test_odd_rows(spark, crowded, hot, monkeypatch):
     assert got(suffixes.without_repeats(docs, crowded=crowded)) == brute(rows)
 
 
+#: Two texts that share bytes 16 to 79 and were taken for equal by hashes with fixed multipliers, so that the second lost all.
+PAIR = (
+    b"old light window half old window near found green letter green near chair river ",
+    b"aFyNWMaM4F7I\x10e\x05: half old window near found green letter green near chair river ",
+)
+
+
+@pytest.mark.parametrize("crowded", [4096, 0])
+def test_texts_made_to_share_a_hash(spark, crowded):
+    rows = [(i, t.decode()) for i, t in enumerate(PAIR)]
+    found = got(suffixes.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"), crowded=crowded))
+    assert found == brute(rows) and found[1][2:] == ([(16, 80)], PAIR[1][:16])
+
+
+def test_hashes_follow_their_keys():
+    rows = np.frombuffer(b"".join(PAIR), np.uint8).reshape(2, 80)
+    keys = suffixes.drawn(50)
+    assert keys.shape == (3, 21)
+    for k in keys.tolist():
+        for row, h in zip(PAIR, suffixes.keyed(rows, np.array(k, np.uint64)).tolist(), strict=True):
+            words = [int.from_bytes(row[i : i + 4], "little") for i in range(0, 80, 4)]
+            assert h == (k[-1] + sum(x * y for x, y in zip(words, k, strict=False))) % (1 << 64) >> 32
+
+
 def test_empty_table(spark):
     assert suffixes.without_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
