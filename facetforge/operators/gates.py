@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from facetforge.operators.geometry import AXES, bounds, nearest, within
+from facetforge.operators.geometry import AXES, bounds, within
+from facetforge.operators.meshes import sampled
+from facetforge.operators.storing import kept
 
 #: The tasks that leave the shape alone, those that take or add a part, those that move or double one, and
 #: the one that bends the whole.
@@ -13,6 +15,8 @@ STILL, CUT, MOVE, BEND = ("E1a", "E1b", "E1c", "E1a_rev"), ("E3", "E2"), ("E6",
 #: Least overlap of silhouettes; bounds of the area's change; least visibility; most exposure; least share of
 #: moved vertices; bounds of the mean way; how far from the rest a component hangs in the air, and its fewest faces.
 SILHOUETTE, AREA, SEEN, EXPOSED, MOVED, WAY, APART, FACES = 0.93, (0.02, 0.60), 0.3, 0.35, 0.005, (0.005, 0.25), 0.04, 4
+#: Points that are drawn of a body's surface, at least and at most.
+SAMPLES = (200, 2000)
 
 
 def turns(pairs: DataFrame, chain: str = "E10") -> DataFrame:
@@ -56,21 +60,44 @@ def exposure(before: DataFrame, after: DataFrame, by: list[str], near: int = 10)
     return rows.select(*by, F.when(F.col("n") >= near, F.when(F.coalesce("m", F.lit(0)) >= near, F.col("share")).otherwise(0.0)).alias("exposure"))
 
 
-def isolated(points: DataFrame, diag: DataFrame, least: int = FACES) -> DataFrame:
-    """sha, pid, away (how near a component comes to the others; null for one alone), orphan. points: sha, sid, x, y, z, pid
-    (the component); diag: sha, diag. Components with fewer points than `least` aren't looked at."""
-    size = points.groupBy("sha", "pid").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    rows = points.join(size.select("sha", "pid"), ["sha", "pid"], "left_semi")
-    near = nearest(rows, rows, F.expr("p.pid <> q.pid")).join(rows.select("sha", "sid", "pid"), ["sha", "sid"])
-    away = near.groupBy("sha", "pid").agg(F.min("distance").alias("away"))
-    out = size.join(away, ["sha", "pid"], "left").join(diag.select("sha", "diag"), "sha")
-    return out.select("sha", "pid", "away", F.coalesce(F.col("away") > APART * F.col("diag"), F.lit(False)).alias("orphan"))
+def isolated(shapes: DataFrame, diag: DataFrame, seed: int = 0, least: int = FACES) -> DataFrame:
+    """sha, body, faces, orphan: whether no sample of a body's surface lies near one of another body's. shapes: the faces
+    with their body; diag: sha, diag (of the state before). Bodies with fewer faces than `least` aren't looked at, and have no
+    row. Of a body's surface so many points are drawn as it has faces, in bounds.
+
+    Cubes decide most bodies without a distance: two bodies with samples in one cube whose diagonal is the limit are near;
+    only samples of the bodies that no cube settles look for others, in the cubes around their own.
+    """
+    size = shapes.groupBy("sha", "body").agg(F.count("*").alias("faces")).where(F.col("faces") >= least)
+    rows = shapes.join(size.select("sha", "body"), ["sha", "body"], "left_semi")
+    points = sampled(rows, F.greatest(F.lit(SAMPLES[0]), F.least(F.lit(SAMPLES[1]), F.count("*"))), seed, by=("sha", "body"))
+    reach = diag.select("sha", F.greatest(APART * F.col("diag"), F.lit(1e-12)).alias("reach"))
+    points = kept(points.select("sha", "body", F.concat_ws("/", "body", "sid").alias("sid"), *AXES).join(reach, "sha"))
+    cube = [F.floor(F.col(a) * (3**0.5) / F.col("reach")).alias(f"g_{a}") for a in AXES]
+    held = points.select("sha", "body", *cube).distinct()
+    shared = held.groupBy("sha", *(f"g_{a}" for a in AXES)).agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    near = kept(held.join(shared, ["sha", *(f"g_{a}" for a in AXES)], "left_semi").select("sha", "body").distinct())
+    left = points.join(near, ["sha", "body"], "left_anti")
+    found = within(left, points, F.expr("p.body <> q.body")).join(left.select("sha", "sid", "body"), ["sha", "sid"]).select("sha", "body")
+    met = near.unionByName(found.distinct()).withColumn("near", F.lit(True))
+    return size.join(met, ["sha", "body"], "left").select("sha", "body", "faces", F.col("near").isNull().alias("orphan"))
+
+
+def orphans(shapes: DataFrame, diag: DataFrame, seed: int = 0, least: int = FACES) -> DataFrame:
+    """sha, orphans: how many bodies of an asset hang in the air: none if it is one body, -1 (couldn't be told) if it is
+    several of which one alone is large enough to be looked at."""
+    many = shapes.groupBy("sha").agg(F.count_distinct("body").alias("bodies"))
+    seen = isolated(shapes, diag, seed, least).groupBy("sha").agg(F.count("*").alias("large"), F.count_if("orphan").alias("n"))
+    rows = many.join(seen, "sha", "left")
+    count = F.when(F.col("bodies") < 2, 0).when(F.col("large") == 1, -1).otherwise(F.coalesce("n", F.lit(0)))
+    return rows.select("sha", count.cast("int").alias("orphans"))
 
 
 def new_edges(before: DataFrame, after: DataFrame, diag: DataFrame, apart: float = 0.01) -> DataFrame:
-    """sha, new_open: open edges of the after state without one of the before state near their middle. before, after: sha,
-    sid, x, y, z; only what lies within the distance is met."""
-    reach = diag.select("sha", (F.col("diag") * apart).alias("reach"))
+    """sha, new_open: open edges of the after state without one of the before state near their middle, for every asset of
+    diag (0 where nothing is new). before, after: sha, sid, x, y, z; only what lies within the distance is met."""
+    reach = diag.select("sha", F.greatest(F.col("diag") * apart, F.lit(1e-12)).alias("reach"))
     a, b = (df.join(reach, "sha") for df in (after, before))
     known = within(a, b, F.lit(True)).select("sha", "sid")
-    return after.join(known, ["sha", "sid"], "left_anti").groupBy("sha").agg(F.count("*").alias("new_open"))
+    new = after.join(known, ["sha", "sid"], "left_anti").groupBy("sha").agg(F.count("*").alias("n"))
+    return diag.select("sha").join(new, "sha", "left").select("sha", F.coalesce("n", F.lit(0)).alias("new_open"))

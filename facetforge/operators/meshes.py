@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from facetforge.operators.geometry import AXES, bounds
+from facetforge.operators.graphs import components
 from facetforge.operators.ordering import uniform
 
 CORNERS = ("v0", "v1", "v2")
@@ -152,25 +153,37 @@ def boundary(vertices: DataFrame, faces: DataFrame) -> DataFrame:
     return mids.select("sha", F.concat_ws("-", "a", "b").alias("sid"), *AXES)
 
 
-def edges(faces: DataFrame) -> DataFrame:
-    """a, b: the links between an asset's vertices, as sha:vid."""
-    pairs = faces.select("sha", F.inline(F.array(F.struct(F.col("v0").alias("p"), F.col("v1").alias("q")), F.struct(F.col("v1").alias("p"), F.col("v2").alias("q")))))
-    return pairs.select(F.struct("sha", F.col("p").alias("vid")).alias("a"), F.struct("sha", F.col("q").alias("vid")).alias("b"))
+def adjacent(faces: DataFrame) -> DataFrame:
+    """a, b: the links between an asset's faces, as sha and fidx: two faces that share an edge which no third one has. Faces
+    that meet in a vertex alone aren't linked."""
+    sides = F.array(*(F.struct(F.least(p, q).alias("p"), F.greatest(p, q).alias("q")) for p, q in (("v0", "v1"), ("v1", "v2"), ("v2", "v0"))))
+    both = faces.select("sha", "fidx", F.inline(sides)).groupBy("sha", "p", "q").agg(F.min("fidx").alias("one"), F.max("fidx").alias("two"), F.count("*").alias("n"))
+    both = both.where("n = 2 and one <> two")
+    return both.select(*(F.struct("sha", F.col(c).alias("fidx")).alias(k) for k, c in (("a", "one"), ("b", "two"))))
 
 
-def sampled(shapes: DataFrame, n: int, seed: int | str, steps: int = 256) -> DataFrame:
-    """n points on each asset's surface: sha, sid (from 0), fidx, pid, x, y, z, and the weights w0, w1, w2 of the corners.
-    The face is the first whose share of the running area exceeds the sample's number; numbers and faces meet in steps of
-    the share, so no sample is compared with every face."""
-    group = Window.partitionBy("sha")
+def bodies(faces: DataFrame) -> DataFrame:
+    """The faces with `body`: the smallest face of those that hang together by shared edges; a face alone is a body."""
+    found = components(adjacent(faces)).select("node.sha", "node.fidx", F.col("label.fidx").alias("body"))
+    return faces.join(found, ["sha", "fidx"], "left").withColumn("body", F.coalesce("body", "fidx"))
+
+
+def sampled(shapes: DataFrame, n: int | Column, seed: int | str, steps: int = 256, by: tuple[str, ...] = ("sha",)) -> DataFrame:
+    """n points on each surface (an asset's, or that of the faces with the same `by`): by, sid (from 0), fidx, pid, x, y, z,
+    and the weights w0, w1, w2 of the corners. n: a number, or an aggregate over the faces. The face is the first whose share
+    of the running area exceeds the sample's number; numbers and faces meet in steps of the share, so no sample is compared
+    with every face. Surfaces without an area have no points."""
+    group = Window.partitionBy(*by)
     upto = F.sum("area").over(group.orderBy("fidx").rowsBetween(Window.unboundedPreceding, 0))
     whole = F.sum("area").over(group)
     rows = shapes.withColumns({"hi": F.round(F.try_divide(upto, whole), 12), "lo": F.round(F.try_divide(upto - F.col("area"), whole), 12)}).where("hi > lo")
     step = lambda c: F.least(F.floor(c * steps), F.lit(steps - 1))
     rows = rows.withColumn("step", F.explode(F.sequence(step(F.col("lo")), step(F.col("hi")))))
-    draws = shapes.select("sha").distinct().withColumn("sid", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    draws = draws.withColumns({k: uniform(f"{seed}{k}", "sha", "sid") for k in ("u", "r", "s")}).withColumn("step", step(F.col("u")))
-    met = draws.join(rows, ["sha", "step"]).where("lo <= u and u < hi")
+    many = n.cast("int") if isinstance(n, Column) else F.lit(n)
+    draws = shapes.groupBy(*by).agg(F.max(many).alias("many") if not isinstance(n, Column) else many.alias("many"))
+    draws = draws.select(*by, F.explode(F.sequence(F.lit(0), F.col("many") - 1)).alias("sid"))
+    draws = draws.withColumns({k: uniform(f"{seed}{k}", *by, "sid") for k in ("u", "r", "s")}).withColumn("step", step(F.col("u")))
+    met = draws.join(rows, [*by, "step"]).where("lo <= u and u < hi")
     root = F.sqrt("r")
     met = met.withColumns({"w0": 1 - root, "w1": root * (1 - F.col("s")), "w2": root * F.col("s")})
     at = {a: F.col("w0") * F.col(f"a_{a}") + F.col("w1") * F.col(f"b_{a}") + F.col("w2") * F.col(f"c_{a}") for a in AXES}

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from facetforge.operators import gates, geometry, graphs, meshes, ordering
+from facetforge.operators import gates, geometry, meshes, ordering
 from facetforge.operators.geometry import AXES
 from facetforge.plans.registry import query, table
 
@@ -110,27 +110,41 @@ def q_chain(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(last, "sha", "vid").join(done, "sha")
 
 
-@query(f"""WITH RECURSIVE {MESH_SQL}, f AS (SELECT * FROM faces WHERE pid NOT IN (5, 6, 7)), e AS (SELECT v0 AS a, v1 AS b FROM f UNION SELECT v1, v2 FROM f UNION SELECT v1, v0 FROM f UNION SELECT v2, v1 FROM f),
-r(vid, label) AS (SELECT a, a FROM e UNION SELECT e.b, r.label FROM r JOIN e ON e.a = r.vid) SELECT vid // 100 AS sha, vid, min(label) AS label FROM r GROUP BY vid""")
-def q_components(spark: SparkSession, sf: str) -> DataFrame:
-    """What hangs together once some parts are gone, by the smallest vertex."""
-    _, left = meshes.kept(*mesh(spark, sf), ~F.col("pid").isin(5, 6, 7))
-    found = graphs.components(meshes.edges(left))
-    return found.select("node.sha", "node.vid", F.col("label.vid").alias("label"))
+#: Faces that hang together by edges which exactly two faces have, once some parts are gone; named by their smallest face.
+BODY_SQL = """f AS (SELECT * FROM faces WHERE pid NOT IN (5, 6, 7)),
+side AS (SELECT sha, fidx, least(v0, v1) p, greatest(v0, v1) q FROM f UNION ALL SELECT sha, fidx, least(v1, v2), greatest(v1, v2) FROM f UNION ALL SELECT sha, fidx, least(v2, v0), greatest(v2, v0) FROM f),
+two AS (SELECT min(fidx) a, max(fidx) b FROM side GROUP BY sha, p, q HAVING count(*) = 2 AND min(fidx) < max(fidx)), link AS (SELECT a, b FROM two UNION SELECT b, a FROM two),
+reach(fidx, body) AS (SELECT fidx, fidx FROM f UNION SELECT link.b, reach.body FROM reach JOIN link ON link.a = reach.fidx),
+body AS (SELECT fidx, min(body) AS body FROM reach GROUP BY fidx)"""
 
 
-@query(f"""WITH RECURSIVE {MESH_SQL}, f AS (SELECT * FROM faces WHERE pid NOT IN (5, 6, 7)), e AS (SELECT v0 AS a, v1 AS b FROM f UNION SELECT v1, v2 FROM f UNION SELECT v1, v0 FROM f UNION SELECT v2, v1 FROM f),
-r(vid, label) AS (SELECT a, a FROM e UNION SELECT e.b, r.label FROM r JOIN e ON e.a = r.vid), c AS (SELECT vid, min(label) AS label FROM r GROUP BY vid),
-b AS (SELECT v.*, label FROM c JOIN vertices v ON v.vid = c.vid WHERE label IN (SELECT label FROM c GROUP BY label HAVING count(*) >= 4)),
-d AS (SELECT p.sha, p.label, min(sqrt((p.x - q.x) ** 2 + (p.y - q.y) ** 2 + (p.z - q.z) ** 2)) AS away FROM b p JOIN b q ON p.sha = q.sha AND p.label <> q.label GROUP BY ALL)
-SELECT b.sha, b.label, round(any_value(away), 6) AS away, coalesce(any_value(away) > 0.04 * any_value(diag), false) AS orphan FROM b JOIN ext e ON e.sha = b.sha LEFT JOIN d ON d.sha = b.sha AND d.label = b.label GROUP BY b.sha, b.label""")
+@query(f"""WITH RECURSIVE {MESH_SQL}, {BODY_SQL} SELECT f.sha, f.fidx, body FROM f JOIN body USING (fidx)""")
+def q_components(spark: SparkSession, sf: str) -> DataFrame:
+    """What hangs together by shared edges once some parts are gone, by the smallest face."""
+    _, left = meshes.kept(*mesh(spark, sf), ~F.col("pid").isin(5, 6, 7))
+    return meshes.bodies(left).select("sha", "fidx", "body")
+
+
+@query(f"""WITH RECURSIVE {MESH_SQL}, {BODY_SQL}, size AS (SELECT sha, body, count(*) AS faces FROM f JOIN body USING (fidx) GROUP BY ALL),
+own AS (SELECT s.*, body FROM shape s JOIN body USING (fidx) JOIN size USING (body) WHERE faces >= 4),
+c AS (SELECT *, round(sum(area) OVER (PARTITION BY body ORDER BY fidx) / sum(area) OVER (PARTITION BY body), 12) AS hi,
+  round((sum(area) OVER (PARTITION BY body ORDER BY fidx) - area) / sum(area) OVER (PARTITION BY body), 12) AS lo FROM own),
+s AS (SELECT sha, body, ('0x' || left(md5('0u:' || sha || ':' || body || ':' || i), 8))::UBIGINT / 4294967296.0 AS u, ('0x' || left(md5('0r:' || sha || ':' || body || ':' || i), 8))::UBIGINT / 4294967296.0 AS r,
+  ('0x' || left(md5('0s:' || sha || ':' || body || ':' || i), 8))::UBIGINT / 4294967296.0 AS t FROM size, range(0, 2000) g(i) WHERE faces >= 4 AND i < greatest(200, least(2000, faces))),
+pt AS (SELECT s.sha, s.body, (1 - sqrt(r)) * ax + sqrt(r) * (1 - t) * bx + sqrt(r) * t * cx AS x, (1 - sqrt(r)) * ay + sqrt(r) * (1 - t) * by_ + sqrt(r) * t * cy AS y,
+  (1 - sqrt(r)) * az + sqrt(r) * (1 - t) * bz + sqrt(r) * t * cz AS z FROM s JOIN c ON c.body = s.body AND lo <= u AND u < hi),
+d AS (SELECT p.body, min(sqrt((p.x - q.x) ** 2 + (p.y - q.y) ** 2 + (p.z - q.z) ** 2)) AS away FROM pt p JOIN pt q ON p.sha = q.sha AND p.body <> q.body GROUP BY p.body),
+o AS (SELECT z.sha, z.body, z.faces, away IS NULL OR away > 0.04 * diag AS orphan FROM size z JOIN ext e ON e.sha = z.sha LEFT JOIN d ON d.body = z.body WHERE faces >= 4),
+n AS (SELECT z.sha, CASE WHEN count(*) < 2 THEN 0 WHEN count(*) FILTER (z.faces >= 4) = 1 THEN -1 ELSE count(*) FILTER (o.orphan) END::INTEGER AS orphans FROM size z LEFT JOIN o ON o.body = z.body GROUP BY z.sha)
+SELECT o.sha, o.body, o.faces, o.orphan, n.orphans FROM o JOIN n ON n.sha = o.sha""")
 def q_nn_isolation(spark: SparkSession, sf: str) -> DataFrame:
-    """Components left hanging in the air: farther from all others than a share of the asset's diagonal."""
+    """Bodies left hanging in the air: no sample of their surface is nearer to another body's than a share of the asset's
+    diagonal; and how many an asset has."""
     vertices, faces = mesh(spark, sf)
-    _, left = meshes.kept(vertices, faces, ~F.col("pid").isin(5, 6, 7))
-    found = graphs.components(meshes.edges(left)).select("node.sha", "node.vid", F.col("label.vid").alias("pid"))
-    points = vertices.join(found, ["sha", "vid"]).withColumnRenamed("vid", "sid")
-    return gates.isolated(points, geometry.bounds(vertices, ["sha"])).select("sha", F.col("pid").alias("label"), F.round("away", 6).alias("away"), "orphan")
+    left, rest = meshes.kept(vertices, faces, ~F.col("pid").isin(5, 6, 7))
+    shapes = meshes.shaped(left, rest).join(meshes.bodies(rest).select("sha", "fidx", "body"), ["sha", "fidx"])
+    diag = geometry.bounds(vertices, ["sha"])
+    return gates.isolated(shapes, diag).join(gates.orphans(shapes, diag), "sha")
 
 
 SIDES_SQL = "SELECT sha, least(v0, v1) a, greatest(v0, v1) b FROM {f} UNION ALL SELECT sha, least(v1, v2), greatest(v1, v2) FROM {f} UNION ALL SELECT sha, least(v2, v0), greatest(v2, v0) FROM {f}"
@@ -140,8 +154,8 @@ SIDES_SQL = "SELECT sha, least(v0, v1) a, greatest(v0, v1) b FROM {f} UNION ALL
 b0 AS (SELECT sha, a, b FROM s0 GROUP BY ALL HAVING count(*) = 1), b1 AS (SELECT sha, a, b FROM s1 GROUP BY ALL HAVING count(*) = 1),
 m0 AS (SELECT s.sha, (p.x + q.x) / 2 x, (p.y + q.y) / 2 y, (p.z + q.z) / 2 z FROM b0 s JOIN vertices p ON p.vid = a JOIN vertices q ON q.vid = b),
 m1 AS (SELECT s.sha, a, b, (p.x + q.x) / 2 x, (p.y + q.y) / 2 y, (p.z + q.z) / 2 z FROM b1 s JOIN vertices p ON p.vid = a JOIN vertices q ON q.vid = b)
-SELECT m1.sha, count(*) AS new_open FROM m1 JOIN ext e ON e.sha = m1.sha WHERE NOT EXISTS (SELECT 1 FROM m0 WHERE m0.sha = m1.sha
-  AND sqrt((m0.x - m1.x) ** 2 + (m0.y - m1.y) ** 2 + (m0.z - m1.z) ** 2) <= 0.01 * diag) GROUP BY m1.sha""")
+SELECT e.sha, count(m1.sha) FILTER (NOT EXISTS (SELECT 1 FROM m0 WHERE m0.sha = m1.sha AND sqrt((m0.x - m1.x) ** 2 + (m0.y - m1.y) ** 2 + (m0.z - m1.z) ** 2) <= 0.01 * diag)) AS new_open
+FROM ext e LEFT JOIN m1 ON m1.sha = e.sha GROUP BY e.sha""")
 def q_open_edges(spark: SparkSession, sf: str) -> DataFrame:
     """Edges that a removal leaves open, and that weren't near an open one before."""
     vertices, faces = mesh(spark, sf)

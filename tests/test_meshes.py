@@ -47,7 +47,8 @@ def test_new_open_edges(spark):
     before, after = (meshes.boundary(*tables(spark, cube("a", sides=s))) for s in (range(12), range(10)))
     diag = geometry.bounds(tables(spark, cube("a"))[0], ["sha"])
     assert [(r.sha, r.new_open) for r in gates.new_edges(before, after, diag).collect()] == [("a", 4)]
-    assert gates.new_edges(after, after, diag).count() == 0
+    assert [(r.sha, r.new_open) for r in gates.new_edges(after, after, diag).collect()] == [("a", 0)]
+    assert [r.new_open for r in gates.new_edges(before, before, diag).collect()] == [0]  # a closed mesh has no open edges at all
 
 
 def test_a_removal_keeps_shared_vertices_and_numbers_densely(spark):
@@ -100,14 +101,49 @@ def test_paste_on_top(spark):
     assert max(r.x for r in got) - min(r.x for r in got) == pytest.approx(2.7) and sum(r.x for r in got) / 8 == pytest.approx(1.5)
 
 
-def test_components_and_orphans(spark):
-    """Two cubes 0.1 of the diagonal apart hang apart; 0.01 apart they don't."""
-    for gap, orphan in ((0.5, True), (0.01, False)):
-        vertices, faces = tables(spark, cube("a"), cube("a", (1 + gap, 0, 0), pid=1, first=8, face=12))
-        found = graphs.components(meshes.edges(faces)).select("node.sha", "node.vid", F.col("label.vid").alias("pid"))
-        assert sorted({r.pid for r in found.collect()}) == [0, 8]
-        got = gates.isolated(vertices.join(found, ["sha", "vid"]).withColumnRenamed("vid", "sid"), geometry.bounds(vertices, ["sha"])).collect()
-        assert {r.orphan for r in got} == {orphan} and all(r.away == pytest.approx(gap) for r in got)
+def bodied(spark, *cubes):
+    vertices, faces = tables(spark, *cubes)
+    return meshes.shaped(vertices, faces).join(meshes.bodies(faces).select("sha", "fidx", "body"), ["sha", "fidx"]), geometry.bounds(vertices, ["sha"])
+
+
+def test_bodies_hang_together_by_edges(spark):
+    """Two cubes that share vertex 7 are two bodies, two that share an edge of four faces are two, a cube alone is one."""
+    a, b = cube("a"), cube("a", (1.0, 1.0, 1.0), pid=1, first=7, face=12)
+    faces = tables(spark, a, (b[0][1:], b[1]))[1]
+    assert {(r.fidx // 12, r.body) for r in meshes.bodies(faces).collect()} == {(0, 0), (1, 12)}
+    edge = [(s, f + 20, *(v + 100 if v not in (3, 7) else v for v in c), p) for s, f, *c, p in cube("a")[1]]
+    got = meshes.bodies(spark.createDataFrame([*cube("a")[1], *edge], FACES)).collect()
+    assert {(r.fidx >= 20, r.body) for r in got} == {(False, 0), (True, 20)}
+    lone = spark.createDataFrame([("b", 5, 0, 1, 2, 0), ("b", 6, 2, 1, 3, 0), ("b", 9, 3, 4, 5, 0)], FACES)
+    assert {r.fidx: r.body for r in meshes.bodies(lone).collect()} == {5: 5, 6: 5, 9: 9}
+    assert meshes.bodies(lone.limit(0)).count() == 0
+
+
+def test_orphans(spark):
+    """Two cubes a third of the diagonal apart hang apart; a hundredth apart they don't."""
+    for gap, orphan in ((0.8, True), (0.01, False)):
+        shapes, diag = bodied(spark, cube("a"), cube("a", (1 + gap, 0, 0), pid=1, first=8, face=12))
+        got = gates.isolated(shapes, diag).collect()
+        assert {(r.body, r.faces, r.orphan) for r in got} == {(0, 12, orphan), (12, 12, orphan)}
+        assert [r.orphans for r in gates.orphans(shapes, diag).collect()] == [2 * orphan]
+
+
+def test_a_box_just_over_a_plate_is_no_orphan(spark):
+    """No vertex of the plate is near the box, but its surface is."""
+    plate = [("a", 100 + i, x, y, z) for i, (x, y, z) in enumerate(itertools.product((-10.0, 10.0), (-10.0, 10.0), (-0.1, 0.0)))]
+    corner = [0, 4, 2, 6, 1, 5, 3, 7]  # of the cube's numbers, by x, y, z in turn
+    sheet = [("a", 50 + n, *(100 + corner.index(v) for v in CUBE[n]), 1) for n in range(12)]
+    shapes, diag = bodied(spark, cube("a", (-0.5, -0.5, 0.01)), (plate, sheet))
+    assert {(r.body, r.orphan) for r in gates.isolated(shapes, diag).collect()} == {(0, False), (50, False)}
+
+
+def test_orphans_of_few_and_small_bodies(spark):
+    one = bodied(spark, cube("a"))
+    assert [r.orphans for r in gates.orphans(*one).collect()] == [0]
+    crumb = ([("a", 20, 9.0, 9.0, 9.0), ("a", 21, 9.0, 9.0, 9.5), ("a", 22, 9.0, 9.5, 9.0)], [("a", 30, 20, 21, 22, 2)])
+    assert [r.orphans for r in gates.orphans(*bodied(spark, cube("a"), crumb)).collect()] == [-1]
+    crumbs = (crumb[0] + [("a", 23 + i, float(i), 0.0, 0.0) for i in range(3)], crumb[1] + [("a", 31, 23, 24, 25, 2)])
+    assert [r.orphans for r in gates.orphans(*bodied(spark, crumbs)).collect()] == [0]
 
 
 def test_components_are_those_of_a_search(spark):
