@@ -9,9 +9,10 @@
    them that is frequent is a longer prefix with the run as its pointers.
 
 A prefix that a sample of the chunks shows to hold 1/HOT of all windows or more (so there are at most HOT of each length)
-gets no task of its own: its windows are dealt out by the next word as well, as prefixes one word longer, and only its
-number is summed. A task whose prefix has more than `most` different windows hands them on in the same way, to one more
-round; so no group is held whole, whatever its size. Both deal out work only, results are the same.
+gets several tasks: its windows are dealt out by the next word into parts in proportion to its share, but for those of a
+longer prefix that is hot as well; its own number is summed apart. A task whose prefix has more than `most` different
+windows hands them on by the next word, as prefixes one word longer, to one more round; so no group is held whole, whatever
+its size. Both deal out work only, results are the same.
 
 4. Cuts, scores and the dropping of parts of longer phrases are joins and aggregates over the frequent phrases; products
    are decimals of 38 digits.
@@ -104,14 +105,18 @@ def chunks(docs: DataFrame, lang: str = "lang", text: str = "text", size: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Buffer] = {}
+        total = 0
         for batch in batches:
             for name, value in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 own = held.setdefault(name, Buffer())
                 for part in slices((value or "").encode().lower()):  # of bytes: A-Z only
-                    own.add(ENDS.sub(b" . ", part).split())
-                    if sum(b.size for b in held.values()) >= size:
-                        for key, b in held.items():
-                            yield from batched(b.flushed(key, False))
+                    found = ENDS.sub(b" . ", part).split()
+                    own.add(found)
+                    total += len(found)
+                    if own.size >= size or total >= 4 * size:  # of many languages the largest goes
+                        key = name if own.size >= size else max(held, key=lambda k: held[k].size)
+                        yield from batched(held[key].flushed(key, False))
+                        total = sum(b.size for b in held.values())
                 own.add([END])
         for key, b in held.items():
             yield from batched(b.flushed(key, True))
@@ -210,8 +215,9 @@ def keys(hashes: list[np.ndarray]) -> list[bytes]:
     return [flat[i : i + width] for i in range(0, len(flat), width)]
 
 
-def hot_prefixes(parts: DataFrame, bits: np.ndarray, longest: int, seed: int, hot: int, share: int) -> set[bytes]:
-    """Prefixes, up to a word short of the longest phrase, with 1/hot of the windows of the sampled chunks or more."""
+def hot_prefixes(parts: DataFrame, bits: np.ndarray, longest: int, seed: int, hot: int, share: int) -> dict[bytes, int]:
+    """Prefixes, up to a word short of the longest phrase, with 1/hot of the windows of the sampled chunks or more; and in
+    how many parts each is dealt out."""
     handed = parts.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,22 +228,25 @@ def hot_prefixes(parts: DataFrame, bits: np.ndarray, longest: int, seed: int, ho
                 for d in range(1, longest):
                     start = runs(columns[:d])
                     many = np.diff(np.append(start, len(n)))
-                    start, many = start[many >= 8], many[many >= 8]
+                    some = (many >= 8) & (columns[d - 1][start] != 0)
+                    start, many = start[some], many[some]
                     yield pa.RecordBatch.from_arrays([pa.array(keys([c.hashes[x[start]] for x in columns[:d]]), pa.binary()), pa.array(many, pa.int64())], ["prefix", "n"])
 
     few = parts.where(F.pmod("chunk", F.lit(share)) == 0)
     counts = few.select("lang", "words", "codes").mapInArrow(run, "prefix binary, n long").groupBy("prefix").agg(F.sum("n").alias("n"))
     counts = Stored(counts, "prefixes")
     whole = counts.df.where(F.length("prefix") == 0).first()
-    found = {bytes(r.prefix) for r in counts.df.where((F.length("prefix") > 0) & (F.col("n") >= -(-whole.n // hot))).collect()} if whole else set()
+    many = counts.df.where((F.length("prefix") > 0) & (F.col("n") >= -(-whole.n // hot))).collect() if whole else []  # at most `hot` of each length
+    found = {bytes(r.prefix): -(-r.n * hot // whole.n) for r in many}
     counts.drop()
     return found
 
 
-#: depth: words of the prefix, or 0 for a frequent phrase and -1 for two words of one hash; prefix: their hashes; word: of a
-#: prefix of one word; n: occurrences; rest: the windows after the prefix, column by column, and their numbers.
-ROWS = pa.schema([("depth", pa.int32()), ("prefix", pa.binary()), ("lang", pa.string()), ("word", pa.binary()), ("n", pa.int64()), ("rest", pa.binary())])
-KINDS = "depth int, prefix binary, lang string, word binary, n long, rest binary"
+#: depth: words of the prefix, or 0 for a frequent phrase and -1 for two words of one hash; prefix: their hashes; part: 0 for
+#: all windows of the prefix (or its number alone), or one of the parts of a hot one; word: of a prefix of one word; n:
+#: occurrences; rest: the windows after the prefix, column by column, and their numbers.
+ROWS = pa.schema([("depth", pa.int32()), ("prefix", pa.binary()), ("part", pa.int32()), ("lang", pa.string()), ("word", pa.binary()), ("n", pa.int64()), ("rest", pa.binary())])
+KINDS = "depth int, prefix binary, part int, lang string, word binary, n long, rest binary"
 
 
 def unblob(raw: bytes, columns: int) -> np.ndarray:
@@ -245,7 +254,7 @@ def unblob(raw: bytes, columns: int) -> np.ndarray:
     return np.frombuffer(raw, np.int64).reshape(columns + 1, -1)
 
 
-def projected(parts: DataFrame, bits: np.ndarray, hot: set[bytes], longest: int, seed: int) -> DataFrame:
+def projected(parts: DataFrame, bits: np.ndarray, hot: dict[bytes, int], longest: int, seed: int) -> DataFrame:
     """The windows of every chunk by their prefixes, as ROWS."""
     handed = parts.sparkSession.sparkContext.broadcast((bits, hot))  # of fixed size, and at most HOT of each length
 
@@ -254,23 +263,55 @@ def projected(parts: DataFrame, bits: np.ndarray, hot: set[bytes], longest: int,
         for c in each_chunk(batches, seed):
             columns, n = windows(c, bits, longest)
             places = [c.hashes[x] for x in columns]
-            left = np.arange(len(n))  # windows whose prefix so far is hot
-            for d in range(1, longest + 1):
-                own = [x[left] for x in places]
-                if not len(left):
+            stay = np.arange(len(n))  # windows whose prefix of d - 1 words is hot, or all
+            for d in range(1, longest):
+                if not len(stay):
                     break
+                own = [x[stay] for x in places]
                 start = runs(own[:d])
-                stop = np.append(start[1:], len(left))
+                size = np.diff(np.append(start, len(stay)))
                 names = keys([x[start] for x in own[:d]])
-                total = np.add.reduceat(n[left], start).tolist()
-                is_hot = [d < longest and k in hot for k in names]
-                out, rest = [], np.stack([*own[d:], n[left]])
-                for k, a, b, whole, deeper, code in zip(names, start.tolist(), stop.tolist(), total, is_hot, columns[0][left[start]].tolist(), strict=True):
-                    out.append((d, k, c.lang, c.words[code] if d == 1 else None, whole, b"" if deeper else rest[:, a:b].tobytes()))
-                for i in range(0, len(out), 8192):
-                    yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out[i : i + 8192]), ROWS, strict=True)], schema=ROWS)
-                deeper = np.repeat(np.array(is_hot, bool), stop - start)
-                left = left[deeper & (own[d] != 0)] if d < longest else left[:0]
+                shares = np.fromiter((hot.get(k, 0) for k in names), np.int64, len(names))
+                share = np.repeat(shares, size)
+                if d == 1:  # all windows of a prefix that isn't hot, with its word
+                    yield from made(c, d, places, n, np.flatnonzero(share == 0), np.zeros(len(n), np.int64), columns[0])
+                else:  # the windows of a hot prefix a word shorter that no longer hot one takes
+                    left = stay[(share == 0) & (own[d - 1] != 0)]
+                    yield from made(c, d - 1, places, n, left, part_of(places[d - 1], before), None)
+                # Of hot prefixes the numbers alone.
+                at = start[shares > 0]
+                total = np.add.reduceat(n[stay], start)[shares > 0] if len(start) else n[:0]
+                words = [c.words[x] if d == 1 else None for x in columns[0][stay[at]].tolist()]
+                yield from rows([(d, k, 0, c.lang, w, m, b"") for k, w, m in zip([names[i] for i in np.flatnonzero(shares > 0)], words, total.tolist(), strict=True)])
+                stay = stay[share > 0]
+                before = np.zeros(len(n), np.int64)
+                before[stay] = share[share > 0]
+            else:
+                stay = stay[places[longest - 1][stay] != 0]
+                yield from made(c, longest - 1, places, n, stay, part_of(places[longest - 1], before), None)
+
+    def part_of(follow: np.ndarray, many: np.ndarray) -> np.ndarray:
+        return 1 + (follow >> 9) % np.maximum(many, 1)
+
+    def made(c: Chunk, d: int, places: list[np.ndarray], n: np.ndarray, at: np.ndarray, part: np.ndarray, words: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+        """A row for each prefix of d words and part of the windows `at`."""
+        if not len(at):
+            return
+        if words is None:
+            first = np.cumsum(np.bincount(runs([x[at] for x in places[:d]]), minlength=len(at)))  # the prefix of each, numbered
+            at = at[np.lexsort((part[at], first))]
+        own = [x[at] for x in places]
+        start = runs([*own[:d], part[at]])
+        stop = np.append(start[1:], len(at))
+        total = np.add.reduceat(n[at], start).tolist()
+        names, rest = keys([x[start] for x in own[:d]]), np.stack([*own[d:], n[at]])
+        codes = words[at[start]].tolist() if words is not None else [None] * len(start)
+        which = part[at[start]].tolist()
+        yield from rows([(d, k, p, c.lang, None if w is None else c.words[w], m, rest[:, a:b].tobytes()) for k, p, w, m, a, b in zip(names, which, codes, total, start.tolist(), stop.tolist(), strict=True)])
+
+    def rows(out: list[tuple]) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(out), 8192):
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out[i : i + 8192]), ROWS, strict=True)], schema=ROWS)
 
     return parts.select("lang", "words", "codes").mapInArrow(run, KINDS)
 
@@ -311,7 +352,7 @@ def grown(rows: DataFrame, longest: int, least: int, most: int) -> DataFrame:
                 first = row
             d, n = row["depth"], n + row["n"]
             if row["word"] is not None and row["word"] != first["word"]:
-                yield (-1, row["prefix"], None, row["word"], 0, b"")
+                yield (-1, row["prefix"], 0, None, row["word"], 0, b"")
             if not row["rest"]:
                 continue
             block = unblob(row["rest"], longest - d)
@@ -329,11 +370,12 @@ def grown(rows: DataFrame, longest: int, least: int, most: int) -> DataFrame:
         if first is None:
             return
         if n >= least:
-            yield (0, first["prefix"], first["lang"], first["word"], n, b"")
+            if not first["part"]:
+                yield (0, first["prefix"], 0, first["lang"], first["word"], n, b"")
             if held and not passing:
                 block = np.concatenate(held, axis=1)
                 for prefix, m in extended(first["prefix"], block, np.arange(block.shape[1]), least):
-                    yield (0, prefix, first["lang"], None, m, b"")
+                    yield (0, prefix, 0, first["lang"], None, m, b"")
 
     def deeper(first: dict, block: np.ndarray) -> Iterator[tuple]:
         block = block[:, np.argsort(block[0], kind="stable")]
@@ -341,20 +383,20 @@ def grown(rows: DataFrame, longest: int, least: int, most: int) -> DataFrame:
         if block.shape[1]:
             start = runs([block[0]])
             for a, b in zip(start.tolist(), np.append(start[1:], block.shape[1]).tolist(), strict=True):
-                yield (first["depth"] + 1, first["prefix"] + block[0, a].tobytes(), first["lang"], None, int(block[-1, a:b].sum()), block[1:, a:b].tobytes())
+                yield (first["depth"] + 1, first["prefix"] + block[0, a].tobytes(), 0, first["lang"], None, int(block[-1, a:b].sum()), block[1:, a:b].tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stream = (row for batch in batches for i in range(0, batch.num_rows, 64) for row in batch.slice(i, 64).to_pylist())
         out, nbytes, row = [], 0, next(stream, None)
 
-        def same(prefix: bytes) -> Iterator[dict]:
+        def same(prefix: bytes, part: int) -> Iterator[dict]:
             nonlocal row
-            while row is not None and row["prefix"] == prefix:
+            while row is not None and row["prefix"] == prefix and row["part"] == part:
                 yield row
                 row = next(stream, None)
 
         while row is not None:
-            for made in group(same(row["prefix"])):
+            for made in group(same(row["prefix"], row["part"])):
                 out.append(made)
                 nbytes += len(made[-1])
                 if len(out) >= 8192 or nbytes >= 8 << 20:
@@ -363,7 +405,7 @@ def grown(rows: DataFrame, longest: int, least: int, most: int) -> DataFrame:
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), ROWS, strict=True)], schema=ROWS)
 
-    return rows.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(run, KINDS)
+    return rows.repartition("prefix", "part").sortWithinPartitions("prefix", "part").mapInArrow(run, KINDS)
 
 
 def counted(parts: DataFrame, longest: int, least: int, most: int, hot: int, share: int, seed: int) -> DataFrame | None:

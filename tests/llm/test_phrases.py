@@ -82,7 +82,7 @@ def test_words_that_share_a_hash_get_another_seed(spark, monkeypatch):
 
 
 def test_a_shared_hash_is_seen(spark):
-    made = [(1, b"12345678", "en", b"one", 40, b""), (1, b"12345678", "en", b"two", 40, b""), (1, b"abcdefgh", "en", b"x", 40, b"")]
+    made = [(1, b"12345678", 0, "en", b"one", 40, b""), (1, b"12345678", 0, "en", b"two", 40, b""), (1, b"abcdefgh", 0, "en", b"x", 40, b"")]
     rows = spark.createDataFrame(made, phrases.KINDS)
     got = phrases.grown(rows, 4, 30, 100).collect()
     assert {r.depth for r in got if bytes(r.prefix) == b"12345678"} == {-1, 0} and [r.depth for r in got if bytes(r.prefix) == b"abcdefgh"] == [0]
