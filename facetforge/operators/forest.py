@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from facetforge.operators.geometry import AXES, bounds, overlap, within
 from facetforge.operators.graphs import clusters, reached
-from facetforge.operators.meshes import sampled, shaped, winding
+from facetforge.operators.meshes import sampled, shaped
 from facetforge.operators.ordering import strided
 from facetforge.operators.storing import kept
+from facetforge.operators.winding import winding
 
 #: The shares of points that make a part inside another or attached to it; how large an attached part may
 #: be against the other; contact and overlap that join shells; the seam's points and angle; how near is touching.
@@ -77,8 +78,7 @@ def candidates(parts: DataFrame, size: float = SIZE) -> DataFrame:
 
 
 def insides(points: DataFrame, shapes: DataFrame, pairs: DataFrame, asked: int = TRIED) -> DataFrame:
-    """sha, large, small, inside: the share of the small part's points that the large part's surface winds about. Each point
-    meets all faces of the part it is asked about, so pairs should be candidates."""
+    """sha, large, small, inside: the share of the small part's points that the large part's surface winds about."""
     ask = strided(points, ["sha", "pid"], asked, "sid").select("sha", F.col("pid").alias("small"), "sid", *AXES)
     rows = ask.join(pairs.select("sha", "large", "small"), ["sha", "small"])
     turns = winding(shapes.withColumnRenamed("pid", "large"), rows, ["sha", "large"])

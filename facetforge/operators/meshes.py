@@ -190,21 +190,6 @@ def sampled(shapes: DataFrame, n: int | Column, seed: int | str, steps: int = 25
     return met.withColumns(at).drop("step", "u", "r", "s", "lo", "hi")
 
 
-def winding(shapes: DataFrame, points: DataFrame, on: list[str], where: Column | None = None) -> DataFrame:
-    """The points with `winding`: the solid angles under which they see the faces with the same `on` (those that `where`
-    holds for, of corners a_, b_, c_ and the point), over the whole sphere's; near 1 or -1 inside a closed surface, near 0
-    outside."""
-    names = [F.col(f"{p}_{a}").alias(f"{p}_{a}") for p in "abc" for a in AXES]
-    met = points.join(shapes.select(*on, *names), on)
-    met = met if where is None else met.where(where)
-    a, b, c = ([F.col(f"{p}_{ax}") - F.col(ax) for ax in AXES] for p in "abc")
-    la, lb, lc = norm(*a), norm(*b), norm(*c)
-    below = la * lb * lc + dot(a, b) * lc + dot(b, c) * la + dot(c, a) * lb
-    angle = 2 * F.atan2(dot(a, cross(b, c)), below)
-    by = points.columns
-    return met.groupBy(*by).agg((F.sum(angle) / (4 * F.lit(3.141592653589793))).alias("winding"))
-
-
 def texel(u: Column, v: Column, wide: Column | int, high: Column | int) -> tuple[Column, Column]:
     """The texel of a place in the atlas: wrapped, upside down, cut off toward zero."""
     x = F.least(F.pmod(u, F.lit(1.0)) * (wide - 1), F.lit(1.0) * (wide - 1)).cast("int")

@@ -56,25 +56,26 @@ def q_contact_median(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("sha", "large", "small", F.round("contact", 6).alias("contact"), "n_near", F.round("angle", 4).alias("angle"), "together")
 
 
-@query(f"""WITH {BODY_SQL}, k AS (SELECT p.sha, p.pid AS large, q.pid AS small, p.place, q.area <= 0.8 * p.area AS far_smaller FROM parts p JOIN parts q ON p.sha = q.sha AND p.place < q.place
+@query(f"""WITH {MESH_SQL}, {BODY_SQL}, k AS (SELECT p.sha, p.pid AS large, q.pid AS small, p.place, q.area <= 0.8 * p.area AS far_smaller FROM parts p JOIN parts q ON p.sha = q.sha AND p.place < q.place
   WHERE (q.lo_x + q.hi_x) / 2 > p.lo_x - 0.1 * (p.hi_x - p.lo_x + 1e-9) AND (q.lo_x + q.hi_x) / 2 < p.hi_x + 0.1 * (p.hi_x - p.lo_x + 1e-9)
     AND (q.lo_y + q.hi_y) / 2 > p.lo_y - 0.1 * (p.hi_y - p.lo_y + 1e-9) AND (q.lo_y + q.hi_y) / 2 < p.hi_y + 0.1 * (p.hi_y - p.lo_y + 1e-9)
     AND (q.lo_z + q.hi_z) / 2 > p.lo_z - 0.1 * (p.hi_z - p.lo_z + 1e-9) AND (q.lo_z + q.hi_z) / 2 < p.hi_z + 0.1 * (p.hi_z - p.lo_z + 1e-9)), {TOUCH_SQL},
-i AS (SELECT a.sha, p.pid AS large, a.pid AS small, avg(CASE WHEN a.x BETWEEN p.lo_x AND p.hi_x AND a.y BETWEEN p.lo_y AND p.hi_y AND a.z BETWEEN p.lo_z AND p.hi_z THEN 1.0 ELSE 0.0 END) AS inside FROM points a JOIN box p ON p.sha = a.sha GROUP BY ALL),
-r AS (SELECT k.sha, k.small, k.large, k.place, CASE WHEN inside >= 0.9 THEN 'inside' WHEN far_smaller AND contact >= 0.45 THEN 'attached' END AS rule, CASE WHEN inside >= 0.9 THEN inside ELSE contact END AS score
-  FROM k JOIN touch t ON t.sha = k.sha AND t.large = k.large AND t.small = k.small JOIN i ON i.sha = k.sha AND i.large = k.large AND i.small = k.small)
+e AS (SELECT k.sha, k.large, k.small, a.sid, ax - x a1, ay - y a2, az - z a3, bx - x b1, by_ - y b2, bz - z b3, cx - x c1, cy - y c2, cz - z c3
+  FROM k JOIN points a ON a.sha = k.sha AND a.pid = k.small JOIN shape s ON s.sha = k.sha AND s.pid = k.large),
+l AS (SELECT *, sqrt(a1*a1 + a2*a2 + a3*a3) la, sqrt(b1*b1 + b2*b2 + b3*b3) lb, sqrt(c1*c1 + c2*c2 + c3*c3) lc FROM e),
+w AS (SELECT sha, large, small, sid, sum(2 * atan2(a1*(b2*c3 - b3*c2) + a2*(b3*c1 - b1*c3) + a3*(b1*c2 - b2*c1),
+  la*lb*lc + (a1*b1 + a2*b2 + a3*b3) * lc + (b1*c1 + b2*c2 + b3*c3) * la + (c1*a1 + c2*a2 + c3*a3) * lb)) / (4 * pi()) AS w FROM l GROUP BY ALL),
+i AS (SELECT sha, large, small, avg((abs(w) > 0.5)::INTEGER) AS inside FROM w GROUP BY ALL),
+r AS (SELECT k.sha, k.small, k.large, k.place, CASE WHEN inside >= 0.25 THEN 'inside' WHEN far_smaller AND contact >= 0.45 THEN 'attached' END AS rule, CASE WHEN inside >= 0.25 THEN inside ELSE contact END AS score
+  FROM k JOIN touch t ON t.sha = k.sha AND t.large = k.large AND t.small = k.small LEFT JOIN i ON i.sha = k.sha AND i.large = k.large AND i.small = k.small)
 SELECT sha, small AS pid, large AS parent, rule, round(score, 3) AS score FROM r WHERE rule IS NOT NULL QUALIFY row_number() OVER (PARTITION BY sha, small ORDER BY score DESC, place) = 1""")
 def q_parent(spark: SparkSession, sf: str) -> DataFrame:
-    """The larger part that a part lies in or hangs on; what is inside is read from boxes here, q_winding reads surfaces."""
+    """The larger part that a part lies in or hangs on; the surfaces' winding numbers tell what is inside."""
     points, parts = body(spark, sf)
     pairs = forest.candidates(parts, 0.8)
     near = forest.touching(points, pairs.select("sha", "large", "small"), forest.TRIED, NEAR).select("sha", "large", "small", "contact")
-    held = points.select("sha", F.col("pid").alias("small"), *AXES).join(parts.select("sha", F.col("pid").alias("large"), *(f"{e}_{a}" for e in ("lo", "hi") for a in AXES)), "sha")
-    within = F.lit(True)
-    for a in AXES:
-        within = within & F.col(a).between(F.col(f"lo_{a}"), F.col(f"hi_{a}"))
-    inside = held.groupBy("sha", "large", "small").agg(F.avg(within.cast("double")).alias("inside"))
-    rows = forest.parents(pairs.join(near, ["sha", "large", "small"]).join(inside, ["sha", "large", "small"], "left"), inside=0.9)
+    inside = forest.insides(points, meshes.shaped(*mesh(spark, sf)), pairs)
+    rows = forest.parents(pairs.join(near, ["sha", "large", "small"]).join(inside, ["sha", "large", "small"], "left"), inside=0.25)
     return rows.withColumn("score", F.round("score", 3))
 
 

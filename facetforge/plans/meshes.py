@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from facetforge.operators import gates, geometry, meshes, ordering
+from facetforge.operators import gates, geometry, meshes, ordering, winding
 from facetforge.operators.geometry import AXES
 from facetforge.plans.registry import query, table
 
@@ -260,14 +260,14 @@ def q_sampling(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH {MESH_SQL}, q AS (SELECT * FROM vertices WHERE vid % 10 = 0), d AS (SELECT q.sha, q.vid, s.pid, ax - x a1, ay - y a2, az - z a3, bx - x b1, by_ - y b2, bz - z b3, cx - x c1, cy - y c2, cz - z c3 FROM q JOIN shape s ON s.sha = q.sha),
 n AS (SELECT *, sqrt(a1*a1 + a2*a2 + a3*a3) la, sqrt(b1*b1 + b2*b2 + b3*b3) lb, sqrt(c1*c1 + c2*c2 + c3*c3) lc, a1*(b2*c3 - b3*c2) + a2*(b3*c1 - b1*c3) + a3*(b1*c2 - b2*c1) AS up FROM d)
 SELECT sha, vid, pid, round(sum(2 * atan2(up, la*lb*lc + (a1*b1 + a2*b2 + a3*b3) * lc + (b1*c1 + b2*c2 + b3*c3) * la + (c1*a1 + c2*a2 + c3*a3) * lb)) / (4 * pi()), 5) AS winding
-FROM n WHERE la > 0 AND lb > 0 AND lc > 0 GROUP BY ALL""")
+FROM n GROUP BY ALL""")
 def q_winding(spark: SparkSession, sf: str) -> DataFrame:
-    """How often each part's surface winds about some points; faces that have the point as a corner say nothing."""
+    """How often each part's surface winds about some points, by a tree of face clusters; faces that have the point as a corner
+    say nothing."""
     vertices, faces = mesh(spark, sf)
     shapes = meshes.shaped(vertices, faces)
     asked = vertices.where("vid % 10 = 0").join(faces.select("sha", "pid").distinct(), "sha")
-    apart = [~((F.col(f"{p}_x") == F.col("x")) & (F.col(f"{p}_y") == F.col("y")) & (F.col(f"{p}_z") == F.col("z"))) for p in "abc"]
-    found = meshes.winding(shapes, asked, ["sha", "pid"], apart[0] & apart[1] & apart[2])
+    found = winding.winding(shapes, asked, ["sha", "pid"])
     return found.select("sha", "vid", "pid", F.round("winding", 5).alias("winding"))
 
 
