@@ -190,74 +190,6 @@ def sampled(shapes: DataFrame, n: int | Column, seed: int | str, steps: int = 25
     return met.withColumns(at).drop("step", "u", "r", "s", "lo", "hi")
 
 
-def texel(u: Column, v: Column, wide: Column | int, high: Column | int) -> tuple[Column, Column]:
-    """The texel of a place in the atlas: wrapped, upside down, cut off toward zero."""
-    x = F.least(F.pmod(u, F.lit(1.0)) * (wide - 1), F.lit(1.0) * (wide - 1)).cast("int")
-    y = F.greatest(F.least((1 - F.pmod(v, F.lit(1.0))) * (high - 1), F.lit(1.0) * (high - 1)), F.lit(0.0)).cast("int")
-    return x, y
-
-
-def rastered(shapes: DataFrame, wide: int, high: int) -> DataFrame:
-    """sha, x, y: the texels whose centres lie in a face's triangle of the atlas (columns a_u, a_v, ...), or on its edge."""
-    px = {p: (F.col(f"{p}_u") * (wide - 1), (1 - F.col(f"{p}_v")) * (high - 1)) for p in "abc"}
-    rows = shapes.select("sha", "fidx", *(c.alias(f"{p}{k}") for p in "abc" for k, c in zip("xy", px[p], strict=True)))
-    low = lambda k: F.greatest(F.ceil(F.least(f"a{k}", f"b{k}", f"c{k}")), F.lit(0))
-    top = lambda k, most: F.least(F.floor(F.greatest(f"a{k}", f"b{k}", f"c{k}")), F.lit(most - 1))
-    rows = rows.where((low("x") <= top("x", wide)) & (low("y") <= top("y", high)))
-    rows = rows.withColumn("x", F.explode(F.sequence(low("x"), top("x", wide)))).withColumn("y", F.explode(F.sequence(low("y"), top("y", high))))
-    side = lambda p, q: (F.col(f"{q}x") - F.col(f"{p}x")) * (F.col("y") - F.col(f"{p}y")) - (F.col(f"{q}y") - F.col(f"{p}y")) * (F.col("x") - F.col(f"{p}x"))
-    sides = [side("a", "b"), side("b", "c"), side("c", "a")]
-    inside = (F.least(*sides) >= -1e-9) | (F.greatest(*sides) <= 1e-9)
-    return rows.where(inside).select("sha", F.col("x").cast("int").alias("x"), F.col("y").cast("int").alias("y")).distinct()
-
-
-def spread(cells: DataFrame, value: str, wide: int, high: int, reach: int, how: str, sigma: float = 2.0) -> DataFrame:
-    """sha, x, y, value: of each texel the largest value within `reach` (how: max), or the mean weighted by a bell curve
-    (how: blur); texels that aren't there count as 0, those beyond the edge as the edge's."""
-    around = F.sequence(F.lit(-reach), F.lit(reach))
-    moved_to = cells.select("sha", "x", "y", value, F.explode(around).alias("dx")).withColumn("dy", F.explode(around))
-    if how == "max":
-        to = moved_to.select("sha", (F.col("x") + F.col("dx")).alias("x"), (F.col("y") + F.col("dy")).alias("y"), value)
-        return to.where(F.col("x").between(0, wide - 1) & F.col("y").between(0, high - 1)).groupBy("sha", "x", "y").agg(F.max(value).alias(value))
-    # A texel at the edge stands for those beyond it, so it weighs once for each place that is clipped to it.
-    bell = lambda d: F.exp(-(d * d) / F.lit(2 * sigma * sigma))
-    whole = sum(2.718281828459045 ** (-d * d / (2 * sigma * sigma)) for d in range(-reach, reach + 1))
-    to = moved_to.select("sha", F.col("x").alias("fx"), F.col("y").alias("fy"), value, (F.col("x") + F.col("dx")).alias("tx"), (F.col("y") + F.col("dy")).alias("ty"))
-    to = to.where(F.col("tx").between(0, wide - 1) & F.col("ty").between(0, high - 1))
-
-    def weight(at: Column, goal: Column, most: int) -> Column:
-        near = bell(at - goal)
-        beyond = F.aggregate(F.sequence(F.lit(1), F.lit(reach)), F.lit(0.0), lambda s, k: s + F.when(F.abs(at - goal) + k <= reach, bell(F.abs(at - goal) + k)).otherwise(0.0))
-        edge = F.when((at == 0) & (goal >= 0) | (at == most - 1) & (goal <= most - 1), beyond).otherwise(0.0)
-        return (near + edge) / whole
-
-    w = weight(F.col("fx"), F.col("tx"), wide) * weight(F.col("fy"), F.col("ty"), high)
-    return to.groupBy("sha", F.col("tx").alias("x"), F.col("ty").alias("y")).agg(F.sum(w * F.col(value)).alias(value))
-
-
-def blended(base: DataFrame, edit: DataFrame, mask: DataFrame, values: list[str]) -> DataFrame:
-    """sha, x, y, values: the base where the mask is 0, the edit where it is 1, cut off toward zero; of two images the one
-    that is there, where the other has no texel of the asset."""
-    key = ["sha", "x", "y"]
-    both = base.join(edit.select(*key, *(F.col(v).alias(f"_{v}") for v in values)), key, "full").join(mask, key, "left")
-    m = F.coalesce("m", F.lit(0.0))
-    out = {v: F.coalesce((F.col(v) * (1 - m) + F.col(f"_{v}") * m).cast("int"), F.col(v), F.col(f"_{v}")) for v in values}
-    return both.select(*key, *(c.alias(v) for v, c in out.items()))
-
-
-def filled(texels: DataFrame, wide: int, high: int) -> DataFrame:
-    """sha, tx, ty, colour, far: every texel of the assets' atlases with the colour of the nearest one there is (of equally
-    near ones the first by tx, then ty) and the square of the way to it. A row hands its texels on to its own column's
-    nearest first, so a texel meets one candidate for each column of the atlas and not every texel."""
-    columns = texels.select("sha", "tx", F.struct("ty", "colour").alias("own")).groupBy("sha", "tx").agg(F.sort_array(F.collect_list("own")).alias("held"))
-    rows = columns.withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(high - 1))))
-    best = F.array_min(F.transform("held", lambda t: F.struct(F.abs(t.ty - F.col("y")).alias("d"), t.ty.alias("ty"), t.colour.alias("colour"))))
-    rows = rows.select("sha", "tx", "y", best.alias("b")).withColumn("x", F.explode(F.sequence(F.lit(0), F.lit(wide - 1))))
-    far = (F.col("x") - F.col("tx")) ** 2 + F.col("b.d") ** 2
-    near = rows.groupBy("sha", "x", "y").agg(F.min(F.struct(far.cast("int").alias("far"), F.col("tx").alias("of"), F.col("b.ty").alias("and"), F.col("b.colour").alias("colour"))).alias("n"))
-    return near.select("sha", F.col("x").alias("tx"), F.col("y").alias("ty"), "n.colour", "n.far")
-
-
 def part_box(shapes: DataFrame, vertices: DataFrame, by: list[str], grow: float = 1.1, least: float = 0.15) -> DataFrame:
     """by, lo_ and hi_ of each axis: a cube about the middle of the faces' centres, as wide as grown or as a share of the
     asset, whichever is more."""

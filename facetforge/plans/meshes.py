@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from facetforge.operators import gates, geometry, meshes, ordering, winding
+from facetforge.operators import atlas, gates, geometry, meshes, ordering, winding
 from facetforge.operators.geometry import AXES
 from facetforge.plans.registry import query, table
 
@@ -287,31 +287,86 @@ def q_texture(spark: SparkSession, sf: str) -> DataFrame:
     """A part's triangles in the atlas, widened and blurred into a mask, and two textures blended by it."""
     vertices, faces = mesh(spark, sf)
     skin = vertices.withColumns({"u": (F.col("x") + 1) / 2, "v": (F.col("y") + 1) / 2})
-    hot = meshes.rastered(meshes.shaped(skin, faces.where("pid = 1"), ("u", "v")), 24, 24).withColumn("m", F.lit(1.0))
-    mask = meshes.spread(meshes.spread(hot, "m", 24, 24, 2, "max"), "m", 24, 24, 4, "blur")
+    hot = atlas.rastered(meshes.shaped(skin, faces.where("pid = 1"), ("u", "v")), 24, 24).withColumn("m", F.lit(1.0))
+    mask = atlas.spread(atlas.spread(hot, "m", 24, 24, 2, "max"), "m", 24, 24, 4, "blur")
     mask = mask.withColumn("m", F.round("m", 12))
     base = mask.select("sha", "x", "y", (40 + F.col("x")).alias("colour"))
     edit = mask.select("sha", "x", "y", (200 - F.col("y")).alias("colour"))
-    both = meshes.blended(base, edit, mask, ["colour"]).join(mask, ["sha", "x", "y"])
+    both = atlas.blended(base, edit, mask, ["colour"]).join(mask, ["sha", "x", "y"])
     return both.select("sha", "x", "y", F.round("m", 5).alias("m"), "colour")
 
 
-@query(f"""WITH {MESH_SQL}, h AS (SELECT v.*, gx FROM vertices v JOIN ext e ON e.sha = v.sha),
-s AS (SELECT h.sha, vid, (x - (lx + hx) / 2) / greatest(ex, ey, ez, 1e-9) x, (y - (ly + hy) / 2) / greatest(ex, ey, ez, 1e-9) y, (z - (z0 + z1) / 2) / greatest(ex, ey, ez, 1e-9) z, vid % 251 AS colour FROM h JOIN ext e ON e.sha = h.sha),
-m AS (SELECT a.sha, a.vid, b.colour, a.x, a.y FROM s a JOIN s b ON b.sha = a.sha AND a.vid % 2 = 1 AND b.vid % 2 = 0 QUALIFY row_number() OVER (PARTITION BY a.vid ORDER BY (a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2, b.vid) = 1),
-t AS (SELECT sha, trunc(least(greatest((x + 0.5 - floor(x + 0.5)) * 15, 0), 15))::INTEGER AS tx, trunc(least(greatest((1 - (y + 0.5 - floor(y + 0.5))) * 15, 0), 15))::INTEGER AS ty, trunc(avg(colour))::INTEGER AS colour FROM m GROUP BY ALL),
-g AS (SELECT sha, i::INTEGER AS tx, j::INTEGER AS ty FROM ext, range(0, 16) a(i), range(0, 16) b(j))
-SELECT g.sha, g.tx, g.ty, t.colour, min((g.tx - t.tx) ** 2 + (g.ty - t.ty) ** 2)::INTEGER AS far FROM g JOIN t ON t.sha = g.sha
-GROUP BY g.sha, g.tx, g.ty, t.colour, t.tx, t.ty QUALIFY row_number() OVER (PARTITION BY g.sha, g.tx, g.ty ORDER BY far, t.tx, t.ty) = 1""")
+def drawn_sql(seed: int, n: int) -> str:
+    """Points of each surface, as CTEs c{seed} and s{seed}, by their numbers' hashes."""
+    number = lambda k: f"('0x' || left(md5('{seed}{k}:' || sha || ':' || i), 8))::UBIGINT / 4294967296.0"
+    return f"""s{seed} AS (SELECT sha, i AS sid, {number("u")} AS p, {number("r")} AS r, {number("s")} AS t FROM ext, range(0, {n}) g(i))"""
+
+
+REBAKE_SQL = f"""cum AS (SELECT *, round(sum(area) OVER (PARTITION BY sha ORDER BY fidx) / sum(area) OVER (PARTITION BY sha), 12) AS hi,
+  round((sum(area) OVER (PARTITION BY sha ORDER BY fidx) - area) / sum(area) OVER (PARTITION BY sha), 12) AS lo, (ax + 1) / 2 au, (ay + 1) / 2 av, (bx + 1) / 2 bu, (by_ + 1) / 2 bv, (cx + 1) / 2 cu, (cy + 1) / 2 cv,
+  (ay + 1) / 2 aq, (az + 1) / 2 aw, (by_ + 1) / 2 bq, (bz + 1) / 2 bw, (cy + 1) / 2 cq, (cz + 1) / 2 cw FROM shape), {drawn_sql(0, 300)}, {drawn_sql(1, 300)},
+mid AS (SELECT *, (lx + hx) / 2 ox, (ly + hy) / 2 oy, (z0 + z1) / 2 oz, greatest(ex, ey, ez, 1e-9) AS w FROM ext),
+src AS (SELECT s.sha, sid, ((1 - sqrt(r)) * ax + sqrt(r) * (1 - t) * bx + sqrt(r) * t * cx - ox) / w x, ((1 - sqrt(r)) * ay + sqrt(r) * (1 - t) * by_ + sqrt(r) * t * cy - oy) / w y, ((1 - sqrt(r)) * az + sqrt(r) * (1 - t) * bz + sqrt(r) * t * cz - oz) / w z,
+  (1 - sqrt(r)) * au + sqrt(r) * (1 - t) * bu + sqrt(r) * t * cu u, (1 - sqrt(r)) * av + sqrt(r) * (1 - t) * bv + sqrt(r) * t * cv v FROM s0 s JOIN cum c ON c.sha = s.sha AND lo <= p AND p < hi JOIN mid m ON m.sha = s.sha),
+tgt AS (SELECT s.sha, sid, ((1 - sqrt(r)) * ax + sqrt(r) * (1 - t) * bx + sqrt(r) * t * cx - ox) / w x, ((1 - sqrt(r)) * ay + sqrt(r) * (1 - t) * by_ + sqrt(r) * t * cy - oy) / w y, ((1 - sqrt(r)) * az + sqrt(r) * (1 - t) * bz + sqrt(r) * t * cz - oz) / w z,
+  (1 - sqrt(r)) * aq + sqrt(r) * (1 - t) * bq + sqrt(r) * t * cq u, (1 - sqrt(r)) * aw + sqrt(r) * (1 - t) * bw + sqrt(r) * t * cw v FROM s1 s JOIN cum c ON c.sha = s.sha AND lo <= p AND p < hi JOIN mid m ON m.sha = s.sha),
+look AS (SELECT *, trunc(least((u - floor(u)) * 95, 95))::INTEGER px, trunc(greatest(least((1 - (v - floor(v))) * 79, 79), 0))::INTEGER py FROM src),
+hue AS (SELECT *, CASE WHEN sha % 3 = 2 THEN 200 ELSE (sha * 7 + px * 5 + py * 3) % 256 END r, CASE WHEN sha % 3 = 2 THEN 200 ELSE (px * py) % 256 END g FROM look),
+met AS (SELECT a.sha, a.sid, a.u, a.v, b.r, b.g FROM tgt a JOIN hue b ON b.sha = a.sha QUALIFY row_number() OVER (PARTITION BY a.sha, a.sid ORDER BY (a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2, b.sid) = 1),
+baked AS (SELECT sha, trunc(least((u - floor(u)) * 15, 15))::INTEGER tx, trunc(greatest(least((1 - (v - floor(v))) * 15, 15), 0))::INTEGER ty, trunc(avg(r))::INTEGER r, trunc(avg(g))::INTEGER g FROM met GROUP BY ALL),
+grid AS (SELECT sha, i::INTEGER AS x, j::INTEGER AS y FROM ext, range(0, 16) a(i), range(0, 16) b(j)),
+full_ AS (SELECT g.sha, g.x, g.y, t.r, t.g FROM grid g JOIN baked t ON t.sha = g.sha QUALIFY row_number() OVER (PARTITION BY g.sha, g.x, g.y ORDER BY (g.x - tx) ** 2 + (g.y - ty) ** 2, tx, ty) = 1)"""
+
+
+def textured(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The meshes' vertices with u and v for a texture, their faces, and textures of 96 x 80 for two of three assets, in tiles."""
+    vertices, faces = mesh(spark, sf)
+    skinned = vertices.withColumns({"u": (F.col("x") + 1) / 2, "v": (F.col("y") + 1) / 2})
+    rows = vertices.select("sha").distinct().where("sha % 3 <> 2")
+    texel = lambda i: F.concat(*(F.lpad(F.hex(c % 256), 2, "0") for c in (F.col("sha") * 7 + i % 96 * 5 + F.floor(i / 96) * 3, i % 96 * F.floor(i / 96), F.lit(90), F.lit(255))))
+    pixels = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(96 * 80 - 1)), texel), ""))
+    images = rows.select(F.col("sha").alias("image"), F.lit(96).alias("wide"), F.lit(80).alias("high"), pixels.alias("pixels"))
+    return skinned, faces, atlas.tiled(images)
+
+
+def rebaked(spark: SparkSession, sf: str) -> DataFrame:
+    """The meshes' textures brought onto the same meshes with another unwrapping."""
+    vertices, faces, tiles = textured(spark, sf)
+    other = vertices.withColumns({"u": (F.col("y") + 1) / 2, "v": (F.col("z") + 1) / 2})
+    was, goal = (meshes.shaped(v, faces, ("u", "v")) for v in (vertices, other))
+    return atlas.rebaked((vertices, was), (other, goal), tiles, 16, 300)
+
+
+@query(f"""WITH {MESH_SQL}, {REBAKE_SQL} SELECT sha, x, y, r, g FROM full_""")
 def q_rebake(spark: SparkSession, sf: str) -> DataFrame:
-    """Colours carried over from the nearest point in a common frame, averaged in each texel; empty texels take the
-    nearest one's."""
-    vertices, _ = mesh(spark, sf)
-    frame = geometry.bounds(vertices, ["sha"])
-    wide = F.greatest(*(F.col(f"hi_{a}") - F.col(f"lo_{a}") for a in AXES), F.lit(1e-9))
-    unit = vertices.join(frame, "sha").select("sha", F.col("vid").alias("sid"), *(((F.col(a) - (F.col(f"lo_{a}") + F.col(f"hi_{a}")) / 2) / wide).alias(a) for a in AXES))
-    source, target = unit.where("sid % 2 = 0"), unit.where("sid % 2 = 1")
-    near = geometry.nearest(target, source, F.lit(True)).select("sha", "sid", (F.col("near_sid") % 251).alias("colour"))
-    tx, ty = meshes.texel(F.col("x") + 0.5, F.col("y") + 0.5, 16, 16)
-    baked = target.join(near, ["sha", "sid"]).groupBy("sha", tx.alias("tx"), ty.alias("ty")).agg(F.avg("colour").cast("int").alias("colour"))
-    return meshes.filled(baked, 16, 16)
+    """Colours looked up in textures of the surface's points, carried over to the nearest points of another unwrapping,
+    averaged in each texel; empty texels take the nearest one's. Assets without a texture are grey."""
+    return rebaked(spark, sf).select("sha", "x", "y", "r", "g")
+
+
+@query(f"""WITH {MESH_SQL}, {REBAKE_SQL}, centre AS (SELECT s.sha, s.fidx, s.pid, (mx - ox) / w x, (my - oy) / w y, (mz - oz) / w z FROM shape s JOIN mid m ON m.sha = s.sha),
+near AS (SELECT a.sha, a.fidx, b.pid FROM centre a JOIN centre b ON b.sha = a.sha AND b.fidx % 2 = 0 QUALIFY row_number() OVER (PARTITION BY a.fidx ORDER BY sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2), b.fidx) = 1),
+hot AS (SELECT sha, fidx FROM near WHERE pid = 1), cnt AS (SELECT f.sha, count(h.fidx) / count(*) AS part_face_share FROM faces f LEFT JOIN hot h ON h.fidx = f.fidx GROUP BY f.sha HAVING count(h.fidx) / count(*) >= 0.01),
+tri2 AS (SELECT c.sha, aq * 15 x0, (1 - aw) * 15 y0, bq * 15 x1, (1 - bw) * 15 y1, cq * 15 x2, (1 - cw) * 15 y2 FROM cum c JOIN hot USING (fidx)),
+g AS (SELECT i::INTEGER AS x, j::INTEGER AS y FROM range(0, 16) a(i), range(0, 16) b(j)),
+e AS (SELECT sha, x, y, (x1 - x0) * (y - y0) - (y1 - y0) * (x - x0) AS s0, (x2 - x1) * (y - y1) - (y2 - y1) * (x - x1) AS s1, (x0 - x2) * (y - y2) - (y0 - y2) * (x - x2) AS s2 FROM tri2, g
+  WHERE x BETWEEN least(x0, x1, x2) AND greatest(x0, x1, x2) AND y BETWEEN least(y0, y1, y2) AND greatest(y0, y1, y2)),
+m AS (SELECT DISTINCT sha, x, y FROM e WHERE least(s0, s1, s2) >= -1e-9 OR greatest(s0, s1, s2) <= 1e-9),
+wd AS (SELECT DISTINCT m.sha, g.x, g.y FROM m JOIN g ON abs(g.x - m.x) <= 2 AND abs(g.y - m.y) <= 2),
+k AS (SELECT i AS d, exp(-(i * i) / 8.0) / (SELECT sum(exp(-(q * q) / 8.0)) FROM range(-4, 5) t(q)) AS wt FROM range(-4, 5) a(i)),
+bl AS (SELECT wd.sha, g.x, g.y, sum(p.wt * q.wt) AS m FROM g CROSS JOIN k p CROSS JOIN k q JOIN wd ON wd.x = least(greatest(g.x + p.d, 0), 15) AND wd.y = least(greatest(g.y + q.d, 0), 15) GROUP BY ALL)
+SELECT f.sha, f.x, f.y, trunc(round(f.r * (1 - coalesce(m, 0)) + f.x * 10 * coalesce(m, 0), 6))::INTEGER AS r, trunc(round(f.g * (1 - coalesce(m, 0)) + f.y * 10 * coalesce(m, 0), 6))::INTEGER AS g, round(part_face_share, 6) AS part_face_share
+FROM full_ f JOIN cnt ON cnt.sha = f.sha LEFT JOIN bl ON bl.sha = f.sha AND bl.x = f.x AND bl.y = f.y""")
+def q_texture_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """A part's texture taken from an edited atlas and the rest from the rebaked one, from label transfer to blend: faces take
+    the part of the nearest face of the original, the part's triangles become a mask, and assets with too little of it go."""
+    vertices, faces, _ = textured(spark, sf)
+    other = vertices.withColumns({"u": (F.col("y") + 1) / 2, "v": (F.col("z") + 1) / 2})
+    shapes = meshes.shaped(other, faces, ("u", "v"))
+    centres = atlas.unit_frame(shapes.select("sha", F.col("fidx").alias("sid"), *(F.col(f"m_{a}").alias(a) for a in AXES), "pid"), vertices)
+    near = geometry.nearest(centres, centres.where("sid % 2 = 0"), F.lit(True)).select("sha", F.col("sid").alias("fidx"), F.col("near_sid").alias("sid"))
+    hot = near.join(centres.select("sha", "sid", "pid"), ["sha", "sid"]).where("pid = 1").select("sha", "fidx")
+    base = rebaked(spark, sf)
+    edit = base.select("sha", "x", "y", (F.col("x") * 10).alias("r"), (F.col("y") * 10).alias("g"), F.lit(90).alias("b"), F.lit(255).alias("a"))
+    made, share = atlas.merged(base, edit, shapes, hot, 16, 16)
+    return made.join(share, "sha").select("sha", "x", "y", "r", "g", F.round("part_face_share", 6).alias("part_face_share"))

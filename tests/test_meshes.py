@@ -302,13 +302,6 @@ def test_a_chain_is_two_turns(spark):
     assert got == [("E10/a#t1", "E3", 0.5, None), ("E10/a#t2", "E6", 0.5, None), ("E5/b", "E5", None, None)]
 
 
-def test_a_texel_takes_the_nearest_one(spark):
-    rows = [("a", 1, 1, 10), ("a", 1, 6, 20), ("a", 6, 3, 30)]
-    got = {(r.tx, r.ty): r.colour for r in meshes.filled(spark.createDataFrame(rows, "sha string, tx int, ty int, colour int"), 8, 8).collect()}
-    want = {(x, y): min(((x - a) ** 2 + (y - b) ** 2, a, b, c) for _, a, b, c in rows)[3] for x in range(8) for y in range(8)}
-    assert got == want
-
-
 def test_samples_follow_the_areas(spark):
     vertices, faces = tables(spark, cube("a"), cube("a", (5.0, 0, 0), 2.0, pid=1, first=8, face=12))
     got = meshes.sampled(meshes.shaped(vertices, faces), 3000, 1)
