@@ -32,6 +32,15 @@ def first_of(df: DataFrame, by: list[str], *order: Column | str, n: int = 1) ->
     return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
 
+def topped_up(new: DataFrame, accepted: DataFrame, by: list[str], n: int, *order: Column | str) -> DataFrame:
+    """The new rows that a cap of n rows a group leaves room for, behind those accepted before, of which their number alone is
+    read. New rows that were accepted before should be left out first."""
+    had = accepted.groupBy(*by).agg(F.count("*").alias("_had"))
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    few = new.withColumn("_rank", rank).where(F.col("_rank") <= n).join(had, by, "left")
+    return few.where(F.col("_rank") + F.coalesce("_had", F.lit(0)) <= n).select(new.columns)
+
+
 def quota(df: DataFrame, bucket: str, quotas: dict[str, int], *order: Column | str) -> DataFrame:
     """The first rows of each bucket, as many as its quota says; buckets without a quota go."""
     allowed = F.create_map(*(F.lit(x) for pair in quotas.items() for x in pair))

@@ -84,6 +84,20 @@ def q_task_cap(spark: SparkSession, sf: str) -> DataFrame:
     return ordering.first_of(good, ["event_type"], "event_id", n=8).select("event_id", "event_type")
 
 
+@query("""WITH good AS (SELECT event_id, event_type FROM events WHERE event_type NOT IN ('error') AND value > 1),
+old AS (SELECT * FROM good WHERE event_id % 7 = 0 QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY event_id) <= event_id % 5 + 2),
+had AS (SELECT event_type, count(*) AS n FROM old GROUP BY event_type)
+SELECT g.event_id, g.event_type FROM good g LEFT JOIN had h ON h.event_type = g.event_type WHERE g.event_id NOT IN (SELECT event_id FROM old)
+QUALIFY row_number() OVER (PARTITION BY g.event_type ORDER BY g.event_id) + coalesce(h.n, 0) <= 8""")
+def q_task_cap_rest(spark: SparkSession, sf: str) -> DataFrame:
+    """What a second run adds under the same cap: what the first one accepted counts, new rows stand behind it."""
+    good = table(spark, sf, "events").select("event_id", "event_type", "value").where("event_type not in ('error') and value > 1")
+    rank = F.row_number().over(Window.partitionBy("event_type").orderBy("event_id"))
+    old = good.where("event_id % 7 = 0").withColumn("rank", rank).where("rank <= event_id % 5 + 2")
+    new = good.join(old.select("event_id"), "event_id", "left_anti")
+    return ordering.topped_up(new, old, ["event_type"], 8, "event_id").select("event_id", "event_type")
+
+
 @query(f"""WITH {STATS_SQL} SELECT sha, pid, share FROM stats WHERE share BETWEEN 0.13 AND 0.45
 QUALIFY row_number() OVER (PARTITION BY sha ORDER BY pid) = 1""")
 def q_one_per_asset(spark: SparkSession, sf: str) -> DataFrame:

@@ -146,8 +146,9 @@ SELECT concat('r3', '/', source, '/', doc_id) AS id, source AS task, verdict, CA
 def q_report(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of the page: verdicts merged, a replaced task left out, models for the first eight successes of each task."""
     good = judged(spark, sf).where(F.col("verdict").isin("pass", "marginal") & (F.col("source") != "src9"))
-    good = ordering.numbered(good, "doc_id", by=("source",))
-    model = F.when(F.col("rn") <= 8, F.concat(F.lit("models/"), F.col("doc_id"), F.lit(".glb"))).otherwise("")
+    first = ordering.first_of(good.select("source", "doc_id"), ["source"], "doc_id", n=8).withColumn("shown", F.lit(True))
+    good = good.join(first, ["source", "doc_id"], "left")
+    model = F.when(F.col("shown"), F.concat(F.lit("models/"), F.col("doc_id"), F.lit(".glb"))).otherwise("")
     place = F.nullif(F.array_position(F.array(F.lit("src0"), F.lit("src1"), F.lit("src2")), F.col("source")), F.lit(0).cast("bigint")).cast("int")
     return good.select(F.concat_ws("/", F.lit("r3"), "source", "doc_id").alias("id"), F.col("source").alias("task"), "verdict", model.alias("model"), place.alias("place"))
 

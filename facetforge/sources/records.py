@@ -3,7 +3,7 @@ job specifications. Readers take Spark paths and schemas; no file is opened by t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,10 +18,43 @@ def listed(spark: SparkSession, path: str | list[str], schema: str | T.StructTyp
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+def upto(rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """The rows (file, block, at) with the sum of `value` over all rows of the file before them: over the blocks, of which a
+    file has few, and inside each block."""
+    rows = rows.withColumn("_v", value)
+    sums = rows.groupBy("file", "block").agg(F.sum("_v").alias("_s"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("file", "block", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_b"))
+    inside = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    own = rows.withColumn("_i", F.coalesce(F.sum("_v").over(inside), F.lit(0)))
+    return own.join(sums, ["file", "block"]).withColumn(name, F.col("_b") + F.col("_i")).drop("_v", "_b", "_i")
+
+
 def mapped(spark: SparkSession, path: str | list[str], value: str = "string") -> DataFrame:
-    """key, value of files that hold one map each."""
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.explode(F.from_json("value", f"map<string,{value}>")).alias("key", "value"))
+    """key, value of files that hold one map each; of a repeated key the last.
+
+    A map may be of any size: Spark splits files at commas, into blocks that are read by tasks of their own. How many quotes
+    came before a piece says whether it starts inside a string, how many brackets were opened and not closed outside of
+    strings how deep it is; the commas of the map itself, outside of strings and one deep, end its entries.
+    """
+    pieces = spark.read.option("lineSep", ",").text(path).select("_metadata.file_path", "_metadata.file_block_start", "value")
+    pieces = pieces.toDF("file", "block", "text").withColumn("at", F.monotonically_increasing_id())
+    bare = F.regexp_replace("text", r"(?s)\\.", "")  # without what a backslash takes its meaning
+    quotes = F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit("")))
+    rows = upto(pieces.withColumns({"bare": bare, "quotes": quotes}), F.col("quotes"), "odd")
+    within = F.col("odd") % 2 == 1
+    plain = F.regexp_replace(F.concat(F.when(within, '"').otherwise(""), "bare"), r'(?s)"[^"]*("|$)', "")
+    many = lambda signs: F.length(plain) - F.length(F.translate(plain, signs, ""))
+    rows = upto(rows.withColumn("step", many("{[") - many("}]")), F.col("step"), "deep")
+    ends = ((F.col("odd") + F.col("quotes")) % 2 == 0) & (F.col("deep") + F.col("step") == 1)
+    rows = upto(rows.select("file", "block", "at", "text", ends.alias("ends")), F.col("ends").cast("long"), "entry")
+    entries = rows.groupBy("file", "entry").agg(F.array_sort(F.collect_list(F.struct("block", "at", "text"))).alias("p"))
+    last = rows.groupBy("file").agg(F.max("entry").alias("last"))
+    whole = entries.select("file", "entry", F.array_join("p.text", ",").alias("t")).join(last, "file")
+    opened = F.when(F.col("entry") == 0, F.regexp_replace("t", r"(?s)^\s*\{", "")).otherwise(F.col("t"))
+    closed = F.when(F.col("entry") == F.col("last"), F.regexp_replace(opened, r"(?s)\}\s*$", "")).otherwise(opened)
+    found = whole.select("file", "entry", F.explode(F.from_json(F.concat(F.lit("{"), closed, F.lit("}")), f"map<string,{value}>")).alias("key", "value"))
+    return found.groupBy("file", "key").agg(F.max_by("value", "entry").alias("value")).select("key", "value")
 
 
 def results(spark: SparkSession, path: str | list[str], record: str, key: str) -> DataFrame:

@@ -5,14 +5,18 @@ from __future__ import annotations
 
 import html
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from facetforge.sources import png
 from facetforge.sources.arrays import scene_bytes
+from facetforge.sources.named import written
 
 #: Signs of an exception that are kept.
 TAIL = 1500
@@ -28,10 +32,36 @@ def overwritten(df: DataFrame, path: str, by: str = "task") -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).json(path)
 
 
+def by_pair(df: DataFrame, path: str, name: str = "meta.json") -> None:
+    """A record for each pair's folder, <path>/<task>/<name>/meta.json: of the columns task and name, and the others."""
+    others = [c for c in df.columns if c not in ("task", "name")]
+    record = F.to_json(F.struct("task", *others), {"pretty": "true"})
+    written(df.select(F.concat_ws("/", "task", "name", F.lit(name)).alias("path"), F.encode(record, "utf-8").alias("content")), path)
+
+
 def as_map(df: DataFrame, path: str, key: str) -> None:
-    """Lines {key: record}. One map of a whole table would be one row, so each line is a map of one record."""
+    """Files that each hold one map {key: record, ...}, an entry a line; a file for each task."""
     value = F.struct(*(c for c in df.columns if c != key))
-    df.select(F.to_json(F.create_map(F.col(key).cast("string"), value)).alias("value")).write.mode("overwrite").text(path)
+    # An entry is a map of one record without its braces.
+    entry = F.regexp_replace(F.to_json(F.create_map(F.col(key).cast("string"), value)), r"(?s)^\{|\}$", "")
+
+    def braced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = True
+        for batch in batches:
+            for value in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array([("{" if first else ",") + value])], ["value"])
+                first = False
+        if not first:
+            yield pa.RecordBatch.from_arrays([pa.array(["}"])], ["value"])
+
+    df.where(F.col(key).isNotNull()).select(entry.alias("value")).mapInArrow(braced, "value string").write.mode("overwrite").text(path)
+
+
+def counted(df: DataFrame, path: str, **counters: Column) -> dict:
+    """Writes the rows as Parquet and returns the counters over them, taken by the same job as it writes."""
+    seen = Observation()
+    df.observe(seen, *(c.alias(n) for n, c in counters.items())).write.mode("overwrite").parquet(path)
+    return seen.get
 
 
 def updated(df: DataFrame, changes: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
@@ -49,23 +79,37 @@ def split_errors(df: DataFrame, failed: Column, exc: Column, key: list[str]) ->
     return df.where(~bad), errors
 
 
-def scene_files(vertices: DataFrame, faces: DataFrame) -> DataFrame:
-    """sha, content: each asset's meshes as a scene file. vertices: sha, mesh, vid, x, y, z; faces: sha, mesh, fidx, v0, v1, v2,
-    with vid from 0 inside a mesh. A scene is one file, so an asset is one group."""
-    v = vertices.groupBy("sha").agg(F.sort_array(F.collect_list(F.struct("mesh", "vid", "x", "y", "z"))).alias("v"))
+def scene_files(vertices: DataFrame, faces: DataFrame, textures: DataFrame | None = None) -> DataFrame:
+    """sha, content: each asset's meshes as a scene file. vertices: sha, mesh, vid, x, y, z, and u, v if they have places in the
+    atlas; faces: sha, mesh, fidx, v0, v1, v2, with vid from 0 inside a mesh; textures: sha, wide, high, pixels, one for each
+    asset that has any. A scene is one file, so an asset is one group."""
+    uv = [c for c in ("u", "v") if c in vertices.columns]
+    v = vertices.groupBy("sha").agg(F.sort_array(F.collect_list(F.struct("mesh", "vid", "x", "y", "z", *uv))).alias("v"))
     f = faces.groupBy("sha").agg(F.sort_array(F.collect_list(F.struct("mesh", "fidx", "v0", "v1", "v2"))).alias("f"))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             out = []
-            for sha, vs, fs in rows.itertuples(index=False):
+            for sha, vs, fs, wide, high, pixels in rows.itertuples(index=False):
                 points, sides = pd.DataFrame(list(vs)), pd.DataFrame(list(fs))
-                meshes = [(points.loc[points["mesh"] == m, ["x", "y", "z"]].to_numpy(), own[["v0", "v1", "v2"]].to_numpy(np.int64)) for m, own in sides.groupby("mesh", sort=True)]
-                out.append((sha, scene_bytes(meshes)))
+                images = [] if pixels is None else [png.encoded(int(wide), int(high), bytes(pixels))]
+                meshes = []
+                for m, own in sides.groupby("mesh", sort=True):
+                    at = points.loc[points["mesh"] == m]
+                    place = at[uv].to_numpy(float) if uv and at[uv].notna().all(axis=None) else None
+                    meshes.append((at[["x", "y", "z"]].to_numpy(), own[["v0", "v1", "v2"]].to_numpy(np.int64), place, 0 if images and place is not None else None))
+                out.append((sha, scene_bytes(meshes, images)))
             yield pd.DataFrame(out, columns=["sha", "content"])
 
     both = v.join(f, "sha")
-    return both.mapInPandas(write, f"sha {vertices.schema['sha'].dataType.simpleString()}, content binary")
+    both = both.join(textures.select("sha", "wide", "high", "pixels"), "sha", "left") if textures is not None else both.selectExpr("*", "cast(null as int) wide", "cast(null as int) high", "cast(null as binary) pixels")
+    return both.select("sha", "v", "f", "wide", "high", "pixels").mapInPandas(write, f"sha {vertices.schema['sha'].dataType.simpleString()}, content binary")
+
+
+def scenes(vertices: DataFrame, faces: DataFrame, path: str, textures: DataFrame | None = None) -> None:
+    """Writes each asset's scene as <path>/<sha>.glb."""
+    made = scene_files(vertices, faces, textures)
+    written(made.select(F.concat(F.col("sha").cast("string"), F.lit(".glb")).alias("path"), "content"), path)
 
 
 def page(rows: DataFrame, template: str, values: dict[str, str], most: int = 5000) -> str:
@@ -74,7 +118,6 @@ def page(rows: DataFrame, template: str, values: dict[str, str], most: int = 500
     got = rows.limit(most + 1).toJSON().collect()
     if len(got) > most:
         raise ValueError(f"a page shows at most {most} rows")
-    filled = template.replace("{{rows}}", "[" + ",".join(json.dumps(json.loads(r)).replace("</", "<\\/") for r in got) + "]")
-    for name, value in values.items():
-        filled = filled.replace("{{" + name + "}}", html.escape(value))
-    return filled
+    # In one pass: what is put in isn't filled in again.
+    known = {n: html.escape(v) for n, v in values.items()} | {"rows": "[" + ",".join(json.dumps(json.loads(r)).replace("</", "<\\/") for r in got) + "]"}
+    return re.sub(r"\{\{(\w+)\}\}", lambda m: known.get(m[1], m[0]), template)

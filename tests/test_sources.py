@@ -80,6 +80,7 @@ def test_scenes_round_trip(spark, tmp_path):
     vertices, faces, errors = arrays.scenes(spark, str(tmp_path / "in" / "*.glb"))
     assert (vertices.count(), faces.count(), errors.count()) == (7, 3, 1)
     sha = records.nth_from_end(F.col("path"), 1).alias("sha")
+    assert {r.image for r in faces.collect()} == {None}
     made = sinks.scene_files(vertices.select(sha, "mesh", "vid", "x", "y", "z"), faces.select(sha, "mesh", "fidx", "v0", "v1", "v2")).collect()
     put(tmp_path / "out" / "a.glb", bytes(made[0].content))
     again, sides, _ = arrays.scenes(spark, str(tmp_path / "out" / "*.glb"))
@@ -115,5 +116,135 @@ def test_maps_new_versions_errors_and_the_page(spark, tmp_path):
     assert [r.key for r in good.collect()] == ["a"] and [(r.key, r.error, len(r.exc)) for r in bad.collect()] == [("b", True, 1500)]
     html = sinks.page(spark.createDataFrame([("</script>",)], "t string"), "<p>{{title}}</p><script>{{rows}}</script>", {"title": "a < b"})
     assert html == '<p>a &lt; b</p><script>[{"t": "<\\/script>"}]</script>'
+    html = sinks.page(spark.createDataFrame([("{{title}}",)], "t string"), "{{rows}} {{title}} {{other}}", {"title": "{{rows}}"})
+    assert html == '[{"t": "{{title}}"}] {{rows}} {{other}}'  # what is put in isn't filled in again
     with pytest.raises(ValueError, match="at most"):
         sinks.page(spark.range(5001), "{{rows}}", {})
+
+
+HARD = {"a": {"n": 1, "t": 'x, "y" } { ] \\'}, 'k"e,y': {"n": 2, "t": "\\"}, "c": {"n": None, "t": "ä\n,\t"}, "": {"n": 4, "t": "[,{"}}
+
+
+@pytest.mark.parametrize("indent", [None, 1])
+@pytest.mark.parametrize("block", ["128m", "7b"])
+def test_a_map_is_cut_at_its_keys(spark, tmp_path, indent, block):
+    """Whatever the blocks that the file is read in, strings with commas, brackets and backslashes included."""
+    put(tmp_path / "m.json", json.dumps(HARD, indent=indent, ensure_ascii=False))
+    put(tmp_path / "n.json", json.dumps({"z": {"n": 9, "t": "other file"}}))
+    put(tmp_path / "empty.json", "{ }")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = records.mapped(spark, str(tmp_path / "*.json"), "struct<n:int,t:string>")
+        assert {r.key: {"n": r.value.n, "t": r.value.t} for r in got.collect()} == HARD | {"z": {"n": 9, "t": "other file"}}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_maps_of_plain_values_and_repeated_keys(spark, tmp_path):
+    put(tmp_path / "a.json", '{"x": "one, two", "y": "", "x": "last"}')
+    assert rows(records.mapped(spark, str(tmp_path / "a.json"))) == [("x", "last"), ("y", "")]
+    put(tmp_path / "b.json", '{"x": [1, [2, 3]], "y": []}')
+    assert {r.key: r.value for r in records.mapped(spark, str(tmp_path / "b.json"), "array<string>").collect()} == {"x": ["1", "[2,3]"], "y": []}
+
+
+def test_a_large_map_is_read_by_many_tasks(spark, tmp_path):
+    put(tmp_path / "m.json", json.dumps({f"k{i}": {"n": i, "t": "a, b" * 20} for i in range(20_000)}))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        got = records.mapped(spark, str(tmp_path / "m.json"), "struct<n:int,t:string>")
+        assert got.agg(F.count("*"), F.sum("value.n")).first()[:2] == (20_000, 199_990_000)
+        assert spark.read.option("lineSep", ",").text(str(tmp_path / "m.json")).rdd.getNumPartitions() > 5
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_several_records_of_one_part_file(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), ("b, c", 2), ('d"', 3), (None, 4)], "key string, n int").coalesce(1)
+    sinks.as_map(df, str(tmp_path / "map"), "key")
+    assert rows(records.mapped(spark, str(tmp_path / "map"), "struct<n:int>").select("key", "value.n")) == [("a", 1), ("b, c", 2), ('d"', 3)]
+    [part] = (tmp_path / "map").glob("part-*.txt")
+    assert json.loads(part.read_text()) == {"a": {"n": 1}, "b, c": {"n": 2}, 'd"': {"n": 3}}
+    sinks.as_map(df.limit(0), str(tmp_path / "none"), "key")
+    assert records.mapped(spark, str(tmp_path / "none"), "struct<n:int>").count() == 0
+
+
+def test_counters_of_the_job_that_writes(spark, tmp_path):
+    df = spark.range(1000).withColumn("ok", F.col("id") % 3 == 0)
+    got = sinks.counted(df, str(tmp_path / "t"), n=F.count("*"), passed=F.count_if("ok"))
+    again = spark.read.parquet(str(tmp_path / "t"))
+    assert got == {"n": again.count(), "passed": again.where("ok").count()} == {"n": 1000, "passed": 334}
+
+
+def test_a_record_for_each_pair(spark, tmp_path):
+    df = spark.createDataFrame([("E3", "a__p1", "a", 1), ("E6", "b__p2", "b", 2)], "task string, name string, sha string, part_id int")
+    sinks.by_pair(df, str(tmp_path / "pairs"))
+    assert json.loads((tmp_path / "pairs" / "E3" / "a__p1" / "meta.json").read_text()) == {"task": "E3", "sha": "a", "part_id": 1}
+    got = records.pairs(spark, str(tmp_path / "pairs"), "sha string, part_id int").select("task", "name", "sha", "part_id")
+    assert rows(got) == rows(df)
+    sinks.by_pair(df.where("sha = 'a'").withColumn("part_id", F.lit(7)), str(tmp_path / "pairs"))
+    assert {r.part_id for r in records.pairs(spark, str(tmp_path / "pairs"), "sha string, part_id int").collect()} == {2, 7}
+
+
+def test_a_failed_task_leaves_no_file(spark, tmp_path):
+    df = spark.range(8).repartition(8).select(F.concat("id", F.lit("/x.bin")).alias("path"), F.when(F.col("id") == 5, F.raise_error(F.lit("broken"))).otherwise(F.encode(F.col("id").cast("string"), "utf-8")).alias("content"))
+    from facetforge.sources import named
+
+    with pytest.raises(Exception, match="broken"):
+        named.written(df, str(tmp_path / "out"))
+    assert not list((tmp_path / "out").rglob("*.bin")) and not (tmp_path / "out" / "_temporary").exists()
+    for bad in ("../x", "/x", ""):
+        with pytest.raises(Exception, match="no path below"):
+            named.written(spark.createDataFrame([(bad, bytearray(b"1"))], "path string, content binary"), str(tmp_path / "out"))
+    with pytest.raises(Exception, match="two rows have one path"):
+        named.written(spark.createDataFrame([("a", bytearray(b"1"))] * 2, "path string, content binary"), str(tmp_path / "out"))
+    assert not list((tmp_path / "out").rglob("*")) if (tmp_path / "out").exists() else True
+    named.written(df.where("id <> 5"), str(tmp_path / "out"))
+    assert sorted(p.parent.name for p in (tmp_path / "out").rglob("*.bin")) == list("0123467")
+
+
+def test_a_textured_scene_round_trips(spark, tmp_path):
+    """Two meshes, one with a picture: written by the sink, read with its places and its picture."""
+    wide, high = 5, 3
+    pixels = bytes(range(wide * high * 4))
+    vertices = spark.createDataFrame([("s", m, i, float(i), float(m), 0.5, i / 4 if m else None, 0.25 if m else None) for m in (0, 1) for i in range(3)], "sha string, mesh long, vid long, x double, y double, z double, u double, v double")
+    faces = spark.createDataFrame([("s", 0, 0, 0, 1, 2), ("s", 1, 0, 2, 1, 0)], "sha string, mesh long, fidx long, v0 long, v1 long, v2 long")
+    textures = spark.createDataFrame([("s", wide, high, bytearray(pixels))], "sha string, wide int, high int, pixels binary")
+    sinks.scenes(vertices, faces, str(tmp_path / "out"), textures)
+    again, sides, errors = arrays.scenes(spark, str(tmp_path / "out" / "s.glb"))
+    assert errors.count() == 0
+    assert rows(again.select("mesh", "vid", "x", "y", "z").where("mesh = 1")) == rows(vertices.select("mesh", "vid", "x", "y", "z").where("mesh = 1"))
+    assert [(r.u, r.v) for r in again.orderBy("mesh", "vid").collect()] == [(None, None)] * 3 + [(i / 4, 0.25) for i in range(3)]
+    assert {(r.mesh, r.image) for r in sides.collect()} == {(0, None), (1, 0)}
+    images, bad = arrays.textures(spark, str(tmp_path / "out" / "*.glb"))
+    assert bad.count() == 0 and [(r.image, r.wide, r.high, bytes(r.pixels)) for r in images.collect()] == [(0, wide, high, pixels)]
+
+
+@pytest.mark.parametrize("kind", [0, 1, 2, 3, 4])
+def test_pictures_of_every_filter(kind):
+    import struct
+    import zlib
+
+    from facetforge.sources import png
+
+    rng = np.random.default_rng(kind)
+    for colour, step in png.CHANNELS.items():
+        flat = rng.integers(0, 256, (4, 6, step), dtype=np.uint8)
+        body, above = b"", bytes(6 * step)
+        for line in flat.reshape(4, -1):
+            row, out = bytes(line), bytearray()
+            for i, x in enumerate(row):
+                left, corner = (row[i - step], above[i - step]) if i >= step else (0, 0)
+                out.append(x - {0: 0, 1: left, 2: above[i], 3: left + above[i] >> 1, 4: png.paeth(left, above[i], corner)}[kind] & 255)
+            body, above = body + bytes([kind]) + bytes(out), row
+        raw = png.SIGNATURE + png.chunk(b"IHDR", struct.pack(">IIBBBBB", 6, 4, 8, colour, 0, 0, 0)) + png.chunk(b"IDAT", zlib.compress(body)) + png.chunk(b"IEND", b"")
+        wide, high, pixels = png.decoded(raw)
+        got = np.frombuffer(pixels, np.uint8).reshape(4, 6, 4)
+        assert (wide, high) == (6, 4) and np.array_equal(got[..., :1], flat[..., :1])
+        assert np.array_equal(got[..., 3], flat[..., -1] if step in (2, 4) else np.full((4, 6), 255))
+    assert png.decoded(png.encoded(2, 1, bytes(range(8)))) == (2, 1, bytes(range(8)))
+    with pytest.raises(ValueError, match="picture"):
+        png.decoded(b"nothing")
