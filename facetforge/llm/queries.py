@@ -165,11 +165,11 @@ WITH d AS (SELECT row_number() OVER () AS id, doc_id, {CRC_SQL} % 7 <> 2 AS trai
 ), n AS (SELECT coalesce(sum(c), 0)::BIGINT AS n, count(*) AS v FROM c
 ), p AS MATERIALIZED (SELECT t.*, c.c, (coalesce(c.c, 0) + 1) / (n.n + n.v + 1) AS p FROM t LEFT JOIN c ON c.w = t.w, n
 ), g1 AS MATERIALIZED (SELECT x, w, count(*) AS n, any_value(p) AS p FROM p WHERE train AND x IS NOT NULL GROUP BY x, w
-), s1 AS MATERIALIZED (SELECT x, sum(n)::BIGINT AS n, count(*) AS d FROM g1 GROUP BY x HAVING sum(n) >= 32 AND sum(n * ln(n / p)) - sum(n) * ln(sum(n)) >= 0.5 * count(*) * ln(sum(n))
+), s1 AS MATERIALIZED (SELECT x, sum(n)::BIGINT AS n, count(*) AS d FROM g1 GROUP BY x HAVING sum(n) >= 16 AND sum(n) * 1048576 >= (SELECT n FROM n) AND sum(n * ln(n / p)) - sum(n) * ln(sum(n)) >= 0.5 * count(*) * ln(sum(n))
 ), q AS MATERIALIZED (SELECT p.*, s1.x IS NOT NULL AS stays, CASE WHEN s1.x IS NULL THEN p.p ELSE (coalesce(g1.n, 0) + s1.d * p.p) / (s1.n + s1.d) END AS q
   FROM p LEFT JOIN s1 ON s1.x = p.x LEFT JOIN g1 ON g1.x = p.x AND g1.w = p.w
 ), g2 AS MATERIALIZED (SELECT y, x, w, count(*) AS n, any_value(q) AS q FROM q WHERE train AND stays AND y IS NOT NULL GROUP BY y, x, w
-), s2 AS MATERIALIZED (SELECT y, x, sum(n)::BIGINT AS n, count(*) AS d FROM g2 GROUP BY y, x HAVING sum(n) >= 32 AND sum(n * ln(n / q)) - sum(n) * ln(sum(n)) >= 0.5 * count(*) * ln(sum(n))
+), s2 AS MATERIALIZED (SELECT y, x, sum(n)::BIGINT AS n, count(*) AS d FROM g2 GROUP BY y, x HAVING sum(n) >= 16 AND sum(n) * 1048576 >= (SELECT n FROM n) AND sum(n * ln(n / q)) - sum(n) * ln(sum(n)) >= 0.5 * count(*) * ln(sum(n))
 ), r AS (SELECT q.*, CASE WHEN s2.x IS NULL THEN q.q ELSE (coalesce(g2.n, 0) + s2.d * q.q) / (s2.n + s2.d) END AS r
   FROM q LEFT JOIN s2 ON s2.x = q.x AND s2.y = q.y LEFT JOIN g2 ON g2.x = q.x AND g2.y = q.y AND g2.w = q.w
 ), z AS (SELECT id, count(*) AS n_tokens, count(c) AS n_known, sum(round(log10(p) * 1e9)::BIGINT)::BIGINT / 1e9 AS base_score, sum(round(log10(r) * 1e9)::BIGINT)::BIGINT / 1e9 AS score FROM r GROUP BY id)
