@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from facetforge.operators.geometry import AXES, bounds, within
-from facetforge.operators.meshes import sampled
+from facetforge.operators.geometry import AXES, bounds, silhouettes, within
+from facetforge.operators.meshes import bodies, boundary, sampled, shaped
 from facetforge.operators.storing import kept
 
 #: The tasks that leave the shape alone, those that take or add a part, those that move or double one, and
@@ -101,3 +101,59 @@ def new_edges(before: DataFrame, after: DataFrame, diag: DataFrame, apart: float
     known = within(a, b, F.lit(True)).select("sha", "sid")
     new = after.join(known, ["sha", "sid"], "left_anti").groupBy("sha").agg(F.count("*").alias("n"))
     return diag.select("sha").join(new, "sha", "left").select("sha", F.coalesce("n", F.lit(0)).alias("new_open"))
+
+
+def ways(before: DataFrame, after: DataFrame) -> DataFrame:
+    """sha, moved_frac (the share of vertices that moved), mean_disp (the mean way over the diagonal): null where the states
+    have different numbers of vertices."""
+    size = bounds(before, ["sha"]).select("sha", "diag", "n").join(after.groupBy("sha").agg(F.count("*").alias("m")), "sha")
+    both = before.join(after.select("sha", "vid", *(F.col(a).alias(f"to_{a}") for a in AXES)), ["sha", "vid"]).join(size, "sha")
+    way = F.sqrt(sum(((F.col(a) - F.col(f"to_{a}")) ** 2 for a in AXES), F.lit(0.0)))
+    met = both.groupBy("sha", "n", "m").agg(F.count("*").alias("k"), F.avg((way > 1e-6 * F.col("diag")).cast("double")).alias("moved"), F.avg(F.try_divide(way, F.col("diag"))).alias("way"))
+    same = (F.col("n") == F.col("m")) & (F.col("n") == F.col("k"))
+    return met.select("sha", F.when(same, F.col("moved")).alias("moved_frac"), F.when(same, F.col("way")).alias("mean_disp"))
+
+
+#: What the gate reads of a pair, and the kinds of it.
+METRICS = {"sil_iou": "double", "area_delta": "double", "orphans": "int", "exposure": "double", "new_open": "bigint", "d_faces": "bigint", "moved_frac": "double", "mean_disp": "double"}
+
+
+def judged(
+    pairs: DataFrame, before: tuple[DataFrame, DataFrame], after: tuple[DataFrame, DataFrame], removed: DataFrame, samples: int = 80_000, res: int = 96, seed: int = 0
+) -> DataFrame:
+    """The pairs with what their tasks need to be measured, and geo_pass. pairs: key, task, vis, error, chains as one pair;
+    before, after: vertices and faces of both states, by key as sha, chains by their turns' keys; removed: key, pid, the parts
+    that a removal took, if known. Each metric reads the meshes of those pairs alone whose task asks for it; all metrics are
+    rows of one table, brought together by key once."""
+    pairs = turns(pairs.withColumn("exposure", F.lit(None).cast("double"))).drop("exposure")
+
+    task = pairs.where("error is null").select(F.col("key").alias("sha"), "task")
+
+    def of(df: DataFrame, *tasks: str) -> DataFrame:
+        return df.join(task.where(F.col("task").isin(*tasks)).select("sha"), "sha", "left_semi")
+
+    # The faces of both states with their shapes, once for all that read them.
+    was, now = (kept(shaped(of(v, *STILL, *CUT, *MOVE), of(f, *STILL, *CUT, *MOVE))) for v, f in (before, after))
+    surface = lambda shapes: sampled(of(shapes, *STILL), samples, seed).select("sha", "sid", *AXES)
+    still = silhouettes(surface(was), surface(now), res).select("sha", F.col("iou").alias("sil_iou"))
+    area = lambda shapes, name: of(shapes, *CUT).groupBy("sha").agg(F.sum("area").alias(name))
+    areas = area(was, "was").join(area(now, "now"), "sha", "left").select("sha", relative(F.coalesce("now", F.lit(0.0)), F.col("was")).alias("area_delta"))
+    left = of(after[1], *CUT, *MOVE)
+    diag = bounds(of(before[0], *CUT, *MOVE), ["sha"])
+    hanging = orphans(now.join(bodies(left).select("sha", "fidx", "body"), ["sha", "fidx"]), diag, seed)
+    place = [F.col(f"m_{a}").alias(a) for a in AXES]
+    gone = of(was, CUT[0]).join(removed.withColumnRenamed("key", "sha"), ["sha", "pid"], "left_semi").select("sha", *place)
+    seen = exposure(gone, of(now, CUT[0]).select("sha", *place, *(F.col(f"n_{a}").alias(f"n{a}") for a in AXES)), ["sha"])
+    rims = [boundary(*(of(df, CUT[0]) for df in state)) for state in (before, after)]
+    opened = new_edges(*rims, of(diag, CUT[0]))
+    many = lambda shapes, name: of(shapes, *MOVE).groupBy("sha").agg(F.count("*").alias(name))
+    faces = many(was, "was").join(many(now, "now"), "sha", "full").select("sha", F.abs(F.coalesce("now", F.lit(0)) - F.coalesce("was", F.lit(0))).alias("d_faces"))
+    both = ways(*(of(state[0], *MOVE, BEND) for state in (before, after))).join(task, "sha")
+    moved = both.where(F.col("task") != BEND).select("sha", "moved_frac")
+    bent = both.where(F.col("task") == BEND).select("sha", "mean_disp")
+    rows = None
+    for found in (still, areas, hanging, seen, opened, faces, moved, bent):
+        own = found.select("sha", *((F.col(m) if m in found.columns else F.lit(None)).cast(kind).alias(m) for m, kind in METRICS.items()))
+        rows = own if rows is None else rows.unionByName(own)
+    rows = rows.groupBy(F.col("sha").alias("key")).agg(*(F.max(m).alias(m) for m in METRICS))
+    return pairs.join(rows, "key", "left").withColumn("geo_pass", passes())

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from facetforge.functions import text
 from facetforge.operators import forest, gates, geometry, meshes, ordering, selecting
 from facetforge.operators.geometry import AXES
-from facetforge.plans.meshes import MESH_SQL, in_turn, mesh
+from facetforge.operators.storing import kept
+from facetforge.plans.meshes import MESH_SQL, MOVES_SQL, OPS, OPS_SQL, in_turn, mesh
 from facetforge.plans.registry import query, table
 from facetforge.plans.shapes import BOX_SQL, LOOKS_SQL
 
@@ -237,25 +238,99 @@ def q_exposure(spark: SparkSession, sf: str) -> DataFrame:
     return gates.exposure(points, left, ["sha", "pid"]).withColumn("exposure", F.round("exposure", 6))
 
 
-TASKS = ["E1a", "E3", "E2", "E6", "E7", "E9", "E5", "E10"]
-PAIR_SQL = """pair AS (SELECT 'P/' || event_id AS key, ['E1a', 'E3', 'E2', 'E6', 'E7', 'E9', 'E5', 'E10'][event_id % 8 + 1] AS task, 0.9 + (event_id % 11) / 100.0 AS sil_iou, (event_id % 13) / 20.0 AS area_delta,
-  CASE WHEN event_id % 5 = 0 THEN NULL ELSE (event_id % 7) / 10.0 END AS vis, event_id % 3 - 1 AS orphans, CASE WHEN event_id % 4 = 0 THEN NULL ELSE (event_id % 9) / 20.0 END AS exposure,
-  event_id % 2 AS d_faces, (event_id % 17) / 1000.0 AS moved_frac, (event_id % 19) / 60.0 AS mean_disp, CASE WHEN event_type = 'error' THEN props END AS error FROM events)"""
-
-
-@query(f"""WITH {PAIR_SQL}, t AS (SELECT * FROM pair WHERE task <> 'E10' UNION ALL SELECT key || '#t' || i, CASE i WHEN 1 THEN 'E3' ELSE 'E6' END, sil_iou, area_delta, 0.5, orphans, NULL, d_faces, moved_frac, mean_disp, error FROM pair, (VALUES (1), (2)) v(i) WHERE task = 'E10')
-SELECT key, task, error IS NULL AND CASE WHEN task IN ('E1a', 'E1b', 'E1c', 'E1a_rev') THEN sil_iou >= 0.93
-  WHEN task IN ('E3', 'E2') THEN area_delta BETWEEN 0.02 AND 0.6 AND coalesce(vis, 0) >= 0.3 AND orphans <= 0 AND (task = 'E2' OR coalesce(exposure <= 0.35, true))
-  WHEN task IN ('E6', 'E7') THEN coalesce(vis, 0) >= 0.3 AND (d_faces > 0 OR moved_frac > 0.005) AND orphans <= 0 WHEN task = 'E9' THEN mean_disp BETWEEN 0.005 AND 0.25 ELSE true END AS geo_pass FROM t""")
+def states_sql(of: dict[str, str], columns: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{task}/' || sha || '{turn}' AS key, {columns} FROM {of_}" for (task, _, turn), of_ in ((k.partition("#"), v) for k, v in of.items()) for turn in [f"#{turn}" if turn else ""])
+
+
+BEFORE = {"E1a": "whole", "E3": "whole", "E2": "cut", "E6": "whole", "E9": "whole", "E10#t1": "whole", "E10#t2": "cut"}
+AFTER = {"E1a": "bent", "E3": "cut", "E2": "whole", "E6": "moved", "E9": "bent", "E10#t1": "cut", "E10#t2": "cutmoved"}
+TRI_SQL = """SELECT f.key, f.fidx, f.pid, a.x ax, a.y ay, a.z az, b.x bx, b.y by_, b.z bz, c.x cx, c.y cy, c.z cz, (a.x + b.x + c.x) / 3 mx, (a.y + b.y + c.y) / 3 my, (a.z + b.z + c.z) / 3 mz,
+  (b.y - a.y) * (c.z - a.z) - (b.z - a.z) * (c.y - a.y) px, (b.z - a.z) * (c.x - a.x) - (b.x - a.x) * (c.z - a.z) py, (b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x) pz
+  FROM f{s} f JOIN v{s} a ON a.key = f.key AND a.vid = f.v0 JOIN v{s} b ON b.key = f.key AND b.vid = f.v1 JOIN v{s} c ON c.key = f.key AND c.vid = f.v2"""
+DRAW_SQL = "('0x' || left(md5('0{k}:' || {by} || ':' || i), 8))::UBIGINT / 4294967296.0 AS {k}"
+GATE_SQL = f"""{MESH_SQL}, {OPS_SQL}, {BOX_SQL.replace("box AS", "pbox AS")}, looks AS ({LOOKS_SQL.replace("JOIN box b", "JOIN pbox b")}), front AS (SELECT sha, v, pid FROM looks QUALIFY row_number() OVER (PARTITION BY sha, v, cu, cv ORDER BY depth DESC, sid) = 1),
+hits AS (SELECT sha, v, pid, count(*) AS hits FROM front GROUP BY ALL), cells AS (SELECT sha, v, pid, count(DISTINCT cu * 1000 + cv) AS cells FROM looks GROUP BY ALL),
+vis AS (SELECT o.sha, o.pid, max(least(coalesce(hits, 0) / cells, 1.0)) AS vis FROM cells o LEFT JOIN hits h ON h.sha = o.sha AND h.v = o.v AND h.pid = o.pid GROUP BY ALL),
+kk AS (SELECT sha, avg(mx) kx, avg(my) ky, avg(mz) kz FROM shape WHERE pid = 1 GROUP BY sha), hit AS (SELECT DISTINCT sha, unnest([v0, v1, v2]) AS vid FROM faces WHERE pid = 1),
+keep AS (SELECT DISTINCT sha, unnest([v0, v1, v2]) AS vid FROM faces WHERE pid <> 2),
+mv AS (SELECT v.sha, v.vid, x, y, z, hit.vid IS NOT NULL AS hit, {MOVES_SQL} FROM vertices v JOIN kk k ON k.sha = v.sha JOIN ext e ON e.sha = v.sha JOIN ops o ON o.sha = v.sha LEFT JOIN hit ON hit.vid = v.vid),
+vwhole AS (SELECT sha, vid, x, y, z FROM vertices), vcut AS (SELECT v.sha, v.vid, x, y, z FROM vertices v JOIN keep k ON k.vid = v.vid),
+vmoved AS (SELECT sha, vid, CASE WHEN hit THEN nx ELSE x END AS x, CASE WHEN hit THEN ny ELSE y END AS y, CASE WHEN hit THEN nz ELSE z END AS z FROM mv), vcutmoved AS (SELECT m.* FROM vmoved m JOIN keep k ON k.vid = m.vid),
+vbent AS (SELECT v.sha, vid, x + 0.35 * ex * ((z - z0) / greatest(z1 - z0, 1e-6)) ** 2 AS x, y, z FROM vertices v JOIN ext e ON e.sha = v.sha),
+fwhole AS (SELECT * FROM faces), fcut AS (SELECT * FROM faces WHERE pid <> 2), fmoved AS (SELECT * FROM faces), fcutmoved AS (SELECT * FROM faces WHERE pid <> 2), fbent AS (SELECT * FROM faces),
+v0 AS MATERIALIZED ({states_sql({k: f"v{v}" for k, v in BEFORE.items()}, "vid, x, y, z")}), v1 AS MATERIALIZED ({states_sql({k: f"v{v}" for k, v in AFTER.items()}, "vid, x, y, z")}),
+f0 AS MATERIALIZED ({states_sql({k: f"f{v}" for k, v in BEFORE.items()}, "fidx, v0, v1, v2, pid")}), f1 AS MATERIALIZED ({states_sql({k: f"f{v}" for k, v in AFTER.items()}, "fidx, v0, v1, v2, pid")}),
+t0 AS MATERIALIZED (SELECT *, sqrt(px * px + py * py + pz * pz) / 2 AS area FROM ({TRI_SQL.format(s=0)})), t1 AS MATERIALIZED (SELECT *, sqrt(px * px + py * py + pz * pz) / 2 AS area FROM ({TRI_SQL.format(s=1)})),
+dg AS (SELECT key, sqrt((max(x) - min(x)) ** 2 + (max(y) - min(y)) ** 2 + (max(z) - min(z)) ** 2) AS diag FROM v0 GROUP BY key),
+cum AS (SELECT s, key, fidx, ax, ay, az, bx, by_, bz, cx, cy, cz, round(sum(area) OVER (PARTITION BY s, key ORDER BY fidx) / sum(area) OVER (PARTITION BY s, key), 12) AS hi,
+  round((sum(area) OVER (PARTITION BY s, key ORDER BY fidx) - area) / sum(area) OVER (PARTITION BY s, key), 12) AS lo FROM (SELECT 0 AS s, * FROM t0 UNION ALL SELECT 1, * FROM t1) WHERE key LIKE 'E1a/%'),
+dr AS (SELECT key, i, {DRAW_SQL.format(k="u", by="key")}, {DRAW_SQL.format(k="r", by="key")}, {DRAW_SQL.format(k="s", by="key")} FROM dg, range(0, 1000) g(i) WHERE key LIKE 'E1a/%'),
+pt AS (SELECT c.s AS st, d.key, (1 - sqrt(r)) * ax + sqrt(r) * (1 - d.s) * bx + sqrt(r) * d.s * cx AS x, (1 - sqrt(r)) * ay + sqrt(r) * (1 - d.s) * by_ + sqrt(r) * d.s * cy AS y, (1 - sqrt(r)) * az + sqrt(r) * (1 - d.s) * bz + sqrt(r) * d.s * cz AS z
+  FROM dr d JOIN cum c ON c.key = d.key AND lo <= u AND u < hi),
+fr AS (SELECT st, key, (min(x) + max(x)) / 2 ox, (min(y) + max(y)) / 2 oy, (min(z) + max(z)) / 2 oz, greatest(max(x) - min(x), max(y) - min(y), max(z) - min(z), 1e-9) w FROM pt GROUP BY ALL),
+oc AS (SELECT pt.st, pt.key, trunc(least(greatest(((x - ox) / w + 0.5) * 15, 0), 15))::INTEGER a, trunc(least(greatest(((y - oy) / w + 0.5) * 15, 0), 15))::INTEGER b, trunc(least(greatest(((z - oz) / w + 0.5) * 15, 0), 15))::INTEGER c FROM pt JOIN fr ON fr.st = pt.st AND fr.key = pt.key),
+sd AS (SELECT st, key, 0 AS ax, b AS p, c AS q FROM oc UNION SELECT st, key, 1, a, c FROM oc UNION SELECT st, key, 2, a, b FROM oc),
+io AS (SELECT key, ax, count(*) FILTER (k = 2) / count(*) AS iou FROM (SELECT key, ax, p, q, count(*) AS k FROM sd GROUP BY ALL) GROUP BY ALL), sil AS (SELECT key, avg(iou) AS sil_iou FROM io GROUP BY key),
+ar AS (SELECT b.key, abs(coalesce(a.s, 0) - b.s) / greatest(b.s, 1e-9) AS area_delta FROM (SELECT key, sum(area) AS s FROM t0 GROUP BY key) b LEFT JOIN (SELECT key, sum(area) AS s FROM t1 GROUP BY key) a ON a.key = b.key),
+sided AS (SELECT key, fidx, least(v0, v1) p, greatest(v0, v1) q FROM f1 UNION ALL SELECT key, fidx, least(v1, v2), greatest(v1, v2) FROM f1 UNION ALL SELECT key, fidx, least(v2, v0), greatest(v2, v0) FROM f1),
+two AS (SELECT key, min(fidx) a, max(fidx) b FROM sided GROUP BY key, p, q HAVING count(*) = 2 AND min(fidx) < max(fidx)), link AS (SELECT key, a, b FROM two UNION SELECT key, b, a FROM two),
+reach(key, fidx, body) AS (SELECT key, fidx, fidx FROM f1 UNION SELECT r.key, link.b, r.body FROM reach r JOIN link ON link.key = r.key AND link.a = r.fidx), bod AS MATERIALIZED (SELECT key, fidx, min(body) AS body FROM reach GROUP BY key, fidx),
+bsize AS (SELECT key, body, count(*) AS faces FROM bod GROUP BY ALL), several AS (SELECT key FROM bsize GROUP BY key HAVING count(*) > 1),
+bcum AS (SELECT t.*, b.body, round(sum(area) OVER w / sum(area) OVER (PARTITION BY t.key, b.body), 12) AS hi, round((sum(area) OVER w - area) / sum(area) OVER (PARTITION BY t.key, b.body), 12) AS lo
+  FROM t1 t JOIN bod b ON b.key = t.key AND b.fidx = t.fidx JOIN bsize z ON z.key = b.key AND z.body = b.body WHERE z.faces >= 4 WINDOW w AS (PARTITION BY t.key, b.body ORDER BY t.fidx)),
+bdr AS (SELECT key, body, {DRAW_SQL.format(k="u", by="key || ':' || body")}, {DRAW_SQL.format(k="r", by="key || ':' || body")}, {DRAW_SQL.format(k="s", by="key || ':' || body")} FROM bsize, range(0, 2000) g(i) WHERE faces >= 4 AND i < greatest(200, least(2000, faces)) AND key IN (SELECT key FROM several)),
+bpt AS MATERIALIZED (SELECT d.key, d.body, (1 - sqrt(r)) * ax + sqrt(r) * (1 - s) * bx + sqrt(r) * s * cx AS x, (1 - sqrt(r)) * ay + sqrt(r) * (1 - s) * by_ + sqrt(r) * s * cy AS y, (1 - sqrt(r)) * az + sqrt(r) * (1 - s) * bz + sqrt(r) * s * cz AS z
+  FROM bdr d JOIN bcum c ON c.key = d.key AND c.body = d.body AND lo <= u AND u < hi),
+away AS (SELECT p.key, p.body, min(sqrt((p.x - q.x) ** 2 + (p.y - q.y) ** 2 + (p.z - q.z) ** 2)) AS away FROM bpt p JOIN bpt q ON p.key = q.key AND p.body <> q.body GROUP BY ALL),
+orp AS (SELECT z.key, CASE WHEN count(*) < 2 THEN 0 WHEN count(*) FILTER (z.faces >= 4) = 1 THEN -1 ELSE count(*) FILTER (z.faces >= 4 AND (away IS NULL OR away > 0.04 * diag)) END::INTEGER AS orphans
+  FROM bsize z JOIN dg ON dg.key = z.key LEFT JOIN away w ON w.key = z.key AND w.body = z.body GROUP BY z.key),
+gone AS (SELECT key, avg(mx) cx, avg(my) cy, avg(mz) cz, count(*) n, sqrt((max(mx) - min(mx)) ** 2 + (max(my) - min(my)) ** 2 + (max(mz) - min(mz)) ** 2) e FROM t0 WHERE key LIKE 'E3/%' AND pid = 2 GROUP BY key),
+expd AS (SELECT g.key, avg(CASE WHEN (px * (cx_ - mx) + py * (cy_ - my) + pz * (cz_ - mz)) / nullif(2 * area, 0) / (way + 1e-9) > 0.3 THEN 1.0 ELSE 0.0 END) AS share, count(*) AS m
+  FROM (SELECT g.key, t.*, g.cx cx_, g.cy cy_, g.cz cz_, g.e, sqrt((g.cx - mx) ** 2 + (g.cy - my) ** 2 + (g.cz - mz) ** 2) AS way FROM gone g JOIN t1 t ON t.key = g.key) g WHERE way < 0.6 * e GROUP BY g.key),
+ex_ AS (SELECT g.key, CASE WHEN n >= 10 THEN CASE WHEN coalesce(m, 0) >= 10 THEN share ELSE 0.0 END END AS exposure FROM gone g LEFT JOIN expd d ON d.key = g.key),
+nv AS (SELECT a.key, n = m AND n = k AS same, moved, way FROM (SELECT a.key, count(*) AS k, avg((sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2) > 1e-6 * diag)::INTEGER) AS moved, avg(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2) / diag) AS way
+  FROM v0 a JOIN v1 b ON b.key = a.key AND b.vid = a.vid JOIN dg ON dg.key = a.key GROUP BY a.key) a JOIN (SELECT key, count(*) AS n FROM v0 GROUP BY key) p ON p.key = a.key JOIN (SELECT key, count(*) AS m FROM v1 GROUP BY key) q ON q.key = a.key),
+df AS (SELECT a.key, abs(a.n - b.n) AS d_faces FROM (SELECT key, count(*) AS n FROM f0 GROUP BY key) a JOIN (SELECT key, count(*) AS n FROM f1 GROUP BY key) b ON b.key = a.key),
+pr AS (SELECT key, CASE WHEN key LIKE 'E10%#t1' THEN 'E3' WHEN key LIKE 'E10%#t2' THEN 'E6' ELSE split_part(key, '/', 1) END AS task, CASE WHEN key LIKE 'E10%' THEN 0.5 ELSE vis END AS vis
+  FROM (SELECT DISTINCT key, split_part(split_part(key, '/', 2), '#', 1)::BIGINT AS sha FROM f0) k LEFT JOIN vis ON vis.sha = k.sha AND vis.pid = CASE WHEN key LIKE 'E6/%' THEN 1 WHEN key LIKE 'E3/%' OR key LIKE 'E2/%' THEN 2 END),
+al AS (SELECT pr.*, CASE WHEN task = 'E1a' THEN sil_iou END AS sil_iou, CASE WHEN task IN ('E3', 'E2') THEN area_delta END AS area_delta, CASE WHEN task IN ('E3', 'E2', 'E6') THEN orphans END AS orphans, CASE WHEN task = 'E3' THEN exposure END AS exposure,
+  CASE WHEN task = 'E6' THEN d_faces END AS d_faces, CASE WHEN task = 'E6' AND same THEN moved END AS moved_frac, CASE WHEN task = 'E9' AND same THEN way END AS mean_disp
+  FROM pr LEFT JOIN sil ON sil.key = pr.key LEFT JOIN ar ON ar.key = pr.key LEFT JOIN orp ON orp.key = pr.key LEFT JOIN ex_ ON ex_.key = pr.key LEFT JOIN nv ON nv.key = pr.key LEFT JOIN df ON df.key = pr.key)"""
+
+
+@query(f"""WITH RECURSIVE {GATE_SQL}
+SELECT key, task, round(sil_iou, 6) AS sil_iou, round(area_delta, 6) AS area_delta, orphans, round(exposure, 6) AS exposure, d_faces, round(moved_frac, 6) AS moved_frac, round(mean_disp, 6) AS mean_disp,
+  coalesce(CASE WHEN task = 'E1a' THEN sil_iou >= 0.93 WHEN task IN ('E3', 'E2') THEN area_delta BETWEEN 0.02 AND 0.6 AND coalesce(vis, 0) >= 0.3 AND coalesce(orphans, 0) <= 0 AND (task = 'E2' OR coalesce(exposure <= 0.35, true))
+  WHEN task = 'E6' THEN coalesce(vis, 0) >= 0.3 AND (coalesce(d_faces, 0) > 0 OR coalesce(moved_frac, 0) > 0.005) AND coalesce(orphans, 0) <= 0 WHEN task = 'E9' THEN mean_disp BETWEEN 0.005 AND 0.25 ELSE true END, false) AS geo_pass FROM al""")
 def q_gate_all(spark: SparkSession, sf: str) -> DataFrame:
-    """Every pair, chains by their turns, under its task's rule."""
-    i = F.col("event_id")
-    rows = table(spark, sf, "events").select(
-        F.concat(F.lit("P/"), i).alias("key"), F.get(F.array(*map(F.lit, TASKS)), (i % 8).cast("int")).alias("task"), (0.9 + (i % 11) / 100.0).alias("sil_iou"), ((i % 13) / 20.0).alias("area_delta"),
-        F.when(i % 5 != 0, (i % 7) / 10.0).alias("vis"), (i % 3 - 1).alias("orphans"), F.when(i % 4 != 0, (i % 9) / 20.0).alias("exposure"), (i % 2).alias("d_faces"),
-        ((i % 17) / 1000.0).alias("moved_frac"), ((i % 19) / 60.0).alias("mean_disp"), F.when(F.col("event_type") == "error", F.col("props")).alias("error"),
-    )
-    return gates.turns(rows).select("key", "task", gates.passes().alias("geo_pass"))
+    """The gate over meshes before and after: bent textures' bodies, removals and their reverse, moves, deformations and
+    chains by their turns; each pair is measured as its task asks, and judged."""
+    vertices, faces = mesh(spark, sf)
+    cut = meshes.kept(vertices, faces, F.col("pid") != 2)
+    moved, _ = meshes.edited(vertices, faces, F.col("pid") == 1, in_turn(vertices, OPS))
+    box = geometry.bounds(vertices, ["sha"])
+    t = (F.col("z") - F.col("lo_z")) / F.greatest(F.col("hi_z") - F.col("lo_z"), F.lit(1e-6))
+    bent = vertices.join(box, "sha").withColumn("x", geometry.bent(F.col("x"), t, F.col("hi_x") - F.col("lo_x"))).select(vertices.columns)
+    states = {"whole": (vertices, faces), "cut": cut, "moved": (moved, faces), "bent": (bent, faces), "cutmoved": (moved.join(cut[0].select("sha", "vid"), ["sha", "vid"], "left_semi"), cut[1])}
+
+    def by_key(of: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+        made: list[DataFrame | None] = [None, None]
+        for name, state in of.items():
+            task, _, turn = name.partition("#")
+            key = F.concat(F.lit(f"{task}/"), F.col("sha"), F.lit(f"#{turn}" if turn else ""))
+            for k, df in enumerate(states[state]):
+                own = df.withColumn("sha", key)
+                made[k] = own if made[k] is None else made[k].unionByName(own)
+        return kept(made[0]), kept(made[1])  # both states are read many times
+
+    seen = geometry.visibility(vertices.join(table(spark, sf, "embeddings").select(F.col("vec_id").alias("vid"), F.col("label").alias("pid")), "vid").withColumnRenamed("vid", "sid"), 16)
+    parts = spark.createDataFrame([("E3", 2), ("E2", 2), ("E6", 1), ("E1a", None), ("E9", None), ("E10", None)], "task string, pid int")
+    pairs = vertices.select("sha").distinct().join(F.broadcast(parts)).join(seen, ["sha", "pid"], "left")  # six tasks of each asset
+    pairs = pairs.select(F.concat("task", F.lit("/"), "sha").alias("key"), "task", "vis", F.lit(None).cast("string").alias("error"))
+    removed = pairs.where("task = 'E3'").select("key", F.lit(2).alias("pid"))
+    found = gates.judged(pairs, by_key(BEFORE), by_key(AFTER), removed, samples=1000, res=16)
+    digits = [F.round(m, 6).alias(m) if kind == "double" else F.col(m) for m, kind in gates.METRICS.items() if m != "new_open"]
+    return found.select("key", "task", *digits, "geo_pass")
 
 
 @query("""WITH RECURSIVE c AS (SELECT s_suppkey AS sha, row_number() OVER (ORDER BY s_suppkey) AS i FROM supplier), d AS (SELECT s_suppkey AS sha, row_number() OVER (ORDER BY s_suppkey) AS i FROM supplier WHERE s_acctbal > 0),

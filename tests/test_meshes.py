@@ -308,3 +308,37 @@ def test_samples_follow_the_areas(spark):
     assert got.count() == 3000 and got.where("pid = 1").count() / 3000 == pytest.approx(0.8, abs=0.03)
     on = got.where("pid = 0").select(F.least("x", "y", "z", 1 - F.col("x"), 1 - F.col("y"), 1 - F.col("z")).alias("d")).agg(F.max("d"), F.min("d")).first()
     assert on[0] == pytest.approx(0, abs=1e-9) and on[1] == pytest.approx(0, abs=1e-9)
+
+
+def test_the_gate_measures_what_each_task_asks(spark):
+    """Two cubes side by side; one goes, comes, moves, is doubled; all is bent too far, or left as it is."""
+    two = [cube("x"), cube("x", (1.02, 0, 0), pid=1, first=8, face=12)]
+    of = lambda key, *cubes: [([(key, *v[1:]) for v in c[0]], [(key, *f[1:]) for f in c[1]]) for c in cubes]
+    far = cube("x", (9.0, 0, 0), pid=1, first=8, face=12)
+    near = cube("x", (1.0, 0.2, 0), pid=1, first=8, face=12)
+    wide = ([(k, i, 2 * x, 2 * y, 2 * z) for c in two for k, i, x, y, z in c[0]], [f for c in two for f in c[1]])
+    tall = ([(k, i, x, y, 3 * z) for c in two for k, i, x, y, z in c[0]], [f for c in two for f in c[1]])
+    states = {  # task, before, after, the gate's word
+        "E1a/same": ("E1a", two, [wide], True), "E1a/tall": ("E1a", two, [tall], False), "E3/cut": ("E3", two, two[:1], True), "E3/none": ("E3", two, two, False),
+        "E2/put": ("E2", two[:1], two, False), "E6/near": ("E6", two, [two[0], near], True), "E6/far": ("E6", two, [two[0], far], False), "E6/still": ("E6", two, two, False),
+        "E7/more": ("E7", two[:1], two, True), "E9/same": ("E9", two, two, False), "E9/tall": ("E9", two, [tall], False), "E9/few": ("E9", two, two[:1], False), "E5/any": ("E5", two, two[:1], True),
+        "E10/c#t1": (None, two, two[:1], True), "E10/c#t2": (None, two[:1], [cube("x", (1.0, 0.2, 0))], True), "E3/broken": ("E3", two, two[:1], False),
+    }
+    before, after = (tables(spark, *(c for key, s in states.items() for c in of(key, *s[k]))) for k in (1, 2))
+    rows = [(key, task, 0.9, "broken" if key == "E3/broken" else None) for key, (task, *_) in states.items() if task] + [("E10/c", "E10", None, None)]
+    pairs = spark.createDataFrame(rows, "key string, task string, vis double, error string")
+    removed = spark.createDataFrame([("E3/cut", 1)], "key string, pid int")
+    got = {r.key: r for r in gates.judged(pairs, before, after, removed, samples=4000, res=16).collect()}
+    assert set(got) == set(states)
+    assert got["E3/cut"].area_delta == pytest.approx(0.5) and got["E3/cut"].exposure is not None and got["E3/cut"].new_open == 0 and got["E3/none"].area_delta == 0
+    assert got["E2/put"].area_delta == pytest.approx(1) and got["E2/put"].orphans == 0
+    assert got["E6/near"].moved_frac == pytest.approx(0.5) and got["E6/far"].orphans == 2 and got["E6/still"].moved_frac == 0
+    assert got["E7/more"].d_faces == 12 and got["E7/more"].moved_frac is None
+    assert got["E9/same"].mean_disp == 0 and got["E9/few"].mean_disp is None
+    assert got["E1a/same"].sil_iou > 0.99 and got["E1a/tall"].sil_iou < 0.7
+    assert (got["E10/c#t1"].task, got["E10/c#t1"].area_delta, got["E10/c#t2"].task) == ("E3", pytest.approx(0.5), "E6")
+    assert got["E3/broken"].area_delta is None
+    asked = {"E1a": {"sil_iou"}, "E3": {"area_delta", "orphans", "exposure", "new_open"}, "E2": {"area_delta", "orphans"}, "E6": {"orphans", "d_faces", "moved_frac"}, "E7": {"orphans", "d_faces", "moved_frac"}, "E9": {"mean_disp"}, "E5": set()}
+    for r in got.values():  # nothing is measured that a task doesn't ask for
+        assert {m for m in gates.METRICS if r[m] is not None} <= asked[r.task]
+    assert {k: r.geo_pass for k, r in got.items()} == {k: s[3] for k, s in states.items()}
