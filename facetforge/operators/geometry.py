@@ -5,7 +5,9 @@ A point table has sha (asset), sid (sample), x, y, z and pid (part). Assets are
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from facetforge.operators.storing import kept
@@ -154,12 +156,40 @@ def within(points: DataFrame, targets: DataFrame, on: Column) -> DataFrame:
     return met.groupBy("sha", "sid").agg(F.min(F.struct("d", "near")).alias("m")).select("sha", "sid", F.col("m.near").alias("near_sid"), F.col("m.d").alias("distance"))
 
 
-def nearest(points: DataFrame, targets: DataFrame, on: Column, reach: float | None = None) -> DataFrame:
-    """The nearest target of each point for which `on` (of p and q) holds: sha, sid, near_sid, distance.
+#: Cells of an axis at most, targets of a cell, about, and targets of an asset that give a point without a near one a bound.
+CELLS, HELD, SPARE = 32, 64, 64
+
+
+def cuts(rows: DataFrame, by: list[str], axis: str, name: str) -> DataFrame:
+    """by, `name`: where an axis is cut for the rows of each group, by quantiles, into as many cells as `many` says."""
+    every = F.percentile_approx(axis, [k / CELLS for k in range(1, CELLS)], 20 * CELLS)
+    held = rows.groupBy(*by).agg(every.alias("_q"), F.max("many").alias("_m"))
+    step = (F.lit(CELLS) / F.col("_m")).cast("int")
+    # Quantiles that are the same are one cut: a heap in one place isn't cut up.
+    chosen = F.array_distinct(F.filter("_q", lambda _, i: (i + 1) % step == 0))
+    return held.select(*by, chosen.alias(name))
+
+
+def cell_of(value: Column, edges: str) -> Column:
+    """How many cuts lie below the value."""
+    return F.size(F.filter(edges, lambda c: c < value))
 
-    With a reach, points without a target in it have no row. Without one, the cubes begin at the width that an asset's
-    targets would have evenly spread, and are doubled for the points that have no target yet, until they are as wide as
-    the asset; so every point has a row whose asset has any target for it. Places that are missing or not finite have none.
+
+def gap(value: Column, edges: str, i: Column) -> Column:
+    """How far a value lies from the cell between the cuts i - 1 and i; a value on a cut belongs to the cell below it."""
+    low, high = F.get(edges, i - 1), F.get(edges, i)
+    return F.greatest(F.coalesce(low - value, F.lit(0.0)), F.coalesce(value - high, F.lit(0.0)), F.lit(0.0))
+
+
+def nearest(points: DataFrame, targets: DataFrame, on: Column, reach: float | None = None) -> DataFrame:
+    """The nearest target of each point for which `on` (of p and q) holds, of equally near ones that with the smallest sid:
+    sha, sid, near_sid, distance. With a reach, points without a target in it have no row; without one every point has a row
+    whose asset has any target for it. Places that are missing or not finite have none. `on` may read any column but sid.
+
+    Without a reach the targets of an asset are cut into cells that hold about as many each, by quantiles of x, of y in each
+    slab, and of z in each column. A point finds the nearest target of its own cell first, and then looks into those cells
+    alone that lie no farther than it, slab by slab and column by column; a point whose cell has none for it is bounded by a
+    few targets of the asset. So there is no round that depends on the distances, and dense places are cut as others are.
     """
     if reach is not None:
         wide = F.lit(float(reach))
@@ -167,21 +197,53 @@ def nearest(points: DataFrame, targets: DataFrame, on: Column, reach: float | No
     finite = F.lit(True)
     for a in AXES:
         finite = finite & F.coalesce(F.abs(a) < 1e150, F.lit(False))
-    left, targets = points.where(finite), targets.where(finite)
-    # The widest way of an asset, with a little for rounding, and how many targets it has.
-    sides = left.select("sha", *AXES, F.lit(0).alias("k")).unionByName(targets.select("sha", *AXES, F.lit(1).alias("k")))
-    widest = F.greatest(*(F.max(a) - F.min(a) for a in AXES))
-    size = sides.groupBy("sha").agg((F.greatest(widest, F.lit(1e-9)) * 1.75).alias("whole"), F.sum("k").alias("n"))
-    size = size.where("n > 0").withColumn("reach", F.col("whole") / F.cbrt(F.col("n"))).drop("n")
-    left, targets = (kept(df.join(size, "sha")) for df in (left, targets))
-    found = None
-    while not left.isEmpty():
-        near = kept(within(left, targets, on))
-        found = near if found is None else found.unionByName(near)
-        left = left.join(near, ["sha", "sid"], "left_anti").where(F.col("reach") < F.col("whole"))
-        left = kept(left.withColumn("reach", F.least(F.col("reach") * 2, F.col("whole"))))
-        targets = targets.withColumn("reach", F.least(F.col("reach") * 2, F.col("whole")))
-    return within(left, targets, on) if found is None else found
+    points, targets = points.where(finite), targets.where(finite)
+    # Of targets alike in all but their sid the first stands for all, so that a heap in one place is one target.
+    targets = targets.groupBy(*(c for c in targets.columns if c != "sid")).agg(F.min("sid").alias("sid"))
+    size = targets.groupBy("sha").agg(F.count("*").alias("n"))
+    # Cells of an axis: a power of two, so that the chosen quantiles are even.
+    many = F.least(F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.col("n") / HELD, F.lit(1.0))) / 3)), F.lit(float(CELLS))).cast("int")
+    size = size.select("sha", many.alias("many"))
+    wide = targets.join(size, "sha")
+    at = {a: F.col(a) for a in AXES}
+    xs = cuts(wide, ["sha"], "x", "xs")
+    wide = wide.join(xs, "sha").withColumn("cx", cell_of(at["x"], "xs")).drop("xs")
+    ys = cuts(wide, ["sha", "cx"], "y", "ys")
+    wide = wide.join(ys, ["sha", "cx"]).withColumn("cy", cell_of(at["y"], "ys")).drop("ys")
+    zs = cuts(wide, ["sha", "cx", "cy"], "z", "zs")
+    cells = kept(wide.join(zs, ["sha", "cx", "cy"]).withColumn("cz", cell_of(at["z"], "zs")).drop("zs", "many"))
+    xs, ys, zs = (kept(df) for df in (xs, ys, zs))
+    # A slab or column without targets has no cuts, so nothing in it is found at first.
+    cell = lambda a, edges: F.coalesce(cell_of(at[a], edges), F.lit(0))
+    home = points.join(xs, "sha").withColumn("cx", cell_of(at["x"], "xs")).drop("xs").join(ys, ["sha", "cx"], "left")
+    home = home.withColumn("cy", cell("y", "ys")).drop("ys").join(zs, ["sha", "cx", "cy"], "left").withColumn("cz", cell("z", "zs")).drop("zs")
+    place = ("sha", "cx", "cy", "cz")
+    distance = F.sqrt(sum(((F.col(f"p.{a}") - F.col(f"q.{a}")) ** 2 for a in AXES), F.lit(0.0)))
+
+    def met(df: DataFrame, others: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+        same = F.lit(True)
+        for k in keys:
+            same = same & (F.col(f"p.{k}") == F.col(f"q.{k}"))
+        both = df.alias("p").join(others.alias("q"), same & on)
+        return both.groupBy("p.sha", "p.sid").agg(F.min(F.struct(distance.alias("d"), F.col("q.sid").alias("near"))).alias("m"))
+
+    local = met(home, cells, place)
+    first = kept(home.join(local, ["sha", "sid"], "left"))
+    few = cells.withColumn("_n", F.row_number().over(Window.partitionBy("sha").orderBy(F.xxhash64("sid"), "sid"))).where(F.col("_n") <= SPARE)
+    bound = met(first.where("m is null").drop("m"), few, ("sha",)).select("sha", "sid", F.col("m.d").alias("spare"))
+    asks = first.join(bound, ["sha", "sid"], "left").withColumn("far", F.coalesce("m.d", "spare", F.lit(float("inf")))).drop("m", "spare")
+
+    def closer(value: Column, edges: str) -> Callable[[Column], Column]:
+        """Cells no farther than what is known, and a little more for rounding; the way to them so far is summed as squares."""
+        return lambda i: F.col("way") + gap(value, edges, i) ** 2 <= F.col("far") * F.col("far") * (1 + 1e-9)
+
+    for c, a, table, edges, keys in (("nx", "x", xs, "xs", ["sha"]), ("ny", "y", ys, "ys", ["sha", "nx"]), ("nz", "z", zs, "zs", ["sha", "nx", "ny"])):
+        known = table.withColumnsRenamed({"cx": "nx", "cy": "ny"})
+        asks = asks.join(known, keys) if c != "nx" else asks.withColumn("way", F.lit(0.0)).join(known, keys)
+        asks = asks.withColumn(c, F.explode(F.filter(F.sequence(F.lit(0), F.size(edges)), closer(at[a], edges)))).withColumn("way", F.col("way") + gap(at[a], edges, F.col(c)) ** 2).drop(edges)
+    asks = asks.where("nx <> cx or ny <> cy or nz <> cz").drop("cx", "cy", "cz").withColumnsRenamed({"nx": "cx", "ny": "cy", "nz": "cz"})
+    found = met(asks, cells, place).unionByName(first.where("m is not null").select("sha", "sid", "m"))
+    return found.groupBy("sha", "sid").agg(F.min("m").alias("m")).select("sha", "sid", F.col("m.near").alias("near_sid"), F.col("m.d").alias("distance"))
 
 
 def displacement(before: DataFrame, after: DataFrame) -> DataFrame:

