@@ -47,7 +47,7 @@ def reached(start: DataFrame, steps: DataFrame, key: list[str], most_rounds: int
             return found
         ahead = front.join(steps, [*key, "node"]).select(*key, "root", F.col("to").alias("node")).distinct()
         front = kept(ahead.join(found, [*key, "root", "node"], "left_anti"))
-        found = kept(found.unionByName(front))
+        found = found.unionByName(front)  # each round's front is written once
     raise RuntimeError("the sets did not settle")
 
 

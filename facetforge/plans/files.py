@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from facetforge.functions import text
-from facetforge.operators import gates, geometry, merging, meshes, ordering, selecting
+from facetforge.operators import atlas, gates, geometry, merging, meshes, ordering, selecting
 from facetforge.plans.registry import query, table
 from facetforge.sources import arrays, records, sinks
 
@@ -91,7 +91,7 @@ def q_quantise(spark: SparkSession, sf: str) -> DataFrame:
     rows = rows.join(F.broadcast(box), F.lit(True))  # one row
     u, v = (geometry.cell(F.col(a), F.col(f"lo_{a}"), F.col(f"hi_{a}"), 96) for a in "xy")
     return rows.select(
-        "vec_id", u.alias("u"), (u * 96 + v).alias("cell"), meshes.texel(F.col("x") * 3, F.col("y"), 64, 64)[0].alias("wrapped"), F.round(gates.relative(F.col("x"), F.col("y")), 3).alias("delta"),
+        "vec_id", u.alias("u"), (u * 96 + v).alias("cell"), atlas.texel(F.col("x") * 3, F.col("y"), 64, 64)[0].alias("wrapped"), F.round(gates.relative(F.col("x"), F.col("y")), 3).alias("delta"),
         meshes.longer(F.col("x"), F.col("y"), F.col("z")).alias("axis"), F.round(geometry.view_angle(2 + F.abs("z")), 6).alias("fov"),
     )
 
