@@ -28,6 +28,8 @@ from facetforge.llm.pieces import SPACE, PieceIds, classes, code_points, ends
 
 #: Code points of a chunk, and of its overlap with the next. The last few boundaries of a chunk depend on what follows.
 CHUNK, OVERLAP, BLUR = 32_768, 2_048, 4
+#: Pre-tokens whose ids a worker holds; fewer than elsewhere, as workers that encode and workers that decode stand side by side.
+ROOM = 100_000
 
 
 @lru_cache(maxsize=2)
@@ -39,7 +41,7 @@ def ranks(path: str) -> dict[bytes, int]:
 @lru_cache(maxsize=2)
 def piece_ids(path: str, pattern: str) -> PieceIds:
     encoding = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks(path), special_tokens={})
-    return PieceIds(encoding.encode_ordinary)
+    return PieceIds(encoding.encode_ordinary, ROOM)
 
 
 @lru_cache(maxsize=2)
