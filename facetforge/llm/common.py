@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,39 +54,46 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+#: The tables stored inside the innermost `cleared` of this thread.
+inside: ContextVar[list[Stored] | None] = ContextVar("inside", default=None)
+
+
 class Stored:
     """A table written to the shared folder: its lineage ends there, so a lost executor costs no recomputation."""
 
-    #: The tables that are there, for `cleared`.
-    there: list[Stored] = []
-
     def __init__(self, df: DataFrame, label: str, lasting: bool = False):
         self.spark = df.sparkSession
         self.path = f"{shared_dir(self.spark)}/{label}-{uuid.uuid4().hex}"
         df.write.parquet(self.path)
         self.df = self.spark.read.parquet(self.path)
         if not lasting:
-            self.there.append(self)
+            self.remember()
+
+    def remember(self) -> None:
+        """Leaves the table to the `cleared` around it, if there is one."""
+        if (tables := inside.get()) is not None:
+            tables.append(self)
 
     def drop(self) -> None:
-        if self in self.there:
-            self.there.remove(self)
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @contextmanager
 def cleared() -> Iterator[None]:
-    """Drops the tables that were stored inside. An operator's result may read its tables, so it is written first:
+    """Drops the tables that were stored inside, by this thread alone: others may run pipelines of their own beside it.
+    An operator's result may read its tables, so it is written first:
 
     with cleared():
         operator(docs).write.parquet(...)
     """
-    before = list(Stored.there)
+    tables: list[Stored] = []
+    around = inside.set(tables)
     try:
         yield
     finally:
-        for table in [t for t in Stored.there if t not in before]:
+        inside.reset(around)
+        for table in tables:
             table.drop()
 
 

@@ -1,7 +1,9 @@
 """Each stage of corpus_pipeline.py against a plain version over rows that aren't in order."""
 
 import re
+import threading
 from itertools import combinations
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -11,7 +13,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from facetforge.llm import quality, simhash, toxicity
-from facetforge.llm.common import Stored
+from facetforge.llm.common import Stored, cleared, shared_dir
 from facetforge.llm.queries import TOKENIZER
 
 #: Columns with the very names that operators or stages might give their own.
@@ -160,7 +162,31 @@ def test_packing_stage(spark, docs, sf_dir):
 
 
 def test_run_leaves_one_table(spark, sf_dir):
-    before = list(Stored.there)
+    folder = Path(shared_dir(spark))
+    before = set(folder.iterdir())
     got = corpus_pipeline.run(spark, sf_dir)
-    assert Stored.there == before and got.count() > 0
+    assert [p.name.split("-")[0] for p in set(folder.iterdir()) - before] == ["packing"] and got.count() > 0
     assert re.search("packing-[0-9a-f]+", got.inputFiles()[0])
+
+
+def test_tables_are_dropped_by_the_thread_that_stored_them(spark):
+    stored, ready, done = [], threading.Event(), threading.Event()
+
+    def other():
+        with cleared():
+            stored.append(Stored(spark.range(3), "mine"))
+            ready.set()
+            done.wait(60)
+
+    beside = threading.Thread(target=other)
+    with cleared():
+        outer = Stored(spark.range(2), "outer")
+        with cleared():
+            inner = Stored(spark.range(1), "inner")
+            beside.start()
+            assert ready.wait(60)
+        assert not Path(inner.path).exists() and outer.df.count() == 2
+    assert not Path(outer.path).exists() and stored[0].df.count() == 3
+    done.set()
+    beside.join()
+    assert not Path(stored[0].path).exists()
