@@ -30,14 +30,22 @@ def cross(a: list[Column], b: list[Column]) -> list[Column]:
     return [a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0]]
 
 
+def whole(corners: DataFrame, *columns: Column) -> DataFrame:
+    """The corners (sha, fidx, pid, at) of each face brought together; a face of which a corner is missing has no row."""
+    met = [F.bool_or(F.col("at") == k) for k in range(3)]
+    rows = corners.groupBy("sha", "fidx", "pid").agg(*columns, (met[0] & met[1] & met[2]).alias("_whole"))
+    return rows.where("_whole").drop("_whole")
+
+
 def shaped(vertices: DataFrame, faces: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
     """The faces with the corners a_, b_, c_ of each axis, the centre m_, the unit normal n_, and the area; `also`: further
-    columns of the vertices, as a_u for instance. Corners are looked up by one join and brought back by one aggregate."""
+    columns of the vertices, as a_u for instance. Corners are looked up by one join and brought back by one aggregate; a face
+    of which a vertex is missing has no row."""
     names = (*AXES, *also)
     corners = faces.select("sha", "fidx", "pid", F.posexplode(F.array(*CORNERS)).alias("at", "vid"))
     met = corners.join(vertices.select("sha", "vid", *names), ["sha", "vid"])
     corner = lambda k, a: F.max(F.when(F.col("at") == k, F.col(a))).alias(f"{'abc'[k]}_{a}")
-    rows = met.groupBy("sha", "fidx", "pid").agg(*(corner(k, a) for k in range(3) for a in names))
+    rows = whole(met, *(corner(k, a) for k in range(3) for a in names))
     one, two = ([F.col(f"{p}_{a}") - F.col(f"a_{a}") for a in AXES] for p in "bc")
     across = cross(one, two)
     size = norm(*across)
