@@ -69,11 +69,11 @@ def kept(vertices: DataFrame, faces: DataFrame, keep: Column) -> tuple[DataFrame
 
 
 def renumbered(vertices: DataFrame, faces: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Vertices and faces numbered from 0 in their order, inside each asset."""
+    """Vertices and faces numbered from 0 in their order, inside each asset; faces of which a vertex is missing go."""
     place = F.row_number().over(Window.partitionBy("sha").orderBy("vid")) - 1
     ranked = vertices.withColumn("to", place)
     corners = faces.select("sha", "fidx", "pid", F.posexplode(F.array(*CORNERS)).alias("at", "vid")).join(ranked.select("sha", "vid", "to"), ["sha", "vid"])
-    corners = corners.groupBy("sha", "fidx", "pid").agg(*(F.max(F.when(F.col("at") == k, F.col("to"))).alias(v) for k, v in enumerate(CORNERS)))
+    corners = whole(corners, *(F.max(F.when(F.col("at") == k, F.col("to"))).alias(v) for k, v in enumerate(CORNERS)))
     dense = F.row_number().over(Window.partitionBy("sha").orderBy("fidx")) - 1
     return ranked.drop("vid").withColumnRenamed("to", "vid"), corners.withColumn("fidx", dense)
 
