@@ -2,6 +2,7 @@
 
 import duckdb
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from facetforge.llm import additive, spotsigs
@@ -107,3 +108,32 @@ def test_recall_of_many_vectors_in_several_blocks(spark):
     best = np.argsort(-score, axis=1)[:, :20]
     assert set(got) == set(range(0, 20_000, 20))
     assert np.mean([len(got[20 * i] & set(b.tolist())) / 20 for i, b in enumerate(best)]) > 0.95
+
+
+@pytest.mark.parametrize("kind", ["clusters", "whole numbers", "norms", "far off"])
+def test_all_of_the_nearest_are_found(spark, kind):
+    """Tight clusters, which codes tell apart badly; products that are often equal; norms from 1 to 10^6; one common offset."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(6000, 64))
+    if kind == "clusters":
+        x = rng.normal(size=(12, 64))[rng.integers(0, 12, 6000)] + 1e-3 * x
+    elif kind == "whole numbers":
+        i = np.arange(6000)
+        x = np.zeros((6000, 64))
+        x[i, i % 64] = 1
+        x[i, i * 7 // 64 % 64] += 1
+        x[:, 0] += 1
+        x += rng.random((6000, 64)) < 0.02
+    elif kind == "norms":
+        x *= 10 ** rng.uniform(0, 6, (6000, 1))
+    else:
+        x += 1000
+    x = x.astype(np.float32)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in additive.nearest(table, F.col("id") % 200 == 0, sizes=(2048, 16)).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    for q in range(0, 6000, 200):
+        score = np.cumsum(x.astype(float) * x[q].astype(float), axis=1)[:, -1]
+        score[q] = -np.inf
+        assert [i for _, i in sorted(got[q])] == np.lexsort((np.arange(6000), -score))[:20].tolist()
