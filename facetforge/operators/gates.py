@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from facetforge.operators.geometry import AXES, bounds, silhouettes, within
 from facetforge.operators.meshes import bodies, boundary, sampled, shaped
-from facetforge.operators.storing import kept
+from facetforge.operators.storing import dealt, kept
 
 #: The tasks that leave the shape alone, those that take or add a part, those that move or double one, and
 #: the one that bends the whole.
@@ -69,18 +69,18 @@ def isolated(shapes: DataFrame, diag: DataFrame, seed: int = 0, least: int = FAC
     only samples of the bodies that no cube settles look for others, in the cubes around their own.
     """
     size = shapes.groupBy("sha", "body").agg(F.count("*").alias("faces")).where(F.col("faces") >= least)
-    rows = shapes.join(size.select("sha", "body"), ["sha", "body"], "left_semi")
+    rows = shapes.join(dealt(size.select("sha", "body")), ["sha", "body"], "left_semi")
     points = sampled(rows, F.greatest(F.lit(SAMPLES[0]), F.least(F.lit(SAMPLES[1]), F.count("*"))), seed, by=("sha", "body"))
     reach = diag.select("sha", F.greatest(APART * F.col("diag"), F.lit(1e-12)).alias("reach"))
-    points = kept(points.select("sha", "body", F.concat_ws("/", "body", "sid").alias("sid"), *AXES).join(reach, "sha"))
+    points = kept(points.select("sha", "body", F.concat_ws("/", "body", "sid").alias("sid"), *AXES).join(dealt(reach), "sha"))
     cube = [F.floor(F.col(a) * (3**0.5) / F.col("reach")).alias(f"g_{a}") for a in AXES]
     held = points.select("sha", "body", *cube).distinct()
     shared = held.groupBy("sha", *(f"g_{a}" for a in AXES)).agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    near = kept(held.join(shared, ["sha", *(f"g_{a}" for a in AXES)], "left_semi").select("sha", "body").distinct())
-    left = points.join(near, ["sha", "body"], "left_anti")
-    found = within(left, points, F.expr("p.body <> q.body")).join(left.select("sha", "sid", "body"), ["sha", "sid"]).select("sha", "body")
+    near = kept(held.join(dealt(shared), ["sha", *(f"g_{a}" for a in AXES)], "left_semi").select("sha", "body").distinct())
+    left = points.join(dealt(near), ["sha", "body"], "left_anti")
+    found = within(left, points, F.expr("p.body <> q.body")).join(dealt(left.select("sha", "sid", "body")), ["sha", "sid"]).select("sha", "body")
     met = near.unionByName(found.distinct()).withColumn("near", F.lit(True))
-    return size.join(met, ["sha", "body"], "left").select("sha", "body", "faces", F.col("near").isNull().alias("orphan"))
+    return size.join(dealt(met), ["sha", "body"], "left").select("sha", "body", "faces", F.col("near").isNull().alias("orphan"))
 
 
 def orphans(shapes: DataFrame, diag: DataFrame, seed: int = 0, least: int = FACES) -> DataFrame:
@@ -88,7 +88,7 @@ def orphans(shapes: DataFrame, diag: DataFrame, seed: int = 0, least: int = FACE
     several of which one alone is large enough to be looked at."""
     many = shapes.groupBy("sha").agg(F.count_distinct("body").alias("bodies"))
     seen = isolated(shapes, diag, seed, least).groupBy("sha").agg(F.count("*").alias("large"), F.count_if("orphan").alias("n"))
-    rows = many.join(seen, "sha", "left")
+    rows = many.join(dealt(seen), "sha", "left")
     count = F.when(F.col("bodies") < 2, 0).when(F.col("large") == 1, -1).otherwise(F.coalesce("n", F.lit(0)))
     return rows.select("sha", count.cast("int").alias("orphans"))
 

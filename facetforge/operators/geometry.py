@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from facetforge.operators.storing import kept
+from facetforge.operators.storing import dealt, kept
 
 AXES = ("x", "y", "z")
 #: The views that visibility is judged from, as the axes across, the axis of depth and its sign.
@@ -151,7 +151,7 @@ def within(points: DataFrame, targets: DataFrame, on: Column) -> DataFrame:
     for a in AXES:
         same = same & (F.col(f"p.g_{a}") == F.col(f"q.g_{a}"))
     distance = F.sqrt(sum(((F.col(f"p.{a}") - F.col(f"q.{a}")) ** 2 for a in AXES), F.lit(0.0)))
-    met = p.join(q, same & on).select(F.col("p.sha").alias("sha"), F.col("p.sid").alias("sid"), distance.alias("d"), F.col("q.sid").alias("near"), F.col("p.reach").alias("reach"))
+    met = p.join(dealt(q), same & on).select(F.col("p.sha").alias("sha"), F.col("p.sid").alias("sid"), distance.alias("d"), F.col("q.sid").alias("near"), F.col("p.reach").alias("reach"))
     met = met.where(F.col("d") <= F.col("reach"))
     return met.groupBy("sha", "sid").agg(F.min(F.struct("d", "near")).alias("m")).select("sha", "sid", F.col("m.near").alias("near_sid"), F.col("m.d").alias("distance"))
 
@@ -204,19 +204,19 @@ def nearest(points: DataFrame, targets: DataFrame, on: Column, reach: float | No
     # Cells of an axis: a power of two, so that the chosen quantiles are even.
     many = F.least(F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.col("n") / HELD, F.lit(1.0))) / 3)), F.lit(float(CELLS))).cast("int")
     size = size.select("sha", many.alias("many"))
-    wide = targets.join(size, "sha")
+    wide = targets.join(dealt(size), "sha")
     at = {a: F.col(a) for a in AXES}
     xs = cuts(wide, ["sha"], "x", "xs")
-    wide = wide.join(xs, "sha").withColumn("cx", cell_of(at["x"], "xs")).drop("xs")
+    wide = wide.join(dealt(xs), "sha").withColumn("cx", cell_of(at["x"], "xs")).drop("xs")
     ys = cuts(wide, ["sha", "cx"], "y", "ys")
-    wide = wide.join(ys, ["sha", "cx"]).withColumn("cy", cell_of(at["y"], "ys")).drop("ys")
+    wide = wide.join(dealt(ys), ["sha", "cx"]).withColumn("cy", cell_of(at["y"], "ys")).drop("ys")
     zs = cuts(wide, ["sha", "cx", "cy"], "z", "zs")
-    cells = kept(wide.join(zs, ["sha", "cx", "cy"]).withColumn("cz", cell_of(at["z"], "zs")).drop("zs", "many"))
+    cells = kept(wide.join(dealt(zs), ["sha", "cx", "cy"]).withColumn("cz", cell_of(at["z"], "zs")).drop("zs", "many"))
     xs, ys, zs = (kept(df) for df in (xs, ys, zs))
     # A slab or column without targets has no cuts, so nothing in it is found at first.
     cell = lambda a, edges: F.coalesce(cell_of(at[a], edges), F.lit(0))
-    home = points.join(xs, "sha").withColumn("cx", cell_of(at["x"], "xs")).drop("xs").join(ys, ["sha", "cx"], "left")
-    home = home.withColumn("cy", cell("y", "ys")).drop("ys").join(zs, ["sha", "cx", "cy"], "left").withColumn("cz", cell("z", "zs")).drop("zs")
+    home = points.join(dealt(xs), "sha").withColumn("cx", cell_of(at["x"], "xs")).drop("xs").join(dealt(ys), ["sha", "cx"], "left")
+    home = home.withColumn("cy", cell("y", "ys")).drop("ys").join(dealt(zs), ["sha", "cx", "cy"], "left").withColumn("cz", cell("z", "zs")).drop("zs")
     place = ("sha", "cx", "cy", "cz")
     distance = F.sqrt(sum(((F.col(f"p.{a}") - F.col(f"q.{a}")) ** 2 for a in AXES), F.lit(0.0)))
 
@@ -224,21 +224,21 @@ def nearest(points: DataFrame, targets: DataFrame, on: Column, reach: float | No
         same = F.lit(True)
         for k in keys:
             same = same & (F.col(f"p.{k}") == F.col(f"q.{k}"))
-        both = df.alias("p").join(others.alias("q"), same & on)
+        both = df.alias("p").join(dealt(others.alias("q")), same & on)
         return both.groupBy("p.sha", "p.sid").agg(F.min(F.struct(distance.alias("d"), F.col("q.sid").alias("near"))).alias("m"))
 
     local = met(home, cells, place)
-    first = kept(home.join(local, ["sha", "sid"], "left"))
+    first = kept(home.join(dealt(local), ["sha", "sid"], "left"))
     few = cells.withColumn("_n", F.row_number().over(Window.partitionBy("sha").orderBy(F.xxhash64("sid"), "sid"))).where(F.col("_n") <= SPARE)
     bound = met(first.where("m is null").drop("m"), few, ("sha",)).select("sha", "sid", F.col("m.d").alias("spare"))
-    asks = first.join(bound, ["sha", "sid"], "left").withColumn("far", F.coalesce("m.d", "spare", F.lit(float("inf")))).drop("m", "spare")
+    asks = first.join(dealt(bound), ["sha", "sid"], "left").withColumn("far", F.coalesce("m.d", "spare", F.lit(float("inf")))).drop("m", "spare")
 
     def closer(value: Column, edges: str) -> Callable[[Column], Column]:
         """Cells no farther than what is known, and a little more for rounding; the way to them so far is summed as squares."""
         return lambda i: F.col("way") + gap(value, edges, i) ** 2 <= F.col("far") * F.col("far") * (1 + 1e-9)
 
     for c, a, table, edges, keys in (("nx", "x", xs, "xs", ["sha"]), ("ny", "y", ys, "ys", ["sha", "nx"]), ("nz", "z", zs, "zs", ["sha", "nx", "ny"])):
-        known = table.withColumnsRenamed({"cx": "nx", "cy": "ny"})
+        known = dealt(table.withColumnsRenamed({"cx": "nx", "cy": "ny"}))
         asks = asks.join(known, keys) if c != "nx" else asks.withColumn("way", F.lit(0.0)).join(known, keys)
         asks = asks.withColumn(c, F.explode(F.filter(F.sequence(F.lit(0), F.size(edges)), closer(at[a], edges)))).withColumn("way", F.col("way") + gap(at[a], edges, F.col(c)) ** 2).drop(edges)
     asks = asks.where("nx <> cx or ny <> cy or nz <> cz").drop("cx", "cy", "cz").withColumnsRenamed({"nx": "cx", "ny": "cy", "nz": "cz"})

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from facetforge.operators.storing import kept
+from facetforge.operators.storing import dealt, kept
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -24,8 +24,8 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        small = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
+        large = both.where("v > u").join(dealt(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        small = large.join(dealt(large.groupBy("u").agg(F.min("v").alias("m"))), "u")
         hung = small.select("u", F.col("m").alias("v")).unionByName(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
         now = kept(hung.where("u <> v").distinct())
         after = state(now)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from facetforge.operators.geometry import AXES, bounds
 from facetforge.operators.graphs import components
 from facetforge.operators.ordering import uniform
+from facetforge.operators.storing import dealt
 
 CORNERS = ("v0", "v1", "v2")
 
@@ -43,7 +44,7 @@ def shaped(vertices: DataFrame, faces: DataFrame, also: tuple[str, ...] = ()) ->
     of which a vertex is missing has no row."""
     names = (*AXES, *also)
     corners = faces.select("sha", "fidx", "pid", F.posexplode(F.array(*CORNERS)).alias("at", "vid"))
-    met = corners.join(vertices.select("sha", "vid", *names), ["sha", "vid"])
+    met = corners.join(dealt(vertices.select("sha", "vid", *names)), ["sha", "vid"])
     corner = lambda k, a: F.max(F.when(F.col("at") == k, F.col(a))).alias(f"{'abc'[k]}_{a}")
     rows = whole(met, *(corner(k, a) for k in range(3) for a in names))
     one, two = ([F.col(f"{p}_{a}") - F.col(f"a_{a}") for a in AXES] for p in "bc")
@@ -65,14 +66,14 @@ def kept(vertices: DataFrame, faces: DataFrame, keep: Column) -> tuple[DataFrame
     """The faces that `keep` holds for, and the vertices that they have. Assets of which none or all faces stay are empty
     or whole."""
     left = faces.where(keep)
-    return vertices.join(touched(left), ["sha", "vid"], "left_semi"), left
+    return vertices.join(dealt(touched(left)), ["sha", "vid"], "left_semi"), left
 
 
 def renumbered(vertices: DataFrame, faces: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Vertices and faces numbered from 0 in their order, inside each asset; faces of which a vertex is missing go."""
     place = F.row_number().over(Window.partitionBy("sha").orderBy("vid")) - 1
     ranked = vertices.withColumn("to", place)
-    corners = faces.select("sha", "fidx", "pid", F.posexplode(F.array(*CORNERS)).alias("at", "vid")).join(ranked.select("sha", "vid", "to"), ["sha", "vid"])
+    corners = faces.select("sha", "fidx", "pid", F.posexplode(F.array(*CORNERS)).alias("at", "vid")).join(dealt(ranked.select("sha", "vid", "to")), ["sha", "vid"])
     corners = whole(corners, *(F.max(F.when(F.col("at") == k, F.col("to"))).alias(v) for k, v in enumerate(CORNERS)))
     dense = F.row_number().over(Window.partitionBy("sha").orderBy("fidx")) - 1
     return ranked.drop("vid").withColumnRenamed("to", "vid"), corners.withColumn("fidx", dense)
@@ -173,7 +174,7 @@ def adjacent(faces: DataFrame) -> DataFrame:
 def bodies(faces: DataFrame) -> DataFrame:
     """The faces with `body`: the smallest face of those that hang together by shared edges; a face alone is a body."""
     found = components(adjacent(faces)).select("node.sha", "node.fidx", F.col("label.fidx").alias("body"))
-    return faces.join(found, ["sha", "fidx"], "left").withColumn("body", F.coalesce("body", "fidx"))
+    return faces.join(dealt(found), ["sha", "fidx"], "left").withColumn("body", F.coalesce("body", "fidx"))
 
 
 def sampled(shapes: DataFrame, n: int | Column, seed: int | str, steps: int = 256, by: tuple[str, ...] = ("sha",)) -> DataFrame:
@@ -191,7 +192,7 @@ def sampled(shapes: DataFrame, n: int | Column, seed: int | str, steps: int = 25
     draws = shapes.groupBy(*by).agg(F.max(many).alias("many") if not isinstance(n, Column) else many.alias("many"))
     draws = draws.select(*by, F.explode(F.sequence(F.lit(0), F.col("many") - 1)).alias("sid"))
     draws = draws.withColumns({k: uniform(f"{seed}{k}", *by, "sid") for k in ("u", "r", "s")}).withColumn("step", step(F.col("u")))
-    met = draws.join(rows, [*by, "step"]).where("lo <= u and u < hi")
+    met = draws.join(dealt(rows), [*by, "step"]).where("lo <= u and u < hi")
     root = F.sqrt("r")
     met = met.withColumns({"w0": 1 - root, "w1": root * (1 - F.col("s")), "w2": root * F.col("s")})
     at = {a: F.col("w0") * F.col(f"a_{a}") + F.col("w1") * F.col(f"b_{a}") + F.col("w2") * F.col(f"c_{a}") for a in AXES}

@@ -1,4 +1,4 @@
-"""Cutting lineage in the folder that driver and executors share."""
+"""Cutting lineage in the folder that driver and executors share, and joins that keep clear of the driver."""
 
 from __future__ import annotations
 
@@ -16,3 +16,9 @@ def kept(df: DataFrame) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(at or tempfile.mkdtemp(prefix="facetforge-"))
     return df.checkpoint()
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """One side of a join of which both sides grow with the input: both are dealt out by the key. Otherwise Spark sends a side
+    that is still small enough whole through the driver, once for each such join."""
+    return df.hint("merge")

@@ -17,3 +17,9 @@ def test_faces_with_a_missing_vertex(spark, sf_dir, tmp_path, name):
     frame = QUERIES[name](spark, str(tmp_path))
     got = con.execute(ORACLES[name])
     assert rows(frame.columns, [tuple(r) for r in frame.collect()]) == rows([d[0] for d in got.description], got.fetchall())
+
+
+@pytest.mark.parametrize("name", ["q_nn_isolation"])
+def test_growing_tables_are_not_broadcast(spark, sf_dir, name):
+    """Even where all sides are small: a broadcast goes through the driver, and grows with the input."""
+    assert "Broadcast" not in QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
