@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from facetforge.operators.geometry import AXES, bounds, nearest
 from facetforge.operators.meshes import sampled
+from facetforge.operators.storing import dealt
 
 #: Texels of a tile's side; fixed values: the grey of a surface without a texture, and the whole of an opaque texel.
 TILE, GREY, OPAQUE = 64, 200, 255
@@ -52,11 +53,11 @@ def coloured(points: DataFrame, tiles: DataFrame, side: int = TILE) -> DataFrame
     """The points (image, u, v and others) with r, g, b, a: those of the texel at their place in the image; grey where there is
     no image, no place, or no such texel."""
     sizes = tiles.where("tx = 0 and ty = 0").select("image", "wide", "high")
-    rows = points.join(sizes, "image", "left")
+    rows = points.join(dealt(sizes), "image", "left")
     there = F.col("u").isNotNull() & F.col("v").isNotNull() & F.col("wide").isNotNull()
     x, y = (F.when(there, c) for c in texel(F.col("u"), F.col("v"), F.col("wide"), F.col("high")))
     rows = rows.withColumns({"_x": x, "_y": y}).withColumns({"tx": F.floor(F.col("_x") / side).cast("int"), "ty": F.floor(F.col("_y") / side).cast("int")})
-    met = rows.join(tiles.select("image", "tx", "ty", "across", "pixels"), ["image", "tx", "ty"], "left")
+    met = rows.join(dealt(tiles.select("image", "tx", "ty", "across", "pixels")), ["image", "tx", "ty"], "left")
     first = (F.col("_y") % side * F.col("across") + F.col("_x") % side) * 4
     byte = lambda k: F.conv(F.hex(F.substring("pixels", first + (k + 1), F.lit(1))), 16, 10)
     known = {c: F.coalesce(F.when(F.length("pixels") > first + k, byte(k)).cast("int"), F.lit(GREY)) for k, c in enumerate(CHANNELS)}
@@ -132,7 +133,7 @@ def blended(base: DataFrame, edit: DataFrame, mask: DataFrame, values: list[str]
     """sha, x, y, values: the base where the mask is 0, the edit where it is 1, cut off toward zero; of two images the one
     that is there, where the other has no texel of the asset."""
     key = ["sha", "x", "y"]
-    both = base.join(edit.select(*key, *(F.col(v).alias(f"_{v}") for v in values)), key, "full").join(mask, key, "left")
+    both = base.join(dealt(edit.select(*key, *(F.col(v).alias(f"_{v}") for v in values))), key, "full").join(dealt(mask), key, "left")
     m = F.coalesce("m", F.lit(0.0))
     # To six digits first: two equal values blended are that value, not the one below.
     out = {v: F.coalesce(F.round(F.col(v) * (1 - m) + F.col(f"_{v}") * m, 6).cast("int"), F.col(v), F.col(f"_{v}")) for v in values}
@@ -220,7 +221,7 @@ def filled(texels: DataFrame, wide: int, high: int) -> DataFrame:
 def unit_frame(points: DataFrame, vertices: DataFrame) -> DataFrame:
     """The points in their asset's frame: about the middle of the vertices' box, its widest side being one."""
     wide = F.greatest(*(F.col(f"hi_{a}") - F.col(f"lo_{a}") for a in AXES), F.lit(1e-9))
-    rows = points.join(bounds(vertices, ["sha"]).drop("n", "diag"), "sha")
+    rows = points.join(dealt(bounds(vertices, ["sha"]).drop("n", "diag")), "sha")
     return rows.withColumns({a: (F.col(a) - (F.col(f"lo_{a}") + F.col(f"hi_{a}")) / 2) / wide for a in AXES}).drop(*(f"{e}_{a}" for e in ("lo", "hi") for a in AXES))
 
 
@@ -240,7 +241,7 @@ def rebaked(original: tuple[DataFrame, DataFrame], target: tuple[DataFrame, Data
     source = coloured(source, tiles)
     goal = unit_frame(skin(target[1], n, seeds[1]), target[0])
     near = nearest(goal.select("sha", "sid", *AXES), source.select("sha", "sid", *AXES), F.lit(True)).select("sha", "sid", "near_sid")
-    painted = goal.join(near, ["sha", "sid"]).join(source.select("sha", F.col("sid").alias("near_sid"), *CHANNELS), ["sha", "near_sid"])
+    painted = goal.join(dealt(near), ["sha", "sid"]).join(dealt(source.select("sha", F.col("sid").alias("near_sid"), *CHANNELS)), ["sha", "near_sid"])
     x, y = texel(F.col("u"), F.col("v"), size, size)
     means = painted.groupBy("sha", x.alias("tx"), y.alias("ty")).agg(F.struct(*(F.avg(c).cast("int").alias(c) for c in CHANNELS[:3])).alias("colour"))
     full = filled(means, size, size)
@@ -250,10 +251,10 @@ def rebaked(original: tuple[DataFrame, DataFrame], target: tuple[DataFrame, Data
 def merged(base: DataFrame, edit: DataFrame, shapes: DataFrame, hot: DataFrame, wide: int, high: int, share: float = 0.01, widen: int = 2, blur: int = 4) -> tuple[DataFrame, DataFrame]:
     """A part's texture taken from an edit: sha, x, y, r, g, b, a, and sha, part_face_share. base, edit: atlases; shapes: faces
     with u and v; hot: sha, fidx of the part's faces. Assets of which the part has less than a share of the faces have no row."""
-    counts = shapes.groupBy("sha").agg(F.count("*").alias("n")).join(hot.groupBy("sha").agg(F.count("*").alias("k")), "sha")
+    counts = shapes.groupBy("sha").agg(F.count("*").alias("n")).join(dealt(hot.groupBy("sha").agg(F.count("*").alias("k"))), "sha")
     counts = counts.select("sha", (F.col("k") / F.col("n")).alias("part_face_share")).where(F.col("part_face_share") >= share)
-    own = shapes.join(hot, ["sha", "fidx"], "left_semi").join(counts.select("sha"), "sha", "left_semi")
+    own = shapes.join(dealt(hot), ["sha", "fidx"], "left_semi").join(dealt(counts.select("sha")), "sha", "left_semi")
     cells = rastered(own, wide, high).withColumn("m", F.lit(1.0))
     mask = spread(spread(cells, "m", wide, high, widen, "max"), "m", wide, high, blur, "blur").withColumn("m", F.round("m", 12))
-    both = [df.join(counts.select("sha"), "sha", "left_semi") for df in (base, edit)]
+    both = [df.join(dealt(counts.select("sha")), "sha", "left_semi") for df in (base, edit)]
     return blended(*both, mask, list(CHANNELS)), counts

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from facetforge.operators import atlas, gates, geometry, meshes, ordering, winding
 from facetforge.operators.geometry import AXES
+from facetforge.operators.storing import dealt
 from facetforge.plans.registry import query, table
 
 MESH_SQL = """vertices AS (SELECT vec_id // 100 AS sha, vec_id AS vid, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, embedding[3]::DOUBLE AS z FROM embeddings),
@@ -142,9 +143,9 @@ def q_nn_isolation(spark: SparkSession, sf: str) -> DataFrame:
     diagonal; and how many an asset has."""
     vertices, faces = mesh(spark, sf)
     left, rest = meshes.kept(vertices, faces, ~F.col("pid").isin(5, 6, 7))
-    shapes = meshes.shaped(left, rest).join(meshes.bodies(rest).select("sha", "fidx", "body"), ["sha", "fidx"])
+    shapes = meshes.shaped(left, rest).join(dealt(meshes.bodies(rest).select("sha", "fidx", "body")), ["sha", "fidx"])
     diag = geometry.bounds(vertices, ["sha"])
-    return gates.isolated(shapes, diag).join(gates.orphans(shapes, diag), "sha")
+    return gates.isolated(shapes, diag).join(dealt(gates.orphans(shapes, diag)), "sha")
 
 
 SIDES_SQL = "SELECT sha, least(v0, v1) a, greatest(v0, v1) b FROM {f} UNION ALL SELECT sha, least(v1, v2), greatest(v1, v2) FROM {f} UNION ALL SELECT sha, least(v2, v0), greatest(v2, v0) FROM {f}"
@@ -365,8 +366,8 @@ def q_texture_merge(spark: SparkSession, sf: str) -> DataFrame:
     shapes = meshes.shaped(other, faces, ("u", "v"))
     centres = atlas.unit_frame(shapes.select("sha", F.col("fidx").alias("sid"), *(F.col(f"m_{a}").alias(a) for a in AXES), "pid"), vertices)
     near = geometry.nearest(centres, centres.where("sid % 2 = 0"), F.lit(True)).select("sha", F.col("sid").alias("fidx"), F.col("near_sid").alias("sid"))
-    hot = near.join(centres.select("sha", "sid", "pid"), ["sha", "sid"]).where("pid = 1").select("sha", "fidx")
+    hot = near.join(dealt(centres.select("sha", "sid", "pid")), ["sha", "sid"]).where("pid = 1").select("sha", "fidx")
     base = rebaked(spark, sf)
     edit = base.select("sha", "x", "y", (F.col("x") * 10).alias("r"), (F.col("y") * 10).alias("g"), F.lit(90).alias("b"), F.lit(255).alias("a"))
     made, share = atlas.merged(base, edit, shapes, hot, 16, 16)
-    return made.join(share, "sha").select("sha", "x", "y", "r", "g", F.round("part_face_share", 6).alias("part_face_share"))
+    return made.join(dealt(share), "sha").select("sha", "x", "y", "r", "g", F.round("part_face_share", 6).alias("part_face_share"))
