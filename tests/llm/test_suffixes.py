@@ -107,3 +107,26 @@ def test_maximal_repeats_have_all_occurrences():
         found.add((bytes(text[row[a], offset[a] : offset[a] + depth]), frozenset(places), least))
     every = lambda s: frozenset((r, o) for r in range(2) for o in range(10 - len(s) + 1) if bytes(text[r, o : o + len(s)]) == s)
     assert found == {(s, every(s), 0) for s in (b"ab", b"abcab", b"abcabcab")}
+
+
+def test_a_crowded_bucket_settles_blocks_of_strings_at_once(spark, monkeypatch):
+    """Where documents share a passage, few of its strings are told one by one; all were before."""
+    made = []
+
+    class Seen(suffixes.Stored):
+        def __init__(self, df, label, lasting=False):
+            super().__init__(df, label, lasting)
+            made.append((label, self.df))
+
+    monkeypatch.setattr(suffixes, "Stored", Seen)
+    covered = [s for a, b in suffixes.blocks(LENGTH) for s in range(a, b + 1)]
+    assert covered == list(range(LENGTH - suffixes.GRAM + 1))
+    rng = random.Random(8)
+    letters = lambda n: "".join(rng.choices("abcdefgh", k=n))
+    passage = letters(90)
+    rows = [(i, letters(60) + passage) for i in range(60)]
+    frame = suffixes.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"), crowded=3)
+    assert got(frame) == brute(rows)
+    told = [df for label, df in made if label == "blocks" and "late" in df.columns][-1]
+    whole = told.where("late").selectExpr("sum(stop - start + 1)").first()[0]
+    assert told.where("late").count() < whole / 3
