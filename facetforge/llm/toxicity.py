@@ -22,10 +22,9 @@ from __future__ import annotations
 
 import math
 import re
-import sys
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -180,13 +179,29 @@ def machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 1e-3,
     return w[:-1], float(w[-1])
 
 
-def train(bags: list[set[str]], toxic: np.ndarray, rounds: int = 3) -> Model:
+def numbered(bags: Iterable[Iterable[str]]) -> tuple[list[str], list[np.ndarray]]:
+    """All words in order, and the numbers of each bag's: a set of strings takes many times their room."""
+    index: dict[str, int] = {}
+    rows = [np.fromiter({index.setdefault(w, len(index)) for w in bag}, np.int32) for bag in bags]
+    every = sorted(index)
+    place = np.empty(len(every), np.int32)
+    place[[index[w] for w in every]] = np.arange(len(every))
+    return every, [np.sort(place[row]) for row in rows]
+
+
+def highest(words: np.ndarray, value: np.ndarray) -> int:
+    """The word with the highest value, of equals the last in order."""
+    own = value[words]
+    return int(words[np.flatnonzero(own == own.max())[-1]])
+
+
+def train(bags: Iterable[Iterable[str]], toxic: np.ndarray, rounds: int = 3) -> Model:
     """bags: the words of each labelled document."""
-    if len(bags) == 0 or toxic.all() or not toxic.any():
+    if len(toxic) == 0 or toxic.all() or not toxic.any():
         return Model(np.zeros(SIGNS**3, np.float32), 0.0, -30.0)
-    bad, plain = Counter(), Counter()
-    for bag, t in zip(bags, toxic, strict=True):
-        (bad if t else plain).update(w for w in bag if len(w) > 2)
+    every, held = numbered(bags)
+    counts = (np.bincount(np.concatenate([b for b, t in zip(held, toxic, strict=True) if t == own]), minlength=len(every)).tolist() for own in (True, False))
+    bad, plain = (Counter({w: k for w, k in zip(every, count, strict=True) if k and len(w) > 2}) for count in counts)
     n1, n0 = int(toxic.sum()), int((~toxic).sum())
     odds = {w: math.log((k + 0.01) / (n1 + 1)) - math.log((plain[w] + 0.01 * n0 / n1 + 0.01) / (n0 + 1)) + math.log(k + 1) for w, k in bad.items()}
     first = [w for w in sorted(odds, key=lambda w: (-odds[w], w)) if plain[w] == 0 or odds[w] > 3][:TOXIC_LANDMARKS]
@@ -202,11 +217,11 @@ def train(bags: list[set[str]], toxic: np.ndarray, rounds: int = 3) -> Model:
     keep = value > 1e-4
     white = (vector[:, keep] / np.sqrt(value[keep])).astype(np.float32)  # features: k(word, landmarks) @ white
     lift = base.T @ white  # the same from subsequences
-    every = sorted({w for b in bags for w in b})
-    index = {w: i for i, w in enumerate(every)}
+    del base  # as large as lift
     in_plain = np.array([plain[w] > 0 and w not in ill for w in every])
     known = sorted(w for w in ill if bad[w] * 40 >= n1 and bad[w] > 2)  # 1 in 40, more than a group of copies makes
-    rare = sorted({max(own, key=lambda w: (odds[w], w)) for b, t in zip(bags, toxic, strict=True) if t and (own := [w for w in b if odds.get(w, -9) > 2])})
+    odd, toxic_bags = np.array([odds.get(w, -9) for w in every]), [b for b, t in zip(held, toxic, strict=True) if t and len(b)]
+    rare = [every[i] for i in sorted({highest(b, odd) for b in toxic_bags}) if odd[i] > 2]
     negative = usual[:2000]
     weights, value, intercept = np.zeros(SIGNS**3, np.float32), np.zeros(len(every)), 0.0
     for _ in range(rounds):
@@ -218,11 +233,11 @@ def train(bags: list[set[str]], toxic: np.ndarray, rounds: int = 3) -> Model:
         weights = (lift @ w).astype(np.float32)
         value = scores(every, weights) + intercept
         # Choose again: of every toxic document its worst word, and the clean words that look worst.
-        worst_words = (max(bag, key=lambda x: (value[index[x]], x)) for bag, t in zip(bags, toxic, strict=True) if t and bag)
-        rare = sorted({w for w in worst_words if not in_plain[index[w]]} - set(known))[:4000]
+        worst_words = {highest(b, value) for b in toxic_bags}
+        rare = sorted({every[i] for i in worst_words if not in_plain[i]} - set(known))[:4000]
         wrong = [every[i] for i in np.argsort(-np.where(in_plain, value, -np.inf), kind="stable")[:2000]]
         negative = sorted(set(usual[:2000]) | set(wrong))
-    worst = np.array([max((value[index[w]] for w in b), default=-np.inf) for b in bags])
+    worst = np.array([value[b].max(initial=-np.inf) for b in held])
     cut = divide(worst, toxic)
     slope = 8.0 / max(0.25, float(np.median(worst[toxic & (worst > cut)])) - cut if (toxic & (worst > cut)).any() else 1.0)
     return Model(weights, slope, slope * (intercept - cut))
@@ -242,6 +257,12 @@ def divide(worst: np.ndarray, toxic: np.ndarray) -> float:
     return float((low + high) / 2)
 
 
+def fit(got: pa.Table) -> Model:
+    """y: above 0 if toxic; bag: a document's words."""
+    got = got.sort_by([("y", "ascending"), ("bag", "ascending")])
+    return train((bag.as_py().split() for bag in got.column("bag")), got.column("y").to_numpy() > 0)
+
+
 def learn(docs: DataFrame, labels: DataFrame, train_on: Column, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> Model:
     """A model from at most `sample` toxic and twice as many clean documents among those where `train_on` (of the column
     id) holds."""
@@ -257,11 +278,6 @@ def learn(docs: DataFrame, labels: DataFrame, train_on: Column, doc_id: str = "d
             bags = [" ".join(sorted(words_of(t))) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(bags, pa.string())], ["y", "bag"])
 
-    def fit(got: pa.Table) -> Model:
-        got = got.sort_by([("y", "ascending"), ("bag", "ascending")])
-        bags = [set(map(sys.intern, bag.split())) for bag in got.column("bag").to_pylist()]
-        return train(bags, got.column("y").to_numpy() > 0)
-
     return fitted(rows.select("y", "text").mapInArrow(run, "y int, bag string"), fit) or train([], np.empty(0, bool))
 
 
