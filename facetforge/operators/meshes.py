@@ -69,6 +69,13 @@ def kept(vertices: DataFrame, faces: DataFrame, keep: Column) -> tuple[DataFrame
     return vertices.join(dealt(touched(left)), ["sha", "vid"], "left_semi"), left
 
 
+def standing(vertices: DataFrame, faces: DataFrame) -> DataFrame:
+    """The faces that have all their vertices."""
+    corners = faces.select("sha", "fidx", "pid", F.posexplode(F.array(*CORNERS)).alias("at", "vid"))
+    met = corners.join(dealt(vertices.select("sha", "vid")), ["sha", "vid"])
+    return whole(met, *(F.max(F.when(F.col("at") == k, F.col("vid"))).alias(v) for k, v in enumerate(CORNERS)))
+
+
 def renumbered(vertices: DataFrame, faces: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Vertices and faces numbered from 0 in their order, inside each asset; faces of which a vertex is missing go."""
     place = F.row_number().over(Window.partitionBy("sha").orderBy("vid")) - 1
@@ -130,8 +137,9 @@ def edited(vertices: DataFrame, faces: DataFrame, chosen: Column, ops: DataFrame
 
 def replayed(vertices: DataFrame, faces: DataFrame, remove: Column, change: Column, ops: DataFrame, least: int = 40) -> tuple[DataFrame, DataFrame, DataFrame]:
     """A chain of two turns: the faces of `remove` go, then those of `change` are moved in what is left. Vertices and faces
-    of the last state, and sha, op of the assets where enough faces to change were left."""
-    state, left = kept(vertices, faces, ~remove)
+    of the last state, and sha, op of the assets where enough faces to change were left. Faces of which a vertex is missing
+    hold no other vertex there."""
+    state, left = kept(vertices, standing(vertices, faces), ~remove)
     last, done = edited(state, left, change, ops, least, extents(vertices))
     return last, left.join(done.select("sha"), "sha", "left_semi"), done
 
