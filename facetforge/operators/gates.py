@@ -60,17 +60,18 @@ def exposure(before: DataFrame, after: DataFrame, by: list[str], near: int = 10)
     return rows.select(*by, F.when(F.col("n") >= near, F.when(F.coalesce("m", F.lit(0)) >= near, F.col("share")).otherwise(0.0)).alias("exposure"))
 
 
-def isolated(shapes: DataFrame, diag: DataFrame, seed: int = 0, least: int = FACES) -> DataFrame:
+def isolated(shapes: DataFrame, diag: DataFrame, seed: int = 0, least: int = FACES, faces: DataFrame | None = None) -> DataFrame:
     """sha, body, faces, orphan: whether no sample of a body's surface lies near one of another body's. shapes: the faces
     with their body; diag: sha, diag (of the state before). Bodies with fewer faces than `least` aren't looked at, and have no
-    row. Of a body's surface so many points are drawn as it has faces, in bounds.
+    row. Of a body's surface so many points are drawn as it has faces, in bounds. faces: all faces (sha, body), if some have
+    no shape, as a vertex of theirs is missing: they count as faces of their body, whose surface goes without them.
 
     Cubes decide most bodies without a distance: two bodies with samples in one cube whose diagonal is the limit are near;
     only samples of the bodies that no cube settles look for others, in the cubes around their own.
     """
-    size = shapes.groupBy("sha", "body").agg(F.count("*").alias("faces")).where(F.col("faces") >= least)
-    rows = shapes.join(dealt(size.select("sha", "body")), ["sha", "body"], "left_semi")
-    points = sampled(rows, F.greatest(F.lit(SAMPLES[0]), F.least(F.lit(SAMPLES[1]), F.count("*"))), seed, by=("sha", "body"))
+    size = (shapes if faces is None else faces).groupBy("sha", "body").agg(F.count("*").alias("faces")).where(F.col("faces") >= least)
+    rows = shapes.join(dealt(size), ["sha", "body"])
+    points = sampled(rows, F.greatest(F.lit(SAMPLES[0]), F.least(F.lit(SAMPLES[1]), F.max("faces"))), seed, by=("sha", "body"))
     reach = diag.select("sha", F.greatest(APART * F.col("diag"), F.lit(1e-12)).alias("reach"))
     points = kept(points.select("sha", "body", F.concat_ws("/", "body", "sid").alias("sid"), *AXES).join(dealt(reach), "sha"))
     cube = [F.floor(F.col(a) * (3**0.5) / F.col("reach")).alias(f"g_{a}") for a in AXES]
@@ -83,11 +84,11 @@ def isolated(shapes: DataFrame, diag: DataFrame, seed: int = 0, least: int = FAC
     return size.join(dealt(met), ["sha", "body"], "left").select("sha", "body", "faces", F.col("near").isNull().alias("orphan"))
 
 
-def orphans(shapes: DataFrame, diag: DataFrame, seed: int = 0, least: int = FACES) -> DataFrame:
+def orphans(shapes: DataFrame, diag: DataFrame, seed: int = 0, least: int = FACES, faces: DataFrame | None = None) -> DataFrame:
     """sha, orphans: how many bodies of an asset hang in the air: none if it is one body, -1 (couldn't be told) if it is
-    several of which one alone is large enough to be looked at."""
-    many = shapes.groupBy("sha").agg(F.count_distinct("body").alias("bodies"))
-    seen = isolated(shapes, diag, seed, least).groupBy("sha").agg(F.count("*").alias("large"), F.count_if("orphan").alias("n"))
+    several of which one alone is large enough to be looked at. faces: as in isolated()."""
+    many = (shapes if faces is None else faces).groupBy("sha").agg(F.count_distinct("body").alias("bodies"))
+    seen = isolated(shapes, diag, seed, least, faces).groupBy("sha").agg(F.count("*").alias("large"), F.count_if("orphan").alias("n"))
     rows = many.join(dealt(seen), "sha", "left")
     count = F.when(F.col("bodies") < 2, 0).when(F.col("large") == 1, -1).otherwise(F.coalesce("n", F.lit(0)))
     return rows.select("sha", count.cast("int").alias("orphans"))
@@ -140,7 +141,8 @@ def judged(
     areas = area(was, "was").join(area(now, "now"), "sha", "left").select("sha", relative(F.coalesce("now", F.lit(0.0)), F.col("was")).alias("area_delta"))
     left = of(after[1], *CUT, *MOVE)
     diag = bounds(of(before[0], *CUT, *MOVE), ["sha"])
-    hanging = orphans(now.join(bodies(left).select("sha", "fidx", "body"), ["sha", "fidx"]), diag, seed)
+    bodied = bodies(left).select("sha", "fidx", "body")
+    hanging = orphans(now.join(bodied, ["sha", "fidx"]), diag, seed, faces=bodied)
     place = [F.col(f"m_{a}").alias(a) for a in AXES]
     gone = of(was, CUT[0]).join(removed.withColumnRenamed("key", "sha"), ["sha", "pid"], "left_semi").select("sha", *place)
     seen = exposure(gone, of(now, CUT[0]).select("sha", *place, *(F.col(f"n_{a}").alias(f"n{a}") for a in AXES)), ["sha"])

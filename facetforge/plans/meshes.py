@@ -143,9 +143,10 @@ def q_nn_isolation(spark: SparkSession, sf: str) -> DataFrame:
     diagonal; and how many an asset has."""
     vertices, faces = mesh(spark, sf)
     left, rest = meshes.kept(vertices, faces, ~F.col("pid").isin(5, 6, 7))
-    shapes = meshes.shaped(left, rest).join(dealt(meshes.bodies(rest).select("sha", "fidx", "body")), ["sha", "fidx"])
+    bodied = meshes.bodies(rest).select("sha", "fidx", "body")
+    shapes = meshes.shaped(left, rest).join(dealt(bodied), ["sha", "fidx"])
     diag = geometry.bounds(vertices, ["sha"])
-    return gates.isolated(shapes, diag).join(dealt(gates.orphans(shapes, diag)), "sha")
+    return gates.isolated(shapes, diag, faces=bodied).join(dealt(gates.orphans(shapes, diag, faces=bodied)), "sha")
 
 
 SIDES_SQL = "SELECT sha, least(v0, v1) a, greatest(v0, v1) b FROM {f} UNION ALL SELECT sha, least(v1, v2), greatest(v1, v2) FROM {f} UNION ALL SELECT sha, least(v2, v0), greatest(v2, v0) FROM {f}"

@@ -25,7 +25,7 @@ def test_growing_tables_are_not_broadcast(spark, sf_dir, name):
     assert "Broadcast" not in QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name, rest", [("q_chain", 195)])
+@pytest.mark.parametrize("name, rest", [("q_chain", 195), ("q_nn_isolation", 123)])
 def test_the_last_faces_with_a_missing_vertex(spark, sf_dir, tmp_path, name, rest):
     """A face that isn't whole holds no vertex of a chain's state, but counts as one of its body."""
     con = duckdb.connect()
